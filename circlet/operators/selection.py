@@ -12,6 +12,12 @@ from circlet.params import Params
 READ = ("sample", "query_name", "mate")
 
 
+def _fraction(alignments: DataFrame) -> Column:
+    """Aligned share of the stored sequence where the reader gives it, else of the whole read."""
+    names = ("stored_aligned_fraction", "aligned_fraction")
+    return F.col(next(n for n in names if n in alignments.columns))
+
+
 def category(p: Params) -> Column:
     """Record category; the first rule that holds decides."""
     circular = F.coalesce(F.col("reference_name").isin(*p.contig_names), F.lit(False))
@@ -115,9 +121,12 @@ def competitive_groups(alignments: DataFrame, p: Params) -> DataFrame:
     other = R.has_flag("flag", 256) | R.has_flag("flag", 2048)
     mapped = ~R.has_flag("flag", 4)
     circular = mapped & F.coalesce(F.col("reference_name").isin(*p.contig_names), F.lit(False))
-    strong_nuclear = mapped & ~circular & (F.col("aligned_fraction") >= p.competitive_nuclear_aligned_fraction)
-    kept = [c for c in ("flag", "mapq", "reference_name", "aligned_fraction", "seq", "qual") if c in alignments.columns]
-    first = F.min(F.when(~other, F.struct("record_no", *kept, mapped.alias("mapped"), circular.alias("circular"))))
+    fraction = _fraction(alignments)
+    strong_nuclear = mapped & ~circular & (fraction >= p.competitive_nuclear_aligned_fraction)
+    kept = [c for c in ("flag", "mapq", "reference_name", "seq", "qual") if c in alignments.columns]
+    first = F.min(
+        F.when(~other, F.struct("record_no", *kept, fraction.alias("fraction"), mapped.alias("mapped"), circular.alias("circular")))
+    )
     groups = alignments.withColumn("mate", R.mate_number("flag")).groupBy(*READ).agg(
         F.count(F.lit(1)).alias("records"),
         first.alias("primary"),
@@ -125,7 +134,7 @@ def competitive_groups(alignments: DataFrame, p: Params) -> DataFrame:
         F.max(other & strong_nuclear).alias("_nuclear_competitor"),
     )
     top = F.col("primary")
-    weak = (top["mapq"] < p.competitive_min_mapq) | (top["aligned_fraction"] < p.competitive_min_aligned_fraction)
+    weak = (top["mapq"] < p.competitive_min_mapq) | (top["fraction"] < p.competitive_min_aligned_fraction)
     unclear = (top["mapq"] < p.competitive_ambiguous_mapq_below) | F.col("_nuclear_competitor")
     decision = (
         F.when(top.isNull(), "no_primary_alignment")
@@ -159,7 +168,7 @@ def competitive_summary(groups: DataFrame, p: Params) -> DataFrame:
 
 def depletion_candidates(alignments: DataFrame, p: Params) -> DataFrame:
     """R12, per record: primary records that are unmapped or only weakly placed, with the reason."""
-    strong = (F.col("mapq") >= p.depletion_min_mapq) & (F.col("aligned_fraction") >= p.depletion_min_aligned_fraction)
+    strong = (F.col("mapq") >= p.depletion_min_mapq) & (_fraction(alignments) >= p.depletion_min_aligned_fraction)
     primary = alignments.filter(~(R.has_flag("flag", 256) | R.has_flag("flag", 2048)))
     reason = F.when(R.has_flag("flag", 4), "primary_unmapped").when(~strong, "weak_or_partial_nuclear_alignment")
     return primary.withColumns({"mate": R.mate_number("flag"), "retention_reason": reason}).filter("retention_reason is not null")
@@ -175,7 +184,7 @@ def depletion_summary(alignments: DataFrame, retained: DataFrame, p: Params) ->
     """R12 counters."""
     primary = ~(R.has_flag("flag", 256) | R.has_flag("flag", 2048))
     unmapped = R.has_flag("flag", 4)
-    strong = (F.col("mapq") >= p.depletion_min_mapq) & (F.col("aligned_fraction") >= p.depletion_min_aligned_fraction)
+    strong = (F.col("mapq") >= p.depletion_min_mapq) & (_fraction(alignments) >= p.depletion_min_aligned_fraction)
     scan = alignments.groupBy("sample").agg(
         F.count(F.lit(1)).alias("alignment_records_examined"),
         F.count_if(R.has_flag("flag", 256)).alias("secondary_records"),

@@ -75,3 +75,245 @@ SEGMENT_INPUT = (
     "is_primary", "is_secondary", "is_supplementary", "alignment_score", "edit_distance", "sa_tag",
     "alignment_type",
 )
+
+
+# ---- configuration used by the derived inputs (fixed values) -------------------------------
+
+FEATURE_ROWS = [
+    (3307, 4262, "gene", "MT-ND1"), (3307, 4262, "CDS", "MT-ND1"), (4470, 5511, "gene", "MT-ND2"),
+    (5904, 7445, "gene", "MT-CO1"), (5904, 7445, "exon", "MT-CO1"), (7586, 8269, "gene", "MT-CO2"),
+    (8366, 8572, "gene", "MT-ATP8"), (8527, 9207, "gene", "MT-ATP6"), (9207, 9990, "gene", "MT-CO3"),
+    (10059, 10404, "gene", "MT-ND3"), (10470, 10766, "gene", "MT-ND4L"), (10760, 12137, "gene", "MT-ND4"),
+    (12337, 14148, "gene", "MT-ND5"), (14149, 14673, "gene", "MT-ND6"), (14747, 15887, "gene", "MT-CYB"),
+    (648, 1601, "gene", "MT-RNR1"), (1671, 3229, "gene", "MT-RNR2"), (3230, 3304, "tRNA", "MT-TL1"),
+]
+REGIONS = [
+    {"name": "control_region", "start": 16024, "end": 576, "reason": "noncoding"},
+    {"name": "repeat_window", "start": 8445, "end": 8495, "reason": "repeat"},
+]
+ALIASES = [
+    {"raw_name": "MT-CYB", "display_name": "MT-CYTB"},
+    {"raw_name": "MT-ND6", "start": 14149, "display_name": "MT-ND6x"},
+]
+EXPECTED = [
+    {"left_feature": "MT-ND1", "right_feature": "MT-CO1", "reason": "same_transcript"},
+    {"left_feature": "MT-CO3", "right_feature": "MT-ND5", "reason": "neighbours", "bidirectional": True},
+]
+ARCS = [{"name": "minor arc", "start": 408, "end": 5746}, {"name": "major arc", "start": 5747, "end": 407}]
+KNOWN = [
+    {"name": "common", "left_breakpoint": 8469, "right_breakpoint": 13447, "deleted_size": 4977,
+     "breakpoint_tolerance_bp": 100, "size_tolerance_bp": 150},
+    {"name": "hot_a", "left_breakpoint": 3000, "right_breakpoint": 7951, "deleted_size": 4950,
+     "breakpoint_tolerance_bp": 20, "size_tolerance_bp": 30},
+    {"name": "hot_b", "left_breakpoint": 12000, "right_breakpoint": 1951, "breakpoint_tolerance_bp": 60},
+    {"name": "open_right", "left_breakpoint": 5000, "breakpoint_tolerance_bp": 6},
+]
+SEARCHES = [{"id": "search_9000_11951", "name": "search_9000_11951"}, {"id": "again_3001_7950", "name": "again"}]
+
+
+def feature_rows(spark: SparkSession) -> DataFrame:
+    rows = [("MT", s, e, "+", t, "", n, "", "") for s, e, t, n in FEATURE_ROWS]
+    from circlet.operators.features import COLUMNS
+
+    return spark.createDataFrame(rows, COLUMNS)
+
+
+def feature_set(spark: SparkSession, limit: int = 2000):
+    from circlet.operators import features as FT
+
+    prepared = FT.prepare(feature_rows(spark), REGIONS, ALIASES, PARAMS.length)
+    return FT.Features(prepared, PARAMS.length, limit)
+
+
+# ---- tables derived from segments and events -----------------------------------------------
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from circlet.operators import calling as D
+
+    return D.call_events(segments(spark, sf_dir).select(*SEGMENT_INPUT), PARAMS)
+
+
+def orderkey(column: str = "read_id"):
+    return F.substring(column, 2, 20).cast("bigint")
+
+
+def caller2(event_rows: DataFrame) -> DataFrame:
+    """A second caller: a third of the reads, left end moved by up to two bases."""
+    p, key = PARAMS, orderkey()
+    moved = C.normalize_pos((F.col("left_breakpoint") + key % 5 - 2).cast("int"), p.length)
+    names = F.concat(F.lit("G"), (F.col("left_breakpoint") % 3).cast("string"), F.lit("--H"), (F.col("right_breakpoint") % 2).cast("string"))
+    base = event_rows.filter(key % 3 == 0).withColumn("left_breakpoint", moved)
+    failed = key % 33 == 0
+    return base.withColumns(C.directed_record("left_breakpoint", "right_breakpoint", p.length)).select(
+        "sample", "species", "read_id", "left_breakpoint", "right_breakpoint", "deleted_size", "wraps_origin", "deleted_interval",
+        "complement_deleted_size", "complement_wraps_origin", F.lit("alignment_directed").alias("arc_assignment_method"),
+        F.lit("directed").alias("direction_status"), F.lit("STAR_Chimeric.out.junction").alias("source"),
+        F.lit("star_chimeric").alias("evidence_source"), F.lit("full_genome").alias("rotation_name"), F.lit(1).alias("rotation_start"),
+        F.col("left_breakpoint").alias("raw_left_breakpoint"), F.col("right_breakpoint").alias("raw_right_breakpoint"),
+        F.col("left_breakpoint").alias("reported_left_breakpoint"), F.col("right_breakpoint").alias("reported_right_breakpoint"),
+        "left_anchor_length", "right_anchor_length", "min_anchor_length", F.lit("+:+").alias("strand"), "left_cigar", "right_cigar",
+        "left_alignment_score", "right_alignment_score", F.lit(2).alias("total_alignment_segments"),
+        (1 + key % 2).cast("int").alias("chimeric_alignment_count"), (key % 7).cast("int").alias("junction_repeat_length"),
+        F.when(key % 2 == 0, names).alias("gene_pair_label"),
+        F.concat_ws(":", F.lit("star"), "left_breakpoint", "right_breakpoint", "left_cigar", "right_cigar").alias("alignment_pattern_id"),
+        F.lit(0.25).alias("left_clipped_fraction"), F.lit(0.5).alias("right_clipped_fraction"),
+        F.lit("not_available_in_chimeric_record").alias("nuclear_competition_status"),
+        *[F.lit(None).cast("boolean").alias(c) for c in ("left_is_primary", "right_is_primary", "left_is_secondary", "right_is_secondary",
+                                                         "left_is_supplementary", "right_is_supplementary", "primary_chain_evidence",
+                                                         "secondary_only_evidence")],
+        "query_first_start", "query_first_end", "query_second_start", "query_second_end", "query_overlap_bp", "query_gap_bp",
+        F.lit(1.0).alias("query_union_coverage"), F.lit(90).alias("query_union_aligned_length"), F.lit(95).alias("total_aligned_query_length"),
+        F.lit(120).alias("read_length"), F.lit(True).alias("query_segments_adjacent"),
+        F.lit(3).alias("query_junction_boundary_distance_from_read_end_min"),
+        F.when(failed, "fail").otherwise("pass").alias("filter_status"),
+        F.when(failed, F.array(F.lit("left_anchor_short"))).otherwise(F.array().cast("array<string>")).alias("filter_reason"),
+    )
+
+
+def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Caller union of the remap events and the second caller."""
+    from circlet.operators import evidence as Q
+
+    rows = events(spark, sf_dir)
+    remap = Q.remap_evidence(rows).drop("chain_id")
+    return Q.with_layout(Q.union_callers(remap, caller2(rows)), Q.library_layout(strategy="single_end_short_read"))
+
+
+def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twelve samples in a two-by-two design, with read totals from the line items; s11 has none."""
+    per = segments(spark, sf_dir).groupBy("sample").agg(F.count(F.lit(1)).alias("n"))
+    i = F.substring("sample", 2, 5).cast("int")
+    age, treatment = F.when(i % 2 == 0, "18mo").otherwise("34mo"), F.when(F.floor(i / 2) % 2 == 0, "Control").otherwise("GPA")
+    total = F.when(i == 11, 0.0).otherwise(1000.0 * F.col("n"))
+    return per.select(
+        "sample", F.lit("demo").alias("dataset"), F.lit("human").alias("species"), F.lit("single").alias("layout"),
+        age.alias("age"), treatment.alias("treatment"), F.concat_ws("_", age, treatment).alias("condition"),
+        i.alias("sample_ord"), total.alias("total_usable_reads"), (10.0 * F.col("n")).alias("reads_passed_to_minimap2"),
+        F.lit(PARAMS.denominator).alias("normalization_denominator"), total.alias("normalization_reads"),
+        (total / 1e6).alias("million_fragments"), (10.0 * F.col("n") / 1e6).alias("million_mt_reads"),
+    )
+
+
+def exact_clusters(event_rows: DataFrame) -> DataFrame:
+    """Every distinct coordinate pair as a cluster of its own (slop 0)."""
+    from circlet.operators import clusters as K
+
+    assigned = K.assign_clusters(event_rows, 0, PARAMS.length)
+    return K.cluster_table(assigned, 0, PARAMS.length, 1)
+
+
+def members(event_rows: DataFrame) -> DataFrame:
+    from circlet.operators import clusters as K
+
+    assigned = K.assign_clusters(event_rows, 0, PARAMS.length)
+    return K.member_rows(assigned, K.cluster_table(assigned, 0, PARAMS.length, 1))
+
+
+def annotated(event_rows: DataFrame) -> DataFrame:
+    """Exact clusters with all annotations."""
+    from circlet.operators import annotate as FA
+
+    spark = event_rows.sparkSession
+    targets = FA.deletion_targets(KNOWN, SEARCHES, PARAMS.length)
+    return FA.annotate(exact_clusters(event_rows), feature_set(spark), ARCS, targets, EXPECTED, PARAMS.length)
+
+
+def observed(event_rows: DataFrame) -> DataFrame:
+    """Observations keyed by their exact cluster, one per (sample, read, coordinate)."""
+    key = orderkey()
+    base = event_rows.groupBy("sample", "species", "read_id", "left_breakpoint", "right_breakpoint", "deleted_size").agg(
+        F.min("min_anchor_length").alias("min_anchor_length"), F.array_sort(F.collect_set("rotation_name")).alias("rotation_support"),
+        F.max("left_is_secondary").alias("left_is_secondary"), F.max("right_is_secondary").alias("right_is_secondary"),
+        F.min("min_mapq").alias("min_mapq"), F.min("left_anchor_length").alias("left_anchor_length"),
+        F.min("right_anchor_length").alias("right_anchor_length"),
+    )
+    both = key % 5 == 0
+    sources = F.when(both, F.array(F.lit("minimap2_remap"), F.lit("star_chimeric"))).when(key % 5 == 1, F.array(F.lit("star_chimeric"))).otherwise(F.array(F.lit("minimap2_remap")))
+    return base.select(
+        "*", F.col("left_breakpoint").alias("leader_left"), F.col("right_breakpoint").alias("leader_right"),
+        F.col("left_breakpoint").alias("read_left_breakpoint"), F.col("right_breakpoint").alias("read_right_breakpoint"),
+        C.deletion_id("left_breakpoint", "right_breakpoint", "deleted_size").alias("exact_deletion_id"),
+        F.when(key % 50 == 7, "ambiguous_across_rotations").otherwise("directed").alias("direction_status"),
+        sources.alias("evidence_sources"), both.alias("both_callers_support"), (key % 5 <= 1).alias("star_support"),
+        (key % 5 != 1).alias("minimap2_support"), (1 + key % 3).alias("source_record_count"),
+        F.when(key % 4 > 0, key % 4 == 1).alias("primary_chain_evidence"), (key % 6 == 0).alias("secondary_only_evidence"),
+        ((key % 20) / 100).alias("estimated_alignment_error_rate"), (F.lit(1.0) - (key % 8) / 16).alias("query_union_coverage"),
+        (key % 3 > 0).alias("query_segments_adjacent"), (2 + key % 2).cast("int").alias("total_alignment_segments"),
+        (1 + key % 2).cast("int").alias("deletion_hypotheses_from_read"),
+        F.array(F.concat(F.lit("p"), (key % 9).cast("string"))).alias("alignment_pattern_id"),
+        (key % 7).cast("int").alias("junction_repeat_length"),
+        F.array(F.lit("not_propagated")).alias("nuclear_competition_status"),
+        F.when(key % 10 == 3, F.array(F.lit("query_gap"))).otherwise(F.array().cast("array<string>")).alias("observation_quality_flags"),
+        F.when(key % 5 <= 1, F.concat(F.lit("G"), (key % 3).cast("string"), F.lit("--H1"))).alias("gene_pair_label"),
+    )
+
+
+def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments as alignment records on two contigs."""
+    base = segments(spark, sf_dir)
+    number = F.struct("orderkey", "linenumber", "partkey", "suppkey", "mapq")
+    return base.select(
+        "sample", "species", "rotation_name", "rotation_start", F.col("read_id").alias("query_name"), "flag", "mapq", "reference_name", "nh",
+        "aligned_fraction", (F.col("edit_distance") / 10).alias("soft_clip_fraction"), F.col("ref_start_raw").alias("pos"),
+        F.col("ref_end_raw").alias("ref_end"), "query_start", "query_end", "cigar", "alignment_score", "edit_distance",
+        F.when(F.col("suppkey") % 4 > 0, F.col("sa_tag")).alias("sa_tag"), "alignment_type", number.alias("record_no"),
+    )
+
+
+def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aligned blocks of 100 to 399 bases around the hotspots, split at the origin."""
+    length = PARAMS.length
+    rows = segments(spark, sf_dir).filter("linenumber <= 3")
+    start = F.pmod(1000 * (F.col("suppkey") % 17) - 150 + F.col("partkey") % 300 - 1, F.lit(length)) + 1
+    placed = rows.select(
+        "sample", "rotation_name", F.concat(F.lit("f"), (F.col("orderkey") % 5000).cast("string")).alias("name"),
+        F.explode(C.region_pieces(start.cast("int"), (F.pmod(start + 99 + F.col("partkey") % 300 - 1, F.lit(length)) + 1).cast("int"), length)).alias("b"),
+    )
+    return placed.select("sample", "rotation_name", "name", "b.start", "b.end")
+
+
+def junction_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments as chimeric junction records."""
+    pos = F.col("std_end")
+    clip = F.col("query_start").cast("string")
+    return segments(spark, sf_dir).select(
+        "sample", F.when(F.col("suppkey") % 5 < 4, "MT").otherwise("1").alias("contig_a"), pos.alias("breakpoint_a"),
+        F.col("strand").alias("strand_a"), F.when(F.col("partkey") % 7 < 6, "MT").otherwise("2").alias("contig_b"),
+        C.normalize_pos((pos + F.col("partkey") % 9000 + 40).cast("int"), PARAMS.length).alias("breakpoint_b"),
+        F.when(F.col("mapq") % 10 > 0, F.col("strand")).otherwise("+").alias("strand_b"), F.lit("0").alias("junction_type"),
+        (F.col("partkey") % 5).cast("int").alias("repeat_left"), (F.col("suppkey") % 4).cast("int").alias("repeat_right"),
+        F.concat("read_id", F.lit("/1")).alias("read_name"), C.normalize_pos((pos - 40).cast("int"), PARAMS.length).alias("start_a"),
+        F.concat((F.col("mapq") % 40 + 8).cast("string"), F.lit("M"), (F.col("mapq") % 25 + 10).cast("string"), F.lit("S")).alias("cigar_a"),
+        C.normalize_pos((pos + F.col("partkey") % 9000 + 40).cast("int"), PARAMS.length).alias("start_b"),
+        F.concat((F.col("mapq") % 40 + 8 + F.col("partkey") % 30).cast("string"), F.lit("S"), (F.col("mapq") % 25 + 10).cast("string"), F.lit("M")).alias("cigar_b"),
+        (1 + F.col("partkey") % 2).cast("int").alias("num_chimeric_alignments"), F.lit(100).alias("max_possible_score"),
+        F.lit(50).alias("non_chimeric_score"), F.col("alignment_score").alias("this_score"), F.lit(99).alias("best_score"),
+    )
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as reads of the sample named by their source."""
+    docs = table(spark, sf_dir, "documents")
+    return docs.select(
+        F.col("source").alias("sample"), F.concat(F.lit("r"), F.col("doc_id").cast("string")).alias("read_id"),
+        F.lit("R1").alias("mate"), F.col("doc_id").alias("record_no"), F.col("text").alias("seq"),
+    )
+
+
+def motifs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages as motifs: even items search one sequence, odd items need two."""
+    items = table(spark, sf_dir, "benchmark")
+    even = F.col("item_id") % 2 == 0
+    one = F.array(F.struct(F.lit(0).alias("group_no"), F.lit(0).alias("variant_no"), F.lit("whole").alias("sequence_id"), F.lit("forward").alias("orientation"),
+                           F.upper(F.substring("text", 1, 30)).alias("pattern")))
+    two = F.array(*[
+        F.struct(F.lit(g).alias("group_no"), F.lit(g).alias("variant_no"), F.lit(n).alias("sequence_id"), F.lit("forward").alias("orientation"),
+                 F.upper(F.substring("text", 1 + 15 * g, 15)).alias("pattern"))
+        for g, n in enumerate(("first", "second"))
+    ])
+    return items.select(
+        F.concat(F.lit("d"), F.col("item_id").cast("string")).alias("deletion_id"), F.concat(F.lit("item "), F.col("item_id").cast("string")).alias("deletion_name"),
+        F.when(even, "single_sequence").otherwise("multi_sequence_required").alias("search_strategy"),
+        F.inline(F.when(even, one).otherwise(two)),
+    )

@@ -16,7 +16,8 @@ def parse_sam(lines: DataFrame) -> DataFrame:
     """Typed alignment columns from SAM text lines in ``value``; other columns are kept.
 
     Also derives query span, reference end and aligned/clipped fractions from the CIGAR. Lengths
-    include hard clips; a record without CIGAR falls back to its sequence length.
+    include hard clips; a record without CIGAR falls back to its sequence length. The fraction used by
+    read selection is over the stored sequence and is 0 for a record without one.
     """
     others = [c for c in lines.columns if c != "value"]
     rows = lines.filter(~F.col("value").startswith("@") & (F.col("value") != ""))
@@ -38,7 +39,7 @@ def parse_sam(lines: DataFrame) -> DataFrame:
     span = R.cigar_metrics("cigar")
     typed = typed.withColumns({f"_{k}": v for k, v in span.items()}).withColumn("_soft", R.cigar_lengths("cigar", "S"))
     length = F.coalesce(F.nullif("_query_length", F.lit(0)), F.length("seq"), F.lit(0))
-    stored = F.coalesce(F.length("seq"), F.col("_query_length") - R.cigar_lengths("cigar", "H"))
+    stored = F.coalesce(F.length("seq"), F.lit(0))
     aligned = F.col("_aligned_query_length")
     # positions inside the stored sequence do not count hard clips
     hard = R.cigar_lengths(F.regexp_extract(F.coalesce("cigar", F.lit("")), "^((?:[0-9]+[H])*)", 1), "H")

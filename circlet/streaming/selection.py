@@ -11,11 +11,13 @@ from circlet.sources.alignments import parse_sam
 from circlet.sources.tabular import file_name
 
 
-def stream_depleted(spark: SparkSession, folder: str, p: Params, arrival: str = "30 minutes") -> DataFrame:
+def stream_depleted(spark: SparkSession, folder: str, p: Params, arrival: str | None = None) -> DataFrame:
     """Reads kept by nuclear depletion as SAM files arrive in ``folder``, once per (sample, name, mate).
 
-    The rule looks at one record at a time; only the seen keys are state. Keys expire ``arrival`` after
-    their file was written, which bounds the state: all records of a read must arrive within that time.
+    The rule looks at one record at a time; only the seen keys are state. By default every key is kept
+    and the result is whole whenever a file arrives. With ``arrival`` the state is bounded instead: keys
+    expire that long after their file was written, which is right only if all records of a read arrive
+    within that time.
     """
     lines = spark.readStream.format("text").load(folder)
     named = lines.select(
@@ -23,4 +25,6 @@ def stream_depleted(spark: SparkSession, folder: str, p: Params, arrival: str =
         F.col("_metadata.file_modification_time").alias("arrived"),
     )
     kept = depletion_candidates(parse_sam(named), p)
+    if arrival is None:
+        return kept.dropDuplicates(list(READ))
     return kept.withWatermark("arrived", arrival).dropDuplicatesWithinWatermark(list(READ))
