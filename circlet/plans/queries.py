@@ -506,7 +506,7 @@ READ_ORDER = ("sample", "read_id", "left_breakpoint", "right_breakpoint")
 @query("k_clusters")
 def _(spark, sf):
     """K01-K03 in coordinate order, clusters with support of two."""
-    assigned = K.assign_clusters(X0.events(spark, sf), PRM.slop, L)
+    assigned = X0.assigned(spark, sf)
     return rounded(K.cluster_table(assigned, PRM.slop, L, PRM.min_support).select(*CLUSTER))
 
 
@@ -520,7 +520,7 @@ def _(spark, sf):
 @query("k_members")
 def _(spark, sf):
     """Member rows with representative and own coordinates."""
-    assigned = K.assign_clusters(X0.events(spark, sf), PRM.slop, L)
+    assigned = X0.assigned(spark, sf)
     out = K.member_rows(assigned, K.cluster_table(assigned, PRM.slop, L, PRM.min_support))
     return out.select("sample", "read_id", "rotation_name", "exact_deletion_id", "left_breakpoint", "right_breakpoint", "read_left_breakpoint",
                       "read_right_breakpoint", "read_deleted_size")
@@ -536,7 +536,7 @@ def _(spark, sf):
 @query("k_exact")
 def _(spark, sf):
     """K01 at slop 0, with K04's id map."""
-    members = X0.members(X0.events(spark, sf))
+    members = X0.members(spark, sf)
     return K.id_map(members).select("sample", "read_id", "exact_deletion_id", "left_breakpoint", "right_breakpoint", "reported_left_breakpoint")
 
 
@@ -565,8 +565,8 @@ def _(spark, sf):
 @query("p_support")
 def _(spark, sf):
     """Split support against spanning reads."""
-    obs = X0.observed(X0.events(spark, sf))
-    clusters = X0.exact_clusters(X0.events(spark, sf))
+    obs = X0.observed(spark, sf)
+    clusters = X0.exact_clusters(spark, sf)
     positions = P.candidate_positions(clusters, P.eligible_samples(clusters, obs))
     depths = P.spanning_reads(X0.blocks(spark, sf), positions, PRM)
     return rounded(P.reference_support(clusters, obs, depths, PRM).drop(*P.KEY))
@@ -575,8 +575,8 @@ def _(spark, sf):
 @query("p_reuse")
 def _(spark, sf):
     """Cached values for every second event."""
-    obs = X0.observed(X0.events(spark, sf))
-    clusters = X0.exact_clusters(X0.events(spark, sf))
+    obs = X0.observed(spark, sf)
+    clusters = X0.exact_clusters(spark, sf)
     n = F.col("total_supporting_reads")
     cached = clusters.filter("left_breakpoint % 2 = 0").select(
         "exact_deletion_id", n.alias("split_supporting_reads"), (n + 1).alias("left_reference_spanning_reads"), (n + 2).alias("right_reference_spanning_reads"),
@@ -630,7 +630,7 @@ def _(spark, sf):
 @query("f_annotate")
 def _(spark, sf):
     """all annotations of the exact clusters."""
-    out = X0.annotated(X0.events(spark, sf))
+    out = X0.annotated(spark, sf)
     return out.select("exact_deletion_id", "left_feature_overlap", "nearest_left_feature", "nearest_right_feature", "affected_feature_label", "feature_impact_class",
                       "size_class", "replication_arc_context", "known_deletion_label", "junction_interpretation", "junction_interpretation_reason")
 
@@ -648,10 +648,8 @@ def _(spark, sf):
 
 
 def _graded(spark, sf):
-    ev = X0.events(spark, sf)
-    obs = X0.observed(ev)
-    graded = T.grade(X0.annotated(ev), obs, PRM)
-    return graded, obs
+    obs = X0.observed(spark, sf)
+    return X0.stage(spark, sf, "graded", lambda: T.grade(X0.annotated(spark, sf), obs, PRM)), obs
 
 
 @query("t_grade")
@@ -705,13 +703,13 @@ def _(spark, sf):
 def _evidence(spark, sf) -> DataFrame:
     """A01, A02 over the exact clusters."""
     graded, obs = _graded(spark, sf)
-    return M.evidence_join(obs, graded)
+    return X0.stage(spark, sf, "evidence", lambda: M.evidence_join(obs, graded))
 
 
 def _counts(spark, sf):
     sheet = X0.samples(spark, sf)
     kept = M.drop_expected(_evidence(spark, sf), PRM)
-    return M.normalized(M.label_counts(kept, sheet), sheet), sheet
+    return X0.stage(spark, sf, "counts", lambda: M.normalized(M.label_counts(kept, sheet), sheet)), sheet
 
 
 @query("a_evidence")
@@ -737,8 +735,7 @@ def _(spark, sf):
 @query("a_alternative")
 def _(spark, sf):
     """Every sample with every event."""
-    ev = X0.events(spark, sf)
-    return rounded(M.alternative_matrix(K.id_map(X0.members(ev)), X0.annotated(ev), X0.samples(spark, sf), PRM))
+    return rounded(M.alternative_matrix(K.id_map(X0.members(spark, sf)), X0.annotated(spark, sf), X0.samples(spark, sf), PRM))
 
 
 @query("a_wide")
@@ -772,16 +769,13 @@ COMPARED = ("label_kind", "label", "left_group", "right_group", "left_mean_per_m
 @query("a_compare")
 def _(spark, sf):
     """Every label between all group pairs (p-values are tested apart)."""
-    counts, sheet = _counts(spark, sf)
-    return rounded(A.compare_groups(counts, sheet, "condition", PRM, ("label_kind", "label")).select(*COMPARED))
+    return rounded(_compared(spark, sf).select(*COMPARED))
 
 
 @query("a_compare_p")
 def _(spark, sf):
     """A08-A12 with p- and q-values."""
-    counts, sheet = _counts(spark, sf)
-    compared = A.compare_groups(counts.filter("label_kind <> 'exact'"), sheet, "condition", PRM, ("label_kind", "label"))
-    return rounded(A.with_q_values(compared, ["label_kind"]).select("label_kind", "label", "left_group", "right_group", "p_value", "fisher_presence_p", "read_depth_fisher_p", "q_value_bh", "read_depth_fisher_q_value_bh"))
+    return rounded(A.with_q_values(_compared(spark, sf), ["label_kind"]).select("label_kind", "label", "left_group", "right_group", "p_value", "fisher_presence_p", "read_depth_fisher_p", "q_value_bh", "read_depth_fisher_q_value_bh"))
 
 
 @query("a_adjust")
@@ -835,7 +829,7 @@ def _(spark, sf):
     """A19, A20."""
     before, sheet = _evidence(spark, sf), X0.samples(spark, sf)
     counts = M.label_counts(M.drop_expected(before, PRM), sheet)
-    ambiguous = X0.observed(X0.events(spark, sf)).filter("direction_status <> 'directed'")
+    ambiguous = X0.observed(spark, sf).filter("direction_status <> 'directed'")
     return rounded(M.qc_summary(sheet, before, ambiguous, M.burden(counts, sheet), PRM))
 
 
@@ -843,10 +837,12 @@ def _(spark, sf):
 
 
 def _locations(spark, sf) -> DataFrame:
-    ev = X0.events(spark, sf)
-    members = X0.members(ev).select("sample", "read_id", "exact_deletion_id", "left_breakpoint", "right_breakpoint", "deleted_size")
-    placed = V.representative_coordinates(members, X0.annotated(ev), L)
-    return V.location_table(placed, X0.samples(spark, sf), "condition", PRM)
+    def build():
+        members = X0.members(spark, sf).select("sample", "read_id", "exact_deletion_id", "left_breakpoint", "right_breakpoint", "deleted_size")
+        placed = V.representative_coordinates(members, X0.annotated(spark, sf), L)
+        return V.location_table(placed, X0.samples(spark, sf), "condition", PRM)
+
+    return X0.stage(spark, sf, "locations", build)
 
 
 LOCATION = ("plot_group", "exact_deletion_id", "left_breakpoint", "right_breakpoint", "deleted_size", "supporting_reads", "plot_support", "support_rank")
@@ -861,8 +857,8 @@ def _(spark, sf):
 @query("v_top_locations")
 def _(spark, sf):
     """V02 cut to the best of each group, as a report shows it."""
-    ev, p = X0.events(spark, sf), replace(PRM, view_min_support=0.2, view_max_per_group=40)
-    return rounded(V.location_table(X0.members(ev), X0.samples(spark, sf), "treatment", p).select(*LOCATION))
+    p = replace(PRM, view_min_support=0.2, view_max_per_group=40)
+    return rounded(V.location_table(X0.members(spark, sf), X0.samples(spark, sf), "treatment", p).select(*LOCATION))
 
 
 @query("v_density")
@@ -912,7 +908,7 @@ def _(spark, sf):
 def _(spark, sf):
     """V11."""
     counts, sheet = _counts(spark, sf)
-    return rounded(V.recurrence(X0.annotated(X0.events(spark, sf)), counts, sheet, "condition"))
+    return rounded(V.recurrence(X0.annotated(spark, sf), counts, sheet, "condition"))
 
 
 @query("v_gram")
@@ -936,12 +932,22 @@ def _(spark, sf):
     return rounded(V.bray_curtis(counts.filter("label_kind = 'exact'"), sheet.select("sample"), "reads"))
 
 
+def _compared(spark, sf) -> DataFrame:
+    def build():
+        counts, sheet = _counts(spark, sf)
+        return A.compare_groups(counts, sheet, "condition", PRM, ("label_kind", "label"))
+
+    return X0.stage(spark, sf, "compared", build)
+
+
 def _ranked(spark, sf) -> DataFrame:
-    counts, sheet = _counts(spark, sf)
-    compared = A.compare_groups(counts.filter("label_kind = 'exact'"), sheet, "condition", PRM).withColumnRenamed("label", "exact_deletion_id")
-    placed = A.with_event_columns(compared, X0.annotated(X0.events(spark, sf)), "exact_deletion_id")
-    # ranks compare equal sums that were added in another order, so they use rounded differences
-    return V.comparison_ranking(placed.withColumn("difference_per_million_mt_reads", F.round("difference_per_million_mt_reads", 6)), X0.ARCS, L)
+    def build():
+        compared = _compared(spark, sf).filter("label_kind = 'exact'").withColumnRenamed("label", "exact_deletion_id")
+        placed = A.with_event_columns(compared, X0.annotated(spark, sf), "exact_deletion_id")
+        # ranks compare equal sums that were added in another order, so they use rounded differences
+        return V.comparison_ranking(placed.withColumn("difference_per_million_mt_reads", F.round("difference_per_million_mt_reads", 6)), X0.ARCS, L)
+
+    return X0.stage(spark, sf, "ranked", build)
 
 
 @query("v_comparison")
@@ -1001,13 +1007,13 @@ def _(spark, sf):
 @query("w_target_ranks")
 def _(spark, sf):
     """W01."""
-    return RP.target_ranks(X0.annotated(X0.events(spark, sf)))
+    return RP.target_ranks(X0.annotated(spark, sf))
 
 
 @query("w_display")
 def _(spark, sf):
     """The display table and its position in the default order."""
-    shown = RP.display_table(X0.annotated(X0.events(spark, sf)), replace(PRM, table_max_rows=60, table_min_reads=2))
+    shown = RP.display_table(X0.annotated(spark, sf), replace(PRM, table_max_rows=60, table_min_reads=2))
     w = W.partitionBy(F.lit(1)).orderBy(*RP.default_order(shown))
     return shown.select("exact_deletion_id", "known_deletion_label", "total_supporting_reads", "deleted_size", F.row_number().over(w).alias("position"))
 
@@ -1015,7 +1021,7 @@ def _(spark, sf):
 @query("w_counters")
 def _(spark, sf):
     """W03 counters."""
-    clusters = X0.annotated(X0.events(spark, sf))
+    clusters = X0.annotated(spark, sf)
     return RP.display_counters(clusters, RP.display_table(clusters, replace(PRM, table_max_rows=60, table_min_reads=2)))
 
 
@@ -1029,7 +1035,7 @@ def _(spark, sf):
 @query("w_checks")
 def _(spark, sf):
     """W06."""
-    clusters = X0.annotated(X0.events(spark, sf))
+    clusters = X0.annotated(spark, sf)
     counts, sheet = _counts(spark, sf)
     return rounded(RP.circular_checks(clusters).join(RP.headline(clusters, M.burden(counts.drop("per_million"), sheet)), F.lit(True)))
 
@@ -1042,20 +1048,20 @@ def _(spark, sf):
     """Z01."""
     ev = X0.events(spark, sf)
     wrong = ev.withColumn("deleted_size", F.col("deleted_size") - F.when(X0.orderkey() % 9 == 0, 300).otherwise(0))
-    return Z.table_checks({"raw rotated deletion calls": ev, "altered calls": wrong, "merged clusters": X0.exact_clusters(ev)}, L)
+    return Z.table_checks({"raw rotated deletion calls": ev, "altered calls": wrong, "merged clusters": X0.exact_clusters(spark, sf)}, L)
 
 
 @query("z_mismatches")
 def _(spark, sf):
     """Z02."""
-    assigned = K.assign_clusters(X0.events(spark, sf), PRM.slop, L)
+    assigned = X0.assigned(spark, sf)
     return rounded(Z.read_mismatches(K.member_rows(assigned, K.cluster_table(assigned, PRM.slop, L, PRM.min_support))))
 
 
 @query("z_mismatch_examples")
 def _(spark, sf):
     """The first examples."""
-    assigned = K.assign_clusters(X0.events(spark, sf), PRM.slop, L)
+    assigned = X0.assigned(spark, sf)
     return Z.mismatch_examples(K.member_rows(assigned, K.cluster_table(assigned, PRM.slop, L, PRM.min_support)))
 
 
@@ -1076,7 +1082,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Z05."""
     ev = X0.events(spark, sf)
-    out = Z.worked_examples(ev, X0.members(ev), PRM)
+    out = Z.worked_examples(ev, X0.members(spark, sf), PRM)
     return out.select("example", "sample", "read_id", "rotation_name", "left_breakpoint", "right_breakpoint", "raw_left_converted_to_standard", "deleted_size", "size_matches")
 
 
