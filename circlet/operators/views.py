@@ -128,14 +128,14 @@ def hotspots(density: DataFrame, p: Params, top: int = 8, min_spacing: int | Non
 
     def pick(pdf: pd.DataFrame) -> pd.DataFrame:
         chosen: list[tuple[float, float]] = []
-        for at, height in pdf.sort_values(["height", "coord"], ascending=[False, True]).itertuples(index=False):
+        for height, at in pdf.sort_values(["height", "coord"], ascending=[False, True]).itertuples(index=False):
             gaps = (min(abs(at - c), length - abs(at - c)) for c, _ in chosen)
             if len(chosen) < top and all(g >= spacing for g in gaps):
                 chosen.append((at, height))
         return pd.DataFrame(chosen, columns=["coord", "height"])
 
     listed = peaks.select(F.col("bin_midpoint").alias("coord"), F.col("smoothed_summed_support").alias("height"))
-    return listed.groupBy(F.lit(1)).applyInPandas(pick, "coord double, height double")
+    return listed.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(lambda pdf: pick(pdf[["height", "coord"]]), "coord double, height double")
 
 
 def breakpoint_pairs(locations: DataFrame, length: int) -> DataFrame:
@@ -293,7 +293,7 @@ def principal_components(counts: DataFrame, samples: DataFrame, value: str = "pe
         return pd.DataFrame({"sample": matrix.index, "pc1": scores[:, 0], "pc2": scores[:, 1] if scores.shape[1] > 1 else 0.0})
 
     gram = centred_gram(counts, samples, value)
-    return gram.groupBy(F.lit(1)).applyInPandas(decompose, "sample string, pc1 double, pc2 double")
+    return gram.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(decompose, "sample string, pc1 double, pc2 double")
 
 
 # ---- comparisons and chords --------------------------------------------------------------

@@ -1 +1,403 @@
+"""SQL twins of the registered queries, for DuckDB on the same tables."""
+
+from __future__ import annotations
+
 ORACLES: dict[str, str] = {}
+L = 16569
+
+
+def gap(a: str, b: str) -> str:
+    return f"(CASE WHEN {b} > {a} THEN {b} - {a} - 1 ELSE {L} - {a} + {b} - 1 END)"
+
+
+def dist(a: str, b: str) -> str:
+    return f"least(abs({a} - {b}), {L} - abs({a} - {b}))"
+
+
+def norm(x: str, rot: str = "1") -> str:
+    return f"((({x}) + ({rot}) - 2 + 3 * {L}) % {L} + 1)"
+
+
+def rotated(x: str, rot: str) -> str:
+    return f"((({x}) - ({rot}) + 3 * {L}) % {L} + 1)"
+
+
+def interval(a: str, b: str) -> str:
+    return (
+        f"concat_ws(';', CASE WHEN {b} > {a} AND {b} - {a} > 1 THEN ({a} + 1) || '-' || ({b} - 1) END,"
+        f" CASE WHEN {b} <= {a} AND {a} < {L} THEN ({a} + 1) || '-{L}' END,"
+        f" CASE WHEN {b} <= {a} AND {b} > 1 THEN '1-' || ({b} - 1) END)"
+    )
+
+
+def overlap(a: str, b: str, s: str, e: str) -> str:
+    """Bases of s..e inside the arc deleted between a and b."""
+    return (
+        f"(greatest(0, least(CASE WHEN {b} > {a} THEN {b} - 1 ELSE {L} END, {e}) - greatest({a} + 1, {s}) + 1)"
+        f" + CASE WHEN {b} <= {a} THEN greatest(0, least({b} - 1, {e}) - greatest(1, {s}) + 1) ELSE 0 END)"
+    )
+
+
+def event_id(a: str, b: str, n: str) -> str:
+    return f"('mtDel_' || lpad(CAST({a} AS VARCHAR), 5, '0') || '_' || lpad(CAST({b} AS VARCHAR), 5, '0') || '_' || lpad(CAST({n} AS VARCHAR), 5, '0'))"
+
+
+def pair_id(a: str, b: str) -> str:
+    return f"('mtPair_' || lpad(CAST(least({a}, {b}) AS VARCHAR), 5, '0') || '_' || lpad(CAST(greatest({a}, {b}) AS VARCHAR), 5, '0'))"
+
+
+def size_class(n: str) -> str:
+    return (
+        f"CASE WHEN {n} < 250 THEN 'small_lt_250bp' WHEN {n} < 1000 THEN 'small_250bp_to_999bp' WHEN {n} < 5000 THEN 'medium_1kb_to_4999bp'"
+        f" WHEN {n} < 10000 THEN 'large_5kb_to_9999bp' ELSE 'very_large_ge_10kb' END"
+    )
+
+
+SEG = f"""
+base AS (
+  SELECT 's' || CAST(l_orderkey % 12 AS VARCHAR) AS sample, 'r' || CAST(l_orderkey AS VARCHAR) AS read_id, l_orderkey AS orderkey,
+    (l_linenumber - 1) * 50 AS query_start, (l_linenumber - 1) * 50 + 50 - l_suppkey % 3 AS query_end,
+    (1000 * (l_suppkey % 17) + l_partkey % 31 - 15 - 1 + {L}) % {L} + 1 AS std_end,
+    CASE WHEN l_returnflag = 'N' THEN 'half' ELSE 'normal' END AS rotation_name,
+    CASE WHEN l_returnflag = 'N' THEN 8285 ELSE 1 END AS rotation_start,
+    CASE WHEN l_linestatus = 'F' THEN '+' ELSE '-' END AS strand, CAST(l_quantity AS BIGINT) AS mapq,
+    CASE WHEN l_linenumber = 1 THEN 0 WHEN l_discount >= 0.095 THEN 256 ELSE 2048 END + CASE WHEN l_linestatus = 'F' THEN 0 ELSE 16 END AS flag,
+    CASE WHEN l_suppkey % 3 < 2 THEN 'MT' ELSE '1' END AS reference_name, 1 + l_partkey % 2 AS nh, (l_quantity + 50) / 100 AS aligned_fraction,
+    l_partkey % 4 AS edit_distance, 40 + l_partkey % 60 AS alignment_score,
+    CASE WHEN l_partkey % 5 = 0 THEN 'MT,1,+,50M,60,0;MT,9,+,50M,60,0;' ELSE 'MT,1,+,50M,60,0;' END AS sa_tag,
+    l_linenumber AS linenumber, l_partkey AS partkey, l_suppkey AS suppkey FROM lineitem),
+seg AS (
+  SELECT *, query_end - query_start AS anchor_length, {rotated("std_end - 49", "rotation_start")} AS ref_start_raw,
+    {rotated("std_end", "rotation_start")} AS ref_end_raw, {norm("std_end - 49")} AS ref_start, std_end AS ref_end,
+    CASE WHEN query_start > 0 THEN query_start || 'S' ELSE '' END || (query_end - query_start) || 'M10S' AS cigar,
+    flag < 256 AS is_primary, flag >= 256 AND flag < 2048 AS is_secondary, flag >= 2048 AS is_supplementary FROM base)"""
+
+SEG_ORDER = "query_start, {0}.query_end, {0}.ref_start_raw, {0}.ref_end_raw, {0}.flag, {0}.cigar, {0}.mapq"
+
+
+def side(name: str, left: bool) -> str:
+    a, b = ("a", "b") if left else ("b", "a")
+    return f"CASE WHEN a.strand = '+' THEN {a}.{name} ELSE {b}.{name} END"
+
+
+def _paired(join: str) -> str:
+    return f"""
+paired AS (
+  SELECT a.sample, a.read_id, a.rotation_name, a.rotation_start, a.orderkey, a.strand,
+    {side("ref_end", True)} AS dl, {side("ref_start", False)} AS dr,
+    {side("anchor_length", True)} AS left_anchor_length, {side("anchor_length", False)} AS right_anchor_length,
+    {side("ref_end_raw", True)} AS raw_left_breakpoint, {side("ref_start_raw", False)} AS raw_right_breakpoint,
+    {side("mapq", True)} AS left_mapq, {side("mapq", False)} AS right_mapq,
+    {side("cigar", True)} AS left_cigar, {side("cigar", False)} AS right_cigar, {side("flag", True)} AS left_flag, {side("flag", False)} AS right_flag,
+    {side("is_primary", True)} AS left_is_primary, {side("is_primary", False)} AS right_is_primary,
+    {side("is_secondary", True)} AS left_is_secondary, {side("is_secondary", False)} AS right_is_secondary,
+    {side("edit_distance", True)} AS left_edit_distance, {side("edit_distance", False)} AS right_edit_distance,
+    {side("alignment_score", True)} AS left_alignment_score, {side("alignment_score", False)} AS right_alignment_score,
+    {side("sa_tag", True)} AS left_sa_tag, {side("sa_tag", False)} AS right_sa_tag,
+    greatest(0, least(a.query_end, b.query_end) - greatest(a.query_start, b.query_start)) AS query_overlap_bp,
+    greatest(0, b.query_start - a.query_end) AS query_gap_bp,
+    a.query_start AS query_first_start, a.query_end AS query_first_end, b.query_start AS query_second_start, b.query_end AS query_second_end
+  FROM {join}
+  WHERE a.strand = b.strand AND greatest(0, least(a.query_end, b.query_end) - greatest(a.query_start, b.query_start)) <= 10
+    AND greatest(0, b.query_start - a.query_end) <= 20)"""
+
+
+ALL_PAIRS = f"""seg a JOIN seg b ON a.sample = b.sample AND a.read_id = b.read_id AND a.rotation_name = b.rotation_name
+    AND row(a.{SEG_ORDER.format("a")}) < row(b.{SEG_ORDER.format("b")})"""
+ADJACENT = f"""(SELECT *, row_number() OVER (PARTITION BY sample, rotation_name, read_id ORDER BY seg.{SEG_ORDER.format("seg")}) AS n FROM seg) a
+  JOIN (SELECT *, row_number() OVER (PARTITION BY sample, rotation_name, read_id ORDER BY seg.{SEG_ORDER.format("seg")}) AS n FROM seg) b
+    ON a.sample = b.sample AND a.read_id = b.read_id AND a.rotation_name = b.rotation_name AND b.n = a.n + 1"""
+
+
+def _placed(left: str = "dl", right: str = "dr") -> str:
+    return f"""
+placed AS (SELECT *, {left} AS left_breakpoint, {right} AS right_breakpoint, least(left_anchor_length, right_anchor_length) AS min_anchor_length,
+    least(left_mapq, right_mapq) AS min_mapq FROM paired),
+sized AS (SELECT *, {gap("left_breakpoint", "right_breakpoint")} AS deleted_size FROM placed),
+events_all AS (
+  SELECT *, {event_id("left_breakpoint", "right_breakpoint", "deleted_size")} AS deletion_id, {pair_id("left_breakpoint", "right_breakpoint")} AS breakpoint_pair_id,
+    right_breakpoint <= left_breakpoint AS wraps_origin, {interval("left_breakpoint", "right_breakpoint")} AS deleted_interval,
+    {gap("right_breakpoint", "left_breakpoint")} AS complement_deleted_size
+  FROM sized WHERE deleted_size BETWEEN 100 AND 16000)"""
+
+
+EVENTS = f"""{SEG},{_paired(ALL_PAIRS)},{_placed()},
+events AS (
+  SELECT * FROM events_all
+  QUALIFY row_number() OVER (PARTITION BY sample, rotation_name, read_id, deletion_id ORDER BY query_first_start, query_first_end,
+    query_second_start, query_second_end, raw_left_breakpoint, raw_right_breakpoint, left_mapq, right_mapq, left_cigar, right_cigar, left_flag, right_flag) = 1)"""
+
+EVENT = """sample, read_id, rotation_name, deletion_id, breakpoint_pair_id, left_breakpoint, right_breakpoint, deleted_size, wraps_origin, deleted_interval,
+  complement_deleted_size, left_anchor_length, right_anchor_length, min_mapq, strand, raw_left_breakpoint, raw_right_breakpoint, query_overlap_bp, query_gap_bp,
+  query_first_start, query_second_start, left_cigar, right_cigar, left_flag, right_is_secondary"""
+
+# ---- coordinates ---------------------------------------------------------------------------
+
+ENDS = f"{SEG}, ends AS (SELECT DISTINCT std_end AS l, (std_end + partkey * 7 - 1) % {L} + 1 AS r, rotation_start, partkey AS k FROM seg), lr AS (SELECT DISTINCT l, r FROM ends)"
+
+ORACLES["c_positions"] = f"""WITH {ENDS}
+SELECT l, r, rotation_start, k, {norm("l", "rotation_start")} AS standard, {rotated("l", "rotation_start")} AS rotated,
+  (rotation_start - 1 + l - 1000 - 1 + {L}) % {L} + 1 AS padded, {gap("l", "r")} AS gap, {dist("l", "r")} AS distance, {size_class(gap("l", "r"))} AS size_class,
+  {dist("l", "r")} <= k % 500 AS inside,
+  round(fmod((l + CASE WHEN r < l THEN r + {L} ELSE r END) / 2.0 - 1, {L}) + 1, 6) AS midpoint, round((l - 1) / {L}.0 * 360, 6) AS angle FROM ends"""
+
+ORACLES["c_directed_record"] = f"""WITH {ENDS}, g AS (SELECT *, {gap("l", "r")} AS f, {gap("r", "l")} AS b FROM lr),
+s AS (SELECT *, b < f OR (b = f AND r < l) AS swap FROM g)
+SELECT l, r, f AS deleted_size, r <= l AS wraps_origin, {interval("l", "r")} AS deleted_interval, b AS complement_deleted_size, l <= r AS complement_wraps_origin,
+  CASE WHEN swap THEN r ELSE l END AS arc_left, CASE WHEN swap THEN l ELSE r END AS arc_right, swap AS arc_reversed,
+  {event_id("l", "r", "f")} AS deletion_id, {pair_id("l", "r")} AS pair_id FROM s"""
+
+
+def closed(s: str, e: str) -> str:
+    return f"CASE WHEN {s} <= {e} THEN {s} || '-' || {e} ELSE {s} || '-{L};1-' || {e} END"
+
+
+ORACLES["c_pieces"] = f"""WITH {ENDS}, x AS (SELECT *, {norm("l - 20")} AS ws, {norm("l + 20")} AS we, {norm("l", "8285")} AS bs, {norm("r", "8285")} AS be FROM lr)
+SELECT l, r, {interval("l", "r")} AS deleted, {closed("r", "l")} AS region, {gap("l", "r")} AS deleted_bp,
+  CASE WHEN r <= l THEN {overlap("l", "r", "r", "l")} ELSE {overlap("l", "r", "r", str(L))} + {overlap("l", "r", "1", "l")} END AS shared_bp,
+  {closed("ws", "we")} AS window, {closed("bs", "be")} AS block, {overlap("l", "r", "5000", "9000")} AS with_interval FROM x"""
+
+ORACLES["c_circular_median"] = f"""WITH {SEG}, g AS (SELECT sample, suppkey % 17 AS spot, std_end AS v, min(std_end) OVER (PARTITION BY sample, suppkey % 17) AS a FROM seg),
+m AS (SELECT sample, spot, quantile_cont(a + (v - a + {L // 2} + {L}) % {L} - {L // 2}, 0.5) AS m FROM g GROUP BY ALL)
+SELECT sample, spot, (CAST(round_even(m, 0) AS BIGINT) - 1 + {L}) % {L} + 1 AS median_position FROM m"""
+
+ORACLES["c_rotate_text"] = """WITH d AS (SELECT doc_id, text, 1 + doc_id % length(text) AS at FROM documents)
+SELECT doc_id, at, length(text) AS n, md5(substr(text, at) || substr(text, 1, at - 1)) AS digest FROM d"""
+
+# ---- ingest --------------------------------------------------------------------------------
+
+ORACLES["s_sam_text"] = f"""WITH {SEG}
+SELECT sample, read_id AS query_name, flag, reference_name, ref_start_raw AS pos, mapq, query_start, query_start + anchor_length AS query_end,
+  ref_start_raw + anchor_length + 2 + 5 - 1 AS ref_end, round(anchor_length::DOUBLE / (query_start + anchor_length + 5 + 3) + 5.0 / (query_start + anchor_length + 5 + 3), 6) AS aligned_fraction,
+  round(query_start::DOUBLE / (query_start + anchor_length + 8), 6) AS soft_clip_fraction,
+  round((anchor_length + 5)::DOUBLE / (query_start + anchor_length + 5), 6) AS stored_aligned_fraction, nh, edit_distance, sa_tag, CAST(NULL AS INT) AS alignment_score FROM seg"""
+ORACLES["s_sam_text"] = (
+    ORACLES["s_sam_text"]
+    .replace("query_start + anchor_length AS query_end", "query_start + anchor_length + 5 AS query_end")
+    .replace("anchor_length + 2 + 5 - 1 AS ref_end", "anchor_length + 5 - 1 AS ref_end")
+    .replace("round(anchor_length::DOUBLE / (query_start + anchor_length + 5 + 3) + 5.0 / (query_start + anchor_length + 5 + 3), 6)", "round((anchor_length + 5)::DOUBLE / (query_start + anchor_length + 8), 6)")
+)
+
+JUNCTIONS = f"""{SEG}, j AS (
+  SELECT sample, orderkey, CASE WHEN suppkey % 5 < 4 THEN 'MT' ELSE '1' END AS contig_a, std_end AS breakpoint_a, strand AS strand_a,
+    CASE WHEN partkey % 7 < 6 THEN 'MT' ELSE '2' END AS contig_b, {norm("std_end + partkey % 9000 + 40")} AS breakpoint_b,
+    CASE WHEN mapq % 10 > 0 THEN strand ELSE '+' END AS strand_b, partkey % 5 AS repeat_left, suppkey % 4 AS repeat_right, read_id,
+    {norm("std_end - 40")} AS start_a, {norm("std_end + partkey % 9000 + 40")} AS start_b, mapq % 40 + 8 AS la, mapq % 25 + 10 AS ra,
+    mapq % 40 + 8 + partkey % 30 AS clip, alignment_score AS score FROM seg)"""
+
+ORACLES["s_junction_text"] = f"""WITH {JUNCTIONS}, e AS (
+  SELECT sample, 'human' AS species, read_id || '/1' AS read_id, (breakpoint_a - 5 - 1 + {L}) % {L} + 1 AS left_breakpoint, (breakpoint_b - 5 - 1 + {L}) % {L} + 1 AS right_breakpoint,
+    la AS left_anchor_length, ra AS right_anchor_length, strand_a || ':' || strand_b AS strand, 'STAR_Chimeric.out.junction' AS source, 'normal' AS rotation_name,
+    1 AS rotation_start, breakpoint_a AS raw_left_breakpoint, breakpoint_b AS raw_right_breakpoint FROM j),
+s AS (SELECT *, {gap("left_breakpoint", "right_breakpoint")} AS deleted_size FROM e),
+f AS (SELECT *, concat_ws(';', CASE WHEN left_anchor_length < 20 THEN 'left_anchor_short' END, CASE WHEN right_anchor_length < 20 THEN 'right_anchor_short' END,
+  CASE WHEN deleted_size < 100 THEN 'deletion_too_small' END, CASE WHEN deleted_size > 16000 THEN 'deletion_too_large' END) AS filter_reason FROM s)
+SELECT *, CASE WHEN filter_reason = '' THEN 'pass' ELSE 'fail' END AS filter_status FROM f"""
+
+ORACLES["s_junction_summary"] = f"""SELECT sample, count(*) AS candidate_reads, count(*) FILTER (filter_status = 'pass') AS passing_reads,
+  count(*) FILTER (filter_status = 'fail') AS failed_reads FROM ({ORACLES["s_junction_text"]}) GROUP BY sample"""
+
+ORACLES["s_gtf_text"] = """WITH p AS (SELECT *, ['gene','exon','CDS','start_codon','tRNA'][CAST(p_partkey % 5 + 1 AS INT)] AS kind FROM part)
+SELECT 'circular' AS origin, p_partkey + 1 AS start, p_partkey + 1 + p_size AS "end", kind AS feature_type, 'ENS' || p_partkey AS gene_id,
+  CASE WHEN p_partkey % 3 > 0 THEN p_brand ELSE 'ENS' || p_partkey END AS gene_name, p_name AS product FROM p WHERE p_partkey % 4 > 0 AND kind <> 'start_codon'
+UNION ALL SELECT 'other', p_partkey + 1, NULL, NULL, NULL, NULL, NULL FROM p WHERE p_partkey % 4 = 0"""
+ORACLES["s_gtf_text"] = ORACLES["s_gtf_text"].replace("""p_partkey + 1 + p_size AS "end", """, "").replace("'other', p_partkey + 1, NULL, NULL,", "'other', p_partkey + 1, NULL,")
+
+ORACLES["s_resolve_samples"] = r"""WITH o AS (
+  SELECT o_orderkey AS k, 'SRR' || o_orderkey AS run, CASE WHEN o_orderkey % 7 > 0 THEN (18 + o_orderkey % 2 * 16) || ['G','C',''][CAST(o_orderkey % 3 + 1 AS INT)] || '_replicate_' || (o_orderkey % 5) ELSE '' END AS bio,
+    CASE WHEN o_orderkey % 2 = 0 THEN 'liver' ELSE n_name END AS tissue, CASE WHEN o_orderkey % 4 = 0 THEN 'paired' ELSE 'single' END AS layout
+  FROM orders LEFT JOIN nation ON n_nationkey = o_custkey % 25),
+d AS (SELECT *, CASE WHEN bio = '' THEN 'NA' ELSE (18 + k % 2 * 16) || 'mo' END AS age, CASE WHEN bio = '' OR k % 3 = 2 THEN 'NA' WHEN k % 3 = 0 THEN 'GPA' ELSE 'Control' END AS treatment,
+  CASE WHEN bio = '' THEN run ELSE CAST(k % 5 AS VARCHAR) END AS rep FROM o),
+b AS (SELECT *, 'rat_' || age || '_' || treatment || '_' || rep AS base FROM d),
+n AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY k) AS n FROM b)
+SELECT CASE WHEN n = 1 THEN base ELSE base || '_' || n END AS sample, run AS run_accession,
+  CASE WHEN k % 3 > 0 THEN 'https://ftp.host/' || run || '_1.gz' ELSE '' END AS fastq_1, CASE WHEN k % 3 > 0 THEN 'http://x/' || run || '_2.gz' ELSE '' END AS fastq_2,
+  layout, age, treatment, age || '_' || treatment AS condition, tissue FROM n"""
+
+ORACLES["s_sample_violations"] = """WITH o AS (
+  SELECT o_orderkey AS k, CASE WHEN o_orderkey % 97 = 0 THEN '' ELSE 'x' || (o_orderkey % 5000) END AS sample, CASE WHEN o_orderkey % 4 = 1 THEN 'paired' ELSE 'single' END AS kind FROM orders),
+v AS (
+  SELECT 'empty_sample' AS rule, sample FROM o WHERE sample = ''
+  UNION ALL SELECT 'duplicate_sample', sample FROM o WHERE sample <> '' GROUP BY sample HAVING count(*) > 1
+  UNION ALL SELECT 'unsupported_layout', sample FROM o WHERE k % 4 = 3
+  UNION ALL SELECT 'paired_without_second_file', sample FROM o WHERE kind = 'paired' AND k % 5 > 0
+  UNION ALL SELECT 'single_with_second_file', sample FROM o WHERE kind = 'single' AND k % 5 = 0
+  UNION ALL SELECT 'no_input', sample FROM o WHERE k % 3 = 0 AND k % 6 = 0
+  UNION ALL SELECT 'other_dataset', sample FROM o WHERE k % 11 = 0
+  UNION ALL SELECT 'other_species', sample FROM o WHERE k % 13 = 0
+  UNION ALL SELECT 'layout_against_strategy', sample FROM o WHERE kind = 'paired'
+  UNION ALL SELECT 'empty_group_value', sample FROM o WHERE k % 17 = 0
+  UNION ALL SELECT 'target_size', 't')
+SELECT rule, count(*) AS found, count(DISTINCT sample) AS subjects FROM v GROUP BY rule"""
+
+# ---- read selection ------------------------------------------------------------------------
+
+CAT = """CASE WHEN flag >= 2048 THEN CASE WHEN reference_name = 'MT' THEN 'supplementary_mt' ELSE 'supplementary_non_mt' END
+  WHEN flag >= 256 THEN CASE WHEN reference_name = 'MT' THEN 'secondary_mt' ELSE 'secondary_non_mt' END
+  WHEN reference_name <> 'MT' THEN 'non_mt_primary' WHEN mapq < 20 THEN 'low_quality_mt' WHEN nh > 1 THEN 'ambiguous_mt' ELSE 'high_confidence_mt' END"""
+CHIM = """chim AS (SELECT DISTINCT sample, read_id FROM j WHERE repeat_left = 1 AND (contig_a = 'MT' OR contig_b = 'MT'))"""
+CLASSED = f"""{JUNCTIONS}, {CHIM}, cat AS (SELECT seg.*, {CAT} AS category, chim.read_id IS NOT NULL AS chimeric FROM seg LEFT JOIN chim ON seg.sample = chim.sample AND seg.read_id = chim.read_id)"""
+OWN = "category IN ('high_confidence_mt', 'low_quality_mt', 'ambiguous_mt', 'supplementary_mt', 'secondary_mt')"
+OWN_NOSEC = "category IN ('high_confidence_mt', 'low_quality_mt', 'ambiguous_mt', 'supplementary_mt')"
+
+ORACLES["r_classify"] = f"""WITH {CLASSED},
+m AS (SELECT *, max({OWN_NOSEC} OR chimeric) OVER (PARTITION BY sample, read_id) AS mates FROM cat),
+x AS (SELECT *, concat_ws('+', CASE WHEN chimeric THEN 'full_genome_chimeric_mt_evidence' END, CASE WHEN {OWN_NOSEC} AND category < 'mate' THEN category END,
+  CASE WHEN {OWN_NOSEC} AND category > 'full' AND category < 'mate' THEN NULL END, CASE WHEN mates THEN 'mate_of_mt_evidence_read' END, CASE WHEN {OWN_NOSEC} AND category > 'mate' THEN category END) AS reasons0,
+  list_sort(list_filter([CASE WHEN {OWN_NOSEC} THEN category END, CASE WHEN chimeric THEN 'full_genome_chimeric_mt_evidence' END, CASE WHEN mates THEN 'mate_of_mt_evidence_read' END], lambda r: r IS NOT NULL)) AS reasons FROM m)
+SELECT sample, read_id AS query_name, count(*) AS records, count(*) FILTER (len(reasons) > 0) AS selected,
+  array_to_string(list_sort(list(DISTINCT category || '=' || array_to_string(reasons, '+'))), ';') AS reasons FROM x GROUP BY sample, read_id"""
+ORACLES["r_classify"] = ORACLES["r_classify"].replace(
+    ORACLES["r_classify"][ORACLES["r_classify"].index("concat_ws('+'") : ORACLES["r_classify"].index("list_sort(list_filter")], ""
+)
+
+ORACLES["r_classification_summary"] = f"""WITH {CLASSED}, x AS (SELECT *, {OWN} AS own, {OWN} OR chimeric AS sel FROM cat),
+n AS (SELECT sample, 'alignment_category' AS table_type, category AS name FROM x UNION ALL SELECT sample, 'selected_alignment_category', category FROM x WHERE sel
+  UNION ALL SELECT sample, 'selection_reason', category FROM x WHERE own UNION ALL SELECT sample, 'selection_reason', 'full_genome_chimeric_mt_evidence' FROM x WHERE chimeric)
+SELECT sample, table_type, name, count(*) AS count FROM n GROUP BY ALL"""
+
+FIRST = "row_number() OVER (PARTITION BY sample, read_id ORDER BY orderkey, linenumber, partkey, suppkey, mapq) = 1"
+ORACLES["r_selected_reads"] = f"""WITH {SEG}, x AS (SELECT *, {CAT} AS category FROM seg WHERE flag < 256),
+o AS (SELECT 'high_confidence' AS output, * FROM (SELECT * FROM x WHERE category = 'high_confidence_mt' QUALIFY {FIRST})
+  UNION ALL SELECT 'ambiguous', * FROM (SELECT * FROM x WHERE category IN ('ambiguous_mt', 'low_quality_mt') QUALIFY {FIRST})
+  UNION ALL SELECT 'evidence', * FROM (SELECT * FROM x WHERE {OWN} QUALIFY {FIRST}))
+SELECT output, sample, read_id AS query_name, mapq, flag, category FROM o"""
+
+ORACLES["r_selection_totals"] = f"""WITH {SEG}, x AS (SELECT *, {CAT} AS category FROM seg)
+SELECT sample, count(*) AS total_alignments_examined, count(DISTINCT read_id) FILTER ({OWN}) AS mt_evidence_reads_selected,
+  count(DISTINCT read_id) FILTER ({OWN} AND flag < 256) AS mt_evidence_fastq_records_written FROM x GROUP BY sample"""
+
+
+def competitive(amb: int, weak: float, nuclear: float) -> str:
+    return f"""{SEG}, g AS (SELECT sample, read_id, count(*) AS records,
+    min(row(orderkey, linenumber, partkey, suppkey, mapq, reference_name, aligned_fraction)) FILTER (flag < 256) AS p,
+    bool_or(flag >= 256 AND reference_name = 'MT') AS mt2, bool_or(flag >= 256 AND reference_name <> 'MT' AND aligned_fraction >= {nuclear}) AS n2 FROM seg GROUP BY ALL),
+c AS (SELECT *, CASE WHEN p IS NULL THEN 'no_primary_alignment' WHEN p[6] <> 'MT' THEN CASE WHEN mt2 THEN 'nuclear_primary_with_mt_competitor' ELSE 'nuclear_primary' END
+  WHEN p[5] < 0 OR p[7] < {weak} THEN 'weak_mt_primary' WHEN p[5] < {amb} OR n2 THEN 'mt_primary_ambiguous' ELSE 'mt_primary_best' END AS category FROM g)"""
+
+
+ORACLES["r_competitive"] = f"""WITH {competitive(15, 0.6, 0.9)}
+SELECT sample, read_id AS query_name, '' AS mate, records, category, category = 'mt_primary_best' AS retained FROM c"""
+ORACLES["r_competitive_summary"] = (
+    f"WITH {competitive(10, 0.5, 0.5)} SELECT sample, CAST(sum(records) AS BIGINT) AS total_alignments_examined, "
+    + ", ".join(
+        f"count(*) FILTER (category = '{n}') AS {n}_reads"
+        for n in ("mt_primary_best", "mt_primary_ambiguous", "nuclear_primary", "nuclear_primary_with_mt_competitor", "weak_mt_primary", "primary_unmapped", "no_primary_alignment")
+    )
+    + ", count(*) FILTER (category IN ('mt_primary_best', 'mt_primary_ambiguous')) AS mt_evidence_reads_selected FROM c GROUP BY sample"
+)
+
+STRONG = "(mapq >= 20 AND aligned_fraction >= 0.8)"
+ORACLES["r_depletion"] = f"""WITH {SEG}, x AS (SELECT * FROM seg WHERE flag < 256 AND NOT {STRONG} QUALIFY {FIRST})
+SELECT sample, read_id AS query_name, '' AS mate, mapq, 'weak_or_partial_nuclear_alignment' AS retention_reason FROM x"""
+ORACLES["r_depletion_summary"] = f"""WITH {SEG}
+SELECT sample, count(*) AS alignment_records_examined, count(*) FILTER (flag >= 256 AND flag < 2048) AS secondary_records, count(*) FILTER (flag >= 2048) AS supplementary_records,
+  0 AS primary_unmapped_records, count(*) FILTER (flag < 256 AND {STRONG}) AS strong_primary_nuclear_mapped_records,
+  count(*) FILTER (flag < 256 AND NOT {STRONG}) AS weak_or_partial_primary_nuclear_mapped_records,
+  count(DISTINCT read_id) FILTER (flag < 256 AND NOT {STRONG}) AS retained_for_mitochondrial_remap, 0 AS primary_unmapped_written FROM seg GROUP BY sample"""
+
+ORACLES["r_forward_reads"] = """WITH d AS (SELECT *, doc_id % 4 * 16 + doc_id % 3 * 64 AS flag FROM documents)
+SELECT lang AS sample, doc_id || CASE WHEN flag & 128 > 0 THEN '/2' WHEN flag & 64 > 0 THEN '/1' ELSE '' END AS read_name,
+  md5(CASE WHEN flag & 16 > 0 THEN reverse(translate(text, 'ACGTNacgtn', 'TGCANtgcan')) ELSE text END) AS digest, length(text) AS quality_length FROM d"""
+ORACLES["r_mates"] = """WITH m AS (SELECT source AS sample, 1 AS mate FROM documents WHERE doc_id % 5 < 4 UNION ALL SELECT source, 2 FROM documents WHERE doc_id % 3 > 0)
+SELECT sample, count(*) AS records, count(*) FILTER (mate = 1) AS mate1_records, count(*) FILTER (mate = 2) AS mate2_records, count(*) FILTER (mate = 1) AS fragments FROM m GROUP BY sample"""
+
+# ---- motif search --------------------------------------------------------------------------
+
+HITS = """docs AS (SELECT source AS sample, 'r' || doc_id AS read_id, 'R1' AS mate, doc_id AS record_no, upper(text) AS seq FROM documents),
+mot AS (SELECT 'd' || item_id AS deletion_id, 'item ' || item_id AS deletion_name, item_id % 2 = 0 AS single, upper(substr(text, 1, 30)) AS whole, upper(substr(text, 1, 15)) AS f, upper(substr(text, 16, 15)) AS s FROM benchmark),
+hits AS (SELECT sample, read_id, mate, record_no, deletion_id, deletion_name, CASE WHEN single THEN 'single_sequence' ELSE 'multi_sequence_required' END AS search_strategy,
+  CASE WHEN single THEN 'whole' ELSE 'first,second' END AS matched_sequence_ids, CASE WHEN single THEN 'forward' ELSE 'forward,forward' END AS matched_orientation
+  FROM docs JOIN mot ON CASE WHEN single THEN contains(seq, whole) ELSE contains(seq, f) AND contains(seq, s) END)"""
+ORACLES["m_hits"] = f"WITH {HITS} SELECT * FROM hits"
+ORACLES["m_summary"] = f"""WITH {HITS}, e AS (SELECT sample, CASE WHEN length(sample) % 2 = 0 THEN count(*) * 2 ELSE count(*) END AS reads_examined FROM docs GROUP BY sample),
+n AS (SELECT sample, deletion_id, count(*) AS c FROM hits GROUP BY ALL)
+SELECT e.sample, deletion_id, deletion_name, CASE WHEN single THEN 'single_sequence' ELSE 'multi_sequence_required' END AS search_strategy, reads_examined, coalesce(c, 0) AS matching_reads,
+  round(coalesce(c, 0) / reads_examined * 1000000.0, 6) AS matching_reads_per_million_examined FROM e CROSS JOIN mot LEFT JOIN n USING (sample, deletion_id)"""
+
+OVERLAP = f"""{EVENTS},
+t(deletion_id, deletion_name, tl, tr, ts, bt, st) AS (VALUES ('search_9000_11951', 'search_9000_11951', 9000, 11951, {11951 - 9000 - 1}, 100, 150), ('again_3001_7950', 'again', 3001, 7950, {7950 - 3001 - 1}, 20, 30)),
+h AS (SELECT sample, read_id || '/1' AS rid, read_id AS read_key, CASE WHEN orderkey % 2 = 0 THEN 'search_9000_11951' ELSE 'again_3001_7950' END AS deletion_id FROM events WHERE left_breakpoint BETWEEN 2985 AND 9015),
+r AS (SELECT e.sample, t.deletion_id, e.read_id AS read_key, e.deletion_id AS eid FROM events e JOIN t ON
+  ((abs(left_breakpoint - tl) <= bt AND abs(right_breakpoint - tr) <= bt) OR (abs(left_breakpoint - tr) <= bt AND abs(right_breakpoint - tl) <= bt)) AND abs(deleted_size - ts) <= st
+  WHERE EXISTS (SELECT 1 FROM h WHERE h.sample = e.sample AND h.deletion_id = t.deletion_id)),
+hk AS (SELECT DISTINCT sample, deletion_id, read_key FROM h), rk AS (SELECT DISTINCT sample, deletion_id, read_key FROM r)"""
+ORACLES["m_overlap"] = f"""WITH {OVERLAP},
+b AS (SELECT coalesce(hk.sample, rk.sample) AS sample, coalesce(hk.deletion_id, rk.deletion_id) AS deletion_id, hk.read_key IS NOT NULL AS s, rk.read_key IS NOT NULL AS r
+  FROM hk FULL JOIN rk ON hk.sample = rk.sample AND hk.deletion_id = rk.deletion_id AND hk.read_key = rk.read_key),
+c AS (SELECT sample, deletion_id, count(*) FILTER (s) AS a, count(*) FILTER (r) AS b, count(*) FILTER (s AND r) AS c, count(*) FILTER (s AND NOT r) AS d, count(*) FILTER (NOT s AND r) AS e FROM b GROUP BY ALL),
+i AS (SELECT sample, deletion_id, array_to_string(list_sort(list(DISTINCT eid))[1:20], ';') AS ids FROM r GROUP BY ALL)
+SELECT sample, c.deletion_id, deletion_name, tl AS target_left_breakpoint, tr AS target_right_breakpoint, ts AS target_deleted_size, bt AS breakpoint_tolerance_bp, st AS size_tolerance_bp,
+  a AS sequence_search_reads, b AS remap_nearby_reads, c AS shared_reads, d AS sequence_only_reads, e AS remap_only_reads,
+  round(coalesce(c / nullif(a, 0), 0.0), 6) AS overlap_fraction_of_sequence_search, round(coalesce(c / nullif(b, 0), 0.0), 6) AS overlap_fraction_of_remap_nearby,
+  coalesce(ids, '') AS matched_remap_exact_deletions FROM c JOIN t ON t.deletion_id = c.deletion_id LEFT JOIN i USING (sample, deletion_id)"""
+ORACLES["m_overlap"] = ORACLES["m_overlap"].replace("SELECT sample, c.deletion_id", "SELECT c.sample, c.deletion_id").replace(
+    "LEFT JOIN i USING (sample, deletion_id)", "LEFT JOIN i ON i.sample = c.sample AND i.deletion_id = c.deletion_id"
+)
+ORACLES["m_read_sets"] = f"""WITH {OVERLAP}, s AS (SELECT DISTINCT sample, deletion_id, read_key, rid, CAST(NULL AS VARCHAR) AS eid FROM h), q AS (SELECT DISTINCT sample, deletion_id, read_key, read_key AS rid, eid FROM r),
+u AS (SELECT 'sequence_search_reads' AS set_name, 'sequence_search' AS source, * FROM s UNION ALL SELECT 'remap_nearby_reads', 'remap_near_target', * FROM q
+  UNION ALL SELECT 'shared_reads', 'both', * FROM s SEMI JOIN rk USING (sample, deletion_id, read_key) UNION ALL SELECT 'shared_reads', 'both', * FROM q SEMI JOIN hk USING (sample, deletion_id, read_key)
+  UNION ALL SELECT 'sequence_only_reads', 'sequence_search', * FROM s ANTI JOIN rk USING (sample, deletion_id, read_key)
+  UNION ALL SELECT 'remap_only_reads', 'remap_near_target', * FROM q ANTI JOIN hk USING (sample, deletion_id, read_key))
+SELECT set_name, source, sample, deletion_id, count(*) AS rows, count(DISTINCT read_key) AS reads, count(eid) AS with_event FROM u GROUP BY ALL"""
+
+# ---- event calling -------------------------------------------------------------------------
+
+ORACLES["d_segments"] = f"""WITH {SEG}
+SELECT sample, rotation_name, read_id, read_id AS chain_id, query_start, query_end, anchor_length, ref_start, ref_end, strand, mapq, is_primary, is_supplementary FROM seg
+WHERE (flag >= 2048 OR suppkey % 4 > 0) AND mapq >= 4 AND anchor_length >= 49 AND aligned_fraction >= 0.6 AND edit_distance / 10 <= 0.2 AND NOT (flag >= 256 AND flag < 2048)"""
+ORACLES["d_pairs"] = f"WITH {SEG},{_paired(ALL_PAIRS)},{_placed()} SELECT {EVENT} FROM events_all"
+ORACLES["d_adjacent_pairs"] = f"WITH {SEG},{_paired(ADJACENT)},{_placed()} SELECT {EVENT} FROM events_all"
+SWAP = f"({gap('dr', 'dl')} < {gap('dl', 'dr')} OR ({gap('dr', 'dl')} = {gap('dl', 'dr')} AND dr < dl))"
+ORACLES["d_legacy_arc"] = f"""WITH {SEG},{_paired(ALL_PAIRS)},{_placed(f"CASE WHEN {SWAP} THEN dr ELSE dl END", f"CASE WHEN {SWAP} THEN dl ELSE dr END")}
+SELECT {EVENT}, CASE WHEN {SWAP} THEN 'reversed_to_shorter_interval' ELSE 'reported' END AS canonical_orientation, {gap("dl", "dr")} AS directed_deleted_size FROM events_all"""
+ORACLES["d_events"] = f"WITH {EVENTS} SELECT {EVENT}, 'directed' AS direction_status FROM events"
+ORACLES["d_event_counts"] = f"WITH {EVENTS} SELECT sample, deletion_id, count(*) AS reads, count(DISTINCT read_id) AS distinct_reads FROM events GROUP BY ALL"
+ORACLES["d_reciprocal"] = f"""WITH {EVENTS}, x AS (SELECT sample, read_id, rotation_name, breakpoint_pair_id, dl, dr FROM events UNION ALL SELECT sample, read_id, rotation_name, breakpoint_pair_id, dr, dl FROM events WHERE orderkey % 7 = 0),
+n AS (SELECT sample, read_id, rotation_name, breakpoint_pair_id, count(DISTINCT (dl, dr)) AS n FROM x GROUP BY ALL)
+SELECT sample, read_id, rotation_name, breakpoint_pair_id, dl AS directed_left_breakpoint, dr AS directed_right_breakpoint, CASE WHEN n > 1 THEN 'ambiguous_reciprocal_alignments' ELSE 'directed' END AS direction_status
+FROM x JOIN n USING (sample, read_id, rotation_name, breakpoint_pair_id)"""
+USED = "(split AND anchor_length >= 20 AND aligned_fraction >= 0.15 AND edit_distance / 10 <= 0.9)"
+ORACLES["d_call_summary"] = f"""WITH {EVENTS}, x AS (SELECT *, flag >= 2048 OR suppkey % 4 > 0 AS split FROM seg),
+a AS (SELECT sample, rotation_name, count(*) AS alignment_records, count(*) FILTER (NOT split) AS records_without_split_evidence, count(*) FILTER {USED} AS segments_used,
+  count(*) FILTER (split AND NOT {USED}) AS segments_rejected, count(DISTINCT read_id) FILTER {USED} AS reads_with_usable_segments, count(DISTINCT read_id) FILTER {USED} AS fragments_with_usable_segments FROM x GROUP BY ALL),
+b AS (SELECT sample, rotation_name, count(*) AS candidate_deletion_records, 0 AS ambiguous_direction_records, count(*) AS deletion_supporting_records FROM events GROUP BY ALL),
+j AS (SELECT a.*, coalesce(candidate_deletion_records, 0) AS candidate_deletion_records, CAST(0 AS BIGINT) AS ambiguous_direction_records, coalesce(deletion_supporting_records, 0) AS deletion_supporting_records FROM a LEFT JOIN b USING (sample, rotation_name))
+UNPIVOT j ON COLUMNS(* EXCLUDE (sample, rotation_name)) INTO NAME metric VALUE value"""
+
+# ---- evidence ------------------------------------------------------------------------------
+
+
+def query_pair(s1, e1, s2, e2, n, prefix=""):
+    """Columns of the query-pair metrics; spans already in order."""
+    ov, total = f"greatest(0, {e1} - {s2})", f"(({e1} - {s1}) + ({e2} - {s2}))"
+    return f"""{s1} AS {prefix}query_first_start, {e1} AS {prefix}query_first_end, {s2} AS {prefix}query_second_start, {e2} AS {prefix}query_second_end,
+  {ov} AS {prefix}query_overlap_bp, greatest(0, {s2} - {e1}) AS {prefix}query_gap_bp, round(least(1.0, greatest(0.0, ({total} - {ov}) / greatest({n}, 1))), 6) AS {prefix}query_union_coverage,
+  {total} - {ov} AS {prefix}query_union_aligned_length, {total} AS {prefix}total_aligned_query_length, greatest({n}, 1) AS {prefix}read_length, greatest(0, {s2} - {e1}) = 0 AS {prefix}query_segments_adjacent,
+  least({e1}, greatest({n}, 1) - {e1}, {s2}, greatest({n}, 1) - {s2}) AS {prefix}query_junction_boundary_distance_from_read_end_min"""
+
+
+ORACLES["q_cigar"] = f"""WITH {SEG}, x AS (SELECT *, query_start + anchor_length + 10 AS n, (mapq < query_start OR (mapq = query_start AND mapq + 30 < query_end)) AS sw FROM seg),
+y AS (SELECT *, CASE WHEN sw THEN mapq ELSE query_start END AS s1, CASE WHEN sw THEN mapq + 30 ELSE query_end END AS e1, CASE WHEN sw THEN query_start ELSE mapq END AS s2, CASE WHEN sw THEN query_end ELSE mapq + 30 END AS e2 FROM x)
+SELECT DISTINCT orderkey, cigar, mapq, query_start, query_end, n AS query_length, anchor_length AS aligned_query_length, anchor_length AS aligned_reference_length,
+{query_pair("s1", "e1", "s2", "e2", "n", "pair_")} FROM y"""
+
+ORACLES["q_remap_rows"] = f"""WITH {EVENTS}, x AS (SELECT *, greatest(query_first_end + 10, query_second_end + 10) AS n FROM events)
+SELECT sample, read_id, rotation_name, deletion_id, n AS read_length, round((left_edit_distance + right_edit_distance) / (left_anchor_length + right_anchor_length), 6) AS estimated_alignment_error_rate,
+  round(1.0 - left_anchor_length / n, 6) AS left_clipped_fraction, CASE WHEN contains(left_sa_tag, ',9,') OR contains(right_sa_tag, ',9,') THEN 3 ELSE 2 END AS total_alignment_segments,
+  concat_ws(':', 'minimap2', rotation_name, raw_left_breakpoint, raw_right_breakpoint, left_cigar, right_cigar) AS alignment_pattern_id,
+  round(least(1.0, greatest(0.0, ((query_first_end - query_first_start) + (query_second_end - query_second_start) - greatest(0, query_first_end - query_second_start)) / n)), 6) AS query_union_coverage,
+  query_second_start <= query_first_end AS query_segments_adjacent, (query_first_end - query_first_start) + (query_second_end - query_second_start) AS total_aligned_query_length,
+  left_is_primary OR right_is_primary AS primary_chain_evidence, left_is_secondary AND right_is_secondary AS secondary_only_evidence,
+  least(query_first_end, n - query_first_end, query_second_start, n - query_second_start) AS query_junction_boundary_distance_from_read_end_min,
+  'not_available_from_retained_intermediates' AS mate_mapping_class FROM x"""
+
+ORACLES["q_conflicts"] = f"""WITH {EVENTS}, c AS (SELECT DISTINCT a.sample, a.read_id, a.left_breakpoint, a.right_breakpoint FROM events a JOIN events b ON a.sample = b.sample AND a.read_id = b.read_id
+  AND row(a.rotation_name, a.deletion_id) <> row(b.rotation_name, b.deletion_id) AND {dist("a.left_breakpoint", "b.right_breakpoint")} <= 60 AND {dist("a.right_breakpoint", "b.left_breakpoint")} <= 60)
+SELECT e.sample, e.read_id, e.rotation_name, e.left_breakpoint, e.right_breakpoint, c.sample IS NOT NULL AS in_conflict FROM events e
+LEFT JOIN c ON e.sample = c.sample AND e.read_id = c.read_id AND e.left_breakpoint = c.left_breakpoint AND e.right_breakpoint = c.right_breakpoint"""
+
+ORACLES["q_union"] = f"""WITH {EVENTS}
+SELECT 'minimap2_remap' AS evidence_source, 'pass' AS filter_status, 'passed source filters' AS filter_reason, count(*) AS source_records FROM events
+UNION ALL SELECT 'star_chimeric', CASE WHEN orderkey % 33 = 0 THEN 'fail' ELSE 'pass' END, CASE WHEN orderkey % 33 = 0 THEN 'left_anchor_short' ELSE 'passed source filters' END, count(*) FROM events WHERE orderkey % 3 = 0 GROUP BY ALL"""
