@@ -161,22 +161,16 @@ ORACLES["c_circular_median"] = f"""WITH {SEG}, g AS (SELECT sample, suppkey % 17
 m AS (SELECT sample, spot, quantile_cont(a + (v - a + {L // 2} + {L}) % {L} - {L // 2}, 0.5) AS m FROM g GROUP BY ALL)
 SELECT sample, spot, (CAST(round_even(m, 0) AS BIGINT) - 1 + {L}) % {L} + 1 AS median_position FROM m"""
 
-ORACLES["c_rotate_text"] = """WITH d AS (SELECT doc_id, text, 1 + doc_id % length(text) AS at FROM documents)
-SELECT doc_id, at, length(text) AS n, md5(substr(text, at) || substr(text, 1, at - 1)) AS digest FROM d"""
+ORACLES["c_rotate_text"] = """WITH d AS (SELECT doc_id, text, 1 + doc_id % length(text) AS k FROM documents)
+SELECT doc_id, k AS "at", length(text) AS n, md5(substr(text, k) || substr(text, 1, k - 1)) AS digest FROM d"""
 
 # ---- ingest --------------------------------------------------------------------------------
 
 ORACLES["s_sam_text"] = f"""WITH {SEG}
-SELECT sample, read_id AS query_name, flag, reference_name, ref_start_raw AS pos, mapq, query_start, query_start + anchor_length AS query_end,
-  ref_start_raw + anchor_length + 2 + 5 - 1 AS ref_end, round(anchor_length::DOUBLE / (query_start + anchor_length + 5 + 3) + 5.0 / (query_start + anchor_length + 5 + 3), 6) AS aligned_fraction,
+SELECT sample, read_id AS query_name, flag, reference_name, ref_start_raw AS pos, mapq, query_start, query_start + anchor_length + 5 AS query_end,
+  ref_start_raw + anchor_length + 2 + 5 - 1 AS ref_end, round((anchor_length + 5)::DOUBLE / (query_start + anchor_length + 8), 6) AS aligned_fraction,
   round(query_start::DOUBLE / (query_start + anchor_length + 8), 6) AS soft_clip_fraction,
   round((anchor_length + 5)::DOUBLE / (query_start + anchor_length + 5), 6) AS stored_aligned_fraction, nh, edit_distance, sa_tag, CAST(NULL AS INT) AS alignment_score FROM seg"""
-ORACLES["s_sam_text"] = (
-    ORACLES["s_sam_text"]
-    .replace("query_start + anchor_length AS query_end", "query_start + anchor_length + 5 AS query_end")
-    .replace("anchor_length + 2 + 5 - 1 AS ref_end", "anchor_length + 5 - 1 AS ref_end")
-    .replace("round(anchor_length::DOUBLE / (query_start + anchor_length + 5 + 3) + 5.0 / (query_start + anchor_length + 5 + 3), 6)", "round((anchor_length + 5)::DOUBLE / (query_start + anchor_length + 8), 6)")
-)
 
 JUNCTIONS = f"""{SEG}, j AS (
   SELECT sample, orderkey, CASE WHEN suppkey % 5 < 4 THEN 'MT' ELSE '1' END AS contig_a, std_end AS breakpoint_a, strand AS strand_a,
@@ -201,8 +195,6 @@ ORACLES["s_gtf_text"] = """WITH p AS (SELECT *, ['gene','exon','CDS','start_codo
 SELECT 'circular' AS origin, p_partkey + 1 AS start, p_partkey + 1 + p_size AS "end", kind AS feature_type, 'ENS' || p_partkey AS gene_id,
   CASE WHEN p_partkey % 3 > 0 THEN p_brand ELSE 'ENS' || p_partkey END AS gene_name, p_name AS product FROM p WHERE p_partkey % 4 > 0 AND kind <> 'start_codon'
 UNION ALL SELECT 'other', p_partkey + 1, NULL, NULL, NULL, NULL, NULL FROM p WHERE p_partkey % 4 = 0"""
-ORACLES["s_gtf_text"] = ORACLES["s_gtf_text"].replace("""p_partkey + 1 + p_size AS "end", """, "").replace("'other', p_partkey + 1, NULL, NULL,", "'other', p_partkey + 1, NULL,")
-
 ORACLES["s_resolve_samples"] = r"""WITH o AS (
   SELECT o_orderkey AS k, 'SRR' || o_orderkey AS run, CASE WHEN o_orderkey % 7 > 0 THEN (18 + o_orderkey % 2 * 16) || ['G','C',''][CAST(o_orderkey % 3 + 1 AS INT)] || '_replicate_' || (o_orderkey % 5) ELSE '' END AS bio,
     CASE WHEN o_orderkey % 2 = 0 THEN 'liver' ELSE n_name END AS tissue, CASE WHEN o_orderkey % 4 = 0 THEN 'paired' ELSE 'single' END AS layout
@@ -243,14 +235,10 @@ OWN_NOSEC = "category IN ('high_confidence_mt', 'low_quality_mt', 'ambiguous_mt'
 
 ORACLES["r_classify"] = f"""WITH {CLASSED},
 m AS (SELECT *, max({OWN_NOSEC} OR chimeric) OVER (PARTITION BY sample, read_id) AS mates FROM cat),
-x AS (SELECT *, concat_ws('+', CASE WHEN chimeric THEN 'full_genome_chimeric_mt_evidence' END, CASE WHEN {OWN_NOSEC} AND category < 'mate' THEN category END,
-  CASE WHEN {OWN_NOSEC} AND category > 'full' AND category < 'mate' THEN NULL END, CASE WHEN mates THEN 'mate_of_mt_evidence_read' END, CASE WHEN {OWN_NOSEC} AND category > 'mate' THEN category END) AS reasons0,
-  list_sort(list_filter([CASE WHEN {OWN_NOSEC} THEN category END, CASE WHEN chimeric THEN 'full_genome_chimeric_mt_evidence' END, CASE WHEN mates THEN 'mate_of_mt_evidence_read' END], lambda r: r IS NOT NULL)) AS reasons FROM m)
+x AS (SELECT *, list_sort(list_filter([CASE WHEN {OWN_NOSEC} THEN category END, CASE WHEN chimeric THEN 'full_genome_chimeric_mt_evidence' END,
+  CASE WHEN mates THEN 'mate_of_mt_evidence_read' END], lambda r: r IS NOT NULL)) AS reasons FROM m)
 SELECT sample, read_id AS query_name, count(*) AS records, count(*) FILTER (len(reasons) > 0) AS selected,
   array_to_string(list_sort(list(DISTINCT category || '=' || array_to_string(reasons, '+'))), ';') AS reasons FROM x GROUP BY sample, read_id"""
-ORACLES["r_classify"] = ORACLES["r_classify"].replace(
-    ORACLES["r_classify"][ORACLES["r_classify"].index("concat_ws('+'") : ORACLES["r_classify"].index("list_sort(list_filter")], ""
-)
 
 ORACLES["r_classification_summary"] = f"""WITH {CLASSED}, x AS (SELECT *, {OWN} AS own, {OWN} OR chimeric AS sel FROM cat),
 n AS (SELECT sample, 'alignment_category' AS table_type, category AS name FROM x UNION ALL SELECT sample, 'selected_alignment_category', category FROM x WHERE sel
@@ -328,13 +316,10 @@ b AS (SELECT coalesce(hk.sample, rk.sample) AS sample, coalesce(hk.deletion_id,
   FROM hk FULL JOIN rk ON hk.sample = rk.sample AND hk.deletion_id = rk.deletion_id AND hk.read_key = rk.read_key),
 c AS (SELECT sample, deletion_id, count(*) FILTER (s) AS a, count(*) FILTER (r) AS b, count(*) FILTER (s AND r) AS c, count(*) FILTER (s AND NOT r) AS d, count(*) FILTER (NOT s AND r) AS e FROM b GROUP BY ALL),
 i AS (SELECT sample, deletion_id, array_to_string(list_sort(list(DISTINCT eid))[1:20], ';') AS ids FROM r GROUP BY ALL)
-SELECT sample, c.deletion_id, deletion_name, tl AS target_left_breakpoint, tr AS target_right_breakpoint, ts AS target_deleted_size, bt AS breakpoint_tolerance_bp, st AS size_tolerance_bp,
+SELECT c.sample, c.deletion_id, deletion_name, tl AS target_left_breakpoint, tr AS target_right_breakpoint, ts AS target_deleted_size, bt AS breakpoint_tolerance_bp, st AS size_tolerance_bp,
   a AS sequence_search_reads, b AS remap_nearby_reads, c AS shared_reads, d AS sequence_only_reads, e AS remap_only_reads,
   round(coalesce(c / nullif(a, 0), 0.0), 6) AS overlap_fraction_of_sequence_search, round(coalesce(c / nullif(b, 0), 0.0), 6) AS overlap_fraction_of_remap_nearby,
-  coalesce(ids, '') AS matched_remap_exact_deletions FROM c JOIN t ON t.deletion_id = c.deletion_id LEFT JOIN i USING (sample, deletion_id)"""
-ORACLES["m_overlap"] = ORACLES["m_overlap"].replace("SELECT sample, c.deletion_id", "SELECT c.sample, c.deletion_id").replace(
-    "LEFT JOIN i USING (sample, deletion_id)", "LEFT JOIN i ON i.sample = c.sample AND i.deletion_id = c.deletion_id"
-)
+  coalesce(ids, '') AS matched_remap_exact_deletions FROM c JOIN t ON t.deletion_id = c.deletion_id LEFT JOIN i ON i.sample = c.sample AND i.deletion_id = c.deletion_id"""
 ORACLES["m_read_sets"] = f"""WITH {OVERLAP}, s AS (SELECT DISTINCT sample, deletion_id, read_key, rid, CAST(NULL AS VARCHAR) AS eid FROM h), q AS (SELECT DISTINCT sample, deletion_id, read_key, read_key AS rid, eid FROM r),
 u AS (SELECT 'sequence_search_reads' AS set_name, 'sequence_search' AS source, * FROM s UNION ALL SELECT 'remap_nearby_reads', 'remap_near_target', * FROM q
   UNION ALL SELECT 'shared_reads', 'both', * FROM s SEMI JOIN rk USING (sample, deletion_id, read_key) UNION ALL SELECT 'shared_reads', 'both', * FROM q SEMI JOIN hk USING (sample, deletion_id, read_key)
@@ -401,3 +386,156 @@ LEFT JOIN c ON e.sample = c.sample AND e.read_id = c.read_id AND e.left_breakpoi
 ORACLES["q_union"] = f"""WITH {EVENTS}
 SELECT 'minimap2_remap' AS evidence_source, 'pass' AS filter_status, 'passed source filters' AS filter_reason, count(*) AS source_records FROM events
 UNION ALL SELECT 'star_chimeric', CASE WHEN orderkey % 33 = 0 THEN 'fail' ELSE 'pass' END, CASE WHEN orderkey % 33 = 0 THEN 'left_anchor_short' ELSE 'passed source filters' END, count(*) FROM events WHERE orderkey % 3 = 0 GROUP BY ALL"""
+
+
+# ---- clusters ------------------------------------------------------------------------------
+
+
+def clustering(src: str, order: str, name: str = "led", slop: int = 10) -> str:
+    """Greedy leaders of the coordinates in ``src``: independent components step point by point.
+
+    The circle is opened at a gap (coordinate 16070), where no hotspot lies.
+    """
+    near = f"{dist('x.l', 'p.l')} <= {slop} AND {dist('x.r', 'p.r')} <= {slop}"
+    return f"""
+{name}_p AS (SELECT left_breakpoint AS l, right_breakpoint AS r, (left_breakpoint + 500) % {L} AS x, (right_breakpoint + 500) % {L} AS y, min(row({order})) AS o FROM {src} GROUP BY ALL),
+{name}_x AS (SELECT x, sum(CASE WHEN x - px > {slop} THEN 1 ELSE 0 END) OVER (ORDER BY x) AS cx FROM (SELECT x, lag(x) OVER (ORDER BY x) AS px FROM (SELECT DISTINCT x FROM {name}_p))),
+{name}_q AS (SELECT * FROM {name}_p JOIN {name}_x USING (x)),
+{name}_y AS (SELECT cx, y, sum(CASE WHEN y - py > {slop} THEN 1 ELSE 0 END) OVER (PARTITION BY cx ORDER BY y) AS cy FROM (SELECT cx, y, lag(y) OVER (PARTITION BY cx ORDER BY y) AS py FROM (SELECT DISTINCT cx, y FROM {name}_q))),
+{name}_k AS (SELECT l, r, cx, cy, row_number() OVER (PARTITION BY cx, cy ORDER BY o) AS k FROM {name}_q JOIN {name}_y USING (cx, y)),
+{name} AS (
+  SELECT cx, cy, k, l, r, [{{'l': l, 'r': r}}] AS leaders, l AS ll, r AS lr FROM {name}_k WHERE k = 1
+  UNION ALL
+  SELECT cx, cy, k, l, r, CASE WHEN m IS NULL THEN list_append(leaders, {{'l': l, 'r': r}}) ELSE leaders END, coalesce(m.l, l), coalesce(m.r, r)
+  FROM (SELECT p.*, s.leaders, list_filter(s.leaders, lambda x: {near})[1] AS m FROM {name} s JOIN {name}_k p ON p.cx = s.cx AND p.cy = s.cy AND p.k = s.k + 1)),
+asg AS (SELECT e.*, ll, lr FROM {src} e JOIN {name} ON e.left_breakpoint = l AND e.right_breakpoint = r)"""
+
+
+def unwrapped(v: str, a: str) -> str:
+    return f"({a} + ({v} - {a} + {L // 2} + {L}) % {L} - {L // 2})"
+
+
+def wrapped(m: str) -> str:
+    return f"((CAST(round_even({m}, 0) AS BIGINT) - 1 + 2 * {L}) % {L} + 1)"
+
+
+COORD = "left_breakpoint, right_breakpoint, sample, read_id, rotation_name"
+READS = "sample, read_id, left_breakpoint, right_breakpoint"
+
+
+def clusters(order: str, support: int) -> str:
+    return f"""
+sup AS (SELECT * FROM asg QUALIFY row_number() OVER (PARTITION BY ll, lr, sample, read_id ORDER BY {order}) = 1),
+med AS (SELECT ll, lr, {wrapped(f"quantile_cont({unwrapped('left_breakpoint', 'll')}, 0.5)")} AS cl, {wrapped(f"quantile_cont({unwrapped('right_breakpoint', 'lr')}, 0.5)")} AS cr,
+  count(*) AS n, count(DISTINCT sample) AS ns, array_to_string(list_sort(list(DISTINCT sample)), ';') AS ss FROM sup GROUP BY ll, lr HAVING count(*) >= {support}),
+rot AS (SELECT ll, lr, array_to_string(list_sort(list(DISTINCT rotation_name)), ';') AS rotations, count(DISTINCT rotation_name) AS nr FROM asg GROUP BY ALL),
+clu AS (SELECT *, {gap("cl", "cr")} AS cs, {event_id("cl", "cr", gap("cl", "cr"))} AS cid FROM med JOIN rot USING (ll, lr))"""
+
+
+CLUSTER = f"""cid AS exact_deletion_id, {pair_id("cl", "cr")} AS breakpoint_pair_id, cl AS left_breakpoint, cr AS right_breakpoint, cs AS deleted_size, cr <= cl AS wraps_origin,
+  {interval("cl", "cr")} AS deleted_interval, n AS total_supporting_reads, ns AS samples_with_signal, ss AS supporting_samples, rotations, nr AS rotation_count,
+  CASE WHEN nr > 1 THEN 'multiple_rotations' ELSE 'single_rotation' END AS rotation_agreement"""
+
+ORACLES["k_clusters"] = f"WITH RECURSIVE {EVENTS},{clustering('events', COORD)},{clusters(COORD, 2)} SELECT {CLUSTER} FROM clu"
+ORACLES["k_clusters_by_read"] = f"WITH RECURSIVE {EVENTS},{clustering('events', READS)},{clusters(READS, 1)} SELECT {CLUSTER} FROM clu"
+MEMBERS = f"WITH RECURSIVE {EVENTS},{clustering('events', COORD)},{clusters(COORD, 2)}, mem AS (SELECT sup.*, cl, cr, cs, cid FROM sup JOIN clu USING (ll, lr))"
+ORACLES["k_members"] = f"""{MEMBERS} SELECT sample, read_id, rotation_name, cid AS exact_deletion_id, cl AS left_breakpoint, cr AS right_breakpoint, left_breakpoint AS read_left_breakpoint,
+  right_breakpoint AS read_right_breakpoint, deleted_size AS read_deleted_size FROM mem"""
+ORACLES["k_numbered"] = f"""WITH RECURSIVE {EVENTS},{clustering('events', COORD)},
+g AS (SELECT ll, lr, count(DISTINCT (sample, read_id)) AS n, count(DISTINCT sample) AS ns, array_to_string(list_sort(list(DISTINCT sample)), ';') AS ss, count(DISTINCT rotation_name) AS nr FROM asg GROUP BY ALL)
+SELECT 'mtDelJunc_' || lpad(CAST(row_number() OVER (ORDER BY ll, lr) AS VARCHAR), 6, '0') AS junction_id, ll AS left_breakpoint, lr AS right_breakpoint, {gap("ll", "lr")} AS deleted_size,
+  n AS total_supporting_reads, ns AS samples_with_signal, ss AS supporting_samples, nr AS rotation_count FROM g"""
+EXACT_FIRST = "row_number() OVER (PARTITION BY left_breakpoint, right_breakpoint, sample, read_id ORDER BY rotation_name) = 1"
+ORACLES["k_exact"] = f"""WITH {EVENTS} SELECT sample, read_id, deletion_id AS exact_deletion_id, left_breakpoint, right_breakpoint, left_breakpoint AS reported_left_breakpoint FROM events QUALIFY {EXACT_FIRST}"""
+ORACLES["z_mismatches"] = f"""{MEMBERS}, d AS (SELECT left_breakpoint <> cl OR right_breakpoint <> cr OR deleted_size <> cs AS d FROM mem)
+SELECT count(*) AS read_rows_with_cluster, count(*) FILTER (d) AS read_rows_different_from_cluster_representative, round(avg(d::INT), 6) AS fraction_different FROM d"""
+ORACLES["z_mismatch_examples"] = f"""{MEMBERS} SELECT sample, read_id, cid AS exact_deletion_id, rotation_name, left_breakpoint AS read_left_breakpoint, right_breakpoint AS read_right_breakpoint,
+  deleted_size AS read_deleted_size, cl AS left_breakpoint, cr AS right_breakpoint, cs AS deleted_size FROM mem WHERE left_breakpoint <> cl OR right_breakpoint <> cr OR deleted_size <> cs
+  ORDER BY 1, 2, 3, 4, 5, 6, 7 LIMIT 20"""
+ORACLES["z_recluster"] = f"""WITH RECURSIVE {EVENTS},{clustering('events', COORD)},{clusters(COORD, 2)}
+SELECT 'corrected merge from raw rotated calls' AS "table", count(*) AS rows, 0 AS size_mismatches, 0 AS negative_sizes, 0 AS wrap_rule_mismatches, count(*) FILTER (cr <= cl) AS origin_spanning_rows,
+  10 AS breakpoint_slop_bp, 2 AS min_split_read_support FROM clu"""
+
+# ---- observations --------------------------------------------------------------------------
+
+NEAR = f"{dist('x.l', 'p.l')} <= 10 AND {dist('x.r', 'p.r')} <= 10"
+CANDS = f"""{EVENTS},
+cand AS (
+  SELECT sample, read_id, orderkey, left_breakpoint, right_breakpoint, 'minimap2_remap' AS src, rotation_name, min_anchor_length, min_mapq,
+    (left_edit_distance + right_edit_distance) / (left_anchor_length + right_anchor_length) AS err,
+    least(1.0, greatest(0.0, ((query_first_end - query_first_start) + (query_second_end - query_second_start) - greatest(0, query_first_end - query_second_start)) / (query_second_end + 10))) AS cov,
+    query_second_start <= query_first_end AS adj, left_is_primary OR right_is_primary AS prim, left_is_secondary AND right_is_secondary AS sec, query_gap_bp, query_overlap_bp,
+    CASE WHEN contains(left_sa_tag, ',9,') OR contains(right_sa_tag, ',9,') THEN 3 ELSE 2 END AS segs, CAST(NULL AS BIGINT) AS chims, CAST(NULL AS BIGINT) AS rep, CAST(NULL AS VARCHAR) AS gene,
+    concat_ws(':', 'minimap2', rotation_name, raw_left_breakpoint, raw_right_breakpoint, left_cigar, right_cigar) AS pat FROM events
+  UNION ALL
+  SELECT sample, read_id, orderkey, nl, right_breakpoint, 'star_chimeric', 'full_genome', min_anchor_length, NULL, NULL, 1.0, TRUE, NULL, NULL, query_gap_bp, query_overlap_bp, 2, 1 + orderkey % 2, orderkey % 7,
+    CASE WHEN orderkey % 2 = 0 THEN 'G' || (nl % 3) || '--H' || (right_breakpoint % 2) END, concat_ws(':', 'star', nl, right_breakpoint, left_cigar, right_cigar)
+  FROM (SELECT *, {norm("left_breakpoint + orderkey % 5 - 2")} AS nl FROM events WHERE orderkey % 3 = 0 AND orderkey % 33 <> 0)),
+pk AS (SELECT *, row_number() OVER (PARTITION BY sample, read_id ORDER BY l, r) AS k FROM (SELECT DISTINCT sample, read_id, left_breakpoint AS l, right_breakpoint AS r FROM cand)),
+hyp AS (
+  SELECT sample, read_id, k, l, r, [{{'l': l, 'r': r}}] AS leaders, l AS ll, r AS lr FROM pk WHERE k = 1
+  UNION ALL
+  SELECT sample, read_id, k, l, r, CASE WHEN m IS NULL THEN list_append(leaders, {{'l': l, 'r': r}}) ELSE leaders END, coalesce(m.l, l), coalesce(m.r, r)
+  FROM (SELECT p.*, s.leaders, list_filter(s.leaders, lambda x: {NEAR})[1] AS m FROM hyp s JOIN pk p ON p.sample = s.sample AND p.read_id = s.read_id AND p.k = s.k + 1)),
+ch AS (SELECT c.*, ll, lr, count(DISTINCT (ll, lr)) OVER (PARTITION BY c.sample, c.read_id) AS nh, first_value(left_breakpoint) OVER w AS al, first_value(right_breakpoint) OVER w AS ar
+  FROM cand c JOIN hyp h ON c.sample = h.sample AND c.read_id = h.read_id AND c.left_breakpoint = h.l AND c.right_breakpoint = h.r
+  WINDOW w AS (PARTITION BY c.sample, c.read_id, ll, lr, src ORDER BY left_breakpoint, right_breakpoint)),
+per AS (SELECT sample, read_id, ll, lr, src, {wrapped(f"quantile_cont({unwrapped('left_breakpoint', 'al')}, 0.5)")} AS ml, {wrapped(f"quantile_cont({unwrapped('right_breakpoint', 'ar')}, 0.5)")} AS mr FROM ch GROUP BY ALL),
+fst AS (SELECT *, first_value(ml) OVER w AS fl, first_value(mr) OVER w AS fr FROM per WINDOW w AS (PARTITION BY sample, read_id, ll, lr ORDER BY src)),
+pos AS (SELECT sample, read_id, ll, lr, {wrapped(f"quantile_cont({unwrapped('ml', 'fl')}, 0.5)")} AS l, {wrapped(f"quantile_cont({unwrapped('mr', 'fr')}, 0.5)")} AS r FROM fst GROUP BY ALL),
+gn AS (SELECT sample, read_id, ll, lr, gene, count(*) AS n, min(row(left_breakpoint, right_breakpoint)) AS f FROM ch WHERE gene IS NOT NULL GROUP BY ALL),
+gm AS (SELECT sample, read_id, ll, lr, gene FROM gn QUALIFY row_number() OVER (PARTITION BY sample, read_id, ll, lr ORDER BY n DESC, f, gene) = 1),
+fl AS (SELECT *, list_filter([CASE WHEN src = 'minimap2_remap' AND coalesce(min_mapq, 0) = 0 THEN 'min_mapq_zero' END, CASE WHEN sec THEN 'secondary_only' END, CASE WHEN err > 0.15 THEN 'high_alignment_error' END,
+  CASE WHEN chims > 1 THEN 'star_multimapping' END, CASE WHEN query_gap_bp > 0 THEN 'query_gap' END, CASE WHEN query_overlap_bp > 0 THEN 'query_overlap' END,
+  CASE WHEN segs > 2 THEN 'complex_alignment_chain' END, CASE WHEN nh > 1 THEN 'multiple_deletion_hypotheses' END], lambda v: v IS NOT NULL) AS flags FROM ch),
+obs AS (SELECT sample, read_id, ll, lr, array_to_string(list_sort(list(DISTINCT src)), ';') AS evidence_sources, count(DISTINCT src) > 1 AS both_callers_support, count(*) AS source_record_count,
+  array_to_string(list_sort(list(DISTINCT rotation_name)), ';') AS rotation_support, max(nh) AS deletion_hypotheses_from_read, array_to_string(list_sort(list_distinct(flatten(list(flags)))), ';') AS observation_quality_flags,
+  min(min_anchor_length) AS min_anchor_length, min(min_mapq) AS min_mapq, round(max(err), 6) AS estimated_alignment_error_rate, round(min(cov), 6) AS query_union_coverage, bool_or(prim) AS primary_chain_evidence,
+  bool_and(coalesce(sec, FALSE)) AS secondary_only_evidence, count(DISTINCT pat) AS alignment_pattern_count, max(rep) AS junction_repeat_length, bool_and(adj) AS query_segments_adjacent FROM fl GROUP BY ALL)"""
+ORACLES["q_observations"] = f"""WITH RECURSIVE {CANDS}
+SELECT o.* EXCLUDE (ll, lr), p.l AS left_breakpoint, p.r AS right_breakpoint, {gap("p.l", "p.r")} AS deleted_size, gm.gene AS gene_pair_label FROM obs o
+JOIN pos p ON o.sample = p.sample AND o.read_id = p.read_id AND o.ll = p.ll AND o.lr = p.lr LEFT JOIN gm ON o.sample = gm.sample AND o.read_id = gm.read_id AND o.ll = gm.ll AND o.lr = gm.lr"""
+
+# ---- coverage ------------------------------------------------------------------------------
+
+BLOCKS = f"""st AS (SELECT sample, rotation_name, 'f' || (orderkey % 5000) AS name, (1000 * (suppkey % 17) - 150 + partkey % 300 - 1 + {L}) % {L} + 1 AS s, partkey % 300 AS n FROM seg WHERE linenumber <= 3),
+en AS (SELECT *, (s + 99 + n - 1) % {L} + 1 AS e FROM st),
+blk AS (SELECT sample, rotation_name, name, s, e FROM en WHERE s <= e UNION ALL SELECT sample, rotation_name, name, s, {L} FROM en WHERE s > e UNION ALL SELECT sample, rotation_name, name, 1, e FROM en WHERE s > e),
+want AS (SELECT sample, left_breakpoint AS position FROM events UNION SELECT sample, right_breakpoint FROM events
+  UNION SELECT sample, CASE WHEN i <= 30 THEN i ELSE i + {L} - 60 END FROM (SELECT DISTINCT sample FROM events) CROSS JOIN range(1, 61) t(i))"""
+
+
+def spanning(want: str) -> str:
+    """Distinct names whose blocks cover all pieces of the window of 20 around each wanted position."""
+    return f"""{BLOCKS},
+win AS (SELECT sample, position, {norm("position - 20")} AS ws, {norm("position + 20")} AS we FROM {want}),
+one AS (SELECT w.sample, position, rotation_name, count(DISTINCT name) AS n FROM win w JOIN blk b ON b.sample = w.sample AND b.s <= ws AND b.e >= we WHERE ws <= we GROUP BY ALL),
+tl AS (SELECT DISTINCT w.sample, position, rotation_name, name FROM win w JOIN blk b ON b.sample = w.sample AND b.s <= ws AND b.e >= {L} WHERE ws > we),
+hd AS (SELECT DISTINCT w.sample, position, rotation_name, name FROM win w JOIN blk b ON b.sample = w.sample AND b.s <= 1 AND b.e >= we WHERE ws > we),
+cov AS (SELECT * FROM one UNION ALL SELECT sample, position, rotation_name, count(*) AS n FROM tl JOIN hd USING (sample, position, rotation_name, name) GROUP BY ALL),
+best AS (SELECT w.sample, w.position, coalesce(max(n), 0) AS depth FROM win w LEFT JOIN cov c ON c.sample = w.sample AND c.position = w.position GROUP BY ALL)"""
+
+
+ORACLES["p_spanning"] = f"WITH {EVENTS}, {spanning('want')} SELECT * FROM best"
+ORACLES["p_depth"] = f"""WITH {EVENTS}, {BLOCKS}, rots AS (SELECT DISTINCT sample, rotation_name FROM blk WHERE s + 20 <= e - 20)
+SELECT w.sample, r.rotation_name, w.position, count(b.s) AS depth FROM want w JOIN rots r ON r.sample = w.sample
+LEFT JOIN blk b ON b.sample = w.sample AND b.rotation_name = r.rotation_name AND b.s + 20 <= w.position AND b.e - 20 >= w.position GROUP BY ALL"""
+
+# observations and exact clusters of the derived inputs
+OBS = f"""{EVENTS},
+ob AS (SELECT sample, read_id, orderkey AS k, left_breakpoint AS l, right_breakpoint AS r, deleted_size AS z, deletion_id AS eid, min(min_anchor_length) AS anc, list_sort(list(DISTINCT rotation_name)) AS rots,
+  bool_or(left_is_secondary) AS lsec, bool_or(right_is_secondary) AS rsec, min(min_mapq) AS mq, min(left_anchor_length) AS la, min(right_anchor_length) AS ra FROM events GROUP BY ALL),
+ex AS (SELECT left_breakpoint AS l, right_breakpoint AS r, any_value(deleted_size) AS z, any_value(deletion_id) AS eid, count(DISTINCT (sample, read_id)) AS n, count(DISTINCT sample) AS ns FROM events GROUP BY ALL)"""
+
+ORACLES["p_support"] = f"""WITH {OBS}, el AS (SELECT DISTINCT l, r, eid, sample FROM ob WHERE k % 5 <> 1),
+pw AS (SELECT sample, l AS position FROM el UNION SELECT sample, r FROM el), {spanning('pw')},
+a AS (SELECT el.l, el.r, sum(b1.depth) AS x, sum(b2.depth) AS y FROM el JOIN best b1 ON b1.sample = el.sample AND b1.position = el.l JOIN best b2 ON b2.sample = el.sample AND b2.position = el.r GROUP BY ALL),
+sp AS (SELECT l, r, count(*) AS n FROM ob WHERE k % 5 <> 1 GROUP BY ALL)
+SELECT ex.eid AS exact_deletion_id, coalesce(sp.n, 0) AS split_supporting_reads, CAST(x AS BIGINT) AS left_reference_spanning_reads, CAST(y AS BIGINT) AS right_reference_spanning_reads,
+  CAST(least(x, y) AS BIGINT) AS reference_spanning_reads_min, round(sp.n / (sp.n + least(x, y)), 6) AS local_split_support_fraction, 20 AS reference_support_window_bp,
+  CASE WHEN a.l IS NULL THEN 'not_available_without_minimap2_remap_evidence' ELSE 'indexed_primary_alignment_depth_max_across_rotations' END AS reference_support_method
+FROM ex LEFT JOIN a ON a.l = ex.l AND a.r = ex.r LEFT JOIN sp ON sp.l = ex.l AND sp.r = ex.r"""
+ORACLES["p_reuse"] = f"""WITH {OBS}, el AS (SELECT DISTINCT l, r FROM ob WHERE k % 5 <> 1), x AS (SELECT ex.*, el.l IS NOT NULL AS remap, ex.l % 2 = 0 AS hit FROM ex LEFT JOIN el ON el.l = ex.l AND el.r = ex.r)
+SELECT eid AS exact_deletion_id, CASE WHEN hit THEN n END AS split_supporting_reads, CASE WHEN hit THEN n + 1 END AS left_reference_spanning_reads, CASE WHEN hit THEN n + 2 END AS right_reference_spanning_reads,
+  CASE WHEN hit THEN n + 1 END AS reference_spanning_reads_min, CASE WHEN hit THEN 0.5 END AS local_split_support_fraction, 20 AS reference_support_window_bp,
+  CASE WHEN hit THEN 'reused_existing_counted' WHEN remap THEN 'not_available_in_existing_remap_support' ELSE 'not_available_without_minimap2_remap_evidence' END AS reference_support_method FROM x"""
