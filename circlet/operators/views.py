@@ -53,8 +53,10 @@ def location_table(reads: DataFrame, samples: DataFrame, group: str, p: Params)
     reads_total = F.col("normalization_reads")
     weight = F.when(reads_total > 0, MILLION / F.nullif(reads_total, F.lit(0.0))).otherwise(0.0)
     joined = per_sample.join(sheet, "sample", "left").withColumn("plot_group", F.coalesce("plot_group", F.lit("missing")))
+    # rounded, so that equal support ties whatever the order in which samples were added
+    support = F.round(F.sum(F.col("n") * F.coalesce(weight, F.lit(0.0))), 9)
     grouped = joined.groupBy("plot_group", *key).agg(
-        F.sum("n").alias("supporting_reads"), F.sum(F.col("n") * F.coalesce(weight, F.lit(0.0))).alias("plot_support"),
+        F.sum("n").alias("supporting_reads"), support.alias("plot_support"),
         *[F.min(c).alias(c) for c in labels],
     )
     if p.view_min_support > 0:

@@ -141,7 +141,7 @@ def feature_rows(spark: SparkSession) -> DataFrame:
 
 
 def feature_set(spark: SparkSession, limit: int = 2000):
-    prepared = FT.prepare(feature_rows(spark), REGIONS, ALIASES, PARAMS.length)
+    prepared = stage(spark, "", "features", lambda: FT.prepare(feature_rows(spark), REGIONS, ALIASES, PARAMS.length))
     return FT.Features(prepared, PARAMS.length, limit)
 
 

@@ -539,3 +539,279 @@ ORACLES["p_reuse"] = f"""WITH {OBS}, el AS (SELECT DISTINCT l, r FROM ob WHERE k
 SELECT eid AS exact_deletion_id, CASE WHEN hit THEN n END AS split_supporting_reads, CASE WHEN hit THEN n + 1 END AS left_reference_spanning_reads, CASE WHEN hit THEN n + 2 END AS right_reference_spanning_reads,
   CASE WHEN hit THEN n + 1 END AS reference_spanning_reads_min, CASE WHEN hit THEN 0.5 END AS local_split_support_fraction, 20 AS reference_support_window_bp,
   CASE WHEN hit THEN 'reused_existing_counted' WHEN remap THEN 'not_available_in_existing_remap_support' ELSE 'not_available_without_minimap2_remap_evidence' END AS reference_support_method FROM x"""
+
+# ---- annotation ----------------------------------------------------------------------------
+
+FEATS = """feats(name, kind, s, e) AS (VALUES ('MT-ND1', 'protein_coding', 3307, 4262), ('MT-ND2', 'protein_coding', 4470, 5511), ('MT-CO1', 'protein_coding', 5904, 7445),
+  ('MT-CO2', 'protein_coding', 7586, 8269), ('MT-ATP8', 'protein_coding', 8366, 8572), ('MT-ATP6', 'protein_coding', 8527, 9207), ('MT-CO3', 'protein_coding', 9207, 9990),
+  ('MT-ND3', 'protein_coding', 10059, 10404), ('MT-ND4L', 'protein_coding', 10470, 10766), ('MT-ND4', 'protein_coding', 10760, 12137), ('MT-ND5', 'protein_coding', 12337, 14148),
+  ('MT-ND6x', 'protein_coding', 14149, 14673), ('MT-CYTB', 'protein_coding', 14747, 15887), ('MT-RNR1', 'rRNA', 648, 1601), ('MT-RNR2', 'rRNA', 1671, 3229), ('MT-TL1', 'tRNA', 3230, 3304),
+  ('control_region', 'region', 16024, 16569), ('control_region', 'region', 1, 576), ('repeat_window', 'region', 8445, 8495))"""
+
+
+def at_text(v: str) -> str:
+    return f"(SELECT coalesce(string_agg(name || ':' || kind || ':' || s || '-' || e, ';' ORDER BY s, e, name), '') FROM feats WHERE s <= {v} AND e >= {v})"
+
+
+def near_text(v: str) -> str:
+    d = f"CASE WHEN s <= {v} AND {v} <= e THEN 0 ELSE least(abs({v} - s), abs({v} - e)) END"
+    return f"(SELECT arg_min(name || ':' || kind || ':' || s || '-' || e || ';distance=' || ({d}), row({d}, s, e, name)) FROM feats)"
+
+
+ORACLES["f_positions"] = f"""WITH {SEG}, {FEATS}, q AS (SELECT DISTINCT std_end AS "position" FROM seg)
+SELECT "position", {at_text('q."position"')} AS features_at, {near_text('q."position"')} AS nearest_feature FROM q"""
+ORACLES["f_positions_joined"] = ORACLES["f_positions"]
+
+COORDS = f"{EVENTS}, {FEATS}, co AS (SELECT DISTINCT left_breakpoint AS l, right_breakpoint AS r, deleted_size AS z FROM events)"
+IMPACT = f"""ih AS (SELECT l, r, name, kind, s, e, {overlap("l", "r", "s", "e")} AS bp FROM co CROSS JOIN feats WHERE {overlap("l", "r", "s", "e")} > 0),
+iu AS (SELECT l, r, name, min(row(s, e)) AS o FROM ih GROUP BY ALL),
+un AS (SELECT l, r, string_agg(name, '+' ORDER BY o, name) AS lab, string_agg(name, ';' ORDER BY o, name) AS names, count(*) AS n FROM iu GROUP BY ALL),
+hh AS (SELECT l, r, coalesce(string_agg(name, ';' ORDER BY s, e, name) FILTER (bp >= e - s + 1), '') AS fulls, coalesce(string_agg(name, ';' ORDER BY s, e, name) FILTER (bp < e - s + 1), '') AS parts,
+  string_agg(name || ':' || CASE WHEN bp >= e - s + 1 THEN 'full' ELSE 'partial' END || ':' || bp, ';' ORDER BY s, e, name) AS detail,
+  bool_or(name = 'control_region') AS ctl, bool_or(kind IN ('rRNA', 'tRNA')) AS rna, bool_and(kind = 'protein_coding') AS cod FROM ih GROUP BY ALL),
+imp AS (SELECT co.l, co.r, co.z, coalesce(lab, 'intergenic') AS lab, coalesce(names, '') AS names, coalesce(fulls, '') AS fulls, coalesce(parts, '') AS parts, coalesce(detail, '') AS detail,
+  CASE WHEN ctl THEN 'd_loop_involved' WHEN rna THEN 'rrna_trna_involved' WHEN n IS NULL THEN 'intergenic' WHEN n = 1 THEN 'single_feature' WHEN n = 2 THEN 'two_features'
+    WHEN cod THEN 'multi_feature_protein_coding_only' ELSE 'multi_feature_mixed' END AS cls FROM co LEFT JOIN un ON un.l = co.l AND un.r = co.r LEFT JOIN hh ON hh.l = co.l AND hh.r = co.r)"""
+ORACLES["f_impact"] = f"""WITH {COORDS}, {IMPACT} SELECT l AS left_breakpoint, r AS right_breakpoint, z AS deleted_size, lab AS affected_feature_label, names AS affected_features, fulls AS fully_removed_features,
+  parts AS partially_overlapped_features, cls AS feature_impact_class, detail AS per_feature_overlap_details FROM imp"""
+
+MINOR, MAJOR = overlap("l", "r", "408", "5746"), f"({overlap('l', 'r', '5747', str(L))} + {overlap('l', 'r', '1', '407')})"
+ARC = f"CASE WHEN {MINOR} > 0 AND {MAJOR} > 0 THEN 'major_and_minor_arcs' WHEN {MAJOR} > 0 THEN 'major_arc_only' WHEN {MINOR} > 0 THEN 'minor_arc_only' ELSE 'unassigned' END"
+ORACLES["f_arcs"] = f"""WITH {COORDS} SELECT l AS left_breakpoint, r AS right_breakpoint, z AS deleted_size, {MINOR} AS minor_arc_deleted_bp, {MAJOR} AS major_arc_deleted_bp, {ARC} AS replication_arc_context FROM co"""
+TARGETS = f"""concat_ws(';', CASE WHEN {dist("l", "8469")} <= 100 AND {dist("r", "13447")} <= 100 AND abs(z - 4977) <= 150 THEN 'common' END,
+  CASE WHEN {dist("l", "3000")} <= 20 AND {dist("r", "7951")} <= 20 AND abs(z - 4950) <= 30 THEN 'hot_a' END, CASE WHEN {dist("l", "12000")} <= 60 AND {dist("r", "1951")} <= 60 THEN 'hot_b' END,
+  CASE WHEN {dist("l", "5000")} <= 6 THEN 'open_right' END, CASE WHEN {dist("l", "9000")} <= 100 AND {dist("r", "11951")} <= 100 AND abs(z - 2950) <= 150 THEN 'search_9000_11951' END)"""
+ORACLES["f_targets"] = f"""WITH {COORDS}, k AS (SELECT *, {TARGETS} AS lab FROM co)
+SELECT l AS left_breakpoint, r AS right_breakpoint, z AS deleted_size, lab AS known_deletion_label,
+  concat_ws(';', CASE WHEN regexp_matches(lab, 'common|hot|open') THEN 'configured_known_deletion_match' END, CASE WHEN contains(lab, 'search') THEN 'configured_sequence_search_target_match' END) AS known_deletion_match_reason FROM k"""
+
+ANN = f"""{OBS}, {FEATS}, co AS (SELECT l, r, z FROM ex), {IMPACT},
+pt AS (SELECT l AS v FROM ex UNION SELECT r FROM ex),
+pn AS (SELECT v, {at_text("pt.v")} AS a, {near_text("pt.v")} AS nf FROM pt),
+an0 AS (SELECT ex.*, p1.a AS al, p1.nf AS nl, p2.nf AS nr, imp.lab, imp.names, imp.cls, imp.detail, {ARC.replace("l,", "l,")} AS arc, {MINOR} AS minor, {TARGETS} AS kd,
+  split_part(p1.nf, ':', 1) AS gl, split_part(p2.nf, ':', 1) AS gr
+  FROM ex JOIN pn p1 ON p1.v = ex.l JOIN pn p2 ON p2.v = ex.r JOIN (SELECT l AS il, r AS ir, lab, names, cls, detail FROM imp) imp ON il = ex.l AND ir = ex.r),
+ann AS (SELECT *, CASE WHEN gl = 'MT-ND1' AND gr = 'MT-CO1' THEN 'same_transcript' WHEN (gl = 'MT-CO3' AND gr = 'MT-ND5') OR (gl = 'MT-ND5' AND gr = 'MT-CO3') THEN 'neighbours' END AS why FROM an0)"""
+ORACLES["f_annotate"] = f"""WITH {ANN} SELECT eid AS exact_deletion_id, al AS left_feature_overlap, nl AS nearest_left_feature, nr AS nearest_right_feature, lab AS affected_feature_label, cls AS feature_impact_class,
+  {size_class("z")} AS size_class, arc AS replication_arc_context, kd AS known_deletion_label, CASE WHEN why IS NULL THEN 'candidate_deletion_junction' ELSE 'expected_transcript_junction' END AS junction_interpretation,
+  coalesce(why, 'not_configured_expected_transcript_pair') AS junction_interpretation_reason FROM ann"""
+ORACLES["f_display"] = f"""WITH {COORDS}, {IMPACT}, d(feature_name, feature_class, start, "end", strand) AS (
+  SELECT name, CASE WHEN name LIKE 'MT-R%' THEN 'rRNA' WHEN name LIKE 'MT-T%' THEN 'tRNA' ELSE 'protein_coding' END, s, e, '+' FROM feats WHERE kind <> 'region'
+  UNION ALL VALUES ('control_region', 'configured region', 16024, 576, '.'), ('repeat_window', 'configured region', 8445, 8495, '.')),
+n AS (SELECT name, count(*) AS events FROM iu GROUP BY name)
+SELECT feature_name, feature_class, start, "end", strand, abs("end" - start) + 1 AS length_bp, events FROM d LEFT JOIN n ON name = feature_name"""
+
+ORACLES["q_junction_judge"] = f"""WITH {JUNCTIONS}, {FEATS},
+i AS (SELECT *, {gap("breakpoint_a", "breakpoint_b")} AS z, start_a + la - 1 AS ea, start_b + ra - 1 AS eb, row_number() OVER () AS id FROM j WHERE contig_a = 'MT' AND contig_b = 'MT'),
+h AS (SELECT id, 'l' AS side, name, s, e, least(ea, e) - greatest(start_a, s) + 1 AS bp FROM i JOIN feats ON least(ea, e) >= greatest(start_a, s) AND kind <> 'none'
+  UNION ALL SELECT id, 'r', name, s, e, least(eb, e) - greatest(start_b, s) + 1 FROM i JOIN feats ON least(eb, e) >= greatest(start_b, s)),
+t AS (SELECT id, side, arg_min(row(name, s, e), row(-bp, name, s)) AS t, string_agg(name, ';' ORDER BY -bp, name, s) AS hits, list(name) AS ns FROM h GROUP BY ALL),
+x AS (SELECT i.*, a.t AS ta, b.t AS tb, coalesce(a.hits, '') AS ha, coalesce(b.hits, '') AS hb, coalesce(list_has_any(a.ns, b.ns), FALSE) AS same, la AS e1, clip AS s2, clip + ra AS e2 FROM i LEFT JOIN t a ON a.id = i.id AND a.side = 'l' LEFT JOIN t b ON b.id = i.id AND b.side = 'r'),
+y AS (SELECT *, greatest(0, e1 - s2) AS ov, greatest(0, s2 - e1) AS gp FROM x),
+f AS (SELECT *, concat_ws(';', CASE WHEN strand_a <> strand_b THEN 'incompatible_reference_orientation' END, CASE WHEN la < 12 THEN 'left_anchor_short' END, CASE WHEN ra < 12 THEN 'right_anchor_short' END,
+  CASE WHEN z < 100 THEN 'deletion_too_small' END, CASE WHEN z > 16000 THEN 'deletion_too_large' END, CASE WHEN ov > 20 THEN 'query_overlap_too_large' END, CASE WHEN gp > 20 THEN 'query_gap_too_large' END,
+  CASE WHEN ta IS NULL OR tb IS NULL THEN 'missing_annotated_gene_anchor' END, CASE WHEN same THEN 'same_gene_chimeric_alignment' END,
+  CASE WHEN greatest(0, least(ta[3], tb[3]) - greatest(ta[2], tb[2]) + 1) / least(ta[3] - ta[2] + 1, tb[3] - tb[2] + 1) > 0.5 THEN 'substantially_overlapping_gene_anchors' END,
+  CASE WHEN (ta[1] = 'MT-ND1' AND tb[1] = 'MT-CO1') OR (ta[1] = 'MT-CO3' AND tb[1] = 'MT-ND5') OR (ta[1] = 'MT-ND5' AND tb[1] = 'MT-CO3') THEN 'configured_expected_transcript_pair' END) AS why FROM y)
+SELECT sample, read_id, breakpoint_a AS left_breakpoint, breakpoint_b AS right_breakpoint, z AS deleted_size, la AS left_anchor_length, ra AS right_anchor_length, ov AS query_overlap_bp, gp AS query_gap_bp,
+  ha AS left_gene_hits, hb AS right_gene_hits, ta[1] || '--' || tb[1] AS gene_pair_label, 99 - score AS chimeric_score_delta, least(repeat_left, repeat_right) AS junction_repeat_length,
+  round(1.0 - la / (la + mq), 6) AS left_clipped_fraction, CASE WHEN why = '' THEN 'pass' ELSE 'fail' END AS filter_status, why AS filter_reason FROM (SELECT *, ra AS mq FROM f)"""
+
+# ---- tiers ---------------------------------------------------------------------------------
+
+GRADED = f"""{ANN},
+ps AS (SELECT l, r, sample, count(*) AS c FROM ob GROUP BY ALL),
+pa AS (SELECT l, r, string_agg(sample || ':' || c, ';' ORDER BY sample) AS per, max(c) AS mx, count(*) FILTER (c >= 2) AS rep FROM ps GROUP BY ALL),
+gc AS (SELECT l, r, 'G' || (k % 3) || '--H1' AS g, count(*) AS c FROM ob WHERE k % 5 <= 1 GROUP BY ALL),
+gm AS (SELECT l, r, g FROM gc QUALIFY row_number() OVER (PARTITION BY l, r ORDER BY c DESC, g) = 1),
+ag AS (SELECT l, r, count(*) AS oc, CAST(sum(1 + k % 3) AS BIGINT) AS raw, count(DISTINCT read_id) AS nread, count(DISTINCT k % 9) AS npat, count(*) FILTER (k % 5 = 0) AS nboth, count(*) FILTER (k % 5 <= 1) AS star, count(*) FILTER (k % 5 <> 1) AS remap,
+  avg(CASE WHEN k % 4 > 0 THEN (k % 4 = 1)::INT END) AS prim, quantile_cont(anc, 0.5) AS manc, quantile_cont((k % 20) / 100, 0.5) AS merr, max((k % 20) / 100) AS werr, quantile_cont(1.0 - (k % 8) / 16, 0.5) AS mcov,
+  avg((k % 3 > 0)::INT) AS adj, count(*) FILTER (k % 2 = 1) AS cplx, max(k % 7) AS rl, count(*) FILTER (len(rots) > 1) AS brot, bool_or(k % 50 = 7) AS undir, bool_or(k % 10 = 3) AS qg FROM ob GROUP BY ALL),
+grd AS (SELECT ann.*, ag.* EXCLUDE (l, r), pa.per, pa.mx, pa.rep, coalesce(gm.g, gl || '--' || gr) AS gp,
+  CASE WHEN why IS NOT NULL OR undir THEN 'rejected' WHEN oc < 2 THEN 'review' WHEN mx >= 2 OR nboth > 0 THEN 'strong' ELSE 'supported' END AS tier,
+  CASE WHEN why IS NOT NULL THEN 'configured_expected_transcript_junction' WHEN undir THEN 'unresolved_direction_ambiguity' WHEN oc < 2 THEN 'fewer_than_minimum_supported_observations'
+    WHEN mx >= 2 OR nboth > 0 THEN 'replicated_within_sample_or_cross_caller_corroboration' ELSE 'multi_observation_support_without_strong_corroboration' END AS reason,
+  array_to_string(list_sort(list_filter([CASE WHEN qg THEN 'query_gap' END, CASE WHEN oc = 1 THEN 'singleton_cluster' END, CASE WHEN why IS NOT NULL THEN 'expected_transcript_junction' END, CASE WHEN undir THEN 'direction_ambiguity' END], lambda v: v IS NOT NULL)), ';') AS flags,
+  CASE WHEN star > 0 AND remap > 0 THEN 'star_and_minimap2' WHEN star > 0 THEN 'star_only' ELSE 'minimap2_only' END AS status
+  FROM ann JOIN ag ON ag.l = ann.l AND ag.r = ann.r JOIN pa ON pa.l = ann.l AND pa.r = ann.r LEFT JOIN gm ON gm.l = ann.l AND gm.r = ann.r)"""
+ORACLES["t_grade"] = f"""WITH {GRADED} SELECT eid AS exact_deletion_id, oc AS distinct_observation_count, raw AS raw_source_record_count, nread AS distinct_read_identifier_count, npat AS distinct_alignment_pattern_count,
+  per AS support_per_sample, mx AS maximum_support_within_sample, rep AS samples_with_replicated_support, concat_ws(';', CASE WHEN remap > 0 THEN 'minimap2_remap' END, CASE WHEN star > 0 THEN 'star_chimeric' END) AS evidence_sources,
+  round(nboth / oc, 6) AS both_caller_supporting_observation_fraction, status AS evidence_status, round(prim, 6) AS primary_chain_evidence_fraction, manc AS median_min_anchor_length, round(merr, 6) AS median_alignment_error_rate,
+  werr AS worst_alignment_error_rate, round(mcov, 6) AS median_query_union_coverage, round(adj, 6) AS adjacent_query_segment_fraction, cplx AS complex_alignment_chain_observation_count, cplx AS multiple_hypothesis_observation_count,
+  l || ':' || r AS modal_observed_breakpoint_pair, 0 AS maximum_left_breakpoint_deviation_bp, brot AS both_rotation_supporting_observation_count, rl AS microhomology_or_repeat_length, gp AS gene_pair_label, tier AS quality_tier,
+  reason AS quality_tier_reason, flags AS quality_flags FROM grd"""
+PROFILES = "pro(name, tiers) AS (VALUES ('stringent', ['strong']), ('standard', ['strong', 'supported']), ('exploratory', ['strong', 'supported', 'review']))"
+ORACLES["t_membership"] = f"""WITH {GRADED}, {PROFILES} SELECT eid AS exact_deletion_id, name AS report_profile, list_contains(tiers, tier) AS included, tier AS quality_tier, oc AS distinct_observation_count,
+  CASE WHEN list_contains(tiers, tier) THEN 'included_tier' ELSE reason END AS reason FROM grd CROSS JOIN pro"""
+ORACLES["t_profile"] = f"""WITH {GRADED} SELECT sample, read_id, ob.eid AS exact_deletion_id, tier AS quality_tier, CASE WHEN k % 5 <= 1 THEN 'G' || (k % 3) || '--H1' ELSE gl || '--' || gr END AS gene_pair_label
+FROM ob JOIN grd ON grd.l = ob.l AND grd.r = ob.r WHERE tier IN ('strong', 'supported')"""
+ORACLES["t_summary"] = f"""WITH {GRADED}, tiers(t) AS (VALUES ('strong'), ('supported'), ('review'), ('rejected'), ('unknown'))
+SELECT 'cluster' AS level, t AS quality_tier, (SELECT count(*) FROM grd WHERE tier = t) AS count FROM tiers UNION ALL SELECT 'observation', t, (SELECT CAST(coalesce(sum(oc), 0) AS BIGINT) FROM grd WHERE tier = t) FROM tiers"""
+ORACLES["t_index"] = f"""WITH {GRADED}, {PROFILES} SELECT name AS profile, array_to_string(tiers, ', ') AS included_tiers, count(*) FILTER (list_contains(tiers, tier)) AS deletion_clusters,
+  CAST(coalesce(sum(oc) FILTER (list_contains(tiers, tier)), 0) AS BIGINT) AS distinct_observations, CASE WHEN name = 'standard' THEN 'Primary interpretation' ELSE 'Sensitivity view' END AS role FROM grd CROSS JOIN pro GROUP BY name, tiers"""
+ORACLES["w_composition"] = f"""WITH {GRADED} SELECT 'cluster' AS level, status AS name, count(*) AS count FROM grd GROUP BY status
+UNION ALL SELECT 'observation', CASE k % 5 WHEN 0 THEN 'minimap2_remap;star_chimeric' WHEN 1 THEN 'star_chimeric' ELSE 'minimap2_remap' END, count(*) FROM ob GROUP BY 2"""
+
+# ---- matrices and statistics ---------------------------------------------------------------
+
+SAMPLES = """smp AS (SELECT sample, CAST(substr(sample, 2) AS BIGINT) AS i, CASE WHEN i % 2 = 0 THEN '18mo' ELSE '34mo' END AS age, CASE WHEN (i // 2) % 2 = 0 THEN 'Control' ELSE 'GPA' END AS tr, age || '_' || tr AS cond,
+  CASE WHEN i = 11 THEN 0.0 ELSE 1000.0 * count(*) END AS tot, 10.0 * count(*) AS mt FROM seg GROUP BY sample)"""
+EVID = f"{GRADED}, {SAMPLES}, bef AS (SELECT ob.*, grd.lab, grd.cls, grd.gp, grd.tier, grd.detail, grd.why FROM ob JOIN grd ON grd.l = ob.l AND grd.r = ob.r), evd AS (SELECT * FROM bef WHERE why IS NULL)"
+PM = "coalesce({0} / nullif(tot, 0), 0) * 1000000.0"
+COUNTS = f"""{EVID}, lng AS (SELECT 'exact' AS kind, sample, eid AS label, tier FROM evd UNION ALL SELECT 'affected', sample, lab, tier FROM evd UNION ALL SELECT 'impact', sample, cls, tier FROM evd UNION ALL SELECT 'gene_pair', sample, gp, tier FROM evd),
+cnt AS (SELECT kind, c.sample, label, reads, {PM.format("reads")} AS pm, cond, i, tot FROM (SELECT kind, sample, label, count(*) AS reads FROM lng GROUP BY ALL) c JOIN smp ON smp.sample = c.sample),
+bur AS (SELECT smp.*, CAST(coalesce(sum(reads) FILTER (kind = 'exact'), 0) AS BIGINT) AS rd, coalesce(sum(pm) FILTER (kind = 'exact'), 0.0) AS spm, count(*) FILTER (kind = 'exact') AS ue, count(*) FILTER (kind = 'affected') AS ua
+  FROM smp LEFT JOIN (SELECT kind, sample, label, reads, pm FROM cnt) c ON c.sample = smp.sample GROUP BY ALL)"""
+ORACLES["a_evidence"] = f"WITH {EVID} SELECT sample, read_id, eid AS exact_deletion_id, lab AS affected_feature_label, tier AS quality_tier, la AS left_anchor_length, z AS deleted_size FROM evd"
+ORACLES["a_counts"] = f"WITH {COUNTS} SELECT kind AS label_kind, sample, label, reads, round(pm, 6) AS per_million FROM cnt"
+ORACLES["a_profile_counts"] = f"""WITH {EVID}, {PROFILES}, lng AS (SELECT 'exact' AS kind, sample, eid AS label, tier FROM evd UNION ALL SELECT 'affected', sample, lab, tier FROM evd UNION ALL SELECT 'impact', sample, cls, tier FROM evd UNION ALL SELECT 'gene_pair', sample, gp, tier FROM evd)
+SELECT name AS profile, kind AS label_kind, sample, label, count(*) AS reads FROM lng JOIN pro ON list_contains(tiers, tier) GROUP BY ALL"""
+ORACLES["a_alternative"] = f"""WITH {ANN}, {SAMPLES}, c AS (SELECT sample, eid, count(*) AS n FROM ob GROUP BY ALL)
+SELECT smp.sample, a.eid AS exact_deletion_id, coalesce(n, 0) AS raw, round(coalesce(n, 0) / nullif(tot / 1e6, 0), 6) AS per_million_fragments, round(coalesce(n, 0) / nullif(mt / 1e6, 0), 6) AS per_million_mt_reads, (coalesce(n, 0) > 0)::INT AS presence
+FROM smp CROSS JOIN (SELECT DISTINCT eid FROM ann WHERE why IS NULL) a LEFT JOIN c ON c.sample = smp.sample AND c.eid = a.eid"""
+ORACLES["a_wide"] = f"""WITH {COUNTS}, lb AS (SELECT DISTINCT label FROM cnt WHERE kind = 'impact') SELECT smp.sample, lb.label, coalesce(reads, 0) AS reads FROM smp CROSS JOIN lb LEFT JOIN cnt ON cnt.sample = smp.sample AND cnt.label = lb.label AND kind = 'impact'"""
+ORACLES["a_burden"] = f"""WITH {COUNTS} SELECT sample, cond AS condition, rd AS deletion_supporting_reads, round(spm, 6) AS deletion_support_per_million_mt_reads, ue AS unique_exact_deletions, ua AS unique_affected_feature_categories FROM bur"""
+FB = f"""{EVID}, tok AS (SELECT sample, split_part(unnest(string_split(detail, ';')), ':', 1) AS feature FROM evd WHERE detail <> ''),
+fb AS (SELECT t.sample, feature, cond, n, {PM.format("n")} AS pm FROM (SELECT sample, feature, count(*) AS n FROM tok GROUP BY ALL) t JOIN smp ON smp.sample = t.sample)"""
+ORACLES["a_feature_burden"] = f"WITH {FB} SELECT sample, feature, cond AS condition, n AS supporting_reads, round(pm, 6) AS support_per_million_mt_reads FROM fb"
+
+COMPARE = f"""{COUNTS}, grp AS (SELECT cond, min(i) AS o FROM smp GROUP BY cond), prs AS (SELECT a.cond AS lg, b.cond AS rg FROM grp a JOIN grp b ON a.o < b.o),
+lbs AS (SELECT DISTINCT kind, label FROM cnt), den AS (SELECT lbs.kind, lbs.label, smp.sample, smp.cond, coalesce(c.pm, 0) AS pm, coalesce(c.reads, 0) AS reads FROM lbs CROSS JOIN smp
+  LEFT JOIN cnt c ON c.kind = lbs.kind AND c.label = lbs.label AND c.sample = smp.sample),
+gs AS (SELECT kind, label, cond, avg(pm) AS m, CAST(sum(reads) AS BIGINT) AS rd, count(*) FILTER (reads > 0) AS sg FROM den GROUP BY ALL),
+us AS (SELECT a.kind, a.label, lg, rg, sum(CASE WHEN a.pm > b.pm THEN 1.0 WHEN a.pm = b.pm THEN 0.5 ELSE 0 END) AS u FROM den a JOIN prs ON a.cond = lg JOIN den b ON b.kind = a.kind AND b.label = a.label AND b.cond = rg GROUP BY ALL),
+tv AS (SELECT kind, label, lg, rg, pm, count(*) AS t FROM den JOIN prs ON cond = lg OR cond = rg GROUP BY ALL), ts AS (SELECT kind, label, lg, rg, sum(t * t * t - t) AS tie FROM tv GROUP BY ALL),
+cmp AS (SELECT lbs.kind, lbs.label, lg, rg, x.m AS lm, y.m AS rm, x.rd AS lr, y.rd AS rr, x.sg + y.sg AS sg FROM lbs CROSS JOIN prs JOIN gs x ON x.kind = lbs.kind AND x.label = lbs.label AND x.cond = lg JOIN gs y ON y.kind = lbs.kind AND y.label = lbs.label AND y.cond = rg)"""
+ORACLES["a_compare"] = f"""WITH {COMPARE} SELECT c.kind AS label_kind, c.label, c.lg AS left_group, c.rg AS right_group, round(lm, 6) AS left_mean_per_million_mt_reads, round(rm, 6) AS right_mean_per_million_mt_reads,
+  round(rm - lm, 6) AS difference_per_million_mt_reads, CASE WHEN lm <= 0 AND rm <= 0 THEN 'absent_in_both_groups' WHEN lm <= 0 THEN 'present_only_in_right_group' WHEN rm <= 0 THEN 'present_only_in_left_group'
+    WHEN rm > lm THEN 'higher_in_right_group' WHEN rm < lm THEN 'higher_in_left_group' ELSE 'same_group_mean' END AS abundance_change, round(log2((rm + 0.5) / (lm + 0.5)), 6) AS log2_fold_change_right_over_left,
+  CASE WHEN lm > 0 AND rm > 0 THEN round(rm / lm, 6) END AS fold_change_right_over_left, lr AS left_total_supporting_reads, rr AS right_total_supporting_reads, sg AS samples_with_signal,
+  CAST(u AS DOUBLE) AS mann_whitney_u, CAST(tie AS DOUBLE) AS tie_term FROM cmp c JOIN us ON us.kind = c.kind AND us.label = c.label AND us.lg = c.lg AND us.rg = c.rg JOIN ts ON ts.kind = c.kind AND ts.label = c.label AND ts.lg = c.lg AND ts.rg = c.rg"""
+ORACLES["a_adjust"] = """WITH r AS (SELECT l_returnflag, CASE WHEN l_suppkey % 10 > 0 THEN (1 + l_partkey * 37 % 1000) / 1000.0::DOUBLE END AS p FROM lineitem),
+k AS (SELECT *, row_number() OVER (ORDER BY p) AS a, count(*) OVER () AS na, row_number() OVER (PARTITION BY l_returnflag ORDER BY p) AS b, count(*) OVER (PARTITION BY l_returnflag) AS nb FROM r WHERE p IS NOT NULL),
+q AS (SELECT *, least(1.0, min(p * na / a) OVER (ORDER BY a DESC)) AS q1, least(1.0, min(p * nb / b) OVER (PARTITION BY l_returnflag ORDER BY b DESC)) AS q2 FROM k)
+SELECT l_returnflag, p, count(*) AS n, round(min(q1), 9) AS q_all, round(max(q2), 9) AS q_flag FROM q GROUP BY ALL UNION ALL SELECT l_returnflag, NULL, count(*), NULL, NULL FROM r WHERE p IS NULL GROUP BY l_returnflag"""
+ORACLES["a_associations"] = f"""WITH {COUNTS}, o AS (SELECT sample, age, tr, 'deletion_support_per_million_mt_reads' AS outcome, spm AS y FROM bur UNION ALL SELECT sample, age, tr, 'unique_exact_deletions', ue FROM bur),
+k AS (SELECT *, CAST(left(age, 2) AS DOUBLE) AS x, rank() OVER (PARTITION BY outcome ORDER BY y) + (count(*) OVER (PARTITION BY outcome, y) - 1) / 2.0 AS ry,
+  rank() OVER (PARTITION BY outcome ORDER BY age) + (count(*) OVER (PARTITION BY outcome, age) - 1) / 2.0 AS rx FROM o),
+n AS (SELECT outcome, round(corr(rx, ry), 6) AS rho, round(regr_slope(y, x), 6) AS sl, round(avg(y) FILTER (tr = 'Control'), 6) AS lm, round(avg(y) FILTER (tr = 'GPA'), 6) AS rm, sum(ry) FILTER (tr = 'Control') - 21.0 AS u FROM k GROUP BY outcome)
+SELECT c AS metadata_column, 'numeric_or_ordered' AS metadata_type, outcome, 'spearman_and_linear_regression' AS test, rho AS spearman_rho, sl AS linear_slope, CAST(NULL AS VARCHAR) AS left_group, CAST(NULL AS VARCHAR) AS right_group,
+  CAST(NULL AS DOUBLE) AS left_mean, CAST(NULL AS DOUBLE) AS right_mean, CAST(NULL AS DOUBLE) AS mann_whitney_u FROM n CROSS JOIN (VALUES ('age'), ('condition')) t(c)
+UNION ALL SELECT 'treatment', 'categorical', outcome, 'mann_whitney_u', NULL, NULL, 'Control', 'GPA', lm, rm, CAST(u AS DOUBLE) FROM n"""
+ORACLES["a_size_tests"] = f"""WITH {EVID}, v AS (SELECT cond, z, min(i) OVER (PARTITION BY cond) AS o FROM evd JOIN smp ON smp.sample = evd.sample),
+m AS (SELECT cond, min(o) AS o, count(*) AS n, quantile_cont(z, 0.5) AS med FROM v GROUP BY cond), prs AS (SELECT a.cond AS lg, b.cond AS rg, a.n AS na, b.n AS nb, a.med AS ma, b.med AS mb FROM m a JOIN m b ON a.o < b.o),
+w AS (SELECT lg, rg, na, nb, z, count(*) FILTER (cond = lg) AS a, count(*) FILTER (cond = rg) AS b FROM v JOIN prs ON cond = lg OR cond = rg GROUP BY ALL),
+c AS (SELECT *, sum(a) OVER w AS ca, sum(b) OVER w AS cb FROM w WINDOW w AS (PARTITION BY lg, rg ORDER BY z)),
+g AS (SELECT lg, rg, max(abs(ca / na - cb / nb)) AS d, sum(a * (cb - b)) + sum(a * b) / 2.0 AS u FROM c GROUP BY ALL)
+SELECT 'condition' AS group_column, g.lg AS left_group, g.rg AS right_group, na AS left_n_deletion_supporting_reads, nb AS right_n_deletion_supporting_reads, ma AS left_median_deleted_size, mb AS right_median_deleted_size,
+  t AS test, round(CASE WHEN t LIKE 'kol%' THEN d ELSE u END, 6) AS statistic FROM g JOIN prs ON prs.lg = g.lg AND prs.rg = g.rg CROSS JOIN (VALUES ('kolmogorov_smirnov_unweighted_deletion_sizes'), ('mann_whitney_u_unweighted_deletion_sizes')) x(t)"""
+W = "CASE WHEN tot > 0 THEN 1000000.0 / tot ELSE 0 END"
+SIZES = f"""siz AS (SELECT evd.sample, quantile_cont(z, 0.5) AS med, count(*) FILTER (z >= 5000) * any_value({W}) AS lrg, count(*) FILTER (z < 1000) * any_value({W}) AS sml, count(*) FILTER (z >= 1000 AND z < 5000) * any_value({W}) AS mid
+  FROM evd JOIN smp ON smp.sample = evd.sample GROUP BY evd.sample)"""
+ORACLES["a_size_metrics"] = f"""WITH {EVID}, {SIZES} SELECT sample, med AS median_deletion_size, round(lrg, 6) AS large_deletion_support_per_million_mt_reads, round(sml, 6) AS small_lt_1kb_support_per_million_mt_reads,
+  round(mid, 6) AS medium_1kb_to_4999bp_support_per_million_mt_reads FROM siz"""
+ORACLES["a_size_bins"] = f"""WITH {EVID}, v AS (SELECT cond, z, {W} AS w FROM evd JOIN smp ON smp.sample = evd.sample),
+g AS (SELECT cond, count(*) AS n, quantile_cont(z, 0.5) AS med, sum(w) AS t, coalesce(sum(w) FILTER (z < 1000), 0) AS a, coalesce(sum(w) FILTER (z >= 1000 AND z < 5000), 0) AS b, coalesce(sum(w) FILTER (z >= 5000), 0) AS c FROM v GROUP BY cond)
+SELECT cond AS "group", n AS n_deletion_supporting_reads, med AS median_deletion_size, round(t, 6) AS total_support_per_million_mt_reads, round(a, 6) AS small_lt_1kb_support_per_million_mt_reads,
+  round(b, 6) AS medium_1kb_to_4999bp_support_per_million_mt_reads, round(c, 6) AS large_ge_5kb_support_per_million_mt_reads, round(a / t, 6) AS small_lt_1kb_fraction_of_support, round(b / t, 6) AS medium_1kb_to_4999bp_fraction_of_support,
+  round(c / t, 6) AS large_ge_5kb_fraction_of_support FROM g"""
+ORACLES["a_factorial"] = f"""WITH {COUNTS}, {SIZES}, m AS (SELECT bur.*, med, lrg, sml, mid FROM bur LEFT JOIN siz ON siz.sample = bur.sample),
+o AS (SELECT age, tr, unnest(['deletion_support_per_million_mt_reads', 'unique_exact_deletions', 'median_deletion_size', 'large_deletion_support_per_million_mt_reads', 'small_lt_1kb_support_per_million_mt_reads', 'medium_1kb_to_4999bp_support_per_million_mt_reads']) AS outcome,
+  unnest([spm, ue, med, lrg, sml, mid]::DOUBLE[]) AS y FROM m),
+c AS (SELECT outcome, age, tr, count(*) AS n, avg(y) AS m, coalesce(var_pop(y), 0) * count(*) AS s FROM o WHERE y IS NOT NULL GROUP BY ALL),
+w AS (SELECT outcome, sum(n) AS n, sum(s) / (sum(n) - 4) AS s2, sum(1.0 / n) AS iall, sum(1.0 / n) FILTER (tr = 'Control') AS ia, sum(1.0 / n) FILTER (age = '18mo') AS it, max(m) FILTER (age = '18mo' AND tr = 'Control') AS m00, max(m) FILTER (age = '34mo' AND tr = 'Control') AS m10,
+  max(m) FILTER (age = '18mo' AND tr = 'GPA') AS m01, max(m) FILTER (age = '34mo' AND tr = 'GPA') AS m11 FROM c GROUP BY outcome),
+r AS (SELECT outcome, 'age' AS term, '34mo vs 18mo' AS contrast, m10 - m00 AS est, sqrt(s2 * ia) AS se, n FROM w UNION ALL SELECT outcome, 'treatment', 'GPA vs Control', m01 - m00, sqrt(s2 * it), n FROM w
+  UNION ALL SELECT outcome, 'age:treatment', 'extra GPA effect in 34mo', m11 - m10 - m01 + m00, sqrt(s2 * iall), n FROM w)
+SELECT outcome, term, contrast, round(est, 4) AS estimate, CASE WHEN est > 0 THEN 'positive' WHEN est < 0 THEN 'negative' ELSE 'zero' END AS direction, round(se, 4) AS standard_error, round(est / se, 4) AS t_statistic, CAST(n - 4 AS BIGINT) AS degrees_of_freedom FROM r"""
+ORACLES["a_qc"] = f"""WITH {COUNTS}, a AS (SELECT sample, count(*) AS n, count(*) FILTER (why IS NOT NULL) AS x, count(*) FILTER (why IS NULL) AS c, count(*) FILTER (why IS NULL AND (lsec OR rsec)) AS sec, count(*) FILTER (why IS NULL AND mq <= 0) AS mz FROM bef GROUP BY sample),
+u AS (SELECT sample, count(*) AS n, count(DISTINCT read_id) AS d FROM ob WHERE k % 50 = 7 GROUP BY sample)
+SELECT bur.sample, tot AS total_usable_reads, mt AS reads_passed_to_minimap2, coalesce(a.n, 0) AS clustered_split_read_alignments_before_transcript_filter, coalesce(x, 0) AS expected_transcript_compatible_split_reads,
+  coalesce(c, 0) AS candidate_deletion_split_reads_before_transcript_filter, coalesce(sec, 0) AS primary_calls_using_secondary_alignments, coalesce(mz, 0) AS primary_calls_with_min_mapq_zero, coalesce(u.n, 0) AS ambiguous_direction_records_excluded,
+  coalesce(d, 0) AS ambiguous_direction_reads_excluded, rd AS deletion_supporting_reads, ue AS unique_exact_deletions, TRUE AS expected_transcript_filter_applied,
+  concat_ws(';', CASE WHEN mt = 0 THEN 'no_mitochondrial_evidence_reads' END, CASE WHEN d > 0 THEN 'ambiguous_direction_evidence_excluded' END, CASE WHEN sec > 0 THEN 'secondary_alignments_in_primary_calls' END,
+    CASE WHEN mz > 0 THEN 'mapq_zero_alignments_in_primary_calls' END) AS warning_flags FROM bur LEFT JOIN a ON a.sample = bur.sample LEFT JOIN u ON u.sample = bur.sample"""
+
+# ---- views ---------------------------------------------------------------------------------
+
+LOC = f"""{ANN}, {SAMPLES},
+loc0 AS (SELECT cond, l, r, z, eid, count(*) AS n, round(sum({W}), 9) AS sup FROM ob JOIN smp ON smp.sample = ob.sample GROUP BY ALL),
+loc AS (SELECT *, row_number() OVER (PARTITION BY cond ORDER BY sup DESC, eid) AS rk FROM loc0)"""
+LOCATION = "cond AS plot_group, loc.eid AS exact_deletion_id, loc.l AS left_breakpoint, loc.r AS right_breakpoint, loc.z AS deleted_size, loc.n AS supporting_reads, round(sup, 6) AS plot_support, rk AS support_rank"
+ORACLES["v_locations"] = f"WITH {LOC} SELECT {LOCATION}, ann.lab AS affected_feature_label, arc AS replication_arc_context FROM loc JOIN ann ON ann.l = loc.l AND ann.r = loc.r"
+ORACLES["v_top_locations"] = f"""WITH {OBS}, {SAMPLES}, loc0 AS (SELECT tr AS cond, l, r, z, eid, count(*) AS n, round(sum({W}), 9) AS sup FROM ob JOIN smp ON smp.sample = ob.sample GROUP BY ALL),
+loc AS (SELECT *, row_number() OVER (PARTITION BY cond ORDER BY sup DESC, eid) AS rk FROM loc0 WHERE sup >= 0.2) SELECT {LOCATION} FROM loc WHERE rk <= 40"""
+DENSITY = f"""{LOC}, ep AS (SELECT 'l' AS side, l AS v, sup, n FROM loc UNION ALL SELECT 'r', r, sup, n FROM loc),
+bn AS (SELECT b, count(*) FILTER (side = 'l') AS lc, count(*) FILTER (side = 'r') AS rc, coalesce(sum(sup) FILTER (side = 'l'), 0.0) AS ls, coalesce(sum(sup) FILTER (side = 'r'), 0.0) AS rs,
+  CAST(coalesce(sum(n) FILTER (side = 'l'), 0) AS BIGINT) AS ln, CAST(coalesce(sum(n) FILTER (side = 'r'), 0) AS BIGINT) AS rn FROM (SELECT range AS b FROM range(332)) LEFT JOIN ep ON (v - 1) // 50 = b GROUP BY b),
+sm AS (SELECT a.b, sum(c.ls + c.rs) / 7.0 AS ss, sum(c.lc + c.rc) / 7.0 AS sc FROM bn a JOIN bn c ON least(abs(a.b - c.b), 332 - abs(a.b - c.b)) <= 3 GROUP BY a.b)"""
+ORACLES["v_density"] = f"""WITH {DENSITY} SELECT bn.b AS bin_index, lc AS left_endpoint_count, rc AS right_endpoint_count, round(ls, 6) AS left_support, round(rs, 6) AS right_support, ln AS left_raw_supporting_reads, rn AS right_raw_supporting_reads,
+  lc + rc AS endpoint_count, round(ls + rs, 6) AS summed_support, ln + rn AS raw_supporting_reads, bn.b * 50 + 1 AS bin_start, least((bn.b + 1) * 50, {L}) AS bin_end, (bn.b * 50 + 1 + least((bn.b + 1) * 50, {L})) / 2.0 AS bin_midpoint,
+  round(ss, 6) AS smoothed_summed_support, round(CAST(sc AS DOUBLE), 6) AS smoothed_endpoint_count FROM bn JOIN sm ON sm.b = bn.b"""
+ORACLES["v_pairs"] = f"""WITH {LOC} SELECT cond AS plot_group, l AS left_breakpoint, r AS right_breakpoint, CASE WHEN r < l THEN r + {L} ELSE r END AS adjusted_right_breakpoint, r < l AS crosses_origin, round(sum(sup), 6) AS plot_support,
+  CAST(sum(n) AS BIGINT) AS supporting_reads, min(rk) AS support_rank, min(z) AS deleted_size, count(DISTINCT eid) AS pair_count, string_agg(DISTINCT eid, '+') AS exact_deletion_id FROM loc GROUP BY cond, l, r"""
+ORACLES["v_histogram"] = f"""WITH {EVENTS}, {SAMPLES}, lim AS (SELECT min(deleted_size)::DOUBLE AS lo, max(deleted_size)::DOUBLE AS hi FROM events),
+b AS (SELECT cond, least(floor((deleted_size - lo) / ((hi - lo) / 60.0)), 59)::INT AS b, lo, (hi - lo) / 60.0 AS st, {W} AS w FROM events JOIN smp ON smp.sample = events.sample CROSS JOIN lim)
+SELECT cond AS "group", b AS bin_index, round(min(lo + b * st), 4) AS bin_start, round(min(lo + (b + 1) * st), 4) AS bin_end, count(*) AS supporting_reads, round(sum(w), 4) AS weighted_support FROM b GROUP BY cond, b"""
+ORACLES["v_categories"] = f"""WITH {COUNTS}, t AS (SELECT cond, label, sum(reads)::DOUBLE AS v FROM cnt WHERE kind = 'affected' GROUP BY ALL), p AS (SELECT cond, label, v / sum(v) OVER (PARTITION BY cond) * 100 AS v FROM t),
+k AS (SELECT label FROM p GROUP BY label ORDER BY sum(v) DESC, label LIMIT 14)
+SELECT cond AS "group", CASE WHEN label IN (SELECT label FROM k) THEN label ELSE 'Other categories' END AS category, round(sum(v), 6) AS value FROM p GROUP BY 1, 2"""
+ORACLES["v_top_features"] = f"""WITH {FB}, g AS (SELECT cond, feature, sum(pm) AS v FROM fb GROUP BY ALL), k AS (SELECT feature FROM g GROUP BY feature ORDER BY sum(v) DESC, feature LIMIT 8),
+raw(n, s) AS (VALUES ('MT-ND1', 3307), ('MT-ND2', 4470), ('MT-CO1', 5904), ('MT-CO2', 7586), ('MT-ATP8', 8366), ('MT-ATP6', 8527), ('MT-CO3', 9207), ('MT-ND3', 10059), ('MT-ND4L', 10470), ('MT-ND4', 10760), ('MT-ND5', 12337),
+  ('MT-ND6', 14149), ('MT-CYB', 14747), ('MT-RNR1', 648), ('MT-RNR2', 1671), ('MT-TL1', 3230))
+SELECT feature, cond AS "group", round(v, 6) AS support_per_million_mt_reads, s AS genome_order FROM g LEFT JOIN raw ON n = feature WHERE feature IN (SELECT feature FROM k)"""
+ORACLES["v_recurrence"] = f"""WITH {COUNTS}, k AS (SELECT *, len(string_split(lab, '+')) AS np FROM ann ORDER BY n DESC, eid LIMIT 22), g AS (SELECT cond, label, sum(pm) AS v FROM cnt WHERE kind = 'exact' GROUP BY ALL)
+SELECT eid AS exact_deletion_id, l || '->' || r || ' (' || z || ' bp) | ' || CASE WHEN np > 6 THEN string_split(lab, '+')[1] || ' ... ' || string_split(lab, '+')[-1] || ' (' || np || ' features)' ELSE lab END AS label,
+  n AS total_supporting_reads, cond AS "group", round(v, 6) AS support_per_million FROM k LEFT JOIN g ON g.label = eid"""
+ORACLES["v_gram"] = f"""WITH {COUNTS}, lb AS (SELECT DISTINCT label FROM cnt WHERE kind = 'affected'), d AS (SELECT smp.sample, lb.label, coalesce(reads, 0)::DOUBLE AS v FROM smp CROSS JOIN lb LEFT JOIN cnt ON cnt.sample = smp.sample AND cnt.label = lb.label AND kind = 'affected'),
+c AS (SELECT sample, label, v - avg(v) OVER (PARTITION BY label) AS v FROM d) SELECT a.sample AS sample_a, b.sample AS sample_b, round(sum(a.v * b.v), 3) AS value FROM c a JOIN c b ON a.label = b.label GROUP BY ALL"""
+ORACLES["v_bray_curtis"] = f"""WITH {COUNTS}, x AS (SELECT sample, label, pm FROM cnt WHERE kind = 'exact'), t AS (SELECT smp.sample, coalesce(sum(pm), 0) AS t FROM smp LEFT JOIN x ON x.sample = smp.sample GROUP BY smp.sample),
+m AS (SELECT a.sample AS sa, b.sample AS sb, sum(least(a.pm, b.pm)) AS m FROM x a JOIN x b ON a.label = b.label GROUP BY ALL)
+SELECT a.sample AS sample_a, b.sample AS sample_b, CASE WHEN a.sample = b.sample OR a.t + b.t = 0 THEN 0.0 ELSE round((a.t + b.t - 2 * coalesce(m, 0)) / (a.t + b.t), 6) END AS distance FROM t a CROSS JOIN t b LEFT JOIN m ON sa = a.sample AND sb = b.sample"""
+RANKED = f"""{COMPARE}, rk AS (SELECT cmp.*, round(rm - lm, 6) AS df, lr + rr AS obs, ann.l, ann.r, ann.z, ann.arc, ann.minor FROM cmp JOIN ann ON ann.eid = cmp.label WHERE cmp.kind = 'exact' AND lr + rr >= 1),
+rkd AS (SELECT *, row_number() OVER (PARTITION BY lg, rg ORDER BY abs(df) DESC, obs DESC, label) AS pos FROM rk)"""
+ORACLES["v_comparison"] = f"""WITH {RANKED} SELECT label AS exact_deletion_id, lg AS left_group, rg AS right_group, df AS difference_per_million_mt_reads, obs AS total_supporting_observations, pos AS comparison_rank, z AS deleted_size,
+  arc AS replication_arc_context, minor AS minor_arc_deleted_bp FROM rkd"""
+ORACLES["v_preset"] = f"WITH {RANKED} SELECT label AS exact_deletion_id, lg AS left_group, rg AS right_group, df AS difference_per_million_mt_reads FROM rkd WHERE obs >= 2 AND abs(df) >= 0.05 AND df > 0"
+ORACLES["v_chords"] = f"WITH {LOC} SELECT cond AS plot_group, eid AS exact_deletion_id, round((l - 1) / {L}.0 * 360, 6) AS left_angle_degrees_clockwise_from_coordinate_1, round((r - 1) / {L}.0 * 360, 6) AS right_angle_degrees_clockwise_from_coordinate_1 FROM loc"
+ORACLES["v_chord_summary"] = f"""WITH {LOC} SELECT cond AS plot_group, count(*) AS loaded_deletions, round(min(sup), 6) AS support_min, round(max(sup), 6) AS support_max, round(coalesce(min(sup) FILTER (n >= 2 AND z >= 1000), max(sup)), 6) AS support_threshold,
+  coalesce(min(n) FILTER (sup >= 0.3 AND z >= 1000), 0) AS observation_threshold FROM loc GROUP BY cond"""
+ORACLES["v_group_order"] = f"WITH {SEG}, {SAMPLES} SELECT cond AS \"group\", row_number() OVER (ORDER BY age, tr) AS position, count(*) AS sample_count, age, tr AS treatment FROM smp GROUP BY cond, age, tr"
+ORACLES["v_group_means"] = f"""WITH {COUNTS} SELECT age, tr AS treatment, round(avg(spm), 6) AS mean_value, count(*) AS sample_count, string_agg(sample, '; ' ORDER BY sample) AS samples FROM bur GROUP BY age, tr
+UNION ALL SELECT NULL, tr, round(avg(spm), 6), count(*), string_agg(sample, '; ' ORDER BY sample) FROM bur GROUP BY tr"""
+ORACLES["v_scale"] = f"""WITH {LOC}, m AS (SELECT min(sup) FILTER (sup > 0) AS a, max(sup) FILTER (sup > 0) AS b, quantile_cont(sup, 0.96) FILTER (sup > 0) AS c FROM loc), d AS (SELECT *, pow(10, floor(log10(a))) AS da, pow(10, floor(log10(b))) AS db FROM m)
+SELECT round(a, 6) AS support_min, round(b, 6) AS support_max, round(c, 6) AS cap, round(CASE WHEN a / da < 2 THEN 1 WHEN a / da < 5 THEN 2 ELSE 5 END * da, 6) AS scale_low,
+  round(CASE WHEN b / db <= 1 THEN 1 WHEN b / db <= 2 THEN 2 WHEN b / db <= 5 THEN 5 ELSE 10 END * db, 6) AS scale_high FROM d"""
+
+# ---- report tables -------------------------------------------------------------------------
+
+ORACLES["w_target_ranks"] = f"""WITH {ANN}, a AS (SELECT *, row_number() OVER (ORDER BY n DESC, eid) AS pos, max(n) OVER () AS top FROM ann),
+g AS (SELECT kd, count(*) AS c, CAST(sum(n) AS BIGINT) AS s, min(pos) AS pos FROM a WHERE kd <> '' GROUP BY kd)
+SELECT g.kd AS configured_deletion_target, c AS matching_exact_deletion_calls, s AS total_supporting_reads_across_matches, eid AS top_matching_exact_deletion, g.pos AS top_matching_rank_among_all_exact_deletions,
+  n AS top_matching_supporting_reads, l AS top_left_breakpoint, r AS top_right_breakpoint, z AS top_deleted_size, g.pos = 1 AS is_strongest, top AS top_overall_exact_deletion_supporting_reads FROM g JOIN a ON a.pos = g.pos"""
+SHOWN = f"{ANN}, shn AS (SELECT *, row_number() OVER (ORDER BY kd = '', n DESC, ns DESC, z DESC, eid) AS pos FROM ann WHERE (SELECT count(*) FROM ann) <= 60 OR n >= 2 OR kd <> '' QUALIFY pos <= 60)"
+ORACLES["w_display"] = f"WITH {SHOWN} SELECT eid AS exact_deletion_id, kd AS known_deletion_label, n AS total_supporting_reads, z AS deleted_size, pos AS position FROM shn"
+ORACLES["w_counters"] = f"""WITH {SHOWN} SELECT (SELECT count(*) FROM shn) AS shown_rows, (SELECT CAST(sum(n) AS BIGINT) FROM shn) AS shown_reads, (SELECT count(*) FROM shn WHERE kd <> '') AS shown_target_rows,
+  count(*) AS total_rows, CAST(sum(n) AS BIGINT) AS total_reads, count(*) FILTER (kd <> '') AS total_target_rows FROM ann"""
+ORACLES["w_checks"] = f"""WITH {COUNTS} SELECT count(*) FILTER (r <= l) AS origin_spanning_exact_deletions, count(*) FILTER (kd <> '') AS configured_target_matches, count(*) AS exact_deletions, CAST(sum(n) AS BIGINT) AS supporting_reads,
+  (SELECT round(avg(spm), 6) FROM bur) AS mean_burden FROM ann"""
+
+# ---- audit ---------------------------------------------------------------------------------
+
+CHECK = "count(*) AS rows, count(*) FILTER (z <> {0}) AS size_mismatches, count(*) FILTER (z < 0) AS negative_sizes, 0 AS wrap_rule_mismatches, count(*) FILTER (r <= l) AS origin_spanning_rows".format(gap("l", "r"))
+ORACLES["z_checks"] = f"""WITH {OBS}, e AS (SELECT left_breakpoint AS l, right_breakpoint AS r, deleted_size AS z, orderkey AS k FROM events), w AS (SELECT l, r, z - CASE WHEN k % 9 = 0 THEN 300 ELSE 0 END AS z FROM e)
+SELECT 'raw rotated deletion calls' AS "table", {CHECK} FROM e UNION ALL SELECT 'altered calls', {CHECK} FROM w UNION ALL SELECT 'merged clusters', {CHECK} FROM ex"""
+ORACLES["z_round_trip"] = f"""WITH {SEG} SELECT DISTINCT std_end AS standard_position, rn AS rotation_name, rs AS rotation_start, {rotated("std_end", "rs")} AS rotated_position, std_end AS back_to_standard, TRUE AS roundtrip_pass
+FROM seg CROSS JOIN (VALUES ('normal', 1), ('half', 8285)) t(rn, rs)"""
+BACK = norm("raw_left_breakpoint", "rotation_start")
+EXAMPLE = f"sample, read_id, rotation_name, left_breakpoint, right_breakpoint, {BACK} AS raw_left_converted_to_standard, deleted_size, TRUE AS size_matches"
+BY = "ORDER BY sample, read_id, deletion_id, rotation_name LIMIT 1"
+EDGE = f"least(abs(raw_left_breakpoint), abs(raw_left_breakpoint - {L}), abs(raw_right_breakpoint), abs(raw_right_breakpoint - {L}))"
+ORACLES["z_examples"] = f"""WITH {EVENTS}, mem AS (SELECT * FROM events QUALIFY {EXACT_FIRST}), bo AS (SELECT left_breakpoint AS l, right_breakpoint AS r FROM mem GROUP BY ALL HAVING count(DISTINCT rotation_name) > 1 ORDER BY min(deletion_id) LIMIT 1)
+SELECT * FROM (SELECT 'normal deletion from standard alignment' AS example, {EXAMPLE} FROM events WHERE rotation_name = 'normal' AND NOT wraps_origin {BY})
+UNION ALL SELECT * FROM (SELECT 'normal deletion from offset alignment', {EXAMPLE} FROM events WHERE rotation_name = 'half' AND NOT wraps_origin {BY})
+UNION ALL SELECT * FROM (SELECT 'origin-spanning deletion from offset alignment', {EXAMPLE} FROM events WHERE rotation_name = 'half' AND wraps_origin {BY})
+UNION ALL SELECT * FROM (SELECT 'deletion near offset-reference boundary', {EXAMPLE} FROM events WHERE rotation_name = 'half' AND NOT wraps_origin ORDER BY {EDGE}, sample, read_id, deletion_id, rotation_name LIMIT 1)
+UNION ALL SELECT * FROM (SELECT 'merged call detected in both alignments', {EXAMPLE} FROM mem JOIN bo ON l = left_breakpoint AND r = right_breakpoint ORDER BY sample, read_id, rotation_name LIMIT 1)"""
+ORACLES["z_violations"] = f"""WITH {LOC} SELECT 'altered' AS input, 'locations' AS "table", eid AS exact_deletion_id FROM loc WHERE cond = '18mo_Control' AND NOT (l % 2 = 0 AND sup > 0)
+UNION ALL SELECT 'as_is', 'locations', eid FROM loc WHERE cond <> '34mo_GPA' AND NOT sup > 0"""
