@@ -611,7 +611,7 @@ y AS (SELECT *, greatest(0, e1 - s2) AS ov, greatest(0, s2 - e1) AS gp FROM x),
 f AS (SELECT *, concat_ws(';', CASE WHEN strand_a <> strand_b THEN 'incompatible_reference_orientation' END, CASE WHEN la < 12 THEN 'left_anchor_short' END, CASE WHEN ra < 12 THEN 'right_anchor_short' END,
   CASE WHEN z < 100 THEN 'deletion_too_small' END, CASE WHEN z > 16000 THEN 'deletion_too_large' END, CASE WHEN ov > 20 THEN 'query_overlap_too_large' END, CASE WHEN gp > 20 THEN 'query_gap_too_large' END,
   CASE WHEN ta IS NULL OR tb IS NULL THEN 'missing_annotated_gene_anchor' END, CASE WHEN same THEN 'same_gene_chimeric_alignment' END,
-  CASE WHEN greatest(0, least(ta[3], tb[3]) - greatest(ta[2], tb[2]) + 1) / least(ta[3] - ta[2] + 1, tb[3] - tb[2] + 1) > 0.5 THEN 'substantially_overlapping_gene_anchors' END,
+  CASE WHEN ta IS NOT NULL AND tb IS NOT NULL AND greatest(0, least(ta[3], tb[3]) - greatest(ta[2], tb[2]) + 1) / least(ta[3] - ta[2] + 1, tb[3] - tb[2] + 1) > 0.5 THEN 'substantially_overlapping_gene_anchors' END,
   CASE WHEN (ta[1] = 'MT-ND1' AND tb[1] = 'MT-CO1') OR (ta[1] = 'MT-CO3' AND tb[1] = 'MT-ND5') OR (ta[1] = 'MT-ND5' AND tb[1] = 'MT-CO3') THEN 'configured_expected_transcript_pair' END) AS why FROM y)
 SELECT sample, read_id, breakpoint_a AS left_breakpoint, breakpoint_b AS right_breakpoint, z AS deleted_size, la AS left_anchor_length, ra AS right_anchor_length, ov AS query_overlap_bp, gp AS query_gap_bp,
   ha AS left_gene_hits, hb AS right_gene_hits, ta[1] || '--' || tb[1] AS gene_pair_label, 99 - score AS chimeric_score_delta, least(repeat_left, repeat_right) AS junction_repeat_length,

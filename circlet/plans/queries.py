@@ -929,7 +929,7 @@ def _(spark, sf):
 def _(spark, sf):
     """V13."""
     counts, sheet = _counts(spark, sf)
-    return rounded(V.bray_curtis(counts.filter("label_kind = 'exact'"), sheet.select("sample"), "reads"))
+    return rounded(V.bray_curtis(counts.filter("label_kind = 'exact'"), sheet.select("sample")))
 
 
 def _compared(spark, sf) -> DataFrame:
