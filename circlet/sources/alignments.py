@@ -24,7 +24,7 @@ def parse_sam(lines: DataFrame) -> DataFrame:
     rows = rows.select(*others, F.split("value", "\t").alias("f")).filter(F.size("f") >= 11)
 
     def field(i) -> Column:
-        return F.element_at("f", i)
+        return F.try_element_at("f", F.lit(i))
 
     star = lambda c: F.nullif(c, F.lit("*"))
     tags = F.map_from_entries(
@@ -32,8 +32,8 @@ def parse_sam(lines: DataFrame) -> DataFrame:
     )
     typed = rows.select(
         *others,
-        field(1).alias("query_name"), field(2).cast("int").alias("flag"), star(field(3)).alias("reference_name"),
-        field(4).cast("int").alias("pos"), field(5).cast("int").alias("mapq"), star(field(6)).alias("cigar"),
+        field(1).alias("query_name"), field(2).try_cast("int").alias("flag"), star(field(3)).alias("reference_name"),
+        field(4).try_cast("int").alias("pos"), field(5).try_cast("int").alias("mapq"), star(field(6)).alias("cigar"),
         star(field(10)).alias("seq"), star(field(11)).alias("qual"), tags.alias("tags"),
     )
     span = R.cigar_metrics("cigar")
