@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from circlet.durable import materialize
 from circlet.functions import coords as C
 from circlet.functions import reads as R
 from circlet.params import Params
@@ -46,10 +47,11 @@ def _profile(steps: DataFrame, positions: DataFrame) -> DataFrame:
     position of the circle whatever the depth.
     """
     key = ["sample", "rotation_name"]
-    rotations = steps.select(*key).distinct()
+    # at most one row per position of the circle, sample and rotation: written once, used twice
+    summed = materialize(steps.groupBy(*key, "position").agg(F.sum("step").alias("step")), "edges")
+    rotations = summed.select(*key).distinct()
     wanted = positions.join(rotations, "sample").select(*key, "position", F.lit(0).cast("long").alias("step"), F.lit(True).alias("asked"))
-    summed = steps.groupBy(*key, "position").agg(F.sum("step").alias("step")).withColumn("asked", F.lit(False))
-    both = summed.unionByName(wanted).groupBy(*key, "position").agg(F.sum("step").alias("step"), F.max("asked").alias("asked"))
+    both = summed.withColumn("asked", F.lit(False)).unionByName(wanted).groupBy(*key, "position").agg(F.sum("step").alias("step"), F.max("asked").alias("asked"))
     w = W.partitionBy(*key).orderBy("position").rowsBetween(W.unboundedPreceding, W.currentRow)
     return both.withColumn("depth", F.sum("step").over(w)).filter("asked").select(*key, "position", "depth")
 
@@ -83,7 +85,7 @@ def spanning_reads(blocks: DataFrame, positions: DataFrame, p: Params) -> DataFr
     marked = spans.withColumn("fresh", F.coalesce(F.col("low") > F.max("high").over(before), F.lit(True)))
     merged = marked.withColumn("island", F.sum(F.col("fresh").cast("long")).over(islands))
     plain = merged.groupBy(*key, "island").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    ends = blocks.groupBy(*key).agg(
+    ends = longest.groupBy(*key).agg(
         F.min(F.when(F.col("end") == length, F.col("start"))).alias("tail"),
         F.max(F.when(F.col("start") == 1, F.col("end"))).alias("head"),
     ).filter("tail is not null and head is not null")
@@ -93,10 +95,12 @@ def spanning_reads(blocks: DataFrame, positions: DataFrame, p: Params) -> DataFr
         F.least(F.col("head") - w, F.lit(w)).alias("high"),
     ).filter("low <= high")
     # positions <= 0 stand for length + position
-    before_origin = across.select("sample", "rotation_name", (F.col("low") + length).alias("low"),
-                                  (F.least("high", F.lit(0)) + length).alias("high"))
-    after_origin = across.select("sample", "rotation_name", F.greatest("low", F.lit(1)).alias("low"), "high")
-    every = plain.select("sample", "rotation_name", "low", "high").unionByName(before_origin).unionByName(after_origin)
+    parts = F.array(
+        F.struct((F.col("low") + length).alias("low"), (F.least("high", F.lit(0)) + length).alias("high")),
+        F.struct(F.greatest("low", F.lit(1)).alias("low"), F.col("high")),
+    )
+    across = across.select("sample", "rotation_name", F.inline(parts))
+    every = plain.select("sample", "rotation_name", "low", "high").unionByName(across)
     return _profile(_edges(every), positions)
 
 
