@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 from circlet.plans.fixtures import forget_stages
 from circlet.plans.queries import QUERIES
 
-HEADLINE = ("d_event_counts", "q_conflicts", "k_clusters", "k_clusters_by_read", "q_observations", "f_impact", "r_competitive", "m_hits")
+HEADLINE = ("d_event_counts", "q_conflicts", "k_clusters", "k_clusters_by_read", "q_observations", "f_impact", "r_competitive")
 
 
 def main() -> None:
