@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from circlet.llm import exact_dedup, line_dedup, warc
+from circlet.llm import exact_dedup, line_dedup, packing, warc
 from circlet.llm.common import table
 
 
@@ -25,8 +25,20 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op5_warc": op5_warc,
     "op6_line_dedup": op6_line_dedup,
+    "op7_best_fit_packing": op7_best_fit_packing,
 }

@@ -269,7 +269,7 @@ def read_archives(manifest: DataFrame) -> DataFrame:
                         yield frame(rows)
 
     schema = "page_id bigint, url string, record_type string, payload binary, payload_bytes bigint, payload_digest string, refers_to bigint"
-    return manifest.select("path").repartition("path").mapInPandas(read, schema)
+    return manifest.select("path").repartition(max(1, manifest.count())).mapInPandas(read, schema)  # a task for each archive
 
 
 def revisits(records: DataFrame, least_bytes: int = REVISIT_BYTES) -> DataFrame:
