@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from circlet.llm import exact_dedup, line_dedup, packing, warc
+from circlet.llm import exact_dedup, fingerprint, line_dedup, packing, warc
 from circlet.llm.common import table
 
 
@@ -36,9 +36,14 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edit_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op5_warc": op5_warc,
     "op6_line_dedup": op6_line_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op10_fingerprints": op10_fingerprints,
 }
