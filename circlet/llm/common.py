@@ -44,3 +44,22 @@ def attach_group(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
     settled = marked.where(F.col(f"heavy_{size}").isNotNull()).select(*rows.columns, *[F.col(f"heavy_{c}").alias(c) for c in extra])
     rest = marked.where(F.col(f"heavy_{size}").isNull()).select(*rows.columns).join(light, key).select(*rows.columns, *extra)
     return settled.unionByName(rest)
+
+
+def hash_sample(rows: DataFrame, key: str, bound: int) -> DataFrame:
+    """About ``bound`` rows at most, chosen by the hash of a key: the same ones at every run. All rows if there are fewer."""
+    total = rows.count()
+    if total <= bound:
+        return rows
+    return rows.where(F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 30)) < int((1 << 30) * bound / total))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, bound: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(doc_id, label, text) of at most about ``bound`` labelled rows; ``allowed`` is a condition on doc_id.
+
+    An id that is labelled twice takes the smaller label. The label side is bounded, so it is broadcast.
+    """
+    clean = labels.select(F.col(id_column).alias("doc_id"), F.col(label).cast("int").alias("label")).where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & allowed)
+    chosen = hash_sample(clean.groupBy("doc_id").agg(F.min("label").alias("label")), "doc_id", bound)
+    texts = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")

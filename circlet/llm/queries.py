@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from circlet.llm import exact_dedup, fingerprint, line_dedup, packing, warc
+from circlet.llm import exact_dedup, fingerprint, language, line_dedup, packing, toxicity, warc
 from circlet.llm.common import table
 
 
@@ -40,10 +40,20 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edit_report(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_toxicity": op2_toxicity,
     "op5_warc": op5_warc,
     "op6_line_dedup": op6_line_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op9_language": op9_language,
     "op10_fingerprints": op10_fingerprints,
 }
