@@ -75,53 +75,58 @@ def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
     return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda e: e)) / F.lit(float(samples))
 
 
+def _bucket_edges(rows: DataFrame) -> DataFrame:
+    """For each bucket the one after it in descending order (after the last the first), with that bucket's greatest id.
+
+    One narrow row a bucket; the order is made inside ranges of 4096 buckets, then from range to range.
+    """
+    tops = rows.groupBy("bucket").agg(F.max("doc_id").alias("top_id")).select("bucket", F.struct("bucket", "top_id").alias("top"))
+    ranged = tops.withColumn("range", F.floor(F.col("bucket") / 4096))
+    inside = F.lead("top").over(Window.partitionBy("range").orderBy(F.desc("bucket")))
+    firsts = ranged.groupBy("range").agg(F.max("top").alias("first"))
+    start = firsts.agg(F.max("first").alias("start"))
+    later = firsts.select("range", F.lead("first").over(Window.orderBy(F.desc("range"))).alias("later"))
+    chained = ranged.withColumn("inside", inside).join(later, "range").crossJoin(F.broadcast(start))  # start is one row
+    head = F.coalesce("inside", "later", "start")
+    return chained.select(F.col("bucket").alias("edge_bucket"), head["bucket"].alias("head_bucket"), head["top_id"].alias("head_id"))
+
+
 def edit_neighbours(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """bucket, doc_id, text, n_chars, next_id, edited: the last third replaced by the start of the next document.
+    """bucket, place, doc_id, text, next_id, edited: the last third replaced by the start of the next document.
 
-    The next document is the one with the next smaller id; after the last comes the first.
+    The next document is the one with the next smaller id; after the last comes the first. (bucket, place) names a row.
     """
     bucket = F.coalesce(F.floor(F.col(id_column) / BUCKET_IDS), F.lit(-(2**60)))
     rows = docs.select(bucket.alias("bucket"), F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    tops = rows.groupBy("bucket").agg(F.max("doc_id").alias("top_id"))
-    # the bucket after each, in descending order: inside ranges of buckets, then from range to range
-    ranged = tops.withColumn("range", F.floor(F.col("bucket") / 4096))
-    inside = F.lead("bucket").over(Window.partitionBy("range").orderBy(F.desc("bucket")))
-    firsts = ranged.groupBy("range").agg(F.max("bucket").alias("first_bucket"))
-    start = firsts.agg(F.max("first_bucket").alias("start_bucket"))
-    later = firsts.select("range", F.lead("first_bucket").over(Window.orderBy(F.desc("range"))).alias("later_bucket"))
-    chained = ranged.withColumn("inside_bucket", inside).join(later, "range").crossJoin(F.broadcast(start))  # start is one row
-    edges = chained.select(F.col("bucket").alias("edge_bucket"), F.coalesce("inside_bucket", "later_bucket", "start_bucket").alias("head_bucket"))
-    heads = rows.join(tops.select(F.col("bucket").alias("top_bucket"), "top_id"), (F.col("bucket") == F.col("top_bucket")) & F.col("doc_id").eqNullSafe(F.col("top_id")), "left_semi")
-    heads = heads.groupBy("bucket").agg(F.min(F.struct("text", "doc_id")).alias("head"))
-    across = edges.join(heads.select(F.col("bucket").alias("head_bucket"), "head"), "head_bucket").select("edge_bucket", "head")
+    edges = materialize(_bucket_edges(rows), "bucket-edges")
+    heads = rows.join(edges, (F.col("bucket") == F.col("head_bucket")) & F.col("doc_id").eqNullSafe(F.col("head_id")))
+    across = heads.groupBy("edge_bucket").agg(F.min(F.struct("text", "doc_id")).alias("head"))
     order = Window.partitionBy("bucket").orderBy(F.desc_nulls_last("doc_id"), "text")
-    paired = rows.withColumn("follower", F.lead(F.struct("text", "doc_id")).over(order))
+    paired = rows.withColumn("place", F.row_number().over(order)).withColumn("follower", F.lead(F.struct("text", "doc_id")).over(order))
     joined = paired.join(across, F.col("follower").isNull() & (F.col("bucket") == F.col("edge_bucket")), "left")
     after = F.coalesce("follower", "head")
     third = F.floor(F.length("text") / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - third), F.substring(after["text"], F.lit(1), third))
-    return joined.select("bucket", "doc_id", "text", F.length("text").cast("bigint").alias("n_chars"), after["doc_id"].alias("next_id"), edited.alias("edited"))
+    return joined.select("bucket", "place", "doc_id", "text", after["doc_id"].alias("next_id"), edited.alias("edited"))
 
 
 def edit_report(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", samples: int = SAMPLES) -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likenesses."""
     pairs = edit_neighbours(docs, id_column, text_column)
-    keys = ["bucket", "doc_id", "n_chars", "next_id", "version", "edited_sha256"]
-    versions = F.explode(
-        F.array(
-            F.struct(F.lit(0).alias("version"), F.lit("").alias("edited_sha256"), F.col("text").alias("body")),
-            F.struct(F.lit(1).alias("version"), F.sha2("edited", 256).alias("edited_sha256"), F.col("edited").alias("body")),
-        )
-    )
-    bodies = pairs.select("bucket", "doc_id", "n_chars", "next_id", versions.alias("v")).select("bucket", "doc_id", "n_chars", "next_id", "v.*")
-    prints = materialize(fingerprints(bodies, keys, "body", samples), "fingerprints")
-    own = prints.where("version = 0").select("bucket", "doc_id", "n_chars", "next_id", "fingerprint")
-    other = prints.where("version = 1").select(
-        F.col("doc_id").alias("e_id"), F.col("n_chars").alias("e_chars"), F.col("next_id").alias("e_next"), "edited_sha256", F.col("fingerprint").alias("edited_fingerprint")
-    )
-    both = own.join(other, F.col("doc_id").eqNullSafe(F.col("e_id")) & (F.col("n_chars") == F.col("e_chars")) & F.col("next_id").eqNullSafe(F.col("e_next")))
-    following = own.groupBy(F.col("doc_id").alias("f_id")).agg(F.min("fingerprint").alias("next_fingerprint"))
-    full = both.join(following, F.col("next_id").eqNullSafe(F.col("f_id")))
+    versions = F.explode(F.array(F.struct(F.lit(0).alias("version"), F.col("text").alias("body")), F.struct(F.lit(1).alias("version"), F.col("edited").alias("body"))))
+    bodies = pairs.select("bucket", "place", versions.alias("v")).select("bucket", "place", "v.version", "v.body")
+    prints = fingerprints(bodies, ["bucket", "place", "version"], "body", samples)
+    facts = pairs.select("bucket", "place", "doc_id", "next_id", F.length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
+    # one query, so that both halves read the same shuffle of the texts
+    both = materialize(prints.unionByName(facts, allowMissingColumns=True), "fingerprints")
+    version = F.col("version")
+    rows = both.groupBy("bucket", "place").agg(
+        F.max("doc_id").alias("doc_id"), F.max("next_id").alias("next_id"), F.max("n_chars").alias("n_chars"), F.max("edited_sha256").alias("edited_sha256"),
+        F.max(F.when(version == 0, F.col("fingerprint"))).alias("fingerprint"), F.max(F.when(version == 1, F.col("fingerprint"))).alias("edited_fingerprint"),
+    )
+    rows = materialize(rows, "fingerprint-rows")
+    following = rows.groupBy(F.col("doc_id").alias("f_id")).agg(F.min("fingerprint").alias("next_fingerprint"))
+    full = rows.join(following, F.col("next_id").eqNullSafe(F.col("f_id")))
     return full.select(
         "doc_id", "n_chars", "edited_sha256", as_text(F.col("fingerprint")).alias("fingerprint"), as_text(F.col("edited_fingerprint")).alias("edited_fingerprint"),
         likeness(F.col("fingerprint"), F.col("edited_fingerprint"), samples).alias("near_edited"),
