@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from circlet.llm import exact_dedup, fingerprint, language, line_dedup, packing, toxicity, warc
+from circlet.llm import exact_dedup, fingerprint, language, line_dedup, packing, quality, toxicity, warc
 from circlet.llm.common import table
 
 
@@ -44,6 +44,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES = {
     "op5_warc": op5_warc,
     "op6_line_dedup": op6_line_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_quality": op8_quality,
     "op9_language": op9_language,
     "op10_fingerprints": op10_fingerprints,
 }
