@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from circlet.llm import exact_dedup, fingerprint, language, line_dedup, packing, quality, toxicity, warc
+from circlet.llm import exact_dedup, fingerprint, language, line_dedup, near_dedup, packing, quality, toxicity, warc
 from circlet.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.convert(table(spark, sf_dir, "pages"))
     return warc.read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -55,6 +59,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_toxicity": op2_toxicity,
+    "op3_near_dedup": op3_near_dedup,
     "op5_warc": op5_warc,
     "op6_line_dedup": op6_line_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
