@@ -63,3 +63,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Col
     chosen = hash_sample(clean.groupBy("doc_id").agg(F.min("label").alias("label")), "doc_id", bound)
     texts = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
+
+
+def keep_scored(docs: DataFrame, score, condition: Column, text_column: str = "text") -> DataFrame:
+    """Whole rows whose ``score`` meets a condition. ``score`` maps rows with a text to their other columns and a score.
+
+    Columns travel under numbers, so that no name can clash with those that the scorer makes.
+    """
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    text = F.coalesce(F.col(f"c{docs.columns.index(text_column)}"), F.lit("")).alias("text")
+    return score(numbered.select("*", text)).where(condition).select(*numbered.columns).toDF(*docs.columns)

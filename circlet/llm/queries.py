@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from circlet.llm import exact_dedup, fingerprint, language, line_dedup, near_dedup, packing, quality, toxicity, warc
+from circlet.llm import exact_dedup, fingerprint, language, line_dedup, near_dedup, packing, pieces, quality, toxicity, warc
 from circlet.llm.common import table
 
 
@@ -18,6 +18,12 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = pieces.encode_documents(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), with_ids=False)
+    best, second = F.element_at("scores", 1), F.try_element_at("scores", F.lit(2))
+    return coded.select("doc_id", "n_ids", "ids_crc32", best.alias("best_score"), second.alias("second_score"), F.size("scores").alias("n_paths"), "decoded_sha256")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.convert(table(spark, sf_dir, "pages"))
     return warc.read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -60,6 +66,7 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_near_dedup": op3_near_dedup,
+    "op4_pieces": op4_pieces,
     "op5_warc": op5_warc,
     "op6_line_dedup": op6_line_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
