@@ -15,9 +15,11 @@ _LOCAL: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables: the one the cluster names, else a fresh one in local mode."""
     named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if named:
+        if named.startswith("file:") and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must be a folder that all machines of the cluster share")
         return named
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder on a cluster")
     return _LOCAL.setdefault(context.applicationId, tempfile.mkdtemp(prefix="circlet-"))

@@ -13,6 +13,16 @@ def read_key(name) -> Column:
     return F.regexp_replace(F.regexp_replace(_c(name), "/1$", ""), "/2$", "")
 
 
+def first_word(text) -> Column:
+    """Up to the first white space, which may not stand at the front."""
+    return F.regexp_extract(F.trim(_c(text)), r"^(\S*)", 1)
+
+
+def name_key(header) -> Column:
+    """Fragment name of a whole read header: its first word without the mate."""
+    return read_key(first_word(header))
+
+
 def has_flag(flag, bit: int) -> Column:
     return _c(flag).bitwiseAND(F.lit(bit)) != 0
 

@@ -71,7 +71,7 @@ def remap_evidence(events: DataFrame) -> DataFrame:
 def judge_junctions(junctions: DataFrame, features: Features, p: Params, expected_pairs=()) -> DataFrame:
     """Q03-Q05: pass/fail with ordered reasons for every junction inside the circular contig.
 
-    ``junctions`` comes from the junction reader. Failed rows are kept.
+    ``junctions`` comes from the junction reader. Failed rows are kept. Configured regions are no genes.
     ``expected_pairs`` holds (left name, right name, bidirectional, reason).
     """
     inside = junctions.filter(
@@ -87,10 +87,11 @@ def judge_junctions(junctions: DataFrame, features: Features, p: Params, expecte
         F.greatest("_l_query_length", "_r_query_length"),
     )
     base = base.withColumns(pair).withColumns(C.directed_record("left_breakpoint", "right_breakpoint", p.length))
+    genes = features.genes()
     for side, start in (("l", "start_a"), ("r", "start_b")):
         span = F.greatest(F.lit(0), F.col(f"_{side}_aligned_reference_length") - 1)
         first = F.coalesce(F.col(start), F.lit(0))
-        base = features.ranked_hits(base, first, first + span, f"_{side}_hits")
+        base = genes.ranked_hits(base, first, first + span, f"_{side}_hits")
     names = {s: F.transform(f"_{s}_hits", lambda h: h["name"]) for s in ("l", "r")}
     base = base.withColumns({"_l_names": names["l"], "_r_names": names["r"]})
     top = {s: F.try_element_at(F.col(f"_{s}_hits"), F.lit(1)) for s in ("l", "r")}

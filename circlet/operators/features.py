@@ -130,7 +130,7 @@ class Features:
     """
 
     def __init__(self, table: DataFrame, length: int, limit: int = LITERAL_FEATURES):
-        self.length = length
+        self.length, self._given, self._limit = length, table, limit
         name = F.coalesce(_blank_to_null("gene_name"), _blank_to_null("gene_id"), _blank_to_null("product"), F.lit("unknown"))
         lower = F.lower("name")
         coding = F.lower("type").isin(*CODING_TYPES)
@@ -155,6 +155,11 @@ class Features:
             # (start, end, name) order as one sortable number is not needed: keep it as a struct
             self._table = entries.withColumn("ord", F.xxhash64("start", "end", "name", "type"))
 
+    def genes(self) -> Features:
+        """The features that can anchor a gene: named ones, without configured regions."""
+        named = F.coalesce(_blank_to_null("gene_name"), _blank_to_null("gene_id")).isNotNull()
+        return Features(self._given.where(named & (F.coalesce("feature_type", F.lit("")) != "region")), self.length, self._limit)
+
     # -- overlaps -------------------------------------------------------------------------
 
     def overlaps(self, df: DataFrame, pieces: Column, out: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +9,7 @@ from pyspark.sql import functions as F
 
 from circlet.durable import bounded_broadcast
 from circlet.functions import reads as R
-from circlet.operators.annotate import _filled, _gap, _near, searched_breakpoints
+from circlet.operators.targets import search_targets  # noqa: F401
 
 MOTIF_SCHEMA = (
     "deletion_id string, deletion_name string, search_strategy string, group_no int, variant_no int,"
@@ -105,66 +104,33 @@ def motif_summary(hits: DataFrame, reads: DataFrame, motifs: DataFrame, samples:
     return out.withColumn("matching_reads_per_million_examined", rate)
 
 
-def search_targets(known: Iterable[Mapping], searches: Iterable[Mapping], length: int) -> list[dict]:
-    """Breakpoints and tolerances each search looks for; a close configured target lends its tolerances."""
-    near = []
-    for item in known:
-        if _filled(item, "left_breakpoint", "right_breakpoint"):
-            near.append((str(item.get("name", "")), int(item["left_breakpoint"]), int(item["right_breakpoint"]),
-                         int(item.get("breakpoint_tolerance_bp", item.get("tolerance_bp", 100))),
-                         int(item.get("size_tolerance_bp", 150))))
-    targets = []
-    for item in searches:
-        ends = searched_breakpoints(item)
-        if not ends:
-            continue
-        left, right = ends
-        lent = next((n for n in near if _near(left, n[1], n[3], length) and _near(right, n[2], n[3], length)), None)
-        targets.append(
-            {"deletion_id": str(item.get("id", "")), "deletion_name": str(item.get("name", "")),
-             "target_left_breakpoint": left, "target_right_breakpoint": right,
-             "target_deleted_size": int(item.get("deleted_size", _gap(left, right, length))),
-             "breakpoint_tolerance_bp": lent[3] if lent else int(item.get("breakpoint_tolerance_bp", item.get("tolerance_bp", 100))),
-             "size_tolerance_bp": lent[4] if lent else int(item.get("size_tolerance_bp", 150)),
-             "matched_configured_target_label": lent[0] if lent else ""}
-        )
-    return targets
-
-
-_TARGETS = (
-    "array<struct<deletion_id:string,deletion_name:string,target_left_breakpoint:int,target_right_breakpoint:int,"
-    "target_deleted_size:int,breakpoint_tolerance_bp:int,size_tolerance_bp:int>>"
-)
-
+def near_search_target(events: DataFrame, targets: DataFrame) -> DataFrame:
+    """Events within *linear* tolerance of a search target, directly or the other way round.
 
-def near_search_target(events: DataFrame, targets: list[dict]) -> DataFrame:
-    """Events within *linear* tolerance of a search target, directly or the other way round."""
-    listed = F.from_json(F.lit(json.dumps(targets)), _TARGETS)
+    ``targets`` is as long as the configuration, so it is one array beside every event.
+    """
+    listed = targets.agg(F.collect_list(F.struct(*targets.columns)).alias("_targets"))
 
     def fits(t):
-        tol = t["breakpoint_tolerance_bp"]
-        left, right = F.col("left_breakpoint"), F.col("right_breakpoint")
-
         def ends(a, b):
-            return (F.abs(left - a) <= tol) & (F.abs(right - b) <= tol)
+            near = [F.abs(F.col(f"{side}_breakpoint") - t[f"target_{other}_breakpoint"]) <= t["breakpoint_tolerance_bp"] for side, other in (("left", a), ("right", b))]
+            return near[0] & near[1]
 
-        either = ends(t["target_left_breakpoint"], t["target_right_breakpoint"]) | ends(
-            t["target_right_breakpoint"], t["target_left_breakpoint"]
-        )
-        return either & (F.abs(F.col("deleted_size") - t["target_deleted_size"]) <= t["size_tolerance_bp"])
+        return (ends("left", "right") | ends("right", "left")) & (F.abs(F.col("deleted_size") - t["target_deleted_size"]) <= t["size_tolerance_bp"])
 
-    return events.withColumn("_t", F.explode(F.filter(listed, fits))).withColumn("deletion_id", F.col("_t.deletion_id")).drop("_t")
+    met = events.join(F.broadcast(listed), F.lit(True))
+    return met.withColumn("_t", F.explode(F.filter("_targets", fits))).withColumn("deletion_id", F.col("_t.deletion_id")).drop("_t", "_targets")
 
 
-def _keyed(hits: DataFrame, events: DataFrame, targets: list[dict]) -> tuple[DataFrame, DataFrame]:
-    ids = [t["deletion_id"] for t in targets]
-    searched = hits.filter(F.col("deletion_id").isin(*ids)).withColumn("read_key", R.read_key(F.trim("read_id"))).filter("read_key <> ''")
+def _keyed(hits: DataFrame, events: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    known = F.broadcast(targets.select("deletion_id"))
+    searched = hits.join(known, "deletion_id", "left_semi").withColumn("read_key", R.name_key("read_id")).filter("read_key <> ''")
     groups = searched.select("sample", "deletion_id").distinct()
-    remap = near_search_target(events, targets).withColumn("read_key", R.read_key(F.trim("read_id"))).filter("read_key <> ''")
+    remap = near_search_target(events, targets).withColumn("read_key", R.name_key("read_id")).filter("read_key <> ''")
     return searched, remap.join(groups, ["sample", "deletion_id"], "left_semi")
 
 
-def search_overlap(hits: DataFrame, events: DataFrame, targets: list[dict]) -> DataFrame:
+def search_overlap(hits: DataFrame, events: DataFrame, targets: DataFrame) -> DataFrame:
     """Per (sample, search) reads found by motif, by event, by both; only searches with hits have a row."""
     searched, remap = _keyed(hits, events, targets)
     key = ["sample", "deletion_id", "read_key"]
@@ -178,12 +144,11 @@ def search_overlap(hits: DataFrame, events: DataFrame, targets: list[dict]) -> D
         F.count_if(~s & r).alias("remap_only_reads"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("_ids")))).alias("_ids"),
     )
-    listed = both.sparkSession.range(1).select(F.inline(F.from_json(F.lit(json.dumps(targets)), _TARGETS)))
 
     def part(total):
         return F.coalesce(F.col("shared_reads") / F.nullif(total, F.lit(0)), F.lit(0.0))
 
-    return per.join(listed, "deletion_id").withColumns(
+    return per.join(F.broadcast(targets.drop("matched_configured_target_label")), "deletion_id").withColumns(
         {
             "overlap_fraction_of_sequence_search": part("sequence_search_reads"),
             "overlap_fraction_of_remap_nearby": part("remap_nearby_reads"),
@@ -192,7 +157,7 @@ def search_overlap(hits: DataFrame, events: DataFrame, targets: list[dict]) -> D
     ).drop("_ids")
 
 
-def read_sets(hits: DataFrame, events: DataFrame, targets: list[dict]) -> DataFrame:
+def read_sets(hits: DataFrame, events: DataFrame, targets: DataFrame) -> DataFrame:
     """The reads of all five sets as rows (set_name, source, sample, deletion_id, read_key, ...)."""
     searched, remap = _keyed(hits, events, targets)
     key = ["sample", "deletion_id", "read_key"]

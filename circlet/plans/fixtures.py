@@ -236,7 +236,7 @@ def assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact clusters with all annotations."""
-    targets = FA.deletion_targets(KNOWN, SEARCHES, PARAMS.length)
+    targets = FA.deletion_targets(spark, KNOWN, SEARCHES, PARAMS.length)
 
     def build():
         return FA.annotate(exact_clusters(spark, sf_dir), feature_set(spark), ARCS, targets, EXPECTED, PARAMS.length)

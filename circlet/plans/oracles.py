@@ -603,8 +603,8 @@ SELECT feature_name, feature_class, start, "end", strand, abs("end" - start) + 1
 
 ORACLES["q_junction_judge"] = f"""WITH {JUNCTIONS}, {FEATS},
 i AS (SELECT *, {gap("breakpoint_a", "breakpoint_b")} AS z, start_a + la - 1 AS ea, start_b + ra - 1 AS eb, row_number() OVER () AS id FROM j WHERE contig_a = 'MT' AND contig_b = 'MT'),
-h AS (SELECT id, 'l' AS side, name, s, e, least(ea, e) - greatest(start_a, s) + 1 AS bp FROM i JOIN feats ON least(ea, e) >= greatest(start_a, s) AND kind <> 'none'
-  UNION ALL SELECT id, 'r', name, s, e, least(eb, e) - greatest(start_b, s) + 1 FROM i JOIN feats ON least(eb, e) >= greatest(start_b, s)),
+h AS (SELECT id, 'l' AS side, name, s, e, least(ea, e) - greatest(start_a, s) + 1 AS bp FROM i JOIN feats ON least(ea, e) >= greatest(start_a, s) AND kind <> 'region'
+  UNION ALL SELECT id, 'r', name, s, e, least(eb, e) - greatest(start_b, s) + 1 FROM i JOIN feats ON least(eb, e) >= greatest(start_b, s) AND kind <> 'region'),
 t AS (SELECT id, side, arg_min(row(name, s, e), row(-bp, name, s)) AS t, string_agg(name, ';' ORDER BY -bp, name, s) AS hits, list(name) AS ns FROM h GROUP BY ALL),
 x AS (SELECT i.*, a.t AS ta, b.t AS tb, coalesce(a.hits, '') AS ha, coalesce(b.hits, '') AS hb, coalesce(list_has_any(a.ns, b.ns), FALSE) AS same, la AS e1, clip AS s2, clip + ra AS e2 FROM i LEFT JOIN t a ON a.id = i.id AND a.side = 'l' LEFT JOIN t b ON b.id = i.id AND b.side = 'r'),
 y AS (SELECT *, greatest(0, e1 - s2) AS ov, greatest(0, s2 - e1) AS gp FROM x),

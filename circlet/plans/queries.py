@@ -341,7 +341,7 @@ def _(spark, sf):
 
 def _searched(spark, sf):
     ev = X0.events(spark, sf)
-    targets = MO.search_targets(X0.KNOWN, X0.SEARCHES, L)
+    targets = MO.search_targets(spark, X0.KNOWN, X0.SEARCHES, L)
     key = X0.orderkey()
     near = ev.filter(F.col("left_breakpoint").between(2985, 9015)).select("sample", F.concat("read_id", F.lit("/1")).alias("read_id"), key.alias("k"))
     hits = near.select("sample", "read_id", F.when(F.col("k") % 2 == 0, "search_9000_11951").otherwise("again_3001_7950").alias("deletion_id"))
@@ -624,7 +624,7 @@ def _(spark, sf):
 @query("f_targets")
 def _(spark, sf):
     """F10, F11."""
-    return FA.with_known_targets(_coordinates(spark, sf), FA.deletion_targets(X0.KNOWN, X0.SEARCHES, L), L)
+    return FA.with_known_targets(_coordinates(spark, sf), FA.deletion_targets(spark, X0.KNOWN, X0.SEARCHES, L), L)
 
 
 @query("f_annotate")

@@ -27,9 +27,10 @@ def parse_sam(lines: DataFrame) -> DataFrame:
         return F.try_element_at("f", F.lit(i))
 
     star = lambda c: F.nullif(c, F.lit("*"))
-    tags = F.map_from_entries(
-        F.transform(F.slice("f", 12, 1000), lambda t: F.struct(F.substring(t, 1, 2).alias("k"), F.substring(t, 6, 1 << 30).alias("v")))
-    )
+    optional = F.slice("f", F.lit(12), F.greatest(F.size("f") - 11, F.lit(0)))
+    pairs = F.transform(optional, lambda t: F.struct(F.substring(t, 1, 2).alias("k"), F.substring(t, 6, 1 << 30).alias("v")))
+    names = F.transform(optional, lambda t: F.substring(t, 1, 2))
+    tags = F.map_from_entries(F.filter(pairs, lambda t, i: F.array_position(names, t["k"]) == i + 1))  # the first of a repeated name
     typed = rows.select(
         *others,
         field(1).alias("query_name"), field(2).try_cast("int").alias("flag"), star(field(3)).alias("reference_name"),

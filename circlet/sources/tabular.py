@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -154,19 +155,15 @@ def data_dictionary(spark: SparkSession, tables: Mapping[str, DataFrame], defini
 
 
 def flatten_settings(spark: SparkSession, config: Mapping) -> DataFrame:
-    """Nested configuration as (setting, value) rows."""
-    rows: list[tuple[str, str]] = []
-
-    def visit(value, prefix):
-        if isinstance(value, Mapping):
-            for key, item in value.items():
-                visit(item, f"{prefix}.{key}" if prefix else str(key))
-        else:
-            plain = isinstance(value, list | bool) or value is None
-            rows.append((prefix, json.dumps(value, sort_keys=True) if plain else str(value)))
-
-    visit(config, "")
-    return spark.createDataFrame(rows, "setting string, value string")
+    """Nested configuration as (setting, value) rows; names of nested settings are joined by dots.
+
+    Texts and numbers stand as they are, anything else (lists, switches, nothing) as JSON.
+    """
+    wide = pd.json_normalize(json.loads(json.dumps(config, default=str)), sep=".").astype(object)
+    rows = wide.melt(var_name="setting", value_name="value") if len(wide.columns) else pd.DataFrame({"setting": [], "value": []})
+    bare = rows["value"].map(lambda v: isinstance(v, str | int | float) and not isinstance(v, bool))
+    rows["value"] = rows["value"].where(bare, rows["value"].map(lambda v: json.dumps(v, sort_keys=True))).map(str)
+    return spark.createDataFrame([tuple(r) for r in rows.itertuples(index=False)], "setting string, value string")
 
 
 READ_PREPARATION = """

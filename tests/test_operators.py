@@ -1,6 +1,7 @@
 """Annotation, tiers, selection, motif search, statistics, views and readers on small inputs."""
 
 import gzip
+import math
 
 import numpy as np
 import pytest
@@ -51,9 +52,18 @@ def test_arcs_and_targets(spark):
         FA.checked_arcs([{**ARCS[0], "end": 5700}, ARCS[1]], 16569)
     known = [{"name": "c", "left_breakpoint": 8470, "right_breakpoint": 13447, "deleted_size": 4977, "breakpoint_tolerance_bp": 10, "size_tolerance_bp": 20}]
     hit = spark.createDataFrame([(8472, 13448, 4975)], df.schema)
-    assert FA.with_known_targets(hit, FA.deletion_targets(known, [], 16569), 16569).first().known_deletion_label == "c"
-    inferred = FA.deletion_targets(known, [{"id": "mtDNA_100_500"}, {"id": "mtDNA_8471_13449"}], 16569)
-    assert [(t["name"], t.get("left_breakpoint")) for t in inferred] == [("c", 8470), ("mtDNA_100_500", 100)]
+    assert FA.with_known_targets(hit, FA.deletion_targets(spark, known, [], 16569), 16569).first().known_deletion_label == "c"
+    searches = [{"id": "mtDNA_100_500"}, {"id": "mtDNA_8471_13449"}, {"id": "bad", "left_breakpoint": "x", "right_breakpoint": 7}, {"id": "mtDNA_103_503"}]
+    inferred = FA.target_table(FA.deletion_targets(spark, known, searches, 16569, breakpoint_tolerance=2)).collect()
+    assert [(t["name"], t["left_breakpoint"], t["breakpoint_tolerance_bp"]) for t in inferred] == [("c", 8470, 10), ("mtDNA_100_500", 100, 2), ("mtDNA_103_503", 103, 2)]
+    again = MO.search_targets(spark, known, [*searches, {"id": "mtDNA_100_500", "left_breakpoint": 8, "right_breakpoint": 60}], 16569).orderBy("deletion_id").collect()
+    assert [(t["deletion_id"], t["target_left_breakpoint"], t["breakpoint_tolerance_bp"], t["matched_configured_target_label"]) for t in again] == [
+        ("mtDNA_100_500", 8, 100, ""), ("mtDNA_103_503", 103, 100, ""), ("mtDNA_8471_13449", 8471, 10, "c")]
+
+
+def test_settings(spark):
+    config = {"a": {"b": 1, "c": {"d": "x", "e": [2, {"z": 1, "y": None}]}}, "f": None, "g": True, "h": 0.5, "i": {}}
+    assert dict(ST.flatten_settings(spark, config).collect()) == {"a.b": "1", "a.c.d": "x", "a.c.e": '[2, {"y": null, "z": 1}]', "f": "null", "g": "true", "h": "0.5"}
 
 
 @pytest.mark.parametrize(
@@ -116,7 +126,27 @@ def test_fastq_both_ways(spark, tmp_path):
     rows = SF.read_fastq(spark, [str(tmp_path / "s1_R1.fastq"), str(tmp_path / "s2_R2.fastq.gz")]).collect()
     for sample, mate in (("s1", "R1"), ("s2", "R2")):
         own = sorted((r.record_no, r.read_id, r.seq) for r in rows if (r.sample, r.mate) == (sample, mate))
-        assert own == [(i, f"r{i} x", f"AC{'GT'[i % 2]}A") for i in range(50)]
+        assert own == [(i, f"r{i}", f"AC{'GT'[i % 2]}A") for i in range(50)]
+
+
+def test_fastq_records_that_end_early(spark, tmp_path):
+    for folder in ("a", "b"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "s_R1.fastq").write_text(f"@{folder}1 1:N:0\nac\n+\nII\n@{folder}2/1 more\nGG\n+\n")
+        with gzip.open(tmp_path / folder / "s_R2.fq.gz", "wt") as handle:
+            handle.write(f"@{folder}1\nac\n+\nII\n@{folder}2\n")
+    rows = SF.read_fastq(spark, [str(p) for p in sorted(tmp_path.glob("*/*"))]).collect()
+    got = sorted((r.mate, r.record_no, r.read_id, r.seq, r.qual) for r in rows)
+    assert got == sorted(
+        [("R1", 0, f"{f}1", "AC", "II") for f in "ab"] + [("R1", 1, f"{f}2/1", "GG", None) for f in "ab"]
+        + [("R2", 0, f"{f}1", "AC", "II") for f in "ab"] + [("R2", 1, f"{f}2", "", None) for f in "ab"])
+
+
+def test_sam_tags(spark):
+    fields = "r1 0 MT 5 60 4M * 0 0 ACGT IIII".replace(" ", "\t")
+    tags = "\t".join([f"X{chr(65 + i // 36)}"[:2] + f":i:{i}" for i in range(0, 36, 36)] + ["NH:i:3", "NH:i:9"] + [f"Z{i % 10}:i:{i}" for i in range(1500)] + ["AS:i:7"])
+    row = SA.parse_sam(spark.createDataFrame([(f"{fields}\t{tags}",), (fields,)], "value string")).orderBy(F.desc("nh")).collect()
+    assert (row[0].nh, row[0].alignment_score, row[1].nh) == (3, 7, 1)
 
 
 SEARCHES = [
@@ -159,6 +189,13 @@ def test_p_values():
     assert PV.mann_whitney_p(9, 3, 3, 0) == pytest.approx(0.1)
     assert PV.mann_whitney_p(4.5, 3, 3, 210.0) == 1.0
     assert PV.ks_p(0.75, 3, 4) == pytest.approx(8 / 35)
+    assert PV.ks_p(2e-6, 2_000_000, 2_000_000) == 1.0
+    assert PV.ks_p(0.02, 10_001, 10_001) == pytest.approx(PV.ks_p(0.02, 9_999, 9_999), rel=2e-2)
+    assert PV.fisher_p(2_000_300, 1_999_700, 2_000_000, 2_000_000) == pytest.approx(math.erfc(299 / 1414.2 / math.sqrt(2)), abs=1e-3)
+    assert PV.fisher_p(40, 0, 0, 40) == pytest.approx(2 / math.comb(80, 40), rel=1e-6)
+    assert PV.fisher_p(3, 3, 3, 3) == 1.0
+    assert PV._exact_u_tail(16, 4, 4) == pytest.approx(1 / 70) and PV._exact_u_tail(8, 4, 4) == pytest.approx(0.5571, abs=1e-3)
+    assert 0.0 < PV.mann_whitney_p(100_000, 8, 20_000, 0) < 1.0
 
 
 def test_adjustment_equals_one_sorted_pass(spark):
