@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from circlet.llm.common import attach_group, materialize
+from circlet.llm.common import materialize
 from circlet.llm.components import components
 from circlet.llm.shingles import band_keys, circulant_signature, set_digest, shingle_set
 
@@ -52,36 +52,37 @@ def sketches(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return texts.mapInPandas(run, "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>")
 
 
-def full_sets(docs: DataFrame, ids: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """rep, n, shingles (sorted hashes) and counts of the named documents."""
+def full_sets(docs: DataFrame, company: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """rep, company, n, shingles (sorted hashes) and counts of the documents that ``company`` (rep, company) names."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for rep, text in zip(pdf["rep"], pdf["text"]):
+            for rep, near, text in zip(pdf["rep"], pdf["company"], pdf["text"]):
                 s = shingle_set(text)
                 counts = np.minimum(np.bincount((s % np.uint64(PLACES)).astype(np.int64), minlength=PLACES), 0xFFFF).astype("<u2")
-                rows.append((rep, len(s), s.tobytes(), counts.tobytes()))
-            yield pd.DataFrame(rows, columns=["rep", "n", "shingles", "counts"])
+                rows.append((rep, near, len(s), s.tobytes(), counts.tobytes()))
+            yield pd.DataFrame(rows, columns=["rep", "company", "n", "shingles", "counts"])
 
     texts = docs.select(F.col(id_column).cast("bigint").alias("rep"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    named = texts.join(ids.select("rep").distinct().hint("shuffle_hash"), "rep")
-    return named.mapInPandas(run, "rep bigint, n bigint, shingles binary, counts binary").dropDuplicates(["rep"])
+    named = texts.join(company.hint("shuffle_hash"), "rep").select("rep", "company", "text")
+    return named.mapInPandas(run, "rep bigint, company bigint, n bigint, shingles binary, counts binary")
 
 
 def check_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, both (size of the intersection), na, nb, linked for pairs (a, b), on full sets."""
+    """a, b, both (size of the intersection), na, nb, linked for pairs (a, b), on full sets; company and counts of b.
+
+    A leader of very many is a skewed key of the second join, which adaptive execution splits.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             both = [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True)) for x, y in zip(pdf["set_a"], pdf["set_b"])]
-            yield pdf[["a", "b", "na", "nb"]].assign(both=both)
+            yield pdf[["a", "b", "na", "nb", "company", "counts"]].assign(both=both)
 
-    right = pairs.select("a", "b").join(sets.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("set_b")), "b")
-    degrees = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("degree"))
-    left = degrees.join(sets.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("set_a")), "a")
-    met = attach_group(right, left, "a", "degree", pairs.count())
-    checked = met.select("a", "b", "na", "nb", "set_a", "set_b").mapInPandas(run, "a bigint, b bigint, na bigint, nb bigint, both bigint")
+    right = pairs.select("a", "b").join(sets.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("set_b"), "company", "counts"), "b")
+    met = right.join(sets.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("set_a")), "a")
+    checked = met.select("a", "b", "na", "nb", "company", "counts", "set_a", "set_b").mapInPandas(run, "a bigint, b bigint, na bigint, nb bigint, company bigint, counts binary, both bigint")
     return checked.withColumn("linked", 100 * F.col("both") >= SIMILAR * (F.col("na") + F.col("nb") - F.col("both")))
 
 
@@ -90,7 +91,7 @@ def _could_fit(n1, n2):
 
 
 def _search_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs of two blocks of a family that may link and are in different components."""
+    """Pairs of two blocks of a family that may link and are not known to be connected."""
     for pdf in batches:
         for ours, theirs in zip(pdf["ours"], pdf["theirs"]):
             def unpack(block):
@@ -111,18 +112,17 @@ def _search_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame(sorted(set(found)), columns=["a", "b"])
 
 
-def remaining_pairs(stars: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs inside a leader's family, not both linked to it, that may link: blocks against blocks."""
-    known = stars.join(roots.select(F.col("node").alias("b"), "root"), "b", "left").withColumn("root", F.coalesce("root", "b"))
+def remaining_pairs(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Pairs inside a leader's family, not both linked to one leader, that may link: blocks against blocks."""
+    hers = second.where("linked").groupBy("b").agg(F.min("a").alias("second_lead"))
+    known = first.join(hers, "b", "left").withColumn("root", F.when(F.col("linked"), F.col("a")).otherwise(F.coalesce("second_lead", "b")))
     near = 1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))
-    families = known.groupBy("a").agg(F.count(F.lit(1)).alias("size"), F.sum((~F.col("linked")).cast("int")).alias("left_over")).where("left_over > 0 and size > 1")
-    rows = attach_group(known.select("a", "b", "nb", "root", near.alias("near"), "linked"), families, "a", "size", stars.count())
-    full = rows.join(sets.select(F.col("rep").alias("b"), "counts"), "b")
+    families = first.groupBy("a").agg(F.count(F.lit(1)).alias("size"), F.count_if(~F.col("linked")).alias("left_over")).where("left_over > 0 and size > 1")
+    full = known.withColumn("near", near).join(families, "a")
     block = F.pmod(F.xxhash64("b"), F.ceil(F.col("size") / BLOCK))
     member = F.struct("b", "nb", "root", "near", "counts")
-    theirs = full.groupBy("a", block.alias("block")).agg(F.collect_list(member).alias("theirs"))
-    ours = full.where(~F.col("linked")).groupBy("a", block.alias("our_block")).agg(F.collect_list(member).alias("ours"))
-    met = ours.join(theirs, "a").select("ours", "theirs")
+    blocks = full.groupBy("a", block.alias("block")).agg(F.collect_list(member).alias("theirs"), F.collect_list(F.when(~F.col("linked"), member)).alias("ours"))
+    met = blocks.where(F.size("ours") > 0).select("a", "ours").join(blocks.select("a", "theirs"), "a").select("ours", "theirs")
     return met.mapInPandas(_search_blocks, "a bigint, b bigint").distinct()
 
 
@@ -130,34 +130,27 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     """doc_id, n_shingles, component_id, kept of every document."""
     sketch = materialize(sketches(docs, id_column, text_column), "near-sketches")
     filled = sketch.where("n_shingles > 0")
-    classes = materialize(filled.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("class_size")), "near-classes")
-    reps = filled.join(classes.select(F.col("set_key").alias("class_key"), "rep"), (F.col("set_key") == F.col("class_key")) & (F.col("doc_id") == F.col("rep")))
-    reps = materialize(reps.dropDuplicates(["rep"]).select("rep", "bands"), "near-reps")
-    members = reps.select("rep", F.explode("bands").alias("key"))
-    total = reps.count() * BANDS
+    classes = materialize(filled.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "near-classes")
+    reps = filled.join(classes.withColumnRenamed("set_key", "class_key"), (F.col("set_key") == F.col("class_key")) & (F.col("doc_id") == F.col("rep")))
+    members = materialize(reps.select("rep", F.explode("bands").alias("key")), "near-bands")
     buckets = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = materialize(attach_group(members, buckets, "key", "n", total), "near-members")
-    company = met.groupBy("rep").agg(F.sum("n").alias("company"))
-    ranked = met.drop("n").join(company, "rep")
-    leads = ranked.groupBy("key").agg(F.max(F.struct("company", (-F.col("rep")).alias("minus"))).alias("top"), F.count(F.lit(1)).alias("n"))
-    led = attach_group(ranked, leads.select("key", (-F.col("top")["minus"]).alias("lead"), "n"), "key", "n", met.count())
-    stars = materialize(led.where("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b"), "company").distinct(), "near-stars")
-    sets = materialize(full_sets(docs, met, id_column, text_column), "near-sets")
+    met = materialize(members.join(buckets, "key").select("rep", "key", "n"), "near-members")
+    company = materialize(met.groupBy("rep").agg(F.sum("n").alias("company")), "near-company")
+    ranked = met.select("rep", "key").join(company, "rep")
+    leads = ranked.groupBy("key").agg(F.max(F.struct("company", (-F.col("rep")).alias("minus")))["minus"].alias("minus")).select("key", (-F.col("minus")).alias("a"))
+    stars = materialize(ranked.select(F.col("rep").alias("b"), "key").join(leads, "key").where("a <> b").select("a", "b").distinct(), "near-stars")
+    sets = materialize(full_sets(docs, company, id_column, text_column), "near-sets")
     first = materialize(check_pairs(stars, sets), "near-first")
     # a second leader for what did not link to the first
-    loose = first.where(~F.col("linked")).join(stars, ["a", "b"]).select("a", "b", "nb", "company")
-    seconds = loose.groupBy("a").agg(F.max(F.struct("company", (-F.col("b")).alias("minus"), "nb")).alias("top"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    again = attach_group(loose, seconds.select("a", (-F.col("top")["minus"]).alias("lead"), F.col("top")["nb"].alias("n_lead"), "n"), "a", "n", stars.count())
-    again = again.where((F.col("b") != F.col("lead")) & _could_fit(F.col("nb"), F.col("n_lead"))).select(F.col("lead").alias("a"), "b").distinct()
-    second = materialize(check_pairs(materialize(again, "near-again"), sets), "near-second")
-    links = first.unionByName(second).where("linked").select("a", "b")
-    roots = components(links)
-    rest = materialize(remaining_pairs(first, roots, sets), "near-rest")
-    third = materialize(check_pairs(rest, sets).where("linked").select("a", "b"), "near-third")
-    if third.limit(1).count():
-        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(third))
-    roots = classes.join(roots, F.col("rep") == F.col("node"), "left").select("set_key", "class_size", F.coalesce("root", "rep").alias("component_id"))
-    grouped = attach_group(filled.select("doc_id", "n_shingles", "set_key"), roots, "set_key", "class_size", sketch.count()).select("doc_id", "n_shingles", "component_id")
+    loose = first.where(~F.col("linked")).select("a", "b", "nb", "company")
+    top = F.max(F.struct("company", (-F.col("b")).alias("minus"), F.col("nb").alias("n_lead"))).alias("top")
+    seconds = loose.groupBy("a").agg(top, F.count(F.lit(1)).alias("n")).where("n > 1").select("a", (-F.col("top.minus")).alias("lead"), "top.n_lead")
+    again = loose.join(seconds, "a").where((F.col("b") != F.col("lead")) & _could_fit(F.col("nb"), F.col("n_lead"))).select(F.col("lead").alias("a"), "b").distinct()
+    second = materialize(check_pairs(again, sets), "near-second")
+    third = materialize(check_pairs(remaining_pairs(first, second), sets), "near-third")
+    roots = components(first.unionByName(second).unionByName(third).where("linked").select("a", "b"))
+    roots = classes.join(roots, F.col("rep") == F.col("node"), "left").select("set_key", F.coalesce("root", "rep").alias("component_id"))
+    grouped = filled.select("doc_id", "n_shingles", "set_key").join(roots, "set_key").select("doc_id", "n_shingles", "component_id")
     alone = sketch.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     nameless = docs.where(F.col(id_column).isNull()).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit(0).cast("bigint").alias("n_shingles"), F.lit(None).cast("bigint").alias("component_id"))
     return grouped.unionByName(alone).unionByName(nameless).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
