@@ -90,7 +90,7 @@ def features(text: str, stems: dict[str, float]) -> list[float]:
     capitals = sum(1 for c in text if c.isupper()) if not text.islower() else 0
     tokens = text.split()
     loud = sum(len(t) > 1 and t.isupper() for t in tokens)
-    marks = size - sum(map(len, words)) - sum(map(text.count, " \n\t\r"))
+    marks = len(text) - sum(map(len, words)) - sum(map(text.count, " \n\t\r"))
     return [
         len(seed_at) / n, math.log1p(len(seed_at)), len(stem_at) / n, math.log1p(len(stem_at)), weight / n, near / n, len(person) / n, math.log1p(hidden),
         capitals / letters, loud / max(1, len(tokens)), text.count("!") / size, text.count("?") / size, marks / size, len(plain) / n,
@@ -101,9 +101,9 @@ def features(text: str, stems: dict[str, float]) -> list[float]:
 def learn_stems(sample: DataFrame, limit: int = STEMS) -> dict[str, float]:
     """The stems that tell label 1 best, by log-likelihood ratio, with their log odds; ``sample`` is bounded."""
 
-    @F.udf("array<string>")
-    def stems(text: str):
-        return list(stems_of(set(_WORD.findall(text.lower()))))
+    @F.pandas_udf("array<string>")
+    def stems(texts: pd.Series) -> pd.Series:
+        return pd.Series([sorted(stems_of(set(_WORD.findall(t.lower())))) for t in texts], dtype=object)
 
     size = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = size.get(1, 0), size.get(0, 0)
