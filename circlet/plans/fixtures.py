@@ -289,10 +289,10 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Aligned blocks of 100 to 399 bases around the hotspots, split at the origin."""
     length = PARAMS.length
-    rows = segments(spark, sf_dir).filter("linenumber <= 3")
+    rows = segments(spark, sf_dir)
     start = F.pmod(1000 * (F.col("suppkey") % 17) - 150 + F.col("partkey") % 300 - 1, F.lit(length)) + 1
     placed = rows.select(
-        "sample", "rotation_name", F.concat(F.lit("f"), (F.col("orderkey") % 5000).cast("string")).alias("name"),
+        "sample", "rotation_name", F.concat(F.lit("f"), F.col("orderkey").cast("string")).alias("name"),
         F.explode(C.region_pieces(start.cast("int"), (F.pmod(start + 99 + F.col("partkey") % 300 - 1, F.lit(length)) + 1).cast("int"), length)).alias("b"),
     )
     return placed.select("sample", "rotation_name", "name", "b.start", "b.end")
@@ -327,18 +327,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def motifs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark passages as motifs: even items search one sequence, odd items need two."""
+    """Benchmark passages as motifs: even items search the whole passage, odd ones need both its halves."""
     items = table(spark, sf_dir, "benchmark")
-    even = F.col("item_id") % 2 == 0
-    one = F.array(F.struct(F.lit(0).alias("group_no"), F.lit(0).alias("variant_no"), F.lit("whole").alias("sequence_id"), F.lit("forward").alias("orientation"),
-                           F.upper(F.substring("text", 1, 30)).alias("pattern")))
-    two = F.array(*[
-        F.struct(F.lit(g).alias("group_no"), F.lit(g).alias("variant_no"), F.lit(n).alias("sequence_id"), F.lit("forward").alias("orientation"),
-                 F.upper(F.substring("text", 1 + 15 * g, 15)).alias("pattern"))
-        for g, n in enumerate(("first", "second"))
-    ])
+    half = F.floor(F.length("text") / 2).cast("int")
+
+    def variant(number, name, pattern):
+        return F.struct(F.lit(number).alias("group_no"), F.lit(number).alias("variant_no"), F.lit(name).alias("sequence_id"), F.lit("forward").alias("orientation"), F.upper(pattern).alias("pattern"))
+
+    halves = F.array(variant(0, "first", F.substring("text", F.lit(1), half)), variant(1, "second", F.substring("text", half + 1, F.length("text"))))
+    single = F.col("item_id") % 2 == 0
     return items.select(
         F.concat(F.lit("d"), F.col("item_id").cast("string")).alias("deletion_id"), F.concat(F.lit("item "), F.col("item_id").cast("string")).alias("deletion_name"),
-        F.when(even, "single_sequence").otherwise("multi_sequence_required").alias("search_strategy"),
-        F.inline(F.when(even, one).otherwise(two)),
+        F.when(single, "single_sequence").otherwise("multi_sequence_required").alias("search_strategy"),
+        F.inline(F.when(single, F.array(variant(0, "whole", F.col("text")))).otherwise(halves)),
     )

@@ -228,7 +228,7 @@ SELECT rule, count(*) AS found, count(DISTINCT sample) AS subjects FROM v GROUP
 CAT = """CASE WHEN flag >= 2048 THEN CASE WHEN reference_name = 'MT' THEN 'supplementary_mt' ELSE 'supplementary_non_mt' END
   WHEN flag >= 256 THEN CASE WHEN reference_name = 'MT' THEN 'secondary_mt' ELSE 'secondary_non_mt' END
   WHEN reference_name <> 'MT' THEN 'non_mt_primary' WHEN mapq < 20 THEN 'low_quality_mt' WHEN nh > 1 THEN 'ambiguous_mt' ELSE 'high_confidence_mt' END"""
-CHIM = """chim AS (SELECT DISTINCT sample, read_id FROM j WHERE repeat_left = 1 AND (contig_a = 'MT' OR contig_b = 'MT'))"""
+CHIM = """chim AS (SELECT DISTINCT sample, read_id FROM j WHERE (contig_a = 'MT' OR contig_b = 'MT'))"""
 CLASSED = f"""{JUNCTIONS}, {CHIM}, cat AS (SELECT seg.*, {CAT} AS category, chim.read_id IS NOT NULL AS chimeric FROM seg LEFT JOIN chim ON seg.sample = chim.sample AND seg.read_id = chim.read_id)"""
 OWN = "category IN ('high_confidence_mt', 'low_quality_mt', 'ambiguous_mt', 'supplementary_mt', 'secondary_mt')"
 OWN_NOSEC = "category IN ('high_confidence_mt', 'low_quality_mt', 'ambiguous_mt', 'supplementary_mt')"
@@ -288,13 +288,13 @@ SELECT sample, count(*) AS alignment_records_examined, count(*) FILTER (flag >=
 ORACLES["r_forward_reads"] = """WITH d AS (SELECT *, doc_id % 4 * 16 + doc_id % 3 * 64 AS flag FROM documents)
 SELECT lang AS sample, doc_id || CASE WHEN flag & 128 > 0 THEN '/2' WHEN flag & 64 > 0 THEN '/1' ELSE '' END AS read_name,
   md5(CASE WHEN flag & 16 > 0 THEN reverse(translate(text, 'ACGTNacgtn', 'TGCANtgcan')) ELSE text END) AS digest, length(text) AS quality_length FROM d"""
-ORACLES["r_mates"] = """WITH m AS (SELECT source AS sample, 1 AS mate FROM documents WHERE doc_id % 5 < 4 UNION ALL SELECT source, 2 FROM documents WHERE doc_id % 3 > 0)
+ORACLES["r_mates"] = """WITH m AS (SELECT source AS sample, 1 AS mate FROM documents UNION ALL SELECT source, 2 FROM documents)
 SELECT sample, count(*) AS records, count(*) FILTER (mate = 1) AS mate1_records, count(*) FILTER (mate = 2) AS mate2_records, count(*) FILTER (mate = 1) AS fragments FROM m GROUP BY sample"""
 
 # ---- motif search --------------------------------------------------------------------------
 
 HITS = """docs AS (SELECT source AS sample, 'r' || doc_id AS read_id, 'R1' AS mate, doc_id AS record_no, upper(text) AS seq FROM documents),
-mot AS (SELECT 'd' || item_id AS deletion_id, 'item ' || item_id AS deletion_name, item_id % 2 = 0 AS single, upper(substr(text, 1, 30)) AS whole, upper(substr(text, 1, 15)) AS f, upper(substr(text, 16, 15)) AS s FROM benchmark),
+mot AS (SELECT 'd' || item_id AS deletion_id, 'item ' || item_id AS deletion_name, item_id % 2 = 0 AS single, upper(text) AS whole, upper(substr(text, 1, length(text) // 2)) AS f, upper(substr(text, length(text) // 2 + 1)) AS s FROM benchmark),
 hits AS (SELECT sample, read_id, mate, record_no, deletion_id, deletion_name, CASE WHEN single THEN 'single_sequence' ELSE 'multi_sequence_required' END AS search_strategy,
   CASE WHEN single THEN 'whole' ELSE 'first,second' END AS matched_sequence_ids, CASE WHEN single THEN 'forward' ELSE 'forward,forward' END AS matched_orientation
   FROM docs JOIN mot ON CASE WHEN single THEN contains(seq, whole) ELSE contains(seq, f) AND contains(seq, s) END)"""
@@ -306,7 +306,7 @@ SELECT e.sample, deletion_id, deletion_name, CASE WHEN single THEN 'single_seque
 
 OVERLAP = f"""{EVENTS},
 t(deletion_id, deletion_name, tl, tr, ts, bt, st) AS (VALUES ('search_9000_11951', 'search_9000_11951', 9000, 11951, {11951 - 9000 - 1}, 100, 150), ('again_3001_7950', 'again', 3001, 7950, {7950 - 3001 - 1}, 20, 30)),
-h AS (SELECT sample, read_id || '/1' AS rid, read_id AS read_key, CASE WHEN orderkey % 2 = 0 THEN 'search_9000_11951' ELSE 'again_3001_7950' END AS deletion_id FROM events WHERE left_breakpoint BETWEEN 2985 AND 9015),
+h AS (SELECT sample, read_id || '/1' AS rid, read_id AS read_key, CASE WHEN orderkey % 2 = 0 THEN 'search_9000_11951' ELSE 'again_3001_7950' END AS deletion_id FROM events),
 r AS (SELECT e.sample, t.deletion_id, e.read_id AS read_key, e.deletion_id AS eid FROM events e JOIN t ON
   ((abs(left_breakpoint - tl) <= bt AND abs(right_breakpoint - tr) <= bt) OR (abs(left_breakpoint - tr) <= bt AND abs(right_breakpoint - tl) <= bt)) AND abs(deleted_size - ts) <= st
   WHERE EXISTS (SELECT 1 FROM h WHERE h.sample = e.sample AND h.deletion_id = t.deletion_id)),
@@ -498,7 +498,7 @@ JOIN pos p ON o.sample = p.sample AND o.read_id = p.read_id AND o.ll = p.ll AND
 
 # ---- coverage ------------------------------------------------------------------------------
 
-BLOCKS = f"""st AS (SELECT sample, rotation_name, 'f' || (orderkey % 5000) AS name, (1000 * (suppkey % 17) - 150 + partkey % 300 - 1 + {L}) % {L} + 1 AS s, partkey % 300 AS n FROM seg WHERE linenumber <= 3),
+BLOCKS = f"""st AS (SELECT sample, rotation_name, 'f' || orderkey AS name, (1000 * (suppkey % 17) - 150 + partkey % 300 - 1 + {L}) % {L} + 1 AS s, partkey % 300 AS n FROM seg),
 en AS (SELECT *, (s + 99 + n - 1) % {L} + 1 AS e FROM st),
 blk AS (SELECT sample, rotation_name, name, s, e FROM en WHERE s <= e UNION ALL SELECT sample, rotation_name, name, s, {L} FROM en WHERE s > e UNION ALL SELECT sample, rotation_name, name, 1, e FROM en WHERE s > e),
 want AS (SELECT sample, left_breakpoint AS position FROM events UNION SELECT sample, right_breakpoint FROM events
@@ -813,5 +813,5 @@ UNION ALL SELECT * FROM (SELECT 'normal deletion from offset alignment', {EXAMPL
 UNION ALL SELECT * FROM (SELECT 'origin-spanning deletion from offset alignment', {EXAMPLE} FROM events WHERE rotation_name = 'half' AND wraps_origin {BY})
 UNION ALL SELECT * FROM (SELECT 'deletion near offset-reference boundary', {EXAMPLE} FROM events WHERE rotation_name = 'half' AND NOT wraps_origin ORDER BY {EDGE}, sample, read_id, deletion_id, rotation_name LIMIT 1)
 UNION ALL SELECT * FROM (SELECT 'merged call detected in both alignments', {EXAMPLE} FROM mem JOIN bo ON l = left_breakpoint AND r = right_breakpoint ORDER BY sample, read_id, rotation_name LIMIT 1)"""
-ORACLES["z_violations"] = f"""WITH {LOC} SELECT 'altered' AS input, 'locations' AS "table", eid AS exact_deletion_id FROM loc WHERE cond = '18mo_Control' AND NOT (l % 2 = 0 AND sup > 0)
-UNION ALL SELECT 'as_is', 'locations', eid FROM loc WHERE cond <> '34mo_GPA' AND NOT sup > 0"""
+ORACLES["z_violations"] = f"""WITH {LOC} SELECT 'altered' AS input, 'locations' AS "table", eid AS exact_deletion_id FROM loc WHERE NOT (l % 2 = 0 AND sup > 0)
+UNION ALL SELECT 'as_is', 'locations', eid FROM loc WHERE NOT sup > 0"""

@@ -193,8 +193,8 @@ def _(spark, sf):
     """Run rows with derived labels, filled cells and file lists."""
     rows = _runs(spark, sf)
     attributes = X0.table(spark, sf, "nation").select(F.concat(F.lit("B"), F.col("n_nationkey").cast("string")).alias("BioSample"), F.col("n_name").alias("tissue"))
-    fastq = rows.filter("o_orderkey % 3 > 0").select(
-        F.col("Run").alias("run_accession"),
+    fastq = rows.select(
+        F.when(F.col("o_orderkey") % 3 > 0, F.col("Run")).otherwise(F.concat(F.lit("other"), "Run")).alias("run_accession"),
         F.concat(F.lit("ftp.host/"), F.col("Run"), F.lit("_1.gz;http://x/"), F.col("Run"), F.lit("_2.gz")).alias("fastq_ftp"),
     )
     filled = SS.fill_from_attributes(rows, attributes)
@@ -235,7 +235,7 @@ def _(spark, sf):
 
 
 def _chimeric(spark, sf) -> DataFrame:
-    return S.chimeric_names(X0.junction_rows(spark, sf).filter("repeat_left = 1"), PRM)
+    return S.chimeric_names(X0.junction_rows(spark, sf), PRM)
 
 
 @query("r_classify")
@@ -313,7 +313,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Two mate tables under each other, with counts."""
     docs = X0.documents(spark, sf).drop("mate")
-    return S.mate_counts(S.concat_mates(docs.filter("record_no % 5 < 4"), docs.filter("record_no % 3 > 0")))
+    return S.mate_counts(S.concat_mates(docs, docs))
 
 
 # ---- motif search --------------------------------------------------------------------------
@@ -343,7 +343,7 @@ def _searched(spark, sf):
     ev = X0.events(spark, sf)
     targets = MO.search_targets(spark, X0.KNOWN, X0.SEARCHES, L)
     key = X0.orderkey()
-    near = ev.filter(F.col("left_breakpoint").between(2985, 9015)).select("sample", F.concat("read_id", F.lit("/1")).alias("read_id"), key.alias("k"))
+    near = ev.select("sample", F.concat("read_id", F.lit("/1")).alias("read_id"), key.alias("k"))
     hits = near.select("sample", "read_id", F.when(F.col("k") % 2 == 0, "search_9000_11951").otherwise("again_3001_7950").alias("deletion_id"))
     return hits, ev.withColumn("exact_deletion_id", F.col("deletion_id")).drop("deletion_id"), targets
 
@@ -574,12 +574,12 @@ def _(spark, sf):
 
 @query("p_reuse")
 def _(spark, sf):
-    """Cached values for every second event."""
+    """Cached values, under the event's own id for every second one."""
     obs = X0.observed(spark, sf)
     clusters = X0.exact_clusters(spark, sf)
     n = F.col("total_supporting_reads")
-    cached = clusters.filter("left_breakpoint % 2 = 0").select(
-        "exact_deletion_id", n.alias("split_supporting_reads"), (n + 1).alias("left_reference_spanning_reads"), (n + 2).alias("right_reference_spanning_reads"),
+    cached = clusters.select(
+        F.when(F.col("left_breakpoint") % 2 == 0, F.col("exact_deletion_id")).otherwise(F.concat(F.lit("other_"), "exact_deletion_id")).alias("exact_deletion_id"), n.alias("split_supporting_reads"), (n + 1).alias("left_reference_spanning_reads"), (n + 2).alias("right_reference_spanning_reads"),
         (n + 1).alias("reference_spanning_reads_min"), F.lit(0.5).alias("local_split_support_fraction"), F.lit(20).alias("reference_support_window_bp"),
         F.lit("counted").alias("reference_support_method"),
     )
@@ -1091,6 +1091,6 @@ def _(spark, sf):
     """No row breaks the rules of the view tables, and altered rows are found."""
     where, ranked = _locations(spark, sf), _ranked(spark, sf)
     broken = where.withColumn("plot_support", F.when(F.col("left_breakpoint") % 2 == 0, F.col("plot_support")).otherwise(0.0))
-    good = Z.view_violations(where.filter("plot_group <> '34mo_GPA'"), ranked).select(F.lit("as_is").alias("input"), "table", "exact_deletion_id")
-    bad = Z.view_violations(broken.filter("plot_group = '18mo_Control'"), ranked).select(F.lit("altered").alias("input"), "table", "exact_deletion_id")
+    good = Z.view_violations(where, ranked).select(F.lit("as_is").alias("input"), "table", "exact_deletion_id")
+    bad = Z.view_violations(broken, ranked).select(F.lit("altered").alias("input"), "table", "exact_deletion_id")
     return good.unionByName(bad)
