@@ -94,7 +94,7 @@ def features(text: str, stems: dict[str, float]) -> list[float]:
     return [
         len(seed_at) / n, math.log1p(len(seed_at)), len(stem_at) / n, math.log1p(len(stem_at)), weight / n, near / n, len(person) / n, math.log1p(hidden),
         capitals / letters, loud / max(1, len(tokens)), text.count("!") / size, text.count("?") / size, marks / size, len(plain) / n,
-        sum(1 for _ in _STRETCHED.finditer(text)) / n, math.log1p(len(words)), letters / n,
+        sum(1 for _ in _STRETCHED.finditer(text)) / n, math.log1p(len(words)), sum(map(len, words)) / n,
     ]
 
 
