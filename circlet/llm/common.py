@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +48,21 @@ def attach_group(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
     return settled.unionByName(rest)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "16m"):
+    """Inside, rows go to Python workers in batches of bounded bytes, however long single rows are."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def hash_sample(rows: DataFrame, key: str, bound: int) -> DataFrame:
     """About ``bound`` rows at most, chosen by the hash of a key: the same ones at every run. All rows if there are fewer."""
     total = rows.count()

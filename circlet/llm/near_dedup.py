@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from circlet.llm.common import materialize
+from circlet.llm.common import materialize, small_batches
 from circlet.llm.components import components
 from circlet.llm.shingles import band_keys, circulant_signature, set_digest, shingle_set
 
@@ -61,12 +61,16 @@ def full_sets(docs: DataFrame, company: DataFrame, id_column: str, text_column:
             for rep, near, text in zip(pdf["rep"], pdf["company"], pdf["text"]):
                 s = shingle_set(text)
                 counts = np.minimum(np.bincount((s % np.uint64(PLACES)).astype(np.int64), minlength=PLACES), 0xFFFF).astype("<u2")
-                rows.append((rep, near, len(s), s.tobytes(), counts.tobytes()))
-            yield pd.DataFrame(rows, columns=["rep", "company", "n", "shingles", "counts"])
+                rows.append((rep, near, len(s), s.view(np.int64), counts.tobytes()))
+                if len(rows) == 500:
+                    yield pd.DataFrame(rows, columns=["rep", "company", "n", "shingles", "counts"])
+                    rows = []
+            if rows:
+                yield pd.DataFrame(rows, columns=["rep", "company", "n", "shingles", "counts"])
 
     texts = docs.select(F.col(id_column).cast("bigint").alias("rep"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     named = texts.join(company.hint("shuffle_hash"), "rep").select("rep", "company", "text")
-    return named.mapInPandas(run, "rep bigint, company bigint, n bigint, shingles binary, counts binary")
+    return named.mapInPandas(run, "rep bigint, company bigint, n bigint, shingles array<bigint>, counts binary")
 
 
 def check_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -74,15 +78,9 @@ def check_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     A leader of very many is a skewed key of the second join, which adaptive execution splits.
     """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            both = [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True)) for x, y in zip(pdf["set_a"], pdf["set_b"])]
-            yield pdf[["a", "b", "na", "nb", "company", "counts"]].assign(both=both)
-
     right = pairs.select("a", "b").join(sets.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("set_b"), "company", "counts"), "b")
     met = right.join(sets.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("set_a")), "a")
-    checked = met.select("a", "b", "na", "nb", "company", "counts", "set_a", "set_b").mapInPandas(run, "a bigint, b bigint, na bigint, nb bigint, company bigint, counts binary, both bigint")
+    checked = met.select("a", "b", "na", "nb", "company", "counts", F.size(F.array_intersect("set_a", "set_b")).cast("bigint").alias("both"))
     return checked.withColumn("linked", 100 * F.col("both") >= SIMILAR * (F.col("na") + F.col("nb") - F.col("both")))
 
 
@@ -128,6 +126,11 @@ def remaining_pairs(first: DataFrame, second: DataFrame) -> DataFrame:
 
 def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document."""
+    with small_batches(docs.sparkSession):
+        return _near_groups(docs, id_column, text_column)
+
+
+def _near_groups(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     sketch = materialize(sketches(docs, id_column, text_column), "near-sketches")
     filled = sketch.where("n_shingles > 0")
     classes = materialize(filled.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "near-classes")

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from circlet.llm.common import attach_group, materialize, shared_dir
+from circlet.llm.common import attach_group, materialize, shared_dir, small_batches
 
 REVISIT_BYTES = 1000
 ARC_BYTES = 4 << 20
@@ -282,8 +282,9 @@ def revisits(records: DataFrame, least_bytes: int = REVISIT_BYTES) -> DataFrame:
 
 def convert(pages: DataFrame, least_bytes: int = REVISIT_BYTES) -> DataFrame:
     """ARC files of the pages, converted and written as WARC; returns the committed manifest."""
-    records = arc_records(arc_files(pages))
-    pairs = revisits(records, least_bytes).hint("shuffle_hash")
-    folder = f"{shared_dir(pages.sparkSession).rstrip('/')}/warc-{uuid.uuid4().hex}"
-    joined = records.select("page_id", "url", "ip", "date", "http", "payload", "sha1").join(pairs, "page_id", "left")
-    return materialize(write_archives(joined, folder), "warc-manifest")
+    with small_batches(pages.sparkSession):
+        records = arc_records(arc_files(pages))
+        pairs = revisits(records, least_bytes).hint("shuffle_hash")
+        folder = f"{shared_dir(pages.sparkSession).rstrip('/')}/warc-{uuid.uuid4().hex}"
+        joined = records.select("page_id", "url", "ip", "date", "http", "payload", "sha1").join(pairs, "page_id", "left")
+        return materialize(write_archives(joined, folder), "warc-manifest")
