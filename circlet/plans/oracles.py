@@ -441,6 +441,11 @@ ORACLES["k_clusters_by_read"] = f"WITH RECURSIVE {EVENTS},{clustering('events',
 MEMBERS = f"WITH RECURSIVE {EVENTS},{clustering('events', COORD)},{clusters(COORD, 2)}, mem AS (SELECT sup.*, cl, cr, cs, cid FROM sup JOIN clu USING (ll, lr))"
 ORACLES["k_members"] = f"""{MEMBERS} SELECT sample, read_id, rotation_name, cid AS exact_deletion_id, cl AS left_breakpoint, cr AS right_breakpoint, left_breakpoint AS read_left_breakpoint,
   right_breakpoint AS read_right_breakpoint, deleted_size AS read_deleted_size FROM mem"""
+ORACLES["e_remap"] = f"""WITH RECURSIVE {EVENTS}, cf AS (SELECT DISTINCT a.sample, a.read_id, a.left_breakpoint, a.right_breakpoint FROM events a JOIN events b ON a.sample = b.sample AND a.read_id = b.read_id
+  AND row(a.rotation_name, a.deletion_id) <> row(b.rotation_name, b.deletion_id) AND {dist("a.left_breakpoint", "b.right_breakpoint")} <= 10 AND {dist("a.right_breakpoint", "b.left_breakpoint")} <= 10),
+acc AS (SELECT * FROM events ANTI JOIN cf USING (sample, read_id, left_breakpoint, right_breakpoint)),{clustering('acc', COORD)},{clusters(COORD, 2)}, mem AS (SELECT sup.*, cl, cr, cs, cid FROM sup JOIN clu USING (ll, lr))
+SELECT sample, read_id, rotation_name, cid AS exact_deletion_id, cl AS left_breakpoint, cr AS right_breakpoint, left_breakpoint AS read_left_breakpoint, right_breakpoint AS read_right_breakpoint,
+  deleted_size AS read_deleted_size FROM mem"""
 ORACLES["k_numbered"] = f"""WITH RECURSIVE {EVENTS},{clustering('events', COORD)},
 g AS (SELECT ll, lr, count(DISTINCT (sample, read_id)) AS n, count(DISTINCT sample) AS ns, array_to_string(list_sort(list(DISTINCT sample)), ';') AS ss, count(DISTINCT rotation_name) AS nr FROM asg GROUP BY ALL)
 SELECT 'mtDelJunc_' || lpad(CAST(row_number() OVER (ORDER BY ll, lr) AS VARCHAR), 6, '0') AS junction_id, ll AS left_breakpoint, lr AS right_breakpoint, {gap("ll", "lr")} AS deleted_size,
@@ -492,6 +497,15 @@ obs AS (SELECT sample, read_id, ll, lr, array_to_string(list_sort(list(DISTINCT
   array_to_string(list_sort(list(DISTINCT rotation_name)), ';') AS rotation_support, max(nh) AS deletion_hypotheses_from_read, array_to_string(list_sort(list_distinct(flatten(list(flags)))), ';') AS observation_quality_flags,
   min(min_anchor_length) AS min_anchor_length, min(min_mapq) AS min_mapq, round(max(err), 6) AS estimated_alignment_error_rate, round(min(cov), 6) AS query_union_coverage, bool_or(prim) AS primary_chain_evidence,
   bool_and(coalesce(sec, FALSE)) AS secondary_only_evidence, count(DISTINCT pat) AS alignment_pattern_count, max(rep) AS junction_repeat_length, bool_and(adj) AS query_segments_adjacent FROM fl GROUP BY ALL)"""
+ORACLES["e_evidence"] = f"""WITH RECURSIVE {CANDS},
+ob2 AS (SELECT o.sample, o.read_id, o.ll AS hl, o.lr AS hr, o.evidence_sources AS es, o.both_callers_support AS bc, o.source_record_count AS n, p.l AS left_breakpoint, p.r AS right_breakpoint
+  FROM obs o JOIN pos p ON o.sample = p.sample AND o.read_id = p.read_id AND o.ll = p.ll AND o.lr = p.lr),{clustering('ob2', 'sample, read_id, hl, hr')},
+one AS (SELECT * FROM asg QUALIFY row_number() OVER (PARTITION BY ll, lr, sample, read_id ORDER BY hl, hr) = 1),
+ps AS (SELECT ll, lr, max(c) AS mx FROM (SELECT ll, lr, sample, count(*) AS c FROM one GROUP BY ALL) GROUP BY ALL)
+SELECT ll AS leader_left, lr AS leader_right, count(*) AS distinct_observation_count, CAST(sum(n) AS BIGINT) AS raw_source_record_count, count(DISTINCT (sample, read_id)) AS distinct_read_identifier_count,
+  any_value(mx) AS maximum_support_within_sample, round(count(*) FILTER (bc) / count(*), 6) AS both_caller_supporting_observation_fraction,
+  concat_ws(';', CASE WHEN bool_or(contains(es, 'minimap2_remap')) THEN 'minimap2_remap' END, CASE WHEN bool_or(contains(es, 'star_chimeric')) THEN 'star_chimeric' END) AS evidence_sources
+FROM one JOIN ps USING (ll, lr) GROUP BY ll, lr"""
 ORACLES["q_observations"] = f"""WITH RECURSIVE {CANDS}
 SELECT o.* EXCLUDE (ll, lr), p.l AS left_breakpoint, p.r AS right_breakpoint, {gap("p.l", "p.r")} AS deleted_size, gm.gene AS gene_pair_label FROM obs o
 JOIN pos p ON o.sample = p.sample AND o.read_id = p.read_id AND o.ll = p.ll AND o.lr = p.lr LEFT JOIN gm ON o.sample = gm.sample AND o.read_id = gm.read_id AND o.ll = gm.ll AND o.lr = gm.lr"""

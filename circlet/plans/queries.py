@@ -27,6 +27,7 @@ from circlet.operators import stats as A
 from circlet.operators import tiers as T
 from circlet.operators import views as V
 from circlet.plans import fixtures as X0
+from circlet.plans import paths as PA
 from circlet.sources import alignments as SA
 from circlet.sources import annotation as SG
 from circlet.sources import samples as SS
@@ -496,6 +497,32 @@ def _(spark, sf):
     return rounded(found.select(*OBSERVATION))
 
 
+# ---- end to end ----------------------------------------------------------------------------
+
+
+@query("e_remap")
+def _(spark, sf):
+    """Segments to events, conflicts left out, clusters and their member rows."""
+    out = PA.remap_path(_segments(spark, sf), PRM).members
+    return out.select("sample", "read_id", "rotation_name", "exact_deletion_id", "left_breakpoint", "right_breakpoint", "read_left_breakpoint",
+                      "read_right_breakpoint", "read_deleted_size")
+
+
+@query("e_evidence")
+def _(spark, sf):
+    """Rows of both callers to observations, clusters of them, annotation and tiers."""
+    targets = FA.deletion_targets(spark, X0.KNOWN, X0.SEARCHES, L)
+
+    def annotated(clusters):
+        return FA.annotate(clusters, X0.feature_set(spark), X0.ARCS, targets, X0.EXPECTED, L)
+
+    graded = PA.evidence_path(X0.candidates(spark, sf), PRM, annotated).graded
+    return rounded(graded.select(
+        "leader_left", "leader_right", "distinct_observation_count", "raw_source_record_count", "distinct_read_identifier_count",
+        "maximum_support_within_sample", "both_caller_supporting_observation_fraction", "evidence_sources",
+    ))
+
+
 # ---- clusters ------------------------------------------------------------------------------
 
 CLUSTER = ("exact_deletion_id", "breakpoint_pair_id", "left_breakpoint", "right_breakpoint", "deleted_size", "wraps_origin", "deleted_interval",
