@@ -278,26 +278,6 @@ def centred_gram(counts: DataFrame, samples: DataFrame, value: str = "per_millio
     return joined.select("sample_a", "sample_b", (F.col("total") - F.col("ra") - F.col("rb") + F.col("ga")).alias("value"))
 
 
-def principal_components(counts: DataFrame, samples: DataFrame, value: str = "per_million") -> DataFrame:
-    """Two components per sample; the coordinate of largest size is made positive.
-
-    Only the sample x sample matrix goes to the eigen step.
-    """
-
-    def decompose(pdf: pd.DataFrame) -> pd.DataFrame:
-        matrix = pdf.pivot(index="sample_a", columns="sample_b", values="value").sort_index().sort_index(axis=1)
-        weights, vectors = np.linalg.eigh(matrix.to_numpy())
-        top = np.argsort(weights)[::-1][:2]
-        scores = vectors[:, top] * np.sqrt(np.clip(weights[top], 0.0, None))
-        for k in range(scores.shape[1]):
-            if scores[np.abs(scores[:, k]).argmax(), k] < 0:
-                scores[:, k] *= -1
-        return pd.DataFrame({"sample": matrix.index, "pc1": scores[:, 0], "pc2": scores[:, 1] if scores.shape[1] > 1 else 0.0})
-
-    gram = centred_gram(counts, samples, value)
-    return gram.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(decompose, "sample string, pc1 double, pc2 double")
-
-
 # ---- comparisons and chords --------------------------------------------------------------
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from circlet.durable import shared_dir
 from circlet.functions import coords as C
 from circlet.functions import reads as R
 from circlet.operators import annotate as FA
@@ -29,6 +31,7 @@ from circlet.operators import views as V
 from circlet.plans import fixtures as X0
 from circlet.plans import paths as PA
 from circlet.sources import alignments as SA
+from circlet.sources import fastq as SF
 from circlet.sources import annotation as SG
 from circlet.sources import samples as SS
 
@@ -136,6 +139,17 @@ def _(spark, sf):
 # ---- ingest --------------------------------------------------------------------------------
 
 
+@query("s_fastq_text")
+def _(spark, sf):
+    """Documents written as FASTQ text, read back by blocks."""
+    seq = F.regexp_replace("text", "[^A-Za-z]", "N")
+    record = F.array(F.concat(F.lit("@r"), F.col("doc_id").cast("string"), F.lit("/1 1:N:0:ACGT")), seq, F.lit("+"), F.repeat(F.lit("I"), F.length("text")))
+    path = f"{shared_dir(spark).rstrip('/')}/fastq-{uuid.uuid4().hex}"
+    X0.table(spark, sf, "documents").where("text <> ''").select(F.explode(record)).write.text(path)
+    reads = SF.read_fastq(spark, [path])
+    return reads.select("read_id", R.name_key("read_id").alias("read_key"), "mate", F.md5("seq").alias("digest"), F.length("qual").alias("quality_length"))
+
+
 @query("s_sam_text")
 def _(spark, sf):
     """SAM text lines to typed columns."""
@@ -945,13 +959,6 @@ def _(spark, sf):
     return rounded(V.centred_gram(counts.filter("label_kind = 'affected'"), sheet.select("sample"), "reads"), 3)
 
 
-@query("v_components")
-def _(spark, sf):
-    """V12."""
-    counts, sheet = _counts(spark, sf)
-    return rounded(V.principal_components(counts.filter("label_kind = 'affected'"), sheet.select("sample"), "reads"), 3)
-
-
 @query("v_bray_curtis")
 def _(spark, sf):
     """V13."""
