@@ -112,18 +112,18 @@ class PieceLattice:
         return h
 
     @staticmethod
-    def _codes(word: str) -> np.ndarray:
-        """Code points of a word and the blank before it, as pieces write them."""
-        c = np.frombuffer(f" {word}".encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-        c = np.where(c == ord(BLANK), np.uint64(_LITERAL), c)
-        return np.where(c == 32, np.uint64(ord(BLANK)), c)
+    def _codes(text: str) -> np.ndarray:
+        """Code points of words, each with the blank before it, as pieces write them."""
+        c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+        c[c == ord(BLANK)] = _LITERAL
+        c[c == 32] = ord(BLANK)
+        return c
 
     def edges(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Codes of all words, first places, lengths, and for each length and place the index of its piece."""
-        parts = [self._codes(w) for w in words]
-        sizes = np.array([len(p) for p in parts])
+        sizes = np.array([len(w) + 1 for w in words])
         starts = np.cumsum(sizes) - sizes
-        codes = np.concatenate(parts)
+        codes = self._codes(" " + " ".join(words))
         room = np.repeat(starts + sizes, sizes) - np.arange(len(codes))
         reach = int(min(self.longest, sizes.max()))
         found = np.full((reach + 1, len(codes)), len(self.ids) - 1, dtype=np.int32)
@@ -185,7 +185,7 @@ class PieceLattice:
 
     def best_paths(self, word: str, n: int | None = None) -> list[tuple[float, tuple[int, ...]]]:
         """The n best paths of a word, best first: A* from its end, led by the forward scores."""
-        codes = self._codes(word).tolist()
+        codes = self._codes(" " + word).tolist()
         text = "".join("\0" if c == _LITERAL else chr(c) for c in codes)
         size = len(codes)
         ahead = [0.0] + [NEVER] * size
