@@ -33,6 +33,10 @@ def line_key(line: Column) -> Column:
     return lower_ascii(F.trim(line, F.lit(BLANKS)))
 
 
+def line_count(text: Column) -> Column:
+    return (F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("bigint")
+
+
 def line_hashes(docs: DataFrame, id_column: str, text_column: str, min_chars: int) -> DataFrame:
     lines = docs.where(F.col(id_column).isNotNull()).select(
         F.col(id_column).alias("doc_id"), F.posexplode(F.split(F.coalesce(F.col(text_column), F.lit("")), "\n", -1)).alias("pos", "line")
@@ -71,7 +75,7 @@ def _stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def dropped_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, pos) of every line that goes."""
-    hashes = line_hashes(docs, id_column, text_column, min_chars)
+    hashes = materialize(line_hashes(docs, id_column, text_column, min_chars), "line-hashes")  # read twice: for the ranges, then for the shuffle
     order = ["h1", "h2", "doc_id", "pos"]
     ranged = hashes.repartitionByRange(*order).sortWithinPartitions(*order)
     schema = T.StructType(
@@ -99,8 +103,7 @@ def unpack_bits(bitmap: bytes, n_lines: int) -> np.ndarray:
 def line_bitmaps(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """doc_id, n_lines, n_dropped, keep_bitmap of every document."""
     gone = dropped_lines(docs, id_column, text_column, min_chars).groupBy("doc_id").agg(F.collect_set("pos").alias("gone"))
-    count = F.length(F.coalesce(F.col(text_column), F.lit(""))) - F.length(F.translate(F.coalesce(F.col(text_column), F.lit("")), "\n", "")) + 1
-    sizes = docs.select(F.col(id_column).alias("doc_id"), count.cast("bigint").alias("n_lines"))
+    sizes = docs.select(F.col(id_column).alias("doc_id"), line_count(F.coalesce(F.col(text_column), F.lit(""))).alias("n_lines"))
 
     @F.pandas_udf("binary")
     def packed(n: pd.Series, lost: pd.Series) -> pd.Series:
@@ -125,8 +128,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_column: str = "doc_id"
         return pd.Series([one(*x) for x in zip(text, n, lost, bitmap)], dtype=object)
 
     masks = bitmaps.dropDuplicates(["doc_id"]).where(F.col("doc_id").isNotNull()).hint("shuffle_hash")
-    own_size = F.length("text") - F.length(F.translate("text", "\n", "")) + 1
     return texts.join(masks, "doc_id", "left").select(
-        "doc_id", F.coalesce("n_lines", own_size.cast("bigint")).alias("n_lines"), F.coalesce("n_dropped", F.lit(0)).alias("n_dropped"),
+        "doc_id", F.coalesce(F.col("n_lines"), line_count(F.col("text"))).alias("n_lines"), F.coalesce("n_dropped", F.lit(0)).alias("n_dropped"),
         kept("text", "n_lines", F.coalesce("n_dropped", F.lit(0)), "keep_bitmap").alias("kept_text"),
     )
