@@ -8,15 +8,22 @@ from pyspark.sql import functions as F
 from circlet.functions import coords as C
 
 
-def flag_conflicts(rows: DataFrame, slop: int, length: int) -> DataFrame:
+def flag_conflicts(rows: DataFrame, slop: int, length: int | None) -> DataFrame:
     """Add ``in_conflict``: some other row of the same read runs the opposite way within slop.
 
+    Without a length the coordinates lie on no circle, and only the exact reverse counts.
+
     Rows are reduced to distinct coordinates per read first, so copies cost nothing, and the
     self join is hashed on a coordinate bucket as well as the read: one read with very many
     rows still spreads over tasks, and the semi join stops at the first partner.
     """
     keys = ["sample", "read_id", "left_breakpoint", "right_breakpoint"]
     points = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+    if not length:
+        back = points.select("sample", "read_id", F.col("left_breakpoint").alias("right_breakpoint"), F.col("right_breakpoint").alias("left_breakpoint"))
+        own = (F.col("left_breakpoint") != F.col("right_breakpoint")) | (F.col("copies") > 1)
+        hit = points.filter(own).join(back, keys, "left_semi").select(*keys, F.lit(True).alias("in_conflict"))
+        return rows.join(hit, keys, "left").withColumn("in_conflict", F.col("in_conflict").isNotNull())
     width = 2 * slop + 1
     count = max(1, length // width)
 
@@ -45,7 +52,7 @@ def flag_conflicts(rows: DataFrame, slop: int, length: int) -> DataFrame:
     return rows.join(hit, keys, "left").withColumn("in_conflict", F.col("in_conflict").isNotNull())
 
 
-def split_conflicts(rows: DataFrame, slop: int, length: int) -> tuple[DataFrame, DataFrame]:
+def split_conflicts(rows: DataFrame, slop: int, length: int | None) -> tuple[DataFrame, DataFrame]:
     """(accepted, ambiguous); ambiguous rows carry status ``ambiguous_across_rotations``."""
     flagged = flag_conflicts(rows, slop, length)
     if "breakpoint_pair_id" not in rows.columns:

@@ -153,7 +153,8 @@ class Features:
             self._constant = F.from_json(F.lit(text), f"array<{_ENTRY}>")
         else:
             # (start, end, name) order as one sortable number is not needed: keep it as a struct
-            self._table = entries.withColumn("ord", F.xxhash64("start", "end", "name", "type"))
+            same = W.partitionBy("start", "end", "name", "type").orderBy(F.lit(1))  # equal rows stay apart
+            self._table = entries.withColumn("ord", F.xxhash64("start", "end", "name", "type")).withColumn("copy", F.row_number().over(same))
 
     def genes(self) -> Features:
         """The features that can anchor a gene: named ones, without configured regions."""
@@ -188,7 +189,7 @@ class Features:
         shared = F.least(F.col("p.end"), F.col("end")) - low + 1
         met = spans.join(cells, "bucket").filter((shared > 0) & (F.col("bucket") == cut(low)))
         fields = ["start", "end", "name", "type", "coding", "control", "rna"]
-        per = met.groupBy("_pieces", "ord", *fields).agg(F.sum(shared).cast("int").alias("overlap"))
+        per = met.groupBy("_pieces", "ord", "copy", *fields).agg(F.sum(shared).cast("int").alias("overlap"))
         lists = per.groupBy("_pieces").agg(F.array_sort(F.collect_list(F.struct(*fields, "overlap"))).alias(out))
         joined = keyed.join(lists, "_pieces", "left").drop("_pieces")
         blank = F.array().cast(joined.schema[out].dataType)

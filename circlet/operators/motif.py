@@ -50,8 +50,10 @@ def find_motifs(reads: DataFrame, motifs: DataFrame) -> DataFrame:
 
     ``reads``: sample, read_id, mate, record_no, seq. A motif table that is checked to be small is
     broadcast and tested against each read as it streams by. A larger one is matched by seed: the
-    first bases of each pattern are joined with the substrings of the reads, then confirmed.
+    first bases of each pattern are joined with the substrings of the reads, then confirmed. Empty
+    patterns match nothing in either plan.
     """
+    motifs = motifs.filter("pattern <> ''")
     key = ["sample", "read_id", "mate", "record_no"]
     text = reads.select(*key, F.upper("seq").alias("_seq"))
     small, is_small = bounded_broadcast(motifs, BROADCAST_MOTIFS)

@@ -73,7 +73,7 @@ class Params:
     density_smooth_bins: int = 7
     table_min_reads: int = 0
     table_always_targets: bool = True
-    table_max_rows: int = 500
+    table_max_rows: int = 0  # export rule of the display table; 0 shows every row
 
     def __post_init__(self) -> None:
         if self.length <= 0:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from circlet.functions import pvalues as PV
 from circlet.operators import annotate as FA
+from circlet.operators import conflicts as X
 from circlet.operators import features as FT
 from circlet.operators import motif as MO
 from circlet.operators import selection as S
@@ -61,6 +62,19 @@ def test_arcs_and_targets(spark):
         ("mtDNA_100_500", 8, 100, ""), ("mtDNA_103_503", 103, 100, ""), ("mtDNA_8471_13449", 8471, 10, "c")]
 
 
+def test_conflicts_without_a_circle(spark):
+    rows = [("s", "a", 5, 9), ("s", "a", 9, 5), ("s", "b", 5, 9), ("s", "b", 9, 6), ("s", "c", 7, 7), ("s", "d", 4, 4), ("s", "d", 4, 4), ("t", "a", 9, 5)]
+    out = X.flag_conflicts(spark.createDataFrame(rows, "sample string, read_id string, left_breakpoint int, right_breakpoint int"), 10, None)
+    assert sorted(tuple(r)[:4] for r in out.filter("in_conflict").collect()) == [("s", "a", 5, 9), ("s", "a", 9, 5), ("s", "d", 4, 4), ("s", "d", 4, 4)]
+
+
+@pytest.mark.parametrize("limit", [100, 0])
+def test_equal_feature_rows_stay_apart(spark, limit):
+    f = features(spark, [("A", "gene", 10, 20), ("A", "gene", 10, 20)], 100, limit)
+    out = f.overlaps(spark.createDataFrame([(1,)], "k int"), F.array(F.struct(F.lit(15).alias("start"), F.lit(18).alias("end"))), "hits").first().hits
+    assert [h.overlap for h in out] == [4, 4]
+
+
 def test_settings(spark):
     config = {"a": {"b": 1, "c": {"d": "x", "e": [2, {"z": 1, "y": None}]}}, "f": None, "g": True, "h": 0.5, "i": {}}
     assert dict(ST.flatten_settings(spark, config).collect()) == {"a.b": "1", "a.c.d": "x", "a.c.e": '[2, {"y": null, "z": 1}]', "f": "null", "g": "true", "h": "0.5"}
