@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from circlet.durable import materialize, shared_dir  # noqa: F401
 
@@ -48,6 +52,18 @@ def attach_group(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
     return settled.unionByName(rest)
 
 
+def replace_text(rows: DataFrame, name: str, kind: T.DataType, compute: Callable[[list[str]], Iterable]) -> DataFrame:
+    """Replaces the column ``text`` by a column computed from it in the tasks. All others pass as they are, unconverted."""
+    names, arrow = [c for c in rows.columns if c != "text"], to_arrow_type(kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = pa.array(list(compute(batch.column(batch.schema.get_field_index("text")).to_pylist())), type=arrow)
+            yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(n)) for n in names], made], names=[*names, name])
+
+    return rows.mapInArrow(run, T.StructType([*[rows.schema[n] for n in names], T.StructField(name, kind)]))
+
+
 @contextmanager
 def small_batches(spark: SparkSession, size: str = "16m"):
     """Inside, rows go to Python workers in batches of bounded bytes, however long single rows are."""

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from circlet.llm.common import id_bucket, labelled_sample
+from circlet.llm.common import id_bucket, labelled_sample, replace_text
 
 PASSAGE = 512
 TRAIN_ROWS = 4000
@@ -160,15 +160,10 @@ def fit(sample: DataFrame) -> QualityModel:
 
 def score(docs: DataFrame, model: QualityModel) -> DataFrame:
     """Replaces ``text`` (not null) by ``score``."""
-    others = [f for f in docs.schema.fields if f.name != "text"]
+    def scores(texts: list[str]) -> list[float]:
+        return [x for i in range(0, len(texts), 256) for x in model.score(texts[i : i + 256]).tolist()]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            texts = list(pdf["text"])
-            parts = [model.score(texts[i : i + 256]) for i in range(0, len(texts), 256)]
-            yield pdf[[f.name for f in others]].assign(score=np.concatenate(parts) if parts else [])
-
-    return docs.mapInPandas(run, T.StructType([*others, T.StructField("score", T.DoubleType())]))
+    return replace_text(docs, "score", T.DoubleType(), scores)
 
 
 def held_out(id_column: str = "doc_id") -> Column:

@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.ml.classification import GBTClassifier
@@ -26,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from circlet.llm.common import id_bucket, labelled_sample, materialize
+from circlet.llm.common import id_bucket, labelled_sample, materialize, replace_text
 
 TRAIN_ROWS = 12_000
 TREES, DEPTH = 20, 3
@@ -87,7 +86,7 @@ def features(text: str, stems: dict[str, float]) -> list[float]:
     hidden = sum(p in SEED or any(p[:k] + "*" in stems for k in range(STEM_MIN, STEM_MAX + 1)) for p in plain)
     size = max(1, len(text))
     letters = max(1, sum(map(len, words)))
-    capitals = sum(1 for c in text if c.isupper()) if not text.islower() else 0
+    capitals = sum(map(str.isupper, text)) if not text.islower() else 0
     tokens = text.split()
     loud = sum(len(t) > 1 and t.isupper() for t in tokens)
     marks = len(text) - sum(map(len, words)) - sum(map(text.count, " \n\t\r"))
@@ -120,13 +119,7 @@ def learn_stems(sample: DataFrame, limit: int = STEMS) -> dict[str, float]:
 
 def with_features(rows: DataFrame, stems: dict[str, float]) -> DataFrame:
     """Replaces ``text`` (not null) by ``features``."""
-    others = [f for f in rows.schema.fields if f.name != "text"]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pdf[[f.name for f in others]].assign(features=[features(t, stems) for t in pdf["text"]])
-
-    return rows.mapInPandas(run, T.StructType([*others, T.StructField("features", T.ArrayType(T.DoubleType()))]))
+    return replace_text(rows, "features", T.ArrayType(T.DoubleType()), lambda texts: [features(t, stems) for t in texts])
 
 
 class ToxicityModel:
