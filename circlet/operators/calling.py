@@ -138,8 +138,22 @@ def _adjacent_pairs(segments: DataFrame, fields, order, p: Params) -> DataFrame:
     )
 
 
+def _with_ids(events: DataFrame) -> DataFrame:
+    """The two text ids, after the chain columns."""
+    ids = (
+        C.deletion_id("left_breakpoint", "right_breakpoint", "deleted_size").alias("deletion_id"),
+        C.breakpoint_pair_id("left_breakpoint", "right_breakpoint").alias("breakpoint_pair_id"),
+    )
+    return events.select(*CHAIN, *ids, *[c for c in events.columns if c not in CHAIN])
+
+
 def events_from_pairs(pairs: DataFrame, p: Params) -> DataFrame:
     """One directed event per pair, normalised over strand, inside the size range."""
+    return _with_ids(_plain_events(pairs, p))
+
+
+def _plain_events(pairs: DataFrame, p: Params) -> DataFrame:
+    """D07 without the text ids: breakpoints and size say the same in numbers."""
     plus = F.col("a_strand") == "+"
 
     def side(name, left):
@@ -159,8 +173,6 @@ def events_from_pairs(pairs: DataFrame, p: Params) -> DataFrame:
     base = base.filter(F.col("deleted_size").between(p.min_deletion_size, p.max_deletion_size))
     record = C.directed_record("left_breakpoint", "right_breakpoint", p.length)
     columns = {
-        "deletion_id": C.deletion_id("left_breakpoint", "right_breakpoint", "deleted_size"),
-        "breakpoint_pair_id": C.breakpoint_pair_id("left_breakpoint", "right_breakpoint"),
         "left_breakpoint": F.col("left_breakpoint"),
         "right_breakpoint": F.col("right_breakpoint"),
         "deleted_size": F.col("deleted_size"),
@@ -205,17 +217,21 @@ def events_from_pairs(pairs: DataFrame, p: Params) -> DataFrame:
     return base.select(*CHAIN, *[expr.alias(name) for name, expr in columns.items()])
 
 
-def first_per_read(events: DataFrame) -> DataFrame:
-    """One row per (read, event, rotation): the first in chain and query order.
+def _ends(columns=()) -> list[F.Column]:
+    """The two breakpoints of an event whatever its direction."""
+    if "_low" in columns:
+        return [F.col("_low"), F.col("_high")]
+    return [F.least("left_breakpoint", "right_breakpoint"), F.greatest("left_breakpoint", "right_breakpoint")]
 
-    ``row_number() = 1`` lets Spark drop all but the first row per key before the shuffle.
-    """
+
+def first_per_read(events: DataFrame) -> DataFrame:
+    """One row per (read, event, rotation): the first in chain and query order."""
     order = [
         "chain_id", "query_first_start", "query_first_end", "query_second_start", "query_second_end",
         "raw_left_breakpoint", "raw_right_breakpoint", "left_mapq", "right_mapq",
         *[c for c in ("left_cigar", "right_cigar", "left_flag", "right_flag") if c in events.columns],
     ]
-    w = W.partitionBy("sample", "rotation_name", "read_id", "deletion_id").orderBy(*order)
+    w = W.partitionBy("sample", "rotation_name", "read_id", *_ends(events.columns), "left_breakpoint", "right_breakpoint").orderBy(*order)
     return events.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
@@ -224,7 +240,7 @@ def mark_reciprocal(events: DataFrame) -> DataFrame:
 
     After D08 a window here holds at most the two directions of the pair.
     """
-    w = W.partitionBy("sample", "rotation_name", "read_id", "breakpoint_pair_id")
+    w = W.partitionBy("sample", "rotation_name", "read_id", *_ends(events.columns))
     left, right = F.col("directed_left_breakpoint"), F.col("directed_right_breakpoint")
     several = (F.min(left).over(w) != F.max(left).over(w)) | (F.min(right).over(w) != F.max(right).over(w))
     status = F.when(several, "ambiguous_reciprocal_alignments").otherwise(F.col("direction_status"))
@@ -237,8 +253,15 @@ def apply_direction_policy(events: DataFrame, p: Params) -> DataFrame:
 
 
 def call_candidates(segments: DataFrame, p: Params) -> DataFrame:
-    """D04-D09 over usable segments: the candidate table."""
-    return mark_reciprocal(first_per_read(events_from_pairs(pair_segments(segments, p), p)))
+    """D04-D09 over usable segments: the candidate table.
+
+    One shuffle, on the read and the two ends in either order, and one sort serve both D08 and D09; the text ids are made
+    for what is left.
+    """
+    events = _plain_events(pair_segments(segments, p), p)
+    low, high = _ends()
+    placed = events.withColumns({"_low": low, "_high": high}).repartition("sample", "rotation_name", "read_id", "_low", "_high")
+    return _with_ids(mark_reciprocal(first_per_read(placed)).drop("_low", "_high"))
 
 
 def call_events(segments: DataFrame, p: Params) -> DataFrame:
