@@ -14,6 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from circlet.durable import materialize, shared_dir  # noqa: F401
 
 HEAVY_SHARE = 1000
+SLICE_ROWS = 256
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -52,12 +53,18 @@ def attach_group(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
     return settled.unionByName(rest)
 
 
+def lean_worker() -> None:
+    """Makes a Python worker give freed Arrow memory back to the system at once; workers live on between stages."""
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
 def replace_text(rows: DataFrame, name: str, kind: T.DataType, compute: Callable[[list[str]], Iterable]) -> DataFrame:
     """Replaces the column ``text`` by a column computed from it in the tasks. All others pass as they are, unconverted."""
     names, arrow = [c for c in rows.columns if c != "text"], to_arrow_type(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        lean_worker()
+        for batch in (whole.slice(i, SLICE_ROWS) for whole in batches for i in range(0, whole.num_rows, SLICE_ROWS)):
             made = pa.array(list(compute(batch.column(batch.schema.get_field_index("text")).to_pylist())), type=arrow)
             yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(n)) for n in names], made], names=[*names, name])
 
@@ -65,7 +72,7 @@ def replace_text(rows: DataFrame, name: str, kind: T.DataType, compute: Callable
 
 
 @contextmanager
-def small_batches(spark: SparkSession, size: str = "16m"):
+def small_batches(spark: SparkSession, size: str = "4m"):
     """Inside, rows go to Python workers in batches of bounded bytes, however long single rows are."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     before = spark.conf.get(key, None)

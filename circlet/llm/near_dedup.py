@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from circlet.llm.common import materialize, small_batches
+from circlet.llm.common import lean_worker, materialize, small_batches
 from circlet.llm.components import components
 from circlet.llm.shingles import band_keys, circulant_signature, set_digest, shingle_set
 
@@ -39,6 +39,7 @@ def sketches(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """doc_id, n_shingles, set_key, bands of every row with an id."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lean_worker()
         for pdf in batches:
             rows = []
             for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
@@ -56,6 +57,7 @@ def full_sets(docs: DataFrame, company: DataFrame, id_column: str, text_column:
     """rep, company, n, shingles (sorted hashes) and counts of the documents that ``company`` (rep, company) names."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lean_worker()
         for pdf in batches:
             rows = []
             for rep, near, text in zip(pdf["rep"], pdf["company"], pdf["text"]):

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from circlet.llm.common import materialize
+from circlet.llm.common import lean_worker, materialize
 from circlet.llm.tokens import ByteTokenizer
 
 CAPACITY = 1024
@@ -42,6 +42,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", te
     """doc_id, piece, start, length, ids_crc32 (and the ids as little-endian unsigned 32-bit, if asked for)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lean_worker()
         tokenizer = ByteTokenizer.load(vocabulary)
         end = int(end_id).to_bytes(4, "little")
         for pdf in batches:
@@ -50,7 +51,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", te
                 ids += end
                 for piece, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                     part = ids[4 * start : 4 * (start + length)]
-                    rows.append((doc_id, piece, start, length, zlib.crc32(part), part))
+                    rows.append((doc_id, piece, start, length, zlib.crc32(part), part if with_ids else None))
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
             yield (out if with_ids else out.drop(columns="ids")).astype({"doc_id": pdf["doc_id"].dtype})
 
