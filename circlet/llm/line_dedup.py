@@ -19,11 +19,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from circlet.llm.common import BLANKS, lower_ascii, materialize
+from circlet.llm.common import BLANKS, SLICE_ROWS, lean_worker, lower_ascii, materialize
 
 MIN_CHARS = 10
 DROPPED, OPEN, TAIL = 0, 1, 2
@@ -47,6 +48,7 @@ def line_hashes(docs: DataFrame, id_column: str, text_column: str, min_chars: in
 
 def _stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """First occurrences over one sorted partition, batch by batch."""
+    lean_worker()
     last, first_doc, head = None, None, True
     for pdf in batches:
         if pdf.empty:
@@ -117,18 +119,20 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_column: str = "doc_id"
     """doc_id, n_lines, n_dropped and the kept text of every document."""
     texts = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
 
-    @F.pandas_udf("string")
-    def kept(text: pd.Series, n: pd.Series, lost: pd.Series, bitmap: pd.Series) -> pd.Series:
-        def one(t, size, gone, bits):
-            if not gone > 0:
-                return t
-            keep = unpack_bits(bits, int(size))
-            return "\n".join(x for x, k in zip(t.split("\n"), keep) if k)
+    def kept(text: str, size: int, gone: int, bits: bytes) -> str:
+        if not gone:
+            return text
+        return "\n".join(line for line, keep in zip(text.split("\n"), unpack_bits(bits, size)) if keep)
 
-        return pd.Series([one(*x) for x in zip(text, n, lost, bitmap)], dtype=object)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_worker()
+        for batch in (whole.slice(i, SLICE_ROWS) for whole in batches for i in range(0, whole.num_rows, SLICE_ROWS)):
+            doc_id, n_lines, n_dropped, text, bitmap = batch.columns
+            made = pa.array(map(kept, text.to_pylist(), n_lines.to_pylist(), n_dropped.to_pylist(), bitmap.to_pylist()), type=pa.string())
+            yield pa.RecordBatch.from_arrays([doc_id, n_lines, n_dropped, made], names=["doc_id", "n_lines", "n_dropped", "kept_text"])
 
     masks = bitmaps.dropDuplicates(["doc_id"]).where(F.col("doc_id").isNotNull()).hint("shuffle_hash")
-    return texts.join(masks, "doc_id", "left").select(
-        "doc_id", F.coalesce(F.col("n_lines"), line_count(F.col("text"))).alias("n_lines"), F.coalesce("n_dropped", F.lit(0)).alias("n_dropped"),
-        kept("text", "n_lines", F.coalesce("n_dropped", F.lit(0)), "keep_bitmap").alias("kept_text"),
-    )
+    joined = texts.join(masks, "doc_id", "left").select(
+        "doc_id", F.coalesce(F.col("n_lines"), line_count(F.col("text"))).alias("n_lines"), F.coalesce("n_dropped", F.lit(0)).cast("bigint").alias("n_dropped"), "text", "keep_bitmap"
+    )
+    return joined.mapInArrow(run, T.StructType([*[joined.schema[c] for c in ("doc_id", "n_lines", "n_dropped")], T.StructField("kept_text", T.StringType())]))
