@@ -2,7 +2,7 @@
 
 1. One pass over the texts makes for each document its set of five-word shingles, a 128-bit name of the set, and band
    keys of a circulant MinHash signature (``shingles.py``). ``BANDS`` bands of ``ROWS`` coordinates miss a pair of
-   similarity 0.85 with a probability below 1e-7.
+   similarity 0.85 with a probability below 1e-7, and one of similarity 0.8 with about 1.5e-5.
 2. Documents with equal sets are one class; only its smallest id goes on, so copies never meet each other.
 3. In every bucket the class with the most company leads, and the others are checked against it on full sets. What does
    not link to a leader gets a second leader among its like. A bucket of n classes so costs n checks, not n squared.
@@ -11,6 +11,9 @@
    triangle inequality over the leader). Only survivors become rows; they are checked on full sets. No pair is dropped.
 5. Components of all links, by star steps; the smallest id of a component stays.
 
+A link takes a Jaccard similarity of ``similar`` percent or more: 85 is the contract of op3_near_dedup, other callers give
+their own. Below 80 the bands would miss more than the figures above say.
+
 Defined cases: a null text, an empty one or one of blanks has no shingles, links with nothing and stays. A row with a
 null id links with nothing and stays. Rows that repeat an id are one document each with the same result. An empty
 table gives an empty result.
@@ -19,6 +22,7 @@ table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -30,7 +34,7 @@ from circlet.llm.components import components
 from circlet.llm.shingles import band_keys, circulant_signature, set_digest, shingle_set
 
 ROWS, BANDS = 5, 28
-SIMILAR = 85  # percent
+SIMILAR = 85  # percent, of op3_near_dedup
 PLACES = 256  # of the counts that bound intersections
 BLOCK = 256
 
@@ -75,7 +79,7 @@ def full_sets(docs: DataFrame, company: DataFrame, id_column: str, text_column:
     return named.mapInPandas(run, "rep bigint, company bigint, n bigint, shingles array<bigint>, counts binary")
 
 
-def check_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def check_pairs(pairs: DataFrame, sets: DataFrame, similar: int = SIMILAR) -> DataFrame:
     """a, b, both (size of the intersection), na, nb, linked for pairs (a, b), on full sets; company and counts of b.
 
     A leader of very many is a skewed key of the second join, which adaptive execution splits.
@@ -83,14 +87,14 @@ def check_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     right = pairs.select("a", "b").join(sets.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("set_b"), "company", "counts"), "b")
     met = right.join(sets.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("set_a")), "a")
     checked = met.select("a", "b", "na", "nb", "company", "counts", F.size(F.array_intersect("set_a", "set_b")).cast("bigint").alias("both"))
-    return checked.withColumn("linked", 100 * F.col("both") >= SIMILAR * (F.col("na") + F.col("nb") - F.col("both")))
+    return checked.withColumn("linked", 100 * F.col("both") >= similar * (F.col("na") + F.col("nb") - F.col("both")))
 
 
-def _could_fit(n1, n2):
-    return 100 * F.least(n1, n2) >= SIMILAR * F.greatest(n1, n2)
+def _could_fit(n1, n2, similar: int):
+    return 100 * F.least(n1, n2) >= similar * F.greatest(n1, n2)
 
 
-def _search_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _search_blocks(batches: Iterator[pd.DataFrame], similar: int) -> Iterator[pd.DataFrame]:
     """Pairs of two blocks of a family that may link and are not known to be connected."""
     for pdf in batches:
         for ours, theirs in zip(pdf["ours"], pdf["theirs"]):
@@ -101,18 +105,18 @@ def _search_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             ids, n, comp, near, counts = unpack(theirs)
             found = []
             for i, size, root, close, own in zip(*unpack(ours)):
-                fits = (comp != root) & (ids != i) & (100 * np.minimum(n, size) >= SIMILAR * np.maximum(n, size))
-                fits &= np.abs(near - close) <= 1 - SIMILAR / 100 + 1e-9
+                fits = (comp != root) & (ids != i) & (100 * np.minimum(n, size) >= similar * np.maximum(n, size))
+                fits &= np.abs(near - close) <= 1 - similar / 100 + 1e-9
                 at = np.flatnonzero(fits)
                 if len(at):
                     most = np.minimum(counts[at], own).sum(axis=1)
-                    at = at[((100 + SIMILAR) * most >= SIMILAR * (n[at] + size)) | (own.max() == 0xFFFF)]
+                    at = at[((100 + similar) * most >= similar * (n[at] + size)) | (own.max() == 0xFFFF)]
                 found += [(min(i, j), max(i, j)) for j in ids[at]]
             if found:
                 yield pd.DataFrame(sorted(set(found)), columns=["a", "b"])
 
 
-def remaining_pairs(first: DataFrame, second: DataFrame) -> DataFrame:
+def remaining_pairs(first: DataFrame, second: DataFrame, similar: int = SIMILAR) -> DataFrame:
     """Pairs inside a leader's family, not both linked to one leader, that may link: blocks against blocks."""
     hers = second.where("linked").groupBy("b").agg(F.min("a").alias("second_lead"))
     known = first.join(hers, "b", "left").withColumn("root", F.when(F.col("linked"), F.col("a")).otherwise(F.coalesce("second_lead", "b")))
@@ -123,16 +127,16 @@ def remaining_pairs(first: DataFrame, second: DataFrame) -> DataFrame:
     member = F.struct("b", "nb", "root", "near", "counts")
     blocks = full.groupBy("a", block.alias("block")).agg(F.collect_list(member).alias("theirs"), F.collect_list(F.when(~F.col("linked"), member)).alias("ours"))
     met = blocks.where(F.size("ours") > 0).select("a", "ours").join(blocks.select("a", "theirs"), "a").select("ours", "theirs")
-    return met.mapInPandas(_search_blocks, "a bigint, b bigint").distinct()
+    return met.mapInPandas(partial(_search_blocks, similar=similar), "a bigint, b bigint").distinct()
 
 
-def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every document."""
+def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similar: int = SIMILAR) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every document; links take a similarity of ``similar`` percent."""
     with small_batches(docs.sparkSession):
-        return _near_groups(docs, id_column, text_column)
+        return _near_groups(docs, id_column, text_column, similar)
 
 
-def _near_groups(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+def _near_groups(docs: DataFrame, id_column: str, text_column: str, similar: int) -> DataFrame:
     sketch = materialize(sketches(docs, id_column, text_column), "near-sketches")
     filled = sketch.where("n_shingles > 0")
     classes = materialize(filled.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "near-classes")
@@ -145,14 +149,14 @@ def _near_groups(docs: DataFrame, id_column: str, text_column: str) -> DataFrame
     leads = ranked.groupBy("key").agg(F.max(F.struct("company", (-F.col("rep")).alias("minus")))["minus"].alias("minus")).select("key", (-F.col("minus")).alias("a"))
     stars = materialize(ranked.select(F.col("rep").alias("b"), "key").join(leads, "key").where("a <> b").select("a", "b").distinct(), "near-stars")
     sets = materialize(full_sets(docs, company, id_column, text_column), "near-sets")
-    first = materialize(check_pairs(stars, sets), "near-first")
+    first = materialize(check_pairs(stars, sets, similar), "near-first")
     # a second leader for what did not link to the first
     loose = first.where(~F.col("linked")).select("a", "b", "nb", "company")
     top = F.max(F.struct("company", (-F.col("b")).alias("minus"), F.col("nb").alias("n_lead"))).alias("top")
     seconds = loose.groupBy("a").agg(top, F.count(F.lit(1)).alias("n")).where("n > 1").select("a", (-F.col("top.minus")).alias("lead"), "top.n_lead")
-    again = loose.join(seconds, "a").where((F.col("b") != F.col("lead")) & _could_fit(F.col("nb"), F.col("n_lead"))).select(F.col("lead").alias("a"), "b").distinct()
-    second = materialize(check_pairs(again, sets), "near-second")
-    third = materialize(check_pairs(remaining_pairs(first, second), sets), "near-third")
+    again = loose.join(seconds, "a").where((F.col("b") != F.col("lead")) & _could_fit(F.col("nb"), F.col("n_lead"), similar)).select(F.col("lead").alias("a"), "b").distinct()
+    second = materialize(check_pairs(again, sets, similar), "near-second")
+    third = materialize(check_pairs(remaining_pairs(first, second, similar), sets, similar), "near-third")
     roots = components(first.unionByName(second).unionByName(third).where("linked").select("a", "b"))
     roots = classes.join(roots, F.col("rep") == F.col("node"), "left").select("set_key", F.coalesce("root", "rep").alias("component_id"))
     grouped = filled.select("doc_id", "n_shingles", "set_key").join(roots, "set_key").select("doc_id", "n_shingles", "component_id")
@@ -161,8 +165,8 @@ def _near_groups(docs: DataFrame, id_column: str, text_column: str) -> DataFrame
     return grouped.unionByName(alone).unionByName(nameless).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def drop_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def drop_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similar: int = SIMILAR) -> DataFrame:
     """Whole rows of the documents that stay: one of each component, and every row without shingles or id."""
-    gone = near_groups(docs, id_column, text_column).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
+    gone = near_groups(docs, id_column, text_column, similar).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
     rows = docs.select(F.col(id_column).cast("bigint").alias("row_id"), F.struct("*").alias("row"))
     return rows.join(gone.hint("shuffle_hash"), F.col("row_id") == F.col("gone_id"), "left_anti").select("row.*")

@@ -18,6 +18,7 @@ from circlet.llm.common import keep_scored, materialize, table
 from circlet.llm.queries import vocabulary
 
 LIMIT = 0.5  # of both classifiers, as in their queries
+SIMILAR = 80  # percent of common shingles that make near copies
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +39,8 @@ def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near copies, linked directly or over others, the document with the smallest id."""
-    return near_dedup.drop_near_copies(docs)
+    """Of near copies (similarity 0.8 or more), linked directly or over others, the document with the smallest id."""
+    return near_dedup.drop_near_copies(docs, similar=SIMILAR)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

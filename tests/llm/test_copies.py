@@ -71,7 +71,7 @@ def test_exact_rows(spark, odd):
 # ---- near -----------------------------------------------------------------------------------
 
 
-def brute_near(texts):
+def brute_near(texts, similar=85):
     def tokens(t):
         w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
         return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
@@ -86,7 +86,7 @@ def brute_near(texts):
 
     for i in range(len(sets)):
         for j in range(i):
-            if sets[i] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+            if sets[i] and 100 * len(sets[i] & sets[j]) >= similar * len(sets[i] | sets[j]):
                 a, b = find(i), find(j)
                 root[max(a, b)] = min(a, b)
     return [(len(s), find(i)) for i, s in enumerate(sets)]
@@ -125,6 +125,31 @@ def test_near_rows(spark, odd):
     assert near_dedup.near_groups(docs.limit(0)).count() == 0
 
 
+def test_near_stage_of_the_pipeline(spark):
+    """Two to eight changed words in texts of 95 to 180: the stage links from 0.8 on, op3 from 0.85, both as brute force does."""
+    import corpus_pipeline as P
+
+    rng = random.Random(11)
+    texts = []
+    for size, changes in ((95, (2,)), (140, (3,)), (150, (1, 2, 3, 4)), (180, (2, 4, 8))):
+        for family in range(6):
+            base = words(rng, size, 100_000).split()
+            for _ in range(2 if len(changes) == 1 else 8):
+                copy = list(base)
+                for place in rng.sample(range(size), rng.choice(changes)):
+                    copy[place] = f"x{rng.randrange(10**9)}"
+                texts.append(" ".join(copy))
+            texts.append(" ".join(base))
+    rng.shuffle(texts)
+    docs = docs_of(spark, texts)
+    wide, narrow = brute_near(texts, 80), brute_near(texts)
+    kept = {r["doc_id"] for r in P.drop_near(spark, docs, None).collect()}
+    assert kept == {i for i, (_, c) in enumerate(wide) if c == i}
+    assert len(kept) + 10 < sum(c == i for i, (_, c) in enumerate(narrow))  # enough families hold together only from 0.8 on
+    assert near_rows(near_dedup.near_groups(docs, similar=80)) == dict(enumerate(wide))
+    assert near_rows(near_dedup.near_groups(docs)) == dict(enumerate(narrow))
+
+
 def test_signature_agrees_with_similarity():
     rng = random.Random(1)
     a = words(rng, 400, 10**6).split()
