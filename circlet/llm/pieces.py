@@ -5,7 +5,7 @@ to every place; these scores are exact heuristics for an A* search that starts a
 start in the order of their whole scores. No piece of such a model reaches over the start of a word, so the lattice of a
 text is a chain of word lattices: Viterbi runs over many new words at once and tells for every word its
 best path and what its second best loses. Of a text's words only the ``n - 1`` that lose least can differ in its ``n``
-best paths; A* runs on those, and their paths are combined.
+best paths; A* runs on those, and their paths are combined. All ``n`` paths are given, each with its score and ids.
 
 Encoding adds the leading blank of the model and writes characters without a piece as bytes; decoding gives the text back
 exactly, also where it holds the character that stands for a blank in pieces.
@@ -19,6 +19,7 @@ from __future__ import annotations
 import heapq
 import itertools
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -241,13 +242,12 @@ class PieceLattice:
             self.new, self.old = {}, self.new
         return out
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[bytes, list[float], list[tuple[tuple[int, tuple[int, ...]], ...]]]]:
-        """For each text: ids of the best path (little-endian 32-bit), scores of the n best, and for each of those the
-        ids of the words that may differ (index of the word, its ids)."""
+    def encode(self, texts: list[str]) -> Iterator[tuple[bytes, list[float], list[bytes]]]:
+        """For each text: ids of the best path (little-endian 32-bit), scores of the n best, and the ids of each of those."""
         for low in range(0, len(texts), 64):
             for words, solved in self._lookup(texts[low : low + 64]):
                 if not words:
-                    yield b"", [0.0], [()]
+                    yield b"", [0.0], [b""]
                     continue
                 parts, scores, losses = zip(*solved)
                 ids, best = b"".join(parts), sum(scores)
@@ -256,7 +256,18 @@ class PieceLattice:
                 close = [i for i in sorted(order[:some].tolist()) if losses[i] < np.inf]
                 choices = [[(base - score, (i, tokens)) for score, tokens in paths] for i in close for paths in [self.best_paths(words[i])] for base in [paths[0][0]]]
                 ways = sorted(((sum(loss for loss, _ in way), tuple(change for _, change in way)) for way in itertools.product(*choices)), key=lambda x: x[0])[: self.n_best]
-                yield ids, [best - loss for loss, _ in ways], [w for _, w in ways]
+                ends = list(itertools.accumulate(map(len, parts[: close[-1] + 1]))) if close else []
+                paths = [self._changed(ids, ends, way) for _, way in ways]
+                yield paths[0], [best - loss for loss, _ in ways], paths
+
+    @staticmethod
+    def _changed(ids: bytes, ends: list[int], way: tuple[tuple[int, tuple[int, ...]], ...]) -> bytes:
+        """Ids of a text with other ids for some words (index of the word, its ids); ``ends`` of the words in bytes."""
+        out, done = [], 0
+        for i, tokens in way:
+            out += [ids[done : ends[i - 1] if i else 0], struct.pack(f"<{len(tokens)}i", *tokens)]
+            done = ends[i]
+        return b"".join([*out, ids[done:]])
 
     def decode(self, ids: bytes) -> str:
         data = b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<i4").tolist()))
@@ -264,18 +275,30 @@ class PieceLattice:
 
 
 def encode_documents(docs: DataFrame, model: str, n_best: int = N_BEST, id_column: str = "doc_id", text_column: str = "text", with_ids: bool = True) -> DataFrame:
-    """doc_id, n_ids, ids_crc32, scores (of the n best paths, best first), decoded_sha256, and the ids if asked for."""
+    """doc_id, n_ids, ids_crc32, scores (of the n best paths, best first), decoded_sha256, paths, and the ids if asked for.
+
+    ``paths``, best first: score, n_ids, ids_crc32, same_text (its ids give the text back), and its ids if asked for.
+    """
     import hashlib
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lattice = PieceLattice.load(model, n_best)
         for pdf in batches:
             rows = []
-            for doc_id, (ids, scores, _) in zip(pdf["doc_id"], lattice.encode(list(pdf["text"]))):
-                rows.append((doc_id, len(ids) // 4, zlib.crc32(ids), scores, hashlib.sha256(lattice.decode(ids).encode("utf-8", "surrogatepass")).hexdigest(), ids))
-            out = pd.DataFrame(rows, columns=["doc_id", "n_ids", "ids_crc32", "scores", "decoded_sha256", "ids"]).astype({"doc_id": pdf["doc_id"].dtype})
-            yield out if with_ids else out.drop(columns="ids")
+            texts = list(pdf["text"])
+            for doc_id, text, (ids, scores, paths) in zip(pdf["doc_id"], texts, lattice.encode(texts)):
+                decoded = lattice.decode(ids)
+                sums, same = [zlib.crc32(p) for p in paths], [decoded == text, *(lattice.decode(p) == text for p in paths[1:])]
+                row = (doc_id, len(ids) // 4, sums[0], scores, hashlib.sha256(decoded.encode("utf-8", "surrogatepass")).hexdigest(), [len(p) // 4 for p in paths], sums, same)
+                rows.append((*row, paths, ids) if with_ids else row)
+            yield pd.DataFrame(rows, columns=names).astype({"doc_id": pdf["doc_id"].dtype})
 
     narrow = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     fields = [narrow.schema["doc_id"], T.StructField("n_ids", T.LongType()), T.StructField("ids_crc32", T.LongType()), T.StructField("scores", T.ArrayType(T.DoubleType())), T.StructField("decoded_sha256", T.StringType())]
-    return narrow.mapInPandas(run, T.StructType(fields + [T.StructField("ids", T.BinaryType())] * with_ids))
+    fields += [T.StructField("path_n_ids", T.ArrayType(T.LongType())), T.StructField("path_crc32", T.ArrayType(T.LongType())), T.StructField("path_same", T.ArrayType(T.BooleanType()))]
+    fields += [T.StructField("path_ids", T.ArrayType(T.BinaryType())), T.StructField("ids", T.BinaryType())] if with_ids else []
+    names = [f.name for f in fields]
+    parts = {"scores": "score", "path_n_ids": "n_ids", "path_crc32": "ids_crc32", "path_same": "same_text"} | ({"path_ids": "ids"} if with_ids else {})
+    paths = F.arrays_zip(*[F.col(c).alias(name) for c, name in parts.items()])
+    coded = narrow.mapInPandas(run, T.StructType(fields)).withColumn("paths", paths)
+    return coded.select("doc_id", "n_ids", "ids_crc32", "scores", "decoded_sha256", "paths", *["ids"] * with_ids)

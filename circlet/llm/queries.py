@@ -21,7 +21,7 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = pieces.encode_documents(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), with_ids=False)
     best, second = F.element_at("scores", 1), F.try_element_at("scores", F.lit(2))
-    return coded.select("doc_id", "n_ids", "ids_crc32", best.alias("best_score"), second.alias("second_score"), F.size("scores").alias("n_paths"), "decoded_sha256")
+    return coded.select("doc_id", "n_ids", "ids_crc32", best.alias("best_score"), second.alias("second_score"), F.size("scores").alias("n_paths"), "decoded_sha256", "paths")
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

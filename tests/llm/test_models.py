@@ -169,6 +169,38 @@ def test_pieces_round_trip(corpus):
     assert pieces.encode_documents(docs.limit(0), vocabulary("piece_bpe_32k.model")).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_ids_of_all_paths(seed):
+    rng = random.Random(seed)
+    names = sorted({pieces.BLANK + x for x in ("a", "ab", "b", "abc")} | {pieces.BLANK, pieces.BLANK * 2, "a", "b", "ab", "ba", "aab", "bb", "c"})
+    listed = [(p, i + 300, -float(rng.randint(1, 40))) for i, p in enumerate(names)]
+    lattice = pieces.PieceLattice(listed, list(range(256)), 4)
+    for _ in range(40):
+        text = "".join(rng.choice("abc  dé") for _ in range(rng.randint(0, 9)))
+        ((ids, scores, paths),) = lattice.encode([text])
+        known = {tuple(i): s for s, i in every_path(text, lattice.known, lattice.least)} if text else {(): 0.0}
+        found = [tuple(np.frombuffer(p, "<i4").tolist()) for p in paths]
+        assert paths[0] == ids and len(set(found)) == len(found) == len(scores) == min(4, len(known))
+        assert [known[p] for p in found] == pytest.approx(scores)
+        assert all(lattice.decode(p) == text for p in paths)
+
+
+def test_paths_of_documents(corpus):
+    docs, _ = corpus
+    model = vocabulary("piece_bpe_32k.model")
+    lattice, texts = pieces.PieceLattice.load(model), {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    rows = pieces.encode_documents(docs, model).collect()
+    for r in rows:
+        assert [p["score"] for p in r["paths"]] == r["scores"] and r["paths"][0]["ids"] == r["ids"]
+        assert len({bytes(p["ids"]) for p in r["paths"]}) == len(r["paths"])
+        for p in r["paths"]:
+            assert p["same_text"] and lattice.decode(bytes(p["ids"])) == texts[r["doc_id"]]
+            assert p["n_ids"] * 4 == len(p["ids"]) and p["ids_crc32"] == zlib.crc32(p["ids"])
+    assert sum(len(r["paths"]) == 4 for r in rows) >= 400
+    short = pieces.encode_documents(docs, model, with_ids=False).collect()
+    assert sorted((str(r["doc_id"]), [tuple(p) for p in r["paths"]]) for r in short) == sorted((str(r["doc_id"]), [tuple(p)[:4] for p in r["paths"]]) for r in rows)
+
+
 # ---- packing --------------------------------------------------------------------------------
 
 
