@@ -273,11 +273,11 @@ def read_archives(manifest: DataFrame) -> DataFrame:
 
 
 def revisits(records: DataFrame, least_bytes: int = REVISIT_BYTES) -> DataFrame:
-    """(page_id, refers_to) of the records whose payload a record with a larger id carries."""
+    """(page_id, sha256, refers_to) of the records whose payload a record with a larger id carries."""
     narrow = materialize(records.where(F.col("bytes") >= least_bytes).select("page_id", "sha256"), "warc-digests")
     groups = narrow.groupBy("sha256").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1")
     pairs = attach_group(narrow, groups, "sha256", "n", narrow.count())
-    return pairs.where(F.col("page_id") != F.col("refers_to")).select("page_id", "refers_to").dropDuplicates(["page_id"])
+    return pairs.where(F.col("page_id") != F.col("refers_to")).select("page_id", "sha256", "refers_to").dropDuplicates(["page_id", "sha256"])
 
 
 def convert(pages: DataFrame, least_bytes: int = REVISIT_BYTES) -> DataFrame:
@@ -286,5 +286,5 @@ def convert(pages: DataFrame, least_bytes: int = REVISIT_BYTES) -> DataFrame:
         records = arc_records(arc_files(pages))
         pairs = revisits(records, least_bytes).hint("shuffle_hash")
         folder = f"{shared_dir(pages.sparkSession).rstrip('/')}/warc-{uuid.uuid4().hex}"
-        joined = records.select("page_id", "url", "ip", "date", "http", "payload", "sha1").join(pairs, "page_id", "left")
+        joined = records.select("page_id", "url", "ip", "date", "http", "payload", "sha1", "sha256").join(pairs, ["page_id", "sha256"], "left").drop("sha256")
         return materialize(write_archives(joined, folder), "warc-manifest")

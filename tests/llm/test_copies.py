@@ -246,6 +246,14 @@ def test_archives_round_trip(spark):
     assert warc.read_archives(warc.convert(pages.limit(0))).count() == 0
 
 
+def test_archives_of_an_id_with_two_payloads(spark):
+    """Only the payload that a larger page repeats is a revisit; the other one of the same id stays whole."""
+    shared, alone = "s" * 2000, "u" * 2000
+    pages = spark.createDataFrame([(1, "http://e.org/1", shared), (1, "http://e.org/1", alone), (2, "http://e.org/2", shared)], "page_id bigint, url string, html string")
+    got = [(r["page_id"], r["record_type"], r["refers_to"], r["payload"] and bytes(r["payload"]).decode()) for r in warc.read_archives(warc.convert(pages)).collect()]
+    assert sorted(got, key=str) == sorted([(1, "revisit", 2, None), (1, "response", None, alone), (2, "response", None, shared)], key=str)
+
+
 @pytest.mark.parametrize("version", [1, 2])
 def test_arc_records(version):
     import io
