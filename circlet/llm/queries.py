@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from circlet.llm import exact_dedup, fingerprint, language, line_dedup, near_dedup, packing, pieces, quality, toxicity, warc
+from circlet.llm import conversation_repair, exact_dedup, fingerprint, language, license_scan, line_dedup, near_dedup, packing, periodic_runs, pieces, quality, toxicity, warc
 from circlet.llm.common import table
 
 
@@ -62,6 +62,20 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), edit=periodic_runs.crc_period)
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair(conversation_repair.damaged(rows), rows)
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_toxicity": op2_toxicity,
@@ -73,4 +87,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_language": op9_language,
     "op10_fingerprints": op10_fingerprints,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_license_scan": op13_license_scan,
 }
