@@ -70,7 +70,7 @@ mit | 3 | x11 | (?:mit x11|x11 mit) (?:style )?licen[sc]e
 mit | 1 | mit | mit licensed
 mit | 1 | mit | mit style licen[sc]e
 mit | 2 | opensource | opensource org licenses mit(?: license)?(?: php)?
-mit-0 | 4 | no attribution | mit no attribution(?: licen[sc]e)?
+mit-0 | 4 | no attribution | mit no attribution licen[sc]e
 mit-licence-uk | 1 | mit licence | mit licence
 x11 | 3 | x11 | x11 licen[sc]e
 apache-2.0 | 4 | apache | (?:licensed |released |distributed |available )?under (?:the )?(?:terms of the )?apache licen[sc]e version 2(?: 0)?
@@ -90,7 +90,6 @@ gpl-3.0-or-later | 4 | later version | (?:gnu )?general public licen[sc]e (?:as
 gpl | 3 | general public | (?:licensed under the )?gnu general public licen[sc]e
 gpl | 2 | general public | you should have received a copy of the gnu general public licen[sc]e along with this program
 gpl | 2 | general public | under the terms of the gnu general public licen[sc]e
-gpl | 3 | gnu gpl | gnu gpl (?:licen[sc]e )?(?:version |v)?[123]?
 gpl | 1 | gpl | gpl licen[sc]ed?
 gpl-2.0 | 2 | gnu org | gnu org licenses (?:old licenses )?gpl 2 0(?: html| txt)?
 gpl-3.0 | 2 | gnu org | gnu org licenses gpl 3 0(?: html| txt)?
@@ -130,7 +129,6 @@ mpl-1.1 | 4 | mozilla | mozilla public licen[sc]e (?:version |v)?1 1
 mpl-2.0 | 4 | mozilla | mozilla public licen[sc]e (?:version |v)?2 0
 mpl-2.0 | 2 | mozilla | this source code form is subject to the terms of the mozilla public license v 2 0
 mpl | 3 | mozilla | mozilla public licen[sc]e
-mpl | 2 | mozilla | mozilla org mpl(?: 2 0)?
 npl | 3 | netscape | netscape public licen[sc]e
 epl-1.0 | 4 | eclipse | eclipse public licen[sc]e (?:version |v)?1 0
 epl-2.0 | 4 | eclipse | eclipse public licen[sc]e (?:version |v)?2 0
@@ -159,7 +157,6 @@ wtfpl | 1 | wtfpl | wtfpl licen[sc]e
 artistic-1.0 | 4 | artistic | (?:perl )?artistic licen[sc]e (?:version |v)?1 0
 artistic-2.0 | 4 | artistic | artistic licen[sc]e (?:version |v)?2 0
 artistic | 3 | artistic | artistic licen[sc]e
-perl | 2 | perl itself | under the same (?:terms|license) as perl itself(?: license)?
 python-2.0 | 3 | python | python (?:software foundation )?licen[sc]e(?: (?:version |v)?2)?
 psf | 1 | psf | psf licen[sc]e
 ruby | 3 | ruby | ruby(?: s)? licen[sc]e
@@ -232,13 +229,19 @@ cc-by-nc-sa | 2 | creativecommons | creativecommons org licenses by nc sa [1-4]
 cc-by-nc-nd | 2 | creativecommons | creativecommons org licenses by nc nd [1-4] [0-9]
 proprietary | 2 | end user | end user licen[sc]e agreement
 proprietary | 2 | commercial | commercial licen[sc]e(?: agreement)?
-proprietary | 2 | proprietary | (?:proprietary|closed source) licen[sc]e
+proprietary | 2 | licen | (?:proprietary|closed source) licen[sc]e
 permissive | 1 | permissive | permissive (?:open source )?licen[sc]e
 copyleft | 1 | copyleft | copyleft licen[sc]e
 dual | 1 | dual | dual licen[sc]ed?
-multiple | 1 | triple | (?:triple|tri) licen[sc]ed?
+multiple | 1 | tri | (?:triple|tri) licen[sc]ed?
 open-source | 1 | open source | open source licen[sc]e
 see-license-file | 1 | see | see (?:the )?(?:file )?licen[sc]e(?: file| txt| md)? for (?:more |license )?(?:details|information)
+[gnu gpl]
+gpl | 3 | gnu gpl | gnu gpl(?: licen[sc]e)?(?: (?:version |v)?[123])?
+[mozilla org]
+mpl | 2 | mpl | mozilla org mpl(?: 2 0)?
+[perl itself]
+perl | 2 | under the same | under the same (?:terms|license) as perl itself
 [permission]
 mit | 2 | free of charge | permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files
 isc | 2 | and or distribute | permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
@@ -247,7 +250,7 @@ bsl-1.0 | 2 | person or organization | permission is hereby granted free of char
 zlib | 2 | anyone to use | permission is granted to anyone to use this software for any purpose including commercial applications
 bsd | 2 | endorse or promote | may be used to endorse or promote products derived from this software without (?:specific )?prior written permission
 gfdl | 2 | document | permission is granted to copy distribute and or modify this document
-proprietary | 2 | express | without the (?:express|prior) (?:written )?permission of
+proprietary | 2 | permission of | without the (?:express|prior) (?:written )?permission of
 verbatim | 1 | verbatim | permission is granted to make and distribute verbatim copies
 [redistribut]
 bsd | 2 | source and binary | redistribution and use in source and binary forms with or without modification are permitted
@@ -256,14 +259,14 @@ bsd | 1 | source code | redistributions of source code must retain the above cop
 gpl | 2 | redistribute it | you can redistribute it and or modify it under the terms of the gnu general public license
 lgpl | 2 | redistribute it | you can redistribute it and or modify it under the terms of the gnu lesser general public license
 agpl | 2 | redistribute it | you can redistribute it and or modify it under the terms of the gnu affero general public license
-freeware | 1 | freely | may be (?:freely )?redistributed(?: freely)?
+freeware | 1 | redistributed | may be (?:freely )?redistributed(?: freely)?
 [warrant]
 no-warranty | 1 | as is | provided as is without (?:any )?(?:warranty|warranties)(?: of any kind)?
 no-warranty | 1 | absolutely | comes with absolutely no warranty
 apache-2.0 | 2 | conditions of any kind | distributed on an as is basis without warranties or conditions of any kind
 gpl | 1 | merchantability | without even the implied warranty of merchantability or fitness for a particular purpose
 [public domain]
-public-domain | 2 | released | (?:released|placed|dedicated) (?:in|into|to) the public domain
+public-domain | 2 | the public domain | (?:released|placed|dedicated) (?:in|into|to) the public domain
 public-domain | 2 | unencumbered | this is free and unencumbered software released into the public domain
 cc0-1.0 | 3 | cc0 | cc0 1 0 (?:universal )?public domain(?: dedication)?
 public-domain | 1 | public domain | in the public domain

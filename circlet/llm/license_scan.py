@@ -15,6 +15,7 @@ columns are dropped, so their names cannot clash.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -38,12 +39,12 @@ def _fix(frame: DataFrame, columns: list[str], name: str, value: Column) -> Data
 
 
 def _rule_table(rules: list[Rule]) -> Column:
+    """The rules as one constant."""
     rows = [
-        F.struct(F.lit(i).alias("rule"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"), F.lit(r.stem).alias("stem"), F.lit(r.keyword).alias("keyword"),
-                 F.lit(f"(?<= )(?i:({r.pattern}))(?= )").alias("pattern"), F.lit(r.base).alias("base"))
+        {"rule": i, "label": r.label, "priority": r.priority, "stem": r.stem, "keyword": r.keyword, "pattern": f"(?<= )(?i:({r.pattern}))(?= )", "base": r.base}
         for i, r in enumerate(rules)
     ]
-    return F.array(*rows)
+    return F.from_json(F.lit(json.dumps(rows)), "array<struct<rule:int,label:string,priority:int,stem:string,keyword:string,pattern:string,base:boolean>>")
 
 
 def _places(rule: Column, marked: Column) -> Column:
