@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from circlet.functions import coords as C
 from circlet.operators.leader import assign_leaders
+from circlet.operators.ranking import numbered
 
 COORDINATE_ORDER = ("left_breakpoint", "right_breakpoint", "sample", "read_id", "rotation_name")
 KEY = ("species", "leader_left", "leader_right")
@@ -115,24 +116,14 @@ def duplicate_representatives(clusters: DataFrame) -> DataFrame:
 def numbered_clusters(rows: DataFrame, slop: int, length: int, min_support: int) -> DataFrame:
     """Clusters that keep the leader's coordinates and get a number in leader order.
 
-    Leaders come out in (species, left, right) order, so a number is the count of leaders with a
-    smaller (species, left) plus the rank among equals. The counting window has at most ``length``
-    rows per species; nothing else is ordered globally.
+    Leaders come out in (species, left, right) order, so the number is the rank of the leader.
     """
     reported = rows if "canonical_orientation" in rows.columns else rows.withColumn(
         "canonical_orientation", F.lit("alignment_directed")
     )
     assigned = assign_clusters(reported, slop, length)
     leaders = assigned.select(*KEY).distinct()
-    per_left = leaders.groupBy("species", "leader_left").agg(F.count(F.lit(1)).alias("n"))
-    before = W.partitionBy().orderBy("species", "leader_left").rowsBetween(W.unboundedPreceding, -1)
-    offsets = per_left.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    inside = W.partitionBy("species", "leader_left").orderBy("leader_right")
-    numbered = (
-        leaders.join(offsets, ["species", "leader_left"])
-        .withColumn("number", F.col("offset") + F.row_number().over(inside))
-        .withColumn("junction_id", F.format_string("mtDelJunc_%06d", F.col("number")))
-    )
+    numbered_leaders = numbered(leaders, list(KEY), "number").withColumn("junction_id", F.format_string("mtDelJunc_%06d", F.col("number")))
     support = assigned.groupBy(*KEY).agg(
         F.count_distinct("sample", "read_id").alias("total_supporting_reads"),
         _sorted_set("sample").alias("supporting_samples"),
@@ -141,7 +132,7 @@ def numbered_clusters(rows: DataFrame, slop: int, length: int, min_support: int)
     )
     return (
         support.filter(F.col("total_supporting_reads") >= min_support)
-        .join(numbered, list(KEY))
+        .join(numbered_leaders, list(KEY))
         .select(
             "junction_id", "species",
             F.col("leader_left").alias("left_breakpoint"), F.col("leader_right").alias("right_breakpoint"),

@@ -127,7 +127,7 @@ def dense(labels: DataFrame, samples: DataFrame, limit: int = 20_000) -> DataFra
 def wide_matrix(counts: DataFrame, samples: DataFrame, value: str = "reads") -> DataFrame:
     """Export form of A03: one row per sample, one column per label, zero filled.
 
-    Spark refuses more label columns than ``spark.sql.pivotMaxValues``; the long form has no limit.
+    Spark refuses more label columns than ``spark.sql.pivotMaxValues``; ``wide_rows`` and the long form have no limit.
     """
     pivoted = counts.groupBy("sample").pivot("label").agg(F.sum(value))
     labels = [c for c in pivoted.columns if c != "sample"]
@@ -190,3 +190,16 @@ def qc_summary(samples: DataFrame, before: DataFrame, ambiguous: DataFrame, burd
     return out.withColumns(
         {"expected_transcript_filter_applied": F.lit(p.exclude_expected_transcripts), "warning_flags": F.array_join(warnings, ";")}
     )
+
+
+def wide_rows(counts: DataFrame, samples: DataFrame, value: str = "reads") -> DataFrame:
+    """Export form of A03 for all label kinds: label_kind, sample, sorted labels, and a value for each, zero filled.
+
+    A row holds the labels of its kind, as a line of the exported file does.
+    """
+    labels = counts.select("label_kind", "label").distinct()
+    full = labels.join(samples.select("sample"), F.lit(True))  # the matrix itself: every label with every sample
+    known = counts.groupBy("label_kind", "sample", "label").agg(F.sum(value).alias("v"))
+    filled = full.join(known, ["label_kind", "sample", "label"], "left").withColumn("v", F.coalesce("v", F.lit(0)))
+    row = F.sort_array(F.collect_list(F.struct("label", "v")))
+    return filled.groupBy("label_kind", "sample").agg(row.alias("x")).select("label_kind", "sample", F.col("x.label").alias("labels"), F.col("x.v").alias("values"))

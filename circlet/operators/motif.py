@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from circlet.durable import bounded_broadcast
+from circlet.durable import materialize
 from circlet.functions import reads as R
+from circlet.functions import seeds as SD
 from circlet.operators.targets import search_targets  # noqa: F401
 
 MOTIF_SCHEMA = (
@@ -16,7 +20,6 @@ MOTIF_SCHEMA = (
     " sequence_id string, orientation string, pattern string"
 )
 MULTI = "multi_sequence_required"
-BROADCAST_MOTIFS = 10_000
 
 
 def motif_rows(searches: Iterable[Mapping]) -> list[tuple]:
@@ -48,19 +51,16 @@ def motif_table(spark: SparkSession, searches: Iterable[Mapping]) -> DataFrame:
 def find_motifs(reads: DataFrame, motifs: DataFrame) -> DataFrame:
     """Reads in which every group of a motif has a matching variant.
 
-    ``reads``: sample, read_id, mate, record_no, seq. A motif table that is checked to be small is
-    broadcast and tested against each read as it streams by. A larger one is matched by seed: the
-    first bases of each pattern are joined with the substrings of the reads, then confirmed. Empty
-    patterns match nothing in either plan.
+    ``reads``: sample, read_id, mate, record_no, seq. One plan for any number of patterns: each pattern is looked for by
+    its rarest seed, a stretch of at most 32 characters, and confirmed where the seed stands in a read. A read's hashes
+    are rolled over its text in one pass, so the cost is that of the texts plus the places of the seeds. Empty
+    patterns match nothing.
     """
     motifs = motifs.filter("pattern <> ''")
     key = ["sample", "read_id", "mate", "record_no"]
-    text = reads.select(*key, F.upper("seq").alias("_seq"))
-    small, is_small = bounded_broadcast(motifs, BROADCAST_MOTIFS)
-    if is_small:
-        found = text.join(small, F.contains("_seq", "pattern")).drop("_seq")
-    else:
-        found = _by_seed(text, motifs, key)
+    text = reads.select(F.struct(*key).alias("_read"), F.coalesce(F.upper("seq"), F.lit("")).alias("_seq"))
+    matched = matching_patterns(text, motifs.select("pattern").distinct())
+    found = matched.join(motifs, "pattern").select("_read.*", *[c for c in motifs.columns if c not in key])
     per_group = found.groupBy(*key, "deletion_id", "deletion_name", "search_strategy", "group_no").agg(
         F.min(F.struct("variant_no", "sequence_id", "orientation")).alias("best")
     )
@@ -76,15 +76,79 @@ def find_motifs(reads: DataFrame, motifs: DataFrame) -> DataFrame:
     )
 
 
-def _by_seed(text: DataFrame, motifs: DataFrame, key: list[str]) -> DataFrame:
-    shortest = motifs.agg(F.min(F.length("pattern"))).first()[0] or 1
-    size = min(int(shortest), 24)
-    last = F.length("_seq") - size + 1
-    seeds = text.filter(last >= 1).withColumn(
-        "_seed", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), last), lambda i: F.col("_seq").substr(i, F.lit(size)))))
-    )
-    listed = motifs.withColumn("_seed", F.substring("pattern", 1, size))
-    return seeds.join(listed, "_seed").filter(F.contains("_seq", "pattern")).drop("_seq", "_seed")
+def matching_patterns(text: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(_read, pattern) for every pattern that occurs in a read; ``text``: _read, _seq; ``patterns`` are distinct.
+
+    First pass: every stretch of a pattern that has the longest seed length fitting into it is counted in the reads, and
+    the rarest is its seed. A pattern with a seed that occurs nowhere is out. Second pass: places of the chosen
+    seeds. What goes to the tasks is a bitmap of a fixed 8 MB; a false positive there finds no partner in the join.
+    """
+    offered = materialize(_pattern_seeds(patterns), "motif-seeds")
+    classes = sorted(r[0] for r in offered.select("class").distinct().collect())  # at most six
+    counts = _count_seeds(text, classes, _filter_bits(offered)).groupBy("hash").agg(F.sum("n").alias("n"))
+    rarest = F.min(F.struct("n", "offset", "hash")).alias("best")
+    chosen = offered.join(counts, "hash", "left").na.fill(0, ["n"]).groupBy("pattern").agg(rarest).filter("best.n > 0")
+    seeds = materialize(chosen.select("pattern", F.col("best.offset").alias("offset"), F.col("best.hash").alias("hash")), "motif-chosen")
+    places = _seed_places(text, classes, _filter_bits(seeds))
+    tried = places.join(seeds, "hash").withColumn("starts", F.filter(F.transform("places", lambda p: p - F.col("offset")), lambda p: p >= 0)).drop("places", "hash", "offset")
+    there = F.exists("starts", lambda p: F.col("_seq").substr(p + 1, F.length("pattern")) == F.col("pattern"))
+    return tried.join(text, "_read").filter(there).select("_read", "pattern").distinct()
+
+
+def _pattern_seeds(patterns: DataFrame) -> DataFrame:
+    """pattern, class, offset, hash of every possible seed."""
+
+    def run(batches):
+        for batch in batches:
+            for pattern in batch.column(0).to_pylist():
+                k = SD.seed_class(len(pattern))
+                h = next(h for c, h in SD.rolled(pattern) if c == k).view(np.int64)
+                n = len(h)
+                yield pa.RecordBatch.from_arrays([pa.array([pattern] * n), pa.array([k] * n, pa.int32()), pa.array(np.arange(n, dtype=np.int32)), pa.array(h)], names=["pattern", "class", "offset", "hash"])
+
+    return patterns.mapInArrow(run, "pattern string, class int, offset int, hash long")
+
+
+def _filter_bits(seeds: DataFrame) -> np.ndarray:
+    at = F.shiftrightunsigned("hash", 64 - SD.FILTER_BITS)
+    blocks = seeds.select(at.alias("at")).groupBy(F.shiftright("at", 15).alias("block")).agg(F.bitmap_construct_agg(F.col("at") % 32768).alias("bits"))
+    return SD.filter_of([(r["block"], bytes(r["bits"])) for r in blocks.collect()])  # at most 2,048 bitmaps
+
+
+def _count_seeds(text: DataFrame, classes: list[int], bits: np.ndarray) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            found = [np.zeros(0, dtype=np.uint64)]
+            for seq in batch.column(0).to_pylist():
+                found += [h[SD.wanted(h, bits)] for k, h in SD.rolled(seq) if k in classes]
+            hashes, n = np.unique(np.concatenate(found), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n.astype(np.int64))], names=["hash", "n"])
+
+    return text.select("_seq").mapInArrow(run, "hash long, n long")
+
+
+def _seed_places(text: DataFrame, classes: list[int], bits: np.ndarray) -> DataFrame:
+    """_read, hash, places (from 0) of the wanted seeds of every read."""
+
+    def run(batches):
+        for batch in batches:
+            rows, hashes, places = [], [], []
+            for i, seq in enumerate(batch.column(1).to_pylist()):
+                for k, h in SD.rolled(seq):
+                    if k in classes:
+                        at = SD.wanted(h, bits)
+                        order = np.argsort(h[at], kind="stable")
+                        some, first = np.unique(h[at][order], return_index=True)
+                        cuts = [*first.tolist(), len(at)]
+                        for j, value in enumerate(some.view(np.int64).tolist()):
+                            rows.append(i)
+                            hashes.append(value)
+                            places.append(at[order[cuts[j] : cuts[j + 1]]])
+            keys = batch.column(0).take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([keys, pa.array(hashes, pa.int64()), pa.array(places, pa.list_(pa.int32()))], names=["_read", "hash", "places"])
+
+    schema = T.StructType([text.schema["_read"], T.StructField("hash", T.LongType()), T.StructField("places", T.ArrayType(T.IntegerType()))])
+    return text.select("_read", "_seq").mapInArrow(run, schema)
 
 
 def motif_summary(hits: DataFrame, reads: DataFrame, motifs: DataFrame, samples: DataFrame) -> DataFrame:

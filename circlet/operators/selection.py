@@ -113,10 +113,11 @@ def selection_totals(classified: DataFrame) -> DataFrame:
     )
 
 
-def competitive_groups(alignments: DataFrame, p: Params) -> DataFrame:
+def competitive_groups(alignments: DataFrame, p: Params, session: Column | None = None) -> DataFrame:
     """One decision per (sample, name, mate) from its primary record and its competitors.
 
-    A plain aggregate, so records of one read need not be adjacent in the input.
+    A plain aggregate, so records of one read need not be adjacent in the input. ``session`` is a further
+    grouping column: the session window that closes a read's group in a stream.
     """
     other = R.has_flag("flag", 256) | R.has_flag("flag", 2048)
     mapped = ~R.has_flag("flag", 4)
@@ -127,7 +128,8 @@ def competitive_groups(alignments: DataFrame, p: Params) -> DataFrame:
     first = F.min(
         F.when(~other, F.struct("record_no", *kept, fraction.alias("fraction"), mapped.alias("mapped"), circular.alias("circular")))
     )
-    groups = alignments.withColumn("mate", R.mate_number("flag")).groupBy(*READ).agg(
+    keys = [*READ] if session is None else [*READ, session]
+    groups = alignments.withColumn("mate", R.mate_number("flag")).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("records"),
         first.alias("primary"),
         F.max(other & circular).alias("_circular_competitor"),

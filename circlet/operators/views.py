@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from circlet.functions import coords as C
 from circlet.operators.annotate import with_arc_context
+from circlet.operators.ranking import numbered, numbered_in_groups
 from circlet.operators.stats import control_rank, number_in
 from circlet.params import Params
 
@@ -66,9 +67,8 @@ def location_table(reads: DataFrame, samples: DataFrame, group: str, p: Params)
 
 
 def support_rank(table: DataFrame) -> DataFrame:
-    """Unique rank in each group: support first, then id and coordinates."""
-    w = W.partitionBy("plot_group").orderBy(F.col("plot_support").desc(), "exact_deletion_id", *COORDINATES)
-    return table.withColumn("support_rank", F.row_number().over(w))
+    """Unique rank in each group: support first, then id and coordinates; a group of any size spreads over tasks."""
+    return numbered_in_groups(table, ["plot_group"], [F.col("plot_support").desc(), "exact_deletion_id", *COORDINATES], "support_rank")
 
 
 def endpoint_density(locations: DataFrame, p: Params) -> DataFrame:
@@ -177,16 +177,21 @@ def size_histogram(reads: DataFrame, samples: DataFrame, group: str, bins: int =
     )
 
 
-def category_totals(values: DataFrame, top: int = 14, proportional: bool = False, other: str = "Other categories") -> DataFrame:
-    """(group, category) totals or within-group percent, categories beyond the top n merged."""
-    totals = values.groupBy("group", "category").agg(F.sum("value").alias("value"))
+def category_totals(values: DataFrame, top: int = 14, proportional: bool = False, other: str = "Other categories", by: str | None = None) -> DataFrame:
+    """(group, category) totals or within-group percent, categories beyond the top n merged. ``by``: for each kind of category."""
+    keys = [by] if by else []
+    totals = values.groupBy(*keys, "group", "category").agg(F.sum("value").alias("value"))
     if proportional:
-        whole = F.sum("value").over(W.partitionBy("group"))
-        totals = totals.withColumn("value", F.col("value") / F.nullif(whole, F.lit(0.0)) * 100)
-    best = totals.groupBy("category").agg(F.sum("value").alias("v")).orderBy(F.col("v").desc(), "category").limit(top)
-    kept = totals.join(F.broadcast(best.select("category", F.lit(True).alias("_top"))), "category", "left")
+        whole = totals.groupBy(*keys, "group").agg(F.sum("value").alias("_whole"))
+        totals = totals.join(whole, [*keys, "group"]).withColumn("value", F.col("value") / F.nullif("_whole", F.lit(0.0)) * 100).drop("_whole")
+    sums = totals.groupBy(*keys, "category").agg(F.sum("value").alias("v"))
+    # rounded, so that equal sums tie in whatever order they were added
+    order = [F.round("v", 9).desc(), "category"]
+    ranked = numbered_in_groups(sums, keys, order, "_rank") if by else numbered(sums, order, "_rank")
+    best = ranked.filter(F.col("_rank") <= top).select(*keys, "category", F.lit(True).alias("_top"))
+    kept = totals.join(F.broadcast(best), [*keys, "category"], "left")  # top categories of each kind
     named = F.when(F.col("_top"), F.col("category")).otherwise(other)
-    return kept.groupBy("group", named.alias("category")).agg(F.sum("value").alias("value"))
+    return kept.groupBy(*keys, "group", named.alias("category")).agg(F.sum("value").alias("value"))
 
 
 def top_features(feature_burden: DataFrame, group: str, order: DataFrame, top: int = 25) -> DataFrame:
@@ -224,29 +229,50 @@ def recurrence(clusters: DataFrame, counts: DataFrame, samples: DataFrame, group
 # ---- ordination --------------------------------------------------------------------------
 
 
-def sample_pair_sums(counts: DataFrame, samples: DataFrame, kind: str, value: str = "per_million") -> DataFrame:
+class _PairSums:
+    """One sample x sample matrix that grows with the samples that a task meets."""
+
+    def __init__(self):
+        self.index: dict[str, int] = {}
+        self.total = np.zeros((0, 0))
+
+    def add(self, names: list[str], values: np.ndarray, combine) -> None:
+        at = [self.index.setdefault(n, len(self.index)) for n in names]
+        if len(self.index) > len(self.total):
+            grown = np.zeros((2 * len(self.index),) * 2)
+            grown[: len(self.total), : len(self.total)] = self.total
+            self.total = grown
+        self.total[np.ix_(at, at)] += combine(values, values)
+
+    def frame(self) -> pd.DataFrame:
+        names = list(self.index)
+        i, j = np.nonzero(self.total)
+        return pd.DataFrame({"sample_a": [names[x] for x in i], "sample_b": [names[x] for x in j], "total": self.total[i, j]})
+
+
+def sample_pair_sums(counts: DataFrame, samples: DataFrame, kind: str, value: str = "per_million", by: str | None = None) -> DataFrame:
     """(sample_a, sample_b, total) over all labels of the product or the minimum of two samples' values.
 
     A label's values form one row of at most one entry per sample. Each task adds its labels into one
-    sample x sample matrix and emits that, so pairs of samples are never written per label.
+    sample x sample matrix and emits that, so pairs of samples are never written per label. ``by`` names a column
+    of label kinds that get a matrix each.
     """
-    names = [r[0] for r in samples.select("sample").orderBy("sample").collect()]
-    index = {n: i for i, n in enumerate(names)}
-    rows = counts.filter(F.col(value) != 0).groupBy("label").agg(F.collect_list(F.struct("sample", F.col(value).alias("v"))).alias("m"))
+    known = counts.filter(F.col(value) != 0).join(samples.select("sample"), "sample", "left_semi")
+    key = F.col(by) if by else F.lit("")
+    rows = known.groupBy(key.alias("_by"), "label").agg(F.collect_list(F.struct("sample", F.col(value).alias("v"))).alias("m"))
     combine = np.multiply.outer if kind == "product" else np.minimum.outer
 
     def add(batches):
-        total = np.zeros((len(names), len(names)))
+        sums: dict[str, _PairSums] = {}
         for pdf in batches:
-            for entries in pdf["m"]:
-                at = [index[e["sample"]] for e in entries if e["sample"] in index]
-                v = np.array([e["v"] for e in entries if e["sample"] in index], dtype=float)
-                total[np.ix_(at, at)] += combine(v, v)
-        i, j = np.nonzero(total)
-        yield pd.DataFrame({"sample_a": [names[x] for x in i], "sample_b": [names[x] for x in j], "total": total[i, j]})
+            for key, entries in zip(pdf["_by"], pdf["m"]):
+                sums.setdefault(key, _PairSums()).add([e["sample"] for e in entries], np.array([e["v"] for e in entries], dtype=float), combine)
+        for key, one in sums.items():
+            yield one.frame().assign(_by=key)[["_by", "sample_a", "sample_b", "total"]]
 
-    parts = rows.select("m").mapInPandas(add, "sample_a string, sample_b string, total double")
-    return parts.groupBy("sample_a", "sample_b").agg(F.sum("total").alias("total"))
+    parts = rows.select("_by", "m").mapInPandas(add, "_by string, sample_a string, sample_b string, total double")
+    whole = parts.groupBy("_by", "sample_a", "sample_b").agg(F.sum("total").alias("total"))
+    return whole.withColumnRenamed("_by", by) if by else whole.drop("_by")
 
 
 def _all_pairs(samples: DataFrame) -> DataFrame:
@@ -254,17 +280,20 @@ def _all_pairs(samples: DataFrame) -> DataFrame:
     return a.join(b, F.lit(True))  # sample sheet squared: the shape of the result
 
 
-def bray_curtis(counts: DataFrame, samples: DataFrame, value: str = "per_million") -> DataFrame:
-    """Sample x sample distance, from the sum of minima; two empty samples have distance 0."""
-    common = sample_pair_sums(counts, samples, "minimum", value)
-    totals = counts.groupBy("sample").agg(F.sum(value).alias("t"))
-    a = totals.select(F.col("sample").alias("sample_a"), F.col("t").alias("ta"))
-    b = totals.select(F.col("sample").alias("sample_b"), F.col("t").alias("tb"))
-    out = _all_pairs(samples).join(common, ["sample_a", "sample_b"], "left").join(a, "sample_a", "left").join(b, "sample_b", "left")
+def bray_curtis(counts: DataFrame, samples: DataFrame, value: str = "per_million", by: str | None = None) -> DataFrame:
+    """Sample x sample distance, from the sum of minima; two empty samples have distance 0. ``by``: for each label kind."""
+    common = sample_pair_sums(counts, samples, "minimum", value, by)
+    keys = [by] if by else []
+    totals = counts.groupBy(*keys, "sample").agg(F.sum(value).alias("t"))
+    a = totals.select(*keys, F.col("sample").alias("sample_a"), F.col("t").alias("ta"))
+    b = totals.select(*keys, F.col("sample").alias("sample_b"), F.col("t").alias("tb"))
+    every = _all_pairs(samples)
+    every = every.join(counts.select(by).distinct(), F.lit(True)) if by else every  # a few label kinds
+    out = every.join(common, [*keys, "sample_a", "sample_b"], "left").join(a, [*keys, "sample_a"], "left").join(b, [*keys, "sample_b"], "left")
     both = F.coalesce("ta", F.lit(0.0)) + F.coalesce("tb", F.lit(0.0))
     distance = 1.0 - 2.0 * F.coalesce("total", F.lit(0.0)) / F.nullif(both, F.lit(0.0))
     same = F.col("sample_a") == F.col("sample_b")
-    return out.select("sample_a", "sample_b", F.when(same, 0.0).otherwise(F.coalesce(distance, F.lit(0.0))).alias("distance"))
+    return out.select(*keys, "sample_a", "sample_b", F.when(same, 0.0).otherwise(F.coalesce(distance, F.lit(0.0))).alias("distance"))
 
 
 def centred_gram(counts: DataFrame, samples: DataFrame, value: str = "per_million") -> DataFrame:
@@ -288,10 +317,8 @@ def comparison_ranking(comparison: DataFrame, arcs, length: int, key: str = "exa
         "left_breakpoint is not null and right_breakpoint is not null and deleted_size is not null"
         " and difference_per_million_mt_reads is not null"
     ).withColumns({"absolute_difference": F.abs("difference_per_million_mt_reads"), "total_supporting_observations": total})
-    w = W.partitionBy("left_group", "right_group").orderBy(
-        F.col("absolute_difference").desc(), F.col("total_supporting_observations").desc(), key
-    )
-    ranked = usable.filter("total_supporting_observations >= 1").withColumn("comparison_rank", F.row_number().over(w))
+    order = [F.col("absolute_difference").desc(), F.col("total_supporting_observations").desc(), key]
+    ranked = numbered_in_groups(usable.filter("total_supporting_observations >= 1"), ["left_group", "right_group"], order, "comparison_rank")
     return with_arc_context(ranked.drop("replication_arc_context", "minor_arc_deleted_bp", "major_arc_deleted_bp"), arcs, length)
 
 
@@ -419,3 +446,9 @@ def value_columns(matrix: DataFrame, metadata: list[str]) -> list[str]:
 def melt(matrix: DataFrame, metadata: list[str], value: str = "reads") -> DataFrame:
     """An imported wide matrix in long form."""
     return matrix.unpivot(["sample"], value_columns(matrix, metadata), "label", value)
+
+
+def melt_rows(wide: DataFrame, keys: list[str], value: str = "reads") -> DataFrame:
+    """V21 of the form that ``matrix.wide_rows`` makes: one row for each label again."""
+    pairs = F.arrays_zip("labels", "values")
+    return wide.select(*keys, F.explode(pairs).alias("x")).select(*keys, F.col("x.labels").alias("label"), F.col("x.values").alias(value))

@@ -157,11 +157,17 @@ def orderkey(column: str = "read_id"):
 
 
 def caller2(event_rows: DataFrame) -> DataFrame:
-    """A second caller: a third of the reads, left end moved by up to two bases."""
+    """A second caller of all reads.
+
+    A third it sees as the first caller does, with the left end moved by up to two bases; a third has other read names, so that
+    either caller is alone with it; for a third the left end lies 40 bases off, another deletion of the same read.
+    """
     p, key = PARAMS, orderkey()
-    moved = C.normalize_pos((F.col("left_breakpoint") + key % 5 - 2).cast("int"), p.length)
+    off = F.when(key % 3 == 2, F.lit(40)).otherwise(F.lit(0))
+    moved = C.normalize_pos((F.col("left_breakpoint") + key % 5 - 2 + off).cast("int"), p.length)
     names = F.concat(F.lit("G"), (F.col("left_breakpoint") % 3).cast("string"), F.lit("--H"), (F.col("right_breakpoint") % 2).cast("string"))
-    base = event_rows.filter(key % 3 == 0).withColumn("left_breakpoint", moved)
+    name = F.when(key % 3 == 1, F.concat(F.lit("x"), key.cast("string"))).otherwise(F.col("read_id"))
+    base = event_rows.withColumns({"left_breakpoint": moved, "read_id": name})
     failed = key % 33 == 0
     return base.withColumns(C.directed_record("left_breakpoint", "right_breakpoint", p.length)).select(
         "sample", "species", "read_id", "left_breakpoint", "right_breakpoint", "deleted_size", "wraps_origin", "deleted_interval",
@@ -327,17 +333,26 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def motifs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark passages as motifs: even items search the whole passage, odd ones need both its halves."""
+    """Benchmark passages as motifs: even items search the whole passage, odd ones need both its halves.
+
+    Every third item is listed the other way round: its reverse complement is what documents hold.
+    """
     items = table(spark, sf_dir, "benchmark")
     half = F.floor(F.length("text") / 2).cast("int")
+    turned = F.col("item_id") % 3 == 0
 
     def variant(number, name, pattern):
-        return F.struct(F.lit(number).alias("group_no"), F.lit(number).alias("variant_no"), F.lit(name).alias("sequence_id"), F.lit("forward").alias("orientation"), F.upper(pattern).alias("pattern"))
-
-    halves = F.array(variant(0, "first", F.substring("text", F.lit(1), half)), variant(1, "second", F.substring("text", half + 1, F.length("text"))))
+        """Forward and reverse complement of one sequence, in this order."""
+        held, other = F.upper(pattern), F.upper(F.reverse(pattern))
+        return [
+            F.struct(F.lit(number).alias("group_no"), F.lit(2 * number + i).alias("variant_no"), F.lit(name).alias("sequence_id"), F.lit(side).alias("orientation"), text.alias("pattern"))
+            for i, (side, text) in enumerate((("forward", F.when(turned, other).otherwise(held)), ("reverse_complement", F.when(turned, held).otherwise(other))))
+        ]
+
+    halves = F.array(*variant(0, "first", F.substring("text", F.lit(1), half)), *variant(1, "second", F.substring("text", half + 1, F.length("text"))))
     single = F.col("item_id") % 2 == 0
     return items.select(
         F.concat(F.lit("d"), F.col("item_id").cast("string")).alias("deletion_id"), F.concat(F.lit("item "), F.col("item_id").cast("string")).alias("deletion_name"),
         F.when(single, "single_sequence").otherwise("multi_sequence_required").alias("search_strategy"),
-        F.inline(F.when(single, F.array(variant(0, "whole", F.col("text")))).otherwise(halves)),
+        F.inline(F.when(single, F.array(*variant(0, "whole", F.col("text")))).otherwise(halves)),
     )

@@ -191,8 +191,8 @@ SELECT *, CASE WHEN filter_reason = '' THEN 'pass' ELSE 'fail' END AS filter_sta
 ORACLES["s_junction_summary"] = f"""SELECT sample, count(*) AS candidate_reads, count(*) FILTER (filter_status = 'pass') AS passing_reads,
   count(*) FILTER (filter_status = 'fail') AS failed_reads FROM ({ORACLES["s_junction_text"]}) GROUP BY sample"""
 
-ORACLES["s_fastq_text"] = """SELECT 'r' || doc_id || '/1' AS read_id, 'r' || doc_id AS read_key, 'R1' AS mate, md5(upper(regexp_replace(text, '[^A-Za-z]', 'N', 'g'))) AS digest,
-  length(text) AS quality_length FROM documents WHERE text <> ''"""
+ORACLES["s_fastq_text"] = """SELECT 'r' || doc_id || '/1' AS read_id, 'r' || doc_id AS read_key, 'R1' AS mate, md5(upper(regexp_replace(coalesce(text, ''), '[^A-Za-z]', 'N', 'g'))) AS digest,
+  length(coalesce(text, '')) AS quality_length FROM documents"""
 ORACLES["s_gtf_text"] = """WITH p AS (SELECT *, ['gene','exon','CDS','start_codon','tRNA'][CAST(p_partkey % 5 + 1 AS INT)] AS kind FROM part)
 SELECT 'circular' AS origin, p_partkey + 1 AS start, p_partkey + 1 + p_size AS "end", kind AS feature_type, 'ENS' || p_partkey AS gene_id,
   CASE WHEN p_partkey % 3 > 0 THEN p_brand ELSE 'ENS' || p_partkey END AS gene_name, p_name AS product FROM p WHERE p_partkey % 4 > 0 AND kind <> 'start_codon'
@@ -278,6 +278,8 @@ ORACLES["r_competitive_summary"] = (
     + ", count(*) FILTER (category IN ('mt_primary_best', 'mt_primary_ambiguous')) AS mt_evidence_reads_selected FROM c GROUP BY sample"
 )
 
+ORACLES["r_competitive_stream"] = ORACLES["r_competitive_summary"]
+
 STRONG = "(mapq >= 20 AND aligned_fraction >= 0.8)"
 ORACLES["r_depletion"] = f"""WITH {SEG}, x AS (SELECT * FROM seg WHERE flag < 256 AND NOT {STRONG} QUALIFY {FIRST})
 SELECT sample, read_id AS query_name, '' AS mate, mapq, 'weak_or_partial_nuclear_alignment' AS retention_reason FROM x"""
@@ -296,10 +298,12 @@ SELECT sample, count(*) AS records, count(*) FILTER (mate = 1) AS mate1_records,
 # ---- motif search --------------------------------------------------------------------------
 
 HITS = """docs AS (SELECT source AS sample, 'r' || doc_id AS read_id, 'R1' AS mate, doc_id AS record_no, upper(text) AS seq FROM documents),
-mot AS (SELECT 'd' || item_id AS deletion_id, 'item ' || item_id AS deletion_name, item_id % 2 = 0 AS single, upper(text) AS whole, upper(substr(text, 1, length(text) // 2)) AS f, upper(substr(text, length(text) // 2 + 1)) AS s FROM benchmark),
+mot AS (SELECT 'd' || item_id AS deletion_id, 'item ' || item_id AS deletion_name, item_id % 2 = 0 AS single, item_id % 3 = 0 AS turned, upper(text) AS whole,
+  upper(substr(text, 1, length(text) // 2)) AS f, upper(substr(text, length(text) // 2 + 1)) AS s FROM benchmark),
 hits AS (SELECT sample, read_id, mate, record_no, deletion_id, deletion_name, CASE WHEN single THEN 'single_sequence' ELSE 'multi_sequence_required' END AS search_strategy,
-  CASE WHEN single THEN 'whole' ELSE 'first,second' END AS matched_sequence_ids, CASE WHEN single THEN 'forward' ELSE 'forward,forward' END AS matched_orientation
-  FROM docs JOIN mot ON CASE WHEN single THEN contains(seq, whole) ELSE contains(seq, f) AND contains(seq, s) END)"""
+  CASE WHEN single THEN 'whole' ELSE 'first,second' END AS matched_sequence_ids,
+  CASE WHEN single THEN CASE WHEN contains(seq, CASE WHEN turned THEN reverse(whole) ELSE whole END) THEN 'forward' ELSE 'reverse_complement' END ELSE CASE WHEN contains(seq, CASE WHEN turned THEN reverse(f) ELSE f END) THEN 'forward' ELSE 'reverse_complement' END || ',' || CASE WHEN contains(seq, CASE WHEN turned THEN reverse(s) ELSE s END) THEN 'forward' ELSE 'reverse_complement' END END AS matched_orientation
+  FROM docs JOIN mot ON CASE WHEN single THEN (contains(seq, whole) OR contains(seq, reverse(whole))) ELSE (contains(seq, f) OR contains(seq, reverse(f))) AND (contains(seq, s) OR contains(seq, reverse(s))) END)"""
 ORACLES["m_hits"] = f"WITH {HITS} SELECT * FROM hits"
 ORACLES["m_summary"] = f"""WITH {HITS}, e AS (SELECT sample, CASE WHEN length(sample) % 2 = 0 THEN count(*) * 2 ELSE count(*) END AS reads_examined FROM docs GROUP BY sample),
 n AS (SELECT sample, deletion_id, count(*) AS c FROM hits GROUP BY ALL)
@@ -387,7 +391,7 @@ LEFT JOIN c ON e.sample = c.sample AND e.read_id = c.read_id AND e.left_breakpoi
 
 ORACLES["q_union"] = f"""WITH {EVENTS}
 SELECT 'minimap2_remap' AS evidence_source, 'pass' AS filter_status, 'passed source filters' AS filter_reason, count(*) AS source_records FROM events
-UNION ALL SELECT 'star_chimeric', CASE WHEN orderkey % 33 = 0 THEN 'fail' ELSE 'pass' END, CASE WHEN orderkey % 33 = 0 THEN 'left_anchor_short' ELSE 'passed source filters' END, count(*) FROM events WHERE orderkey % 3 = 0 GROUP BY ALL"""
+UNION ALL SELECT 'star_chimeric', CASE WHEN orderkey % 33 = 0 THEN 'fail' ELSE 'pass' END, CASE WHEN orderkey % 33 = 0 THEN 'left_anchor_short' ELSE 'passed source filters' END, count(*) FROM events GROUP BY ALL"""
 
 
 # ---- clusters ------------------------------------------------------------------------------
@@ -475,9 +479,9 @@ cand AS (
     CASE WHEN contains(left_sa_tag, ',9,') OR contains(right_sa_tag, ',9,') THEN 3 ELSE 2 END AS segs, CAST(NULL AS BIGINT) AS chims, CAST(NULL AS BIGINT) AS rep, CAST(NULL AS VARCHAR) AS gene,
     concat_ws(':', 'minimap2', rotation_name, raw_left_breakpoint, raw_right_breakpoint, left_cigar, right_cigar) AS pat FROM events
   UNION ALL
-  SELECT sample, read_id, orderkey, nl, right_breakpoint, 'star_chimeric', 'full_genome', min_anchor_length, NULL, NULL, 1.0, TRUE, NULL, NULL, query_gap_bp, query_overlap_bp, 2, 1 + orderkey % 2, orderkey % 7,
+  SELECT sample, CASE WHEN orderkey % 3 = 1 THEN 'x' || orderkey ELSE read_id END, orderkey, nl, right_breakpoint, 'star_chimeric', 'full_genome', min_anchor_length, NULL, NULL, 1.0, TRUE, NULL, NULL, query_gap_bp, query_overlap_bp, 2, 1 + orderkey % 2, orderkey % 7,
     CASE WHEN orderkey % 2 = 0 THEN 'G' || (nl % 3) || '--H' || (right_breakpoint % 2) END, concat_ws(':', 'star', nl, right_breakpoint, left_cigar, right_cigar)
-  FROM (SELECT *, {norm("left_breakpoint + orderkey % 5 - 2")} AS nl FROM events WHERE orderkey % 3 = 0 AND orderkey % 33 <> 0)),
+  FROM (SELECT *, {norm("left_breakpoint + orderkey % 5 - 2 + CASE WHEN orderkey % 3 = 2 THEN 40 ELSE 0 END")} AS nl FROM events WHERE orderkey % 33 <> 0)),
 pk AS (SELECT *, row_number() OVER (PARTITION BY sample, read_id ORDER BY l, r) AS k FROM (SELECT DISTINCT sample, read_id, left_breakpoint AS l, right_breakpoint AS r FROM cand)),
 hyp AS (
   SELECT sample, read_id, k, l, r, [{{'l': l, 'r': r}}] AS leaders, l AS ll, r AS lr FROM pk WHERE k = 1
@@ -685,7 +689,8 @@ SELECT name AS profile, kind AS label_kind, sample, label, count(*) AS reads FRO
 ORACLES["a_alternative"] = f"""WITH {ANN}, {SAMPLES}, c AS (SELECT sample, eid, count(*) AS n FROM ob GROUP BY ALL)
 SELECT smp.sample, a.eid AS exact_deletion_id, coalesce(n, 0) AS raw, round(coalesce(n, 0) / nullif(tot / 1e6, 0), 6) AS per_million_fragments, round(coalesce(n, 0) / nullif(mt / 1e6, 0), 6) AS per_million_mt_reads, (coalesce(n, 0) > 0)::INT AS presence
 FROM smp CROSS JOIN (SELECT DISTINCT eid FROM ann WHERE why IS NULL) a LEFT JOIN c ON c.sample = smp.sample AND c.eid = a.eid"""
-ORACLES["a_wide"] = f"""WITH {COUNTS}, lb AS (SELECT DISTINCT label FROM cnt WHERE kind = 'impact') SELECT smp.sample, lb.label, coalesce(reads, 0) AS reads FROM smp CROSS JOIN lb LEFT JOIN cnt ON cnt.sample = smp.sample AND cnt.label = lb.label AND kind = 'impact'"""
+ORACLES["a_wide"] = f"""WITH {COUNTS}, lb AS (SELECT DISTINCT kind, label FROM cnt) SELECT lb.kind AS label_kind, smp.sample, lb.label, coalesce(reads, 0) AS reads FROM smp CROSS JOIN lb
+  LEFT JOIN cnt ON cnt.sample = smp.sample AND cnt.kind = lb.kind AND cnt.label = lb.label"""
 ORACLES["a_burden"] = f"""WITH {COUNTS} SELECT sample, cond AS condition, rd AS deletion_supporting_reads, round(spm, 6) AS deletion_support_per_million_mt_reads, ue AS unique_exact_deletions, ua AS unique_affected_feature_categories FROM bur"""
 FB = f"""{EVID}, tok AS (SELECT sample, split_part(unnest(string_split(detail, ';')), ':', 1) AS feature FROM evd WHERE detail <> ''),
 fb AS (SELECT t.sample, feature, cond, n, {PM.format("n")} AS pm FROM (SELECT sample, feature, count(*) AS n FROM tok GROUP BY ALL) t JOIN smp ON smp.sample = t.sample)"""
@@ -769,9 +774,9 @@ ORACLES["v_pairs"] = f"""WITH {LOC} SELECT cond AS plot_group, l AS left_breakpo
 ORACLES["v_histogram"] = f"""WITH {EVENTS}, {SAMPLES}, lim AS (SELECT min(deleted_size)::DOUBLE AS lo, max(deleted_size)::DOUBLE AS hi FROM events),
 b AS (SELECT cond, least(floor((deleted_size - lo) / ((hi - lo) / 60.0)), 59)::INT AS b, lo, (hi - lo) / 60.0 AS st, {W} AS w FROM events JOIN smp ON smp.sample = events.sample CROSS JOIN lim)
 SELECT cond AS "group", b AS bin_index, round(min(lo + b * st), 4) AS bin_start, round(min(lo + (b + 1) * st), 4) AS bin_end, count(*) AS supporting_reads, round(sum(w), 4) AS weighted_support FROM b GROUP BY cond, b"""
-ORACLES["v_categories"] = f"""WITH {COUNTS}, t AS (SELECT cond, label, sum(reads)::DOUBLE AS v FROM cnt WHERE kind = 'affected' GROUP BY ALL), p AS (SELECT cond, label, v / sum(v) OVER (PARTITION BY cond) * 100 AS v FROM t),
-k AS (SELECT label FROM p GROUP BY label ORDER BY sum(v) DESC, label LIMIT 14)
-SELECT cond AS "group", CASE WHEN label IN (SELECT label FROM k) THEN label ELSE 'Other categories' END AS category, round(sum(v), 6) AS value FROM p GROUP BY 1, 2"""
+ORACLES["v_categories"] = f"""WITH {COUNTS}, t AS (SELECT kind, cond, label, sum(reads)::DOUBLE AS v FROM cnt GROUP BY ALL), p AS (SELECT kind, cond, label, v / sum(v) OVER (PARTITION BY kind, cond) * 100 AS v FROM t),
+k AS (SELECT kind, label FROM p GROUP BY kind, label QUALIFY row_number() OVER (PARTITION BY kind ORDER BY round(sum(v), 9) DESC, label) <= 14)
+SELECT kind AS label_kind, cond AS "group", CASE WHEN (kind, label) IN (SELECT (kind, label) FROM k) THEN label ELSE 'Other categories' END AS category, round(sum(v), 6) AS value FROM p GROUP BY 1, 2, 3"""
 ORACLES["v_top_features"] = f"""WITH {FB}, g AS (SELECT cond, feature, sum(pm) AS v FROM fb GROUP BY ALL), k AS (SELECT feature FROM g GROUP BY feature ORDER BY sum(v) DESC, feature LIMIT 8),
 raw(n, s) AS (VALUES ('MT-ND1', 3307), ('MT-ND2', 4470), ('MT-CO1', 5904), ('MT-CO2', 7586), ('MT-ATP8', 8366), ('MT-ATP6', 8527), ('MT-CO3', 9207), ('MT-ND3', 10059), ('MT-ND4L', 10470), ('MT-ND4', 10760), ('MT-ND5', 12337),
   ('MT-ND6', 14149), ('MT-CYB', 14747), ('MT-RNR1', 648), ('MT-RNR2', 1671), ('MT-TL1', 3230))
@@ -781,9 +786,11 @@ SELECT eid AS exact_deletion_id, l || '->' || r || ' (' || z || ' bp) | ' || CAS
   n AS total_supporting_reads, cond AS "group", round(v, 6) AS support_per_million FROM k LEFT JOIN g ON g.label = eid"""
 ORACLES["v_gram"] = f"""WITH {COUNTS}, lb AS (SELECT DISTINCT label FROM cnt WHERE kind = 'affected'), d AS (SELECT smp.sample, lb.label, coalesce(reads, 0)::DOUBLE AS v FROM smp CROSS JOIN lb LEFT JOIN cnt ON cnt.sample = smp.sample AND cnt.label = lb.label AND kind = 'affected'),
 c AS (SELECT sample, label, v - avg(v) OVER (PARTITION BY label) AS v FROM d) SELECT a.sample AS sample_a, b.sample AS sample_b, round(sum(a.v * b.v), 3) AS value FROM c a JOIN c b ON a.label = b.label GROUP BY ALL"""
-ORACLES["v_bray_curtis"] = f"""WITH {COUNTS}, x AS (SELECT sample, label, pm FROM cnt WHERE kind = 'exact'), t AS (SELECT smp.sample, coalesce(sum(pm), 0) AS t FROM smp LEFT JOIN x ON x.sample = smp.sample GROUP BY smp.sample),
-m AS (SELECT a.sample AS sa, b.sample AS sb, sum(least(a.pm, b.pm)) AS m FROM x a JOIN x b ON a.label = b.label GROUP BY ALL)
-SELECT a.sample AS sample_a, b.sample AS sample_b, CASE WHEN a.sample = b.sample OR a.t + b.t = 0 THEN 0.0 ELSE round((a.t + b.t - 2 * coalesce(m, 0)) / (a.t + b.t), 6) END AS distance FROM t a CROSS JOIN t b LEFT JOIN m ON sa = a.sample AND sb = b.sample"""
+ORACLES["v_bray_curtis"] = f"""WITH {COUNTS}, x AS (SELECT kind, sample, label, pm FROM cnt), t AS (SELECT k.kind, smp.sample, coalesce(sum(pm), 0) AS t FROM smp CROSS JOIN (SELECT DISTINCT kind FROM cnt) k
+  LEFT JOIN x ON x.sample = smp.sample AND x.kind = k.kind GROUP BY ALL),
+m AS (SELECT a.kind, a.sample AS sa, b.sample AS sb, sum(least(a.pm, b.pm)) AS m FROM x a JOIN x b ON a.label = b.label AND a.kind = b.kind GROUP BY ALL)
+SELECT a.kind AS label_kind, a.sample AS sample_a, b.sample AS sample_b, CASE WHEN a.sample = b.sample OR a.t + b.t = 0 THEN 0.0 ELSE round((a.t + b.t - 2 * coalesce(m, 0)) / (a.t + b.t), 6) END AS distance
+FROM t a JOIN t b ON a.kind = b.kind LEFT JOIN m ON sa = a.sample AND sb = b.sample AND m.kind = a.kind"""
 RANKED = f"""{COMPARE}, rk AS (SELECT cmp.*, round(rm - lm, 6) AS df, lr + rr AS obs, ann.l, ann.r, ann.z, ann.arc, ann.minor FROM cmp JOIN ann ON ann.eid = cmp.label WHERE cmp.kind = 'exact' AND lr + rr >= 1),
 rkd AS (SELECT *, row_number() OVER (PARTITION BY lg, rg ORDER BY abs(df) DESC, obs DESC, label) AS pos FROM rk)"""
 ORACLES["v_comparison"] = f"""WITH {RANKED} SELECT label AS exact_deletion_id, lg AS left_group, rg AS right_group, df AS difference_per_million_mt_reads, obs AS total_supporting_observations, pos AS comparison_rank, z AS deleted_size,

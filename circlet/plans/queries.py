@@ -34,6 +34,7 @@ from circlet.sources import alignments as SA
 from circlet.sources import fastq as SF
 from circlet.sources import annotation as SG
 from circlet.sources import samples as SS
+from circlet.streaming import selection as SEL
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -141,11 +142,12 @@ def _(spark, sf):
 
 @query("s_fastq_text")
 def _(spark, sf):
-    """Documents written as FASTQ text, read back by blocks."""
+    """Documents written as FASTQ text, empty and missing ones too, read back by blocks."""
+    docs = X0.table(spark, sf, "documents").withColumn("text", F.coalesce("text", F.lit("")))
     seq = F.regexp_replace("text", "[^A-Za-z]", "N")
     record = F.array(F.concat(F.lit("@r"), F.col("doc_id").cast("string"), F.lit("/1 1:N:0:ACGT")), seq, F.lit("+"), F.repeat(F.lit("I"), F.length("text")))
     path = f"{shared_dir(spark).rstrip('/')}/fastq-{uuid.uuid4().hex}"
-    X0.table(spark, sf, "documents").where("text <> ''").select(F.explode(record)).write.text(path)
+    docs.select(F.explode(record)).write.text(path)
     reads = SF.read_fastq(spark, [path])
     return reads.select("read_id", R.name_key("read_id").alias("read_key"), "mate", F.md5("seq").alias("digest"), F.length("qual").alias("quality_length"))
 
@@ -299,6 +301,25 @@ def _(spark, sf):
     return S.competitive_summary(S.competitive_groups(X0.alignments(spark, sf), PRM), PRM)
 
 
+@query("r_competitive_stream")
+def _(spark, sf):
+    """R09, R11 over all records as micro-batches of files, in which the records of a read are spread over several.
+
+    ``arrived`` is the second of a record's file; a last row of no sample, much later, lets the watermark close every group.
+    """
+    folder = f"{shared_dir(spark).rstrip('/')}/circlet-arriving-{uuid.uuid4().hex}"
+    rows = X0.alignments(spark, sf).withColumn("part", (F.col("record_no.linenumber") % 4).cast("int"))
+    rows = rows.select("sample", "query_name", "flag", "mapq", "reference_name", "aligned_fraction", "record_no", F.timestamp_seconds("part").alias("arrived"))
+    end = {"sample": F.lit(None).cast("string"), "arrived": F.timestamp_seconds(F.lit(100_000))}
+    closing = spark.range(1).select(*[end.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in rows.schema.fields])
+    for part in range(4):  # in the order in which they arrive
+        rows.filter(F.col("arrived") == F.timestamp_seconds(F.lit(part))).write.mode("append").parquet(folder)
+    closing.write.mode("append").parquet(folder)
+    arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(folder)
+    closed = SEL.decisions(arriving, PRM, "1 minute", f"{folder}-out", f"{folder}-checkpoint")
+    return SEL.decision_summary(closed.filter("sample is not null"), PRM)
+
+
 @query("r_depletion")
 def _(spark, sf):
     """R12."""
@@ -781,10 +802,9 @@ def _(spark, sf):
 
 @query("a_wide")
 def _(spark, sf):
-    """A03 export form of the impact classes."""
+    """A03 export form of all label kinds, and back."""
     counts, sheet = _counts(spark, sf)
-    wide = M.wide_matrix(counts.filter("label_kind = 'impact'"), sheet.select("sample"))
-    return V.melt(wide, ["sample"])
+    return V.melt_rows(M.wide_rows(counts, sheet), ["label_kind", "sample"])
 
 
 @query("a_burden")
@@ -928,14 +948,14 @@ def _(spark, sf):
 
 def _category_values(spark, sf) -> DataFrame:
     counts, sheet = _counts(spark, sf)
-    placed = counts.filter("label_kind = 'affected'").join(sheet.select("sample", "condition"), "sample")
-    return placed.select(F.col("condition").alias("group"), F.col("label").alias("category"), F.col("reads").cast("double").alias("value"))
+    placed = counts.join(sheet.select("sample", "condition"), "sample")
+    return placed.select("label_kind", F.col("condition").alias("group"), F.col("label").alias("category"), F.col("reads").cast("double").alias("value"))
 
 
 @query("v_categories")
 def _(spark, sf):
-    """V09."""
-    return rounded(V.category_totals(_category_values(spark, sf), 14, proportional=True))
+    """V09 of all label kinds."""
+    return rounded(V.category_totals(_category_values(spark, sf), 14, proportional=True, by="label_kind"))
 
 
 @query("v_top_features")
@@ -961,9 +981,9 @@ def _(spark, sf):
 
 @query("v_bray_curtis")
 def _(spark, sf):
-    """V13."""
+    """V13 of all label kinds."""
     counts, sheet = _counts(spark, sf)
-    return rounded(V.bray_curtis(counts.filter("label_kind = 'exact'"), sheet.select("sample")))
+    return rounded(V.bray_curtis(counts, sheet.select("sample"), by="label_kind"))
 
 
 def _compared(spark, sf) -> DataFrame:

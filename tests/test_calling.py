@@ -3,7 +3,10 @@
 import random
 from dataclasses import replace
 
+import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from circlet.operators import calling as D
@@ -11,6 +14,8 @@ from circlet.operators import clusters as K
 from circlet.operators import conflicts as X
 from circlet.operators import evidence as Q
 from circlet.operators.leader import assign_leaders
+from circlet.operators.leader import greedy as tile_greedy
+from circlet.operators.ranking import numbered, numbered_in_groups
 from circlet.params import Params
 
 SCHEMA = ("sample string, species string, rotation_name string, rotation_start int, read_id string, chain_id string, query_start int, query_end int,"
@@ -99,21 +104,58 @@ def greedy(points, slop, length):
     return out
 
 
-@pytest.mark.parametrize("order", ["coordinate", "random"])
-@pytest.mark.parametrize("side", [None, 100])
-def test_leaders_equal_brute_force(spark, order, side, monkeypatch):
-    """Dense points, so that small tiles depend on each other and need several rounds."""
-    from circlet.operators import leader
+def leaders_of(spark, points, slop, length, **options):
+    """``points``: (l, r, order) -> {(l, r): leader}."""
+    df = spark.createDataFrame([("x", *row) for row in points], "k string, l int, r int, o int").repartition(7)
+    return {(r.l, r.r): (r.leader_left, r.leader_right) for r in assign_leaders(df, ["k"], "l", "r", ["o"], slop, length, **options).collect()}
+
 
-    length, slop = 600, 6
+@pytest.mark.parametrize("order", ["coordinate", "random"])
+@pytest.mark.parametrize("tile_points", [100_000, 120])
+def test_leaders_equal_brute_force(spark, order, tile_points):
+    """Dense points, so that small tiles depend on each other; few passes are enough."""
+    length, slop, passes = 600, 6, []
     rng = random.Random(5)
     points = [(rng.randrange(1, length + 1), rng.randrange(1, 120)) for _ in range(3000)]
-    if side:
-        monkeypatch.setattr(leader, "tile_geometry", lambda *a: (length // (length // side), 3 * slop, length // side))
     rows = [(l, r, (l * 1000 + r) if order == "coordinate" else i) for i, (l, r) in enumerate(points)]
-    df = spark.createDataFrame([("x", *row) for row in rows], "k string, l int, r int, o int").repartition(7)
-    got = {(r.l, r.r): (r.leader_left, r.leader_right) for r in assign_leaders(df, ["k"], "l", "r", ["o"], slop, length).collect()}
+    got = leaders_of(spark, rows, slop, length, tile_points=tile_points, passes=passes)
     assert got == greedy([(l, r) for l, r, _ in sorted(rows, key=lambda x: x[2])], slop, length)
+    assert len(passes) < 6 and passes[-1] == 0
+
+
+def test_leaders_of_a_lattice(spark):
+    """Every place taken, in the order of coordinates: a shift goes from tile to tile, and the result stays exact."""
+    length, slop = 120, 2
+    rows = [(l, r, (l - 1) * length + r) for l in range(1, length + 1) for r in range(1, 61)]
+    assert leaders_of(spark, rows, slop, length, tile_points=500) == greedy([(l, r) for l, r, _ in rows], slop, length)
+
+
+def test_leaders_take_null_orders_first(spark):
+    rows = [(10, 10, 5), (11, 11, None), (12, 12, 1), (40, 40, None)]
+    assert leaders_of(spark, rows, 1, 100) == {(11, 11): (11, 11), (10, 10): (11, 11), (12, 12): (11, 11), (40, 40): (40, 40)}
+
+
+@given(st.data())
+@settings(max_examples=150, deadline=None)
+def test_greedy_of_a_tile(data):
+    slop = data.draw(st.integers(1, 9))
+    length = data.draw(st.integers(4 * slop + 1, 8 * slop + 60))
+    points = data.draw(st.lists(st.tuples(st.integers(1, length), st.integers(1, length)), unique=True, max_size=150))
+    columns = np.array(points, dtype=np.int32).reshape(-1, 2)
+    chosen = tile_greedy(columns[:, 0], columns[:, 1], np.zeros(len(points), dtype=bool), slop, length)
+    assert {p: points[i] for p, i in zip(points, chosen.tolist())} == greedy(points, slop, length)
+
+
+def test_numbers_of_rows(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice(["a", "a", "a", "b", None]), rng.randrange(50), i) for i in range(500)]
+    df = spark.createDataFrame(rows, "g string, v int, id int").repartition(9)
+    last = sorted(rows, key=lambda x: (-x[1], x[2]))
+    assert {r.id: r.n for r in numbered(df, [F.desc("v"), "id"], "n").collect()} == {x[2]: i + 1 for i, x in enumerate(last)}
+    grouped = {r.id: r.n for r in numbered_in_groups(df, ["g"], [F.desc("v"), "id"], "n").collect()}
+    for g in ("a", "b", None):
+        assert [grouped[x[2]] for x in last if x[0] == g] == list(range(1, 1 + sum(x[0] == g for x in rows)))
+    assert numbered_in_groups(df.limit(0), ["g"], ["id"], "n").count() == 0
 
 
 def test_hypotheses_of_a_busy_read(spark):

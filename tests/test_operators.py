@@ -2,6 +2,7 @@
 
 import gzip
 import math
+import random
 
 import numpy as np
 import pytest
@@ -169,15 +170,30 @@ SEARCHES = [
 ]
 
 
-@pytest.mark.parametrize("limit", [10_000, 0])
-def test_motifs(spark, limit, monkeypatch):
-    monkeypatch.setattr(MO, "BROADCAST_MOTIFS", limit)
+def test_motifs(spark):
     reads = spark.createDataFrame([("s", n, "R1", i, q) for i, (n, q) in enumerate([("a", "xxggttx"), ("b", "acgt"), ("c", "acgtaaaa"), ("d", "c")])],
                                   "sample string, read_id string, mate string, record_no long, seq string")
     got = {(r.read_id, r.deletion_id, r.matched_sequence_ids, r.matched_orientation) for r in MO.find_motifs(reads, MO.motif_table(spark, SEARCHES)).collect()}
     assert got == {("a", "one", "j", "reverse_complement"), ("c", "two", "p,q", "forward,reverse_complement")}
 
 
+def test_motifs_against_plain_search(spark):
+    """Patterns of all seed lengths, one within another, repeated ones, and reads with null keys and texts."""
+    rng = random.Random(6)
+    reads = [(rng.choice(["s", "t", None]), f"r{i}", "R1", i, "".join(rng.choice("acGTé") for _ in range(rng.randrange(400)))) for i in range(60)]
+    reads += [("s", "none", "R1", 60, None), ("s", "empty", "R1", 61, ""), ("s", "long", "R1", 62, "ACGT" * 30_000)]
+    patterns = {"".join(rng.choice("ACGTÉ") for _ in range(n)) for n in (1, 2, 3, 4, 5, 7, 8, 9)} | {"ACGT" * 20, "T" + "ACGT" * 9, "Q", "\u00c9" * 40}
+    for read in reads[:40]:
+        text = read[4].upper()
+        patterns |= {text[a : a + n] for n in (6, 15, 16, 17, 31, 32, 33, 90) for a in [rng.randrange(len(text) + 1)]}
+    patterns.discard("")
+    schema = "sample string, read_id string, mate string, record_no long, seq string"
+    text = spark.createDataFrame(reads, schema).select(F.struct("sample", "read_id", "mate", "record_no").alias("_read"), F.coalesce(F.upper("seq"), F.lit("")).alias("_seq"))
+    got = {(r["_read"]["record_no"], r["pattern"]) for r in MO.matching_patterns(text, spark.createDataFrame([(p,) for p in patterns], "pattern string")).collect()}
+    assert got == {(i, p) for _, _, _, i, seq in reads for p in patterns if p in (seq or "").upper()}
+    assert MO.find_motifs(spark.createDataFrame(reads, schema), MO.motif_table(spark, []).filter("false")).count() == 0
+
+
 def test_sample_labels(spark):
     rows = spark.createDataFrame([("SRR1", "18G_replicate_5", 1), ("SRR2", "18G_replicate_5", 2)], "Run string, Biological_Replicate string, record_no long")
     got = SS.resolve_samples(rows, "d", "rat", "rat_{age}_{treatment}_{replicate}").orderBy("run_accession").collect()
