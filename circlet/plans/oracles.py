@@ -193,6 +193,9 @@ ORACLES["s_junction_summary"] = f"""SELECT sample, count(*) AS candidate_reads,
 
 ORACLES["s_fastq_text"] = """SELECT 'r' || doc_id || '/1' AS read_id, 'r' || doc_id AS read_key, 'R1' AS mate, md5(upper(regexp_replace(coalesce(text, ''), '[^A-Za-z]', 'N', 'g'))) AS digest,
   length(coalesce(text, '')) AS quality_length FROM documents"""
+ORACLES["s_fastq_ranges"] = ORACLES["s_fastq_text"]
+ORACLES["s_sam_ranges"] = ORACLES["s_sam_text"]
+ORACLES["s_export"] = """SELECT o_orderpriority AS id, count(*) AS read_count, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS keys, round(sum(o_totalprice), 2) AS price FROM orders GROUP BY 1"""
 ORACLES["s_gtf_text"] = """WITH p AS (SELECT *, ['gene','exon','CDS','start_codon','tRNA'][CAST(p_partkey % 5 + 1 AS INT)] AS kind FROM part)
 SELECT 'circular' AS origin, p_partkey + 1 AS start, p_partkey + 1 + p_size AS "end", kind AS feature_type, 'ENS' || p_partkey AS gene_id,
   CASE WHEN p_partkey % 3 > 0 THEN p_brand ELSE 'ENS' || p_partkey END AS gene_name, p_name AS product FROM p WHERE p_partkey % 4 > 0 AND kind <> 'start_codon'

@@ -33,7 +33,10 @@ from circlet.plans import paths as PA
 from circlet.sources import alignments as SA
 from circlet.sources import fastq as SF
 from circlet.sources import annotation as SG
+from circlet.sources import exports as SE
+from circlet.sources import ranges as SR
 from circlet.sources import samples as SS
+from circlet.sources import tabular as ST
 from circlet.streaming import selection as SEL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,6 +155,60 @@ def _(spark, sf):
     return reads.select("read_id", R.name_key("read_id").alias("read_key"), "mate", F.md5("seq").alias("digest"), F.length("qual").alias("quality_length"))
 
 
+@query("s_fastq_ranges")
+def _(spark, sf):
+    """The same documents, read by byte ranges that begin in the middle of records."""
+    docs = X0.table(spark, sf, "documents").withColumn("text", F.coalesce("text", F.lit("")))
+    seq = F.regexp_replace("text", "[^A-Za-z]", "N")
+    record = F.array(F.concat(F.lit("@r"), F.col("doc_id").cast("string"), F.lit("/1 1:N:0:ACGT")), seq, F.lit("+"), F.repeat(F.lit("I"), F.length("text")))
+    path = f"{shared_dir(spark).rstrip('/')}/circlet-fastq-{uuid.uuid4().hex}"
+    docs.select(F.explode(record)).write.text(path)
+    reads = SF.fastq_columns(SR.read_ranges(spark, path, "fastq", ["path", "place", "header", "seq", "qual"], range_bytes=1 << 16).withColumnRenamed("place", "record_no"))
+    return reads.select("read_id", R.name_key("read_id").alias("read_key"), "mate", F.md5("seq").alias("digest"), F.length("qual").alias("quality_length"))
+
+
+def _sam_lines(spark, sf) -> DataFrame:
+    """sample and SAM text of every segment; the line number makes lines differ."""
+    seg = X0.segments(spark, sf)
+    cigar = F.concat(F.col("query_start").cast("string"), F.lit("S"), F.col("anchor_length").cast("string"), F.lit("M2D5M3H"))
+    line = F.concat_ws(
+        "\t", "read_id", F.col("flag").cast("string"), "reference_name", F.col("ref_start_raw").cast("string"), F.col("mapq").cast("string"),
+        cigar, F.lit("*"), F.lit("0"), F.lit("0"), F.repeat(F.lit("A"), F.col("query_start") + F.col("anchor_length") + 5), F.lit("*"),
+        F.concat(F.lit("NH:i:"), F.col("nh").cast("string")), F.concat(F.lit("NM:i:"), F.col("edit_distance").cast("string")),
+        F.concat(F.lit("SA:Z:"), F.col("sa_tag")), F.concat(F.lit("XN:i:"), F.col("linenumber").cast("string")),
+    )
+    return seg.select("sample", line.alias("value"))
+
+
+@query("s_sam_ranges")
+def _(spark, sf):
+    """SAM lines exported in gzip blocks for each sample, read by ranges of blocks, typed."""
+    folder = f"{shared_dir(spark).rstrip('/')}/circlet-sam-{uuid.uuid4().hex}"
+    listed = SE.export_keyed(_sam_lines(spark, sf), folder, "sample", ["value"], packed=True, header=False)
+    lines = SR.read_ranges(spark, f"{folder}/data", columns=["path", "value"], range_bytes=1 << 17)
+    file = F.element_at(F.split("path", "/data/"), -1)
+    named = lines.join(F.broadcast(listed.select(F.col("id").alias("sample"), F.element_at(F.split("read_list_file", "data/"), -1).alias("_file"))), file == F.col("_file"))
+    parsed = SA.parse_sam(named.select("sample", "value"))
+    return rounded(
+        parsed.select("sample", "query_name", "flag", "reference_name", "pos", "mapq", "query_start", "query_end", "ref_end", "aligned_fraction",
+                      "soft_clip_fraction", "stored_aligned_fraction", "nh", "edit_distance", "sa_tag", "alignment_score")
+    )
+
+
+@query("s_export")
+def _(spark, sf):
+    """Orders exported by their priority, found over the manifest and read back."""
+    folder = f"{shared_dir(spark).rstrip('/')}/circlet-orders-{uuid.uuid4().hex}"
+    columns = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"]
+    listed = SE.export_keyed(X0.table(spark, sf, "orders"), folder, "o_orderpriority", columns)
+    files = [f"{folder}/{r[0]}" for r in listed.select("read_list_file").collect()]  # a few for each of five keys
+    read = ST.read_tsv(spark, files, "o_orderkey long, o_custkey long, o_totalprice double, o_orderstatus string")
+    name = F.element_at(F.split("_metadata.file_path", "/data/"), -1)
+    back = read.groupBy(name.alias("_file")).agg(F.count(F.lit(1)).alias("rows"), F.sum("o_orderkey").alias("keys"), F.sum("o_totalprice").alias("price"))
+    both = listed.join(back, F.element_at(F.split("read_list_file", "data/"), -1) == F.url_decode("_file"), "left")
+    return rounded(both.groupBy("id").agg(F.sum("read_count").alias("read_count"), F.sum("rows").alias("rows"), F.sum("keys").alias("keys"), F.sum("price").alias("price")), 2)
+
+
 @query("s_sam_text")
 def _(spark, sf):
     """SAM text lines to typed columns."""

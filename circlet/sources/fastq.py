@@ -71,6 +71,11 @@ def read_fastq(spark: SparkSession, paths: list[str]) -> DataFrame:
         lines = spark.read.text(plain).withColumn("path", F.col("_metadata.file_path"))
         parts.append(_by_line_number(lines).select("path", "record_no", "header", "seq", "qual"))
     records = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return fastq_columns(records)
+
+
+def fastq_columns(records: DataFrame) -> DataFrame:
+    """Sample, id and mate of records with ``path``, ``record_no``, ``header``, ``seq`` and ``qual``."""
     records = records.where(F.trim("header") != "")
     stem = F.regexp_replace(F.url_decode(F.element_at(F.split("path", "/"), -1)), "(\\.mt_evidence)?\\.(fastq|fq)(\\.gz)?$", "")
     mate = F.regexp_extract(stem, "_(R[12])$", 1)

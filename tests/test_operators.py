@@ -19,10 +19,12 @@ from circlet.operators import tiers as T
 from circlet.operators import views as V
 from circlet.params import Params
 from circlet.sources import alignments as SA
+from circlet.sources import exports as SE
 from circlet.sources import fastq as SF
+from circlet.sources import ranges as SR
 from circlet.sources import samples as SS
 from circlet.sources import tabular as ST
-from circlet.streaming.selection import stream_depleted
+from circlet.streaming.selection import decisions, stream_depleted
 
 ARCS = [{"name": "minor_arc", "start": 408, "end": 5746}, {"name": "major_arc", "start": 5747, "end": 407}]
 
@@ -259,3 +261,77 @@ def test_density(spark):
     table = spark.createDataFrame(rows, "left_breakpoint int, right_breakpoint int, plot_support double, supporting_reads int")
     first = V.endpoint_density(table, Params(length=300, density_bin=100, density_smooth_bins=1)).orderBy("bin_index").first()
     assert (first.left_support, first.right_support, first.summed_support) == (5.0, 5.0, 10.0)
+
+
+def fastq_text(rng, n):
+    out = []
+    for i in range(n):
+        size = rng.choice([0, 1, 5, 60, 300])
+        out.append((f"@r{i} @x", "".join(rng.choice("ACGT") for _ in range(size)), "+", "".join(rng.choice("@+I") for _ in range(size))))
+    return out
+
+
+@pytest.mark.parametrize("form", ["plain", "blocks", "members"])
+@pytest.mark.parametrize("range_bytes", [37, 900, 1 << 20])
+def test_ranges_of_records(spark, tmp_path, form, range_bytes):
+    """Every record is read once, wherever ranges begin; the last one ends early."""
+    records = fastq_text(random.Random(9), 120)
+    text = "".join("\n".join(r) + "\n" for r in records) + "@end 1\nACGT\n+"
+    data, path = text.encode(), tmp_path / ("s_R1.fastq" if form == "plain" else "s_R1.fastq.gz")
+    cuts = [data[i : i + 700] for i in range(0, len(data), 700)]
+    path.write_bytes(data if form == "plain" else b"".join(map(SR.bgzf_block, cuts)) + SR.BGZF_END if form == "blocks" else b"".join(map(gzip.compress, cuts)))
+    rows = SR.read_ranges(spark, str(path), "fastq", range_bytes=range_bytes).collect()
+    rows.sort(key=lambda r: r.place)
+    whole = [(h, s, q) for h, s, _, q in records]
+    assert [(r.header, r.seq, r.qual) for r in rows[:120]] == whole
+    assert [(r.header, r.seq, r.qual) for r in rows[120:]] == [("@end 1", "ACGT", None)]
+    lines = SR.read_ranges(spark, str(path), columns=["value", "place"], range_bytes=range_bytes)
+    assert [r.value for r in sorted(lines.collect(), key=lambda r: r.place)] == text.split("\n")
+    back = {r.read_id for r in SF.fastq_columns(SR.read_ranges(spark, str(path), "fastq", range_bytes=range_bytes).withColumnRenamed("place", "record_no")).collect()}
+    assert back == {f"r{i}" for i in range(120)} | {"end"}
+
+
+def test_blocks_that_are_whole_lines(spark, tmp_path):
+    """Lines that begin where blocks do, and one that fills blocks of its own."""
+    lines = ["a" * 10, "b" * 65_000, "c" * 200_000, "d", "", "e"]
+    parts = [b"a" * 10 + b"\n", b"b" * 65_000 + b"\n", b"c" * 65_000, b"c" * 65_000, b"c" * 65_000, b"c" * 5000 + b"\n", b"d\n\n", b"e\n"]
+    (tmp_path / "x.gz").write_bytes(b"".join(map(SR.bgzf_block, parts)) + SR.BGZF_END)
+    for range_bytes in (10, 100, 170, 1000):
+        got = SR.read_ranges(spark, str(tmp_path), range_bytes=range_bytes).collect()
+        assert [r.value for r in sorted(got, key=lambda r: r.place)] == lines
+
+
+def test_exports_show_what_was_committed(spark, tmp_path):
+    rows = [("k/1", 2, "x"), ("k/1", 1, None), ("k/1", 1, None), ("", 5, "y"), (None, 6, "z")] + [("hot", i, "w") for i in range(500)]
+    folder = str(tmp_path / "out")
+    table = spark.createDataFrame(rows, "k string, n int, t string")
+    listed = SE.export_keyed(table.repartition(5), folder, "k", ["n", "t"]).collect()
+    assert {k: sum(r.read_count for r in listed if r.id == k) for k in ("k/1", "", None, "hot")} == {"k/1": 2, "": 1, None: 1, "hot": 500}
+    (tmp_path / "out" / "data" / "lost").mkdir()
+    (tmp_path / "out" / "data" / "lost" / "0-hot.tsv").write_text("n\tt\n1\tlost\n")
+    listed = SE.read_manifest(spark, folder).collect()
+    for key, want in (("hot", {(i, "w") for i in range(500)}), ("k/1", {(1, None), (2, "x")})):
+        files = [f"{folder}/{r.read_list_file}" for r in listed if r.id == key]
+        assert {tuple(r) for r in ST.read_tsv(spark, files, "n int, t string").collect()} == want
+    assert SE.export_keyed(table.limit(0), str(tmp_path / "none"), "k", ["n"]).count() == 0
+
+
+def test_reads_close_after_a_pause(spark, tmp_path):
+    """Records of a read in any order of files give the batch decision; a later record after the pause opens a group of its own."""
+    rng = random.Random(4)
+    rows = [(rng.choice("st"), f"r{rng.randrange(60)}", rng.choice([0, 16, 256, 2048, 4]), rng.randrange(60), rng.choice(["MT", "1"]), rng.random(), i) for i in range(400)]
+    schema = "sample string, query_name string, flag int, mapq int, reference_name string, aligned_fraction double, record_no long"
+    table = spark.createDataFrame(rows, schema)
+    arriving = tmp_path / "in"
+    for k, part in enumerate(table.randomSplit([1.0] * 4, 3)):
+        part.withColumn("arrived", F.timestamp_seconds(F.lit(k))).coalesce(1).write.mode("append").parquet(str(arriving))
+    last = table.limit(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema.fields]).withColumn("arrived", F.timestamp_seconds(F.lit(10_000)))
+    last.coalesce(1).write.mode("append").parquet(str(arriving))
+    stream = spark.readStream.schema(spark.read.parquet(str(arriving)).schema).option("maxFilesPerTrigger", 1).parquet(str(arriving))
+    closed = decisions(stream, Params(), "1 minute", str(tmp_path / "out"), str(tmp_path / "cp")).filter("sample is not null")
+    key = lambda r: (r.sample, r.query_name, r.records, r.category)
+    assert sorted(map(key, closed.collect())) == sorted(map(key, S.competitive_groups(table, Params()).collect()))
+    again = table.limit(1).withColumn("arrived", F.timestamp_seconds(F.lit(20_000))).unionByName(last.withColumn("arrived", F.timestamp_seconds(F.lit(40_000))))
+    again.coalesce(1).write.mode("append").parquet(str(arriving))
+    more = decisions(stream, Params(), "1 minute", str(tmp_path / "out"), str(tmp_path / "cp")).filter("sample is not null")
+    assert more.count() == closed.count() == S.competitive_groups(table, Params()).count() + 1
