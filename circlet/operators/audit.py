@@ -15,7 +15,7 @@ MEMBER_KEY = ["species", "leader_left", "leader_right"]
 
 
 def table_checks(tables: dict[str, DataFrame], length: int) -> DataFrame:
-    """Size, sign and wrap-rule mismatches per table."""
+    """Size, sign and wrap-rule mismatches per table. What is missing on one side is a mismatch; a missing size always is."""
     left, right, size = F.col("left_breakpoint"), F.col("right_breakpoint"), F.col("deleted_size")
     expected = right <= left
     parts = []
@@ -24,9 +24,9 @@ def table_checks(tables: dict[str, DataFrame], length: int) -> DataFrame:
         parts.append(
             df.agg(
                 F.count(F.lit(1)).alias("rows"),
-                F.count_if(size != C.directed_gap(left, right, length)).alias("size_mismatches"),
+                F.count_if(size.isNull() | ~size.eqNullSafe(C.directed_gap(left, right, length))).alias("size_mismatches"),
                 F.count_if(size < 0).alias("negative_sizes"),
-                F.count_if(observed != expected).alias("wrap_rule_mismatches"),
+                F.count_if(~observed.eqNullSafe(expected)).alias("wrap_rule_mismatches"),
                 F.count_if(expected).alias("origin_spanning_rows"),
             ).select(F.lit(name).alias("table"), "*")
         )
@@ -34,11 +34,8 @@ def table_checks(tables: dict[str, DataFrame], length: int) -> DataFrame:
 
 
 def _differs() -> Column:
-    return (
-        (F.col("read_left_breakpoint") != F.col("left_breakpoint"))
-        | (F.col("read_right_breakpoint") != F.col("right_breakpoint"))
-        | (F.col("read_deleted_size") != F.col("deleted_size"))
-    )
+    same = [F.col(f"read_{c}").eqNullSafe(F.col(c)) for c in ("left_breakpoint", "right_breakpoint", "deleted_size")]
+    return ~(same[0] & same[1] & same[2])
 
 
 def read_mismatches(members: DataFrame) -> DataFrame:

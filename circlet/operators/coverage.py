@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from circlet.durable import materialize
 from circlet.functions import coords as C
@@ -30,16 +36,49 @@ def candidate_positions(clusters: DataFrame, eligible: DataFrame) -> DataFrame:
 def primary_blocks(alignments: DataFrame, p: Params) -> DataFrame:
     """Standard-coordinate blocks of primary alignments, split at the origin: (sample, rotation_name, name, start, end)."""
     primary = ~(R.has_flag("flag", 4) | R.has_flag("flag", 256) | R.has_flag("flag", 2048))
-    raw = alignments.filter(primary & (F.col("mapq") >= p.min_mapq)).select(
-        "sample", "rotation_name", "rotation_start", F.col("query_name").alias("name"),
-        F.explode(R.aligned_blocks("pos", "cigar")).alias("b"),
-    )
-    pieces = C.block_pieces(F.col("b.start"), F.col("b.end"), p.length, F.col("rotation_start"))
+    kept = alignments.filter(primary & (F.col("mapq") >= p.min_mapq)).select(
+        "sample", "rotation_name", "rotation_start", F.col("query_name").alias("name"), F.col("pos").cast("int").alias("pos"), F.coalesce("cigar", F.lit("")).alias("cigar")
+    )
+    raw = aligned_blocks(kept)
+    pieces = C.block_pieces(F.col("start"), F.col("end"), p.length, F.col("rotation_start"))
     return raw.select("sample", "rotation_name", "name", F.explode(pieces).alias("b")).select(
         "sample", "rotation_name", "name", "b.start", "b.end"
     )
 
 
+def aligned_blocks(rows: DataFrame) -> DataFrame:
+    """Gapless aligned blocks (``start``, ``end``, closed) of rows with ``pos`` and ``cigar``, which the result no longer has.
+
+    The operations of a batch become one array each of letters and lengths; running sums of what they consume of the
+    reference give all places at once, so a long CIGAR costs its length. Rows without a position have no block.
+    """
+    others = [c for c in rows.columns if c not in ("pos", "cigar")]
+    schema = T.StructType([*[rows.schema[c] for c in others], *T._parse_datatype_string("start int, end int").fields])
+
+    def run(batches):
+        for batch in batches:
+            cigars = batch.column(batch.schema.get_field_index("cigar")).to_pylist()
+            found = [re.findall("([0-9]+)([MIDNSHP=X])", c) for c in cigars]
+            count = np.array([len(f) for f in found], dtype=np.int64)
+            length = np.array([int(n) for f in found for n, _ in f], dtype=np.int64)
+            letter = np.array([op for f in found for _, op in f], dtype="U1")
+            row = np.repeat(np.arange(len(found)), count)
+            used = np.where(np.isin(letter, list("MDN=X")), length, 0)
+            after = np.cumsum(used)
+            first = np.cumsum(count) - count
+            before = np.append(0, after)[first]  # consumed ahead of each row
+            pos = batch.column(batch.schema.get_field_index("pos"))
+            base = pc.fill_null(pos, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            start = base[row] + after - used - before[row]
+            keep = np.isin(letter, list("M=X")) & (length > 0) & pos.is_valid().to_numpy(zero_copy_only=False)[row]
+            at = pa.array(row[keep])
+            columns = [batch.column(batch.schema.get_field_index(c)).take(at) for c in others]
+            ends = (start + length - 1)[keep]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(start[keep].astype(np.int32)), pa.array(ends.astype(np.int32))], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
 def _profile(steps: DataFrame, positions: DataFrame) -> DataFrame:
     """Running sum of +1/-1 steps, read off at the wanted positions.
 

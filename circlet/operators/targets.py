@@ -1,12 +1,13 @@
 """Configured deletions and motif searches as tables.
 
-An item of the configuration becomes a row by its JSON text, so a number that does not parse leaves a null and the
-rules below are column expressions. All tables here are as long as the configuration.
+An item of the configuration becomes a row by its JSON text, and the rules below are column expressions. A configured deletion whose numbers do not parse is an
+error; a search is left out. All tables here are as long as the configuration.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +29,17 @@ def _number(name: str) -> Column:
     return F.trim(F.col(name)).try_cast("int")
 
 
+def check_numbers(items: Iterable[Mapping]) -> list[Mapping]:
+    """The items, if every number that they state is one; null would match any event."""
+    listed = list(items)
+    for item in listed:
+        for name in FIELDS[3:]:
+            text = "" if item.get(name) is None else str(item[name]).strip()
+            if text and not re.fullmatch("[+-]?[0-9]+", text):
+                raise ValueError(f"{item.get('name') or item.get('id')}: {name} is not a whole number: {text}")
+    return listed
+
+
 def item_rows(spark: SparkSession, items: Iterable[Mapping]) -> DataFrame:
     """Items in their order with text fields."""
     lines = spark.createDataFrame([(i, json.dumps(dict(x), default=str)) for i, x in enumerate(items)], "ord int, line string")
@@ -58,7 +70,7 @@ def _listed(rows: DataFrame, *fields) -> Column:
 
 def deletion_targets(spark: SparkSession, known: Iterable[Mapping], searches: Iterable[Mapping], length: int, breakpoint_tolerance=None, size_tolerance=None) -> DataFrame:
     """one row with ``targets``: the configured ones, then those of searches that repeat none before them."""
-    rows = item_rows(spark, known).where(_stated("name"))
+    rows = item_rows(spark, check_numbers(known)).where(_stated("name"))
     near = F.coalesce(_number("breakpoint_tolerance_bp"), _number("tolerance_bp"), F.lit(50))
     configured = rows.agg(_listed(
         rows, F.trim("name").alias("name"), F.lit("analysis.known_deletions").alias("source"), F.lit("configured_known_deletion_match").alias("reason"),

@@ -114,9 +114,9 @@ def circular_mean(table: DataFrame, values: list[str], window: int, bins: int) -
 
 
 def hotspots(density: DataFrame, p: Params, top: int = 8, min_spacing: int | None = None) -> DataFrame:
-    """Highest local maxima round the circle that keep a minimum distance to each other.
+    """Highest local maxima round the circle that keep a minimum distance to each other; none in fewer than three bins.
 
-    The candidates are bins, so there are at most ``length / bin`` of them.
+    The candidates are bins, at most ``length / bin`` of them, so they are folded as one array.
     """
     length = p.length
     bins = -(-length // max(1, p.density_bin))
@@ -124,20 +124,19 @@ def hotspots(density: DataFrame, p: Params, top: int = 8, min_spacing: int | Non
     y = density.select("bin_index", F.col("smoothed_summed_support").alias("y"))
     around = F.transform(F.array(F.lit(-1), F.lit(1)), lambda d: F.pmod(F.col("bin_index") + d, F.lit(bins)).cast("int"))
     neighbours = y.select(F.explode(around).alias("bin_index"), "y").groupBy("bin_index").agg(F.max("y").alias("_n"))
-    peaks = density.join(neighbours, "bin_index").filter(
-        (F.col("smoothed_summed_support") >= F.col("_n")) & (F.col("smoothed_summed_support") > 0)
-    )
-
-    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
-        chosen: list[tuple[float, float]] = []
-        for height, at in pdf.sort_values(["height", "coord"], ascending=[False, True]).itertuples(index=False):
-            gaps = (min(abs(at - c), length - abs(at - c)) for c, _ in chosen)
-            if len(chosen) < top and all(g >= spacing for g in gaps):
-                chosen.append((at, height))
-        return pd.DataFrame(chosen, columns=["coord", "height"])
-
-    listed = peaks.select(F.col("bin_midpoint").alias("coord"), F.col("smoothed_summed_support").alias("height"))
-    return listed.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(lambda pdf: pick(pdf[["height", "coord"]]), "coord double, height double")
+    # rounded, so that equal sums tie in whatever order they were added
+    height = F.round("smoothed_summed_support", 9)
+    peaks = density.join(neighbours, "bin_index").filter((height >= F.round("_n", 9)) & (height > 0) & F.lit(bins >= 3))
+    listed = peaks.select(F.col("bin_midpoint").alias("coord"), height.alias("height"))
+    ordered = F.array_sort(F.collect_list(F.struct((-F.col("height")).alias("low"), "coord", "height")))
+    none = F.array().cast("array<struct<coord:double,height:double>>")
+
+    def add(chosen, peak):
+        gap = lambda c: F.abs(peak["coord"] - c["coord"])
+        apart = F.forall(chosen, lambda c: F.least(gap(c), F.lit(length) - gap(c)) >= spacing)
+        return F.when((F.size(chosen) < top) & apart, F.concat(chosen, F.array(F.struct(peak["coord"].alias("coord"), peak["height"].alias("height"))))).otherwise(chosen)
+
+    return listed.agg(F.aggregate(ordered, none, add).alias("chosen")).select(F.inline("chosen"))
 
 
 def breakpoint_pairs(locations: DataFrame, length: int) -> DataFrame:

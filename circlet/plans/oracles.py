@@ -196,6 +196,15 @@ ORACLES["s_fastq_text"] = """SELECT 'r' || doc_id || '/1' AS read_id, 'r' || doc
 ORACLES["s_fastq_ranges"] = ORACLES["s_fastq_text"]
 ORACLES["s_sam_ranges"] = ORACLES["s_sam_text"]
 ORACLES["s_export"] = """SELECT o_orderpriority AS id, count(*) AS read_count, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS keys, round(sum(o_totalprice), 2) AS price FROM orders GROUP BY 1"""
+ORACLES["s_run_table"] = """SELECT o_orderstatus, o_orderpriority, CASE WHEN o_orderkey % 2 = 0 THEN 'yes' ELSE 'no' END AS late, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS keys, 0 AS missing FROM orders GROUP BY 1, 2, 3"""
+ORACLES["s_summaries"] = f"""WITH {SEG}, p AS (SELECT sample, count(*) AS n, count(DISTINCT read_id) AS reads FROM seg GROUP BY sample)
+SELECT sample, CAST(CASE WHEN n % 2 = 0 THEN reads ELSE n END AS DOUBLE) AS mt_evidence_reads, CAST(reads AS DOUBLE) AS fragments FROM p"""
+ORACLES["w_preparation"] = f"""WITH {SEG}, p AS (SELECT sample, CAST(substr(sample, 2) AS BIGINT) AS i, count(*) AS n, round(avg(anchor_length), 3) AS len FROM seg GROUP BY sample),
+s AS (SELECT *, CASE WHEN i % 2 = 0 THEN '18mo' ELSE '34mo' END AS age, CASE WHEN (i // 2) % 2 = 0 THEN 'Control' ELSE 'GPA' END AS treatment FROM p)
+SELECT sample, age || '_' || treatment AS condition, 'demo' AS dataset, 'human' AS species, 'single' AS layout, age, treatment, CASE WHEN i % 2 = 0 THEN 'single end (50 cycles)' END AS sequencing_cycles,
+  CASE WHEN i % 2 = 0 THEN 50 END AS read1_cycles_raw, CASE WHEN i % 2 = 0 THEN len END AS read1_mean_length_raw, CASE WHEN i % 2 = 0 THEN len END AS read1_mean_length_after_fastp,
+  CASE WHEN i % 2 = 0 THEN 2 * n END AS total_reads_raw, CASE WHEN i % 2 = 0 THEN n END AS total_reads_after_fastp, CASE WHEN i % 2 = 0 THEN 0.9 END AS q30_rate_raw, CASE WHEN i % 2 = 0 THEN 0.9 END AS q30_rate_after_fastp,
+  CASE WHEN i % 2 = 0 THEN n % 11 END AS adapter_trimmed_reads, CASE WHEN i % 2 = 0 THEN n % 7 END AS too_short_reads_removed, 'not recorded' AS fastp_trimming_run FROM s"""
 ORACLES["s_gtf_text"] = """WITH p AS (SELECT *, ['gene','exon','CDS','start_codon','tRNA'][CAST(p_partkey % 5 + 1 AS INT)] AS kind FROM part)
 SELECT 'circular' AS origin, p_partkey + 1 AS start, p_partkey + 1 + p_size AS "end", kind AS feature_type, 'ENS' || p_partkey AS gene_id,
   CASE WHEN p_partkey % 3 > 0 THEN p_brand ELSE 'ENS' || p_partkey END AS gene_name, p_name AS product FROM p WHERE p_partkey % 4 > 0 AND kind <> 'start_codon'
@@ -515,6 +524,13 @@ SELECT ll AS leader_left, lr AS leader_right, count(*) AS distinct_observation_c
   any_value(mx) AS maximum_support_within_sample, round(count(*) FILTER (bc) / count(*), 6) AS both_caller_supporting_observation_fraction,
   concat_ws(';', CASE WHEN bool_or(contains(es, 'minimap2_remap')) THEN 'minimap2_remap' END, CASE WHEN bool_or(contains(es, 'star_chimeric')) THEN 'star_chimeric' END) AS evidence_sources
 FROM one JOIN ps USING (ll, lr) GROUP BY ll, lr"""
+ORACLES["q_build_summary"] = f"""WITH RECURSIVE {CANDS},
+ob2 AS (SELECT o.sample, o.read_id, o.ll AS hl, o.lr AS hr, o.both_callers_support AS bc, p.l AS left_breakpoint, p.r AS right_breakpoint
+  FROM obs o JOIN pos p ON o.sample = p.sample AND o.read_id = p.read_id AND o.ll = p.ll AND o.lr = p.lr),{clustering('ob2', 'sample, read_id, hl, hr')},
+one AS (SELECT * FROM asg QUALIFY row_number() OVER (PARTITION BY ll, lr, sample, read_id ORDER BY hl, hr) = 1),
+n AS (SELECT (SELECT count(*) FROM events) AS ev, (SELECT count(*) FROM cand) AS ca, (SELECT count(*) FROM one) AS ob, (SELECT count(*) FROM one WHERE bc) AS bo, (SELECT count(DISTINCT (ll, lr)) FROM asg) AS cl)
+SELECT unnest(['minimap2_source_candidates', 'star_source_candidates', 'source_candidates_passing', 'ambiguous_direction_records', 'canonical_distinct_observations', 'canonical_deletion_clusters', 'both_caller_observations']) AS metric,
+  unnest([ev, ev, ca, 0, ob, cl, bo]) AS value FROM n"""
 ORACLES["q_observations"] = f"""WITH RECURSIVE {CANDS}
 SELECT o.* EXCLUDE (ll, lr), p.l AS left_breakpoint, p.r AS right_breakpoint, {gap("p.l", "p.r")} AS deleted_size, gm.gene AS gene_pair_label FROM obs o
 JOIN pos p ON o.sample = p.sample AND o.read_id = p.read_id AND o.ll = p.ll AND o.lr = p.lr LEFT JOIN gm ON o.sample = gm.sample AND o.read_id = gm.read_id AND o.ll = gm.ll AND o.lr = gm.lr"""
@@ -528,9 +544,9 @@ want AS (SELECT sample, left_breakpoint AS position FROM events UNION SELECT sam
   UNION SELECT sample, CASE WHEN i <= 30 THEN i ELSE i + {L} - 60 END FROM (SELECT DISTINCT sample FROM events) CROSS JOIN range(1, 61) t(i))"""
 
 
-def spanning(want: str) -> str:
+def spanning(want: str, blocks: str = BLOCKS) -> str:
     """Distinct names whose blocks cover all pieces of the window of 20 around each wanted position."""
-    return f"""{BLOCKS},
+    return f"""{blocks},
 win AS (SELECT sample, position, {norm("position - 20")} AS ws, {norm("position + 20")} AS we FROM {want}),
 one AS (SELECT w.sample, position, rotation_name, count(DISTINCT name) AS n FROM win w JOIN blk b ON b.sample = w.sample AND b.s <= ws AND b.e >= we WHERE ws <= we GROUP BY ALL),
 tl AS (SELECT DISTINCT w.sample, position, rotation_name, name FROM win w JOIN blk b ON b.sample = w.sample AND b.s <= ws AND b.e >= {L} WHERE ws > we),
@@ -539,6 +555,12 @@ cov AS (SELECT * FROM one UNION ALL SELECT sample, position, rotation_name, coun
 best AS (SELECT w.sample, w.position, coalesce(max(n), 0) AS depth FROM win w LEFT JOIN cov c ON c.sample = w.sample AND c.position = w.position GROUP BY ALL)"""
 
 
+# two blocks for each primary record, two bases apart
+CIGAR_BLOCKS = BLOCKS.replace(BLOCKS[: BLOCKS.index("blk AS (")], f"""pr AS (SELECT *, 60 + partkey % 200 AS a, 30 + suppkey % 40 AS b FROM seg WHERE flag < 256 AND mapq >= 5),
+en AS (SELECT sample, rotation_name, read_id AS name, {norm("ref_start_raw + rotation_start - 1")} AS s, {norm("ref_start_raw + rotation_start - 1 + a - 1")} AS e FROM pr
+  UNION ALL SELECT sample, rotation_name, read_id, {norm("ref_start_raw + rotation_start - 1 + a + 2")}, {norm("ref_start_raw + rotation_start - 1 + a + 2 + b - 1")} FROM pr),
+""")
+ORACLES["p_from_alignments"] = f"WITH {EVENTS}, {spanning('want', CIGAR_BLOCKS)} SELECT * FROM best"
 ORACLES["p_spanning"] = f"WITH {EVENTS}, {spanning('want')} SELECT * FROM best"
 ORACLES["p_depth"] = f"""WITH {EVENTS}, {BLOCKS}, rots AS (SELECT DISTINCT sample, rotation_name FROM blk WHERE s + 20 <= e - 20)
 SELECT w.sample, r.rotation_name, w.position, count(b.s) AS depth FROM want w JOIN rots r ON r.sample = w.sample
@@ -769,6 +791,14 @@ DENSITY = f"""{LOC}, ep AS (SELECT 'l' AS side, l AS v, sup, n FROM loc UNION AL
 bn AS (SELECT b, count(*) FILTER (side = 'l') AS lc, count(*) FILTER (side = 'r') AS rc, coalesce(sum(sup) FILTER (side = 'l'), 0.0) AS ls, coalesce(sum(sup) FILTER (side = 'r'), 0.0) AS rs,
   CAST(coalesce(sum(n) FILTER (side = 'l'), 0) AS BIGINT) AS ln, CAST(coalesce(sum(n) FILTER (side = 'r'), 0) AS BIGINT) AS rn FROM (SELECT range AS b FROM range(332)) LEFT JOIN ep ON (v - 1) // 50 = b GROUP BY b),
 sm AS (SELECT a.b, sum(c.ls + c.rs) / 7.0 AS ss, sum(c.lc + c.rc) / 7.0 AS sc FROM bn a JOIN bn c ON least(abs(a.b - c.b), 332 - abs(a.b - c.b)) <= 3 GROUP BY a.b)"""
+ORACLES["v_hotspots"] = f"""WITH RECURSIVE {DENSITY},
+pk AS (SELECT (a.b * 50 + 1 + least((a.b + 1) * 50, {L})) / 2.0 AS coord, round(a.ss, 9) AS h FROM sm a WHERE round(a.ss, 9) > 0
+  AND NOT EXISTS (SELECT 1 FROM sm c WHERE c.b IN ((a.b + 1) % 332, (a.b + 331) % 332) AND round(c.ss, 9) > round(a.ss, 9))),
+rkp AS (SELECT *, row_number() OVER (ORDER BY h DESC, coord) AS k FROM pk),
+pick AS (SELECT 0::BIGINT AS k, []::DOUBLE[] AS cs, []::DOUBLE[] AS hs
+  UNION ALL SELECT r.k, CASE WHEN ok THEN list_append(cs, r.coord) ELSE cs END, CASE WHEN ok THEN list_append(hs, r.h) ELSE hs END
+  FROM (SELECT r.*, cs, hs, len(cs) < 8 AND len(list_filter(cs, lambda c: least(abs(r.coord - c), {L} - abs(r.coord - c)) < {int(L * 0.075)})) = 0 AS ok FROM pick JOIN rkp r ON r.k = pick.k + 1) r)
+SELECT round(coord, 4) AS coord, round(height, 4) AS height FROM (SELECT unnest(cs) AS coord, unnest(hs) AS height FROM pick QUALIFY row_number() OVER (ORDER BY k DESC) = 1)"""
 ORACLES["v_density"] = f"""WITH {DENSITY} SELECT bn.b AS bin_index, lc AS left_endpoint_count, rc AS right_endpoint_count, round(ls, 6) AS left_support, round(rs, 6) AS right_support, ln AS left_raw_supporting_reads, rn AS right_raw_supporting_reads,
   lc + rc AS endpoint_count, round(ls + rs, 6) AS summed_support, ln + rn AS raw_supporting_reads, bn.b * 50 + 1 AS bin_start, least((bn.b + 1) * 50, {L}) AS bin_end, (bn.b * 50 + 1 + least((bn.b + 1) * 50, {L})) / 2.0 AS bin_midpoint,
   round(ss, 6) AS smoothed_summed_support, round(CAST(sc AS DOUBLE), 6) AS smoothed_endpoint_count FROM bn JOIN sm ON sm.b = bn.b"""

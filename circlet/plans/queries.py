@@ -209,6 +209,51 @@ def _(spark, sf):
     return rounded(both.groupBy("id").agg(F.sum("read_count").alias("read_count"), F.sum("rows").alias("rows"), F.sum("keys").alias("keys"), F.sum("price").alias("price")), 2)
 
 
+@query("s_run_table")
+def _(spark, sf):
+    """Orders as a comma-separated run table, its delimiter found and read back, per status and priority."""
+    folder = f"{shared_dir(spark).rstrip('/')}/circlet-runs-{uuid.uuid4().hex}"
+    orders = X0.table(spark, sf, "orders").withColumn("late", F.col("o_orderkey") % 2 == 0)
+    ST.write_tsv(orders, folder, ["o_orderkey", "o_orderstatus", "o_orderpriority", "late", "missing"], sep=",")
+    runs = ST.read_run_table(spark, folder)
+    return runs.groupBy("o_orderstatus", "o_orderpriority", "late").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("o_orderkey").cast("long")).alias("keys"), F.count("missing").alias("missing"))
+
+
+@query("s_summaries")
+def _(spark, sf):
+    """Selected reads and fragments of every sample, from a JSON document and a metric table of each."""
+    per = X0.segments(spark, sf).groupBy("sample").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("read_id").alias("reads"))
+    even = F.col("n") % 2 == 0
+    folder = f"{shared_dir(spark).rstrip('/')}/circlet-summaries-{uuid.uuid4().hex}"
+    fallback = F.to_json(F.struct(F.col("n").alias("mt_evidence_reads_selected")))
+    both = F.to_json(F.struct(F.col("reads").alias("mt_evidence_fastq_records_written"), F.col("n").alias("mt_evidence_reads_selected")))
+    SE.write_documents(per.select(F.concat("sample", F.lit(".mt_read_summary.json")), F.when(even, both).otherwise(fallback)), f"{folder}/json")
+    number = F.col("reads").cast("string")
+    metrics = F.concat(F.lit("metric\tvalue\ntotal_fragments\t1\nread1_after_filtering\t"), number, F.lit("\n"))
+    plain = F.concat(F.lit("fragments\n"), number, F.lit("\n"))
+    SE.write_documents(per.select(F.concat("sample", F.lit("/fragment_counts.tsv")), F.when(even, metrics).otherwise(plain)), f"{folder}/tsv")
+    return ST.read_summaries(spark, f"{folder}/json").join(ST.read_fragment_counts(spark, f"{folder}/tsv/*/fragment_counts.tsv"), "sample")
+
+
+@query("w_preparation")
+def _(spark, sf):
+    """Read preparation of every sample from QC documents, beside the compact sample sheet; odd samples have none."""
+    per = X0.segments(spark, sf).groupBy("sample").agg(F.count(F.lit(1)).alias("n"), F.avg("anchor_length").alias("length"))
+    folder = f"{shared_dir(spark).rstrip('/')}/circlet-qc-{uuid.uuid4().hex}"
+    stage = lambda share: F.struct((F.col("n") * share).cast("long").alias("total_reads"), F.round("length", 3).alias("read1_mean_length"), F.lit(0.9).alias("q30_rate"))
+    report = F.struct(
+        F.struct(F.lit("single end (50 cycles)").alias("sequencing"), stage(2).alias("before_filtering"), stage(1).alias("after_filtering")).alias("summary"),
+        F.struct(F.lit(50).alias("total_cycles")).alias("read1_before_filtering"), F.struct((F.col("n") % 7).alias("too_short_reads")).alias("filtering_result"),
+        F.struct((F.col("n") % 11).alias("adapter_trimmed_reads")).alias("adapter_cutting"),
+    )
+    known = per.filter(F.substring("sample", 2, 5).cast("int") % 2 == 0)
+    SE.write_documents(known.select(F.concat("sample", F.lit("/qc.json")), F.to_json(report)), folder)
+    sheet = X0.samples(spark, sf)
+    made = ST.read_preparation(spark, sheet, f"{folder}/*/qc.json").drop("layout", "minimum_length_after_trimming", "read2_cycles_raw", "read2_mean_length_raw", "read2_mean_length_after_fastp")
+    return rounded(RP.compact_samples(sheet, ["condition"]).join(made, "sample"))
+
+
 @query("s_sam_text")
 def _(spark, sf):
     """SAM text lines to typed columns."""
@@ -615,6 +660,14 @@ def _(spark, sf):
     ))
 
 
+@query("q_build_summary")
+def _(spark, sf):
+    """Q14: what consolidation took in and gave out."""
+    rows = X0.candidates(spark, sf)
+    path = PA.evidence_path(rows, PRM)
+    return Q.build_summary(rows, path.ambiguous, path.observations, path.clusters, PRM)
+
+
 # ---- clusters ------------------------------------------------------------------------------
 
 CLUSTER = ("exact_deletion_id", "breakpoint_pair_id", "left_breakpoint", "right_breakpoint", "deleted_size", "wraps_origin", "deleted_interval",
@@ -675,6 +728,15 @@ def _(spark, sf):
     return P.best_rotation(P.spanning_reads(X0.blocks(spark, sf), _positions(spark, sf), PRM))
 
 
+@query("p_from_alignments")
+def _(spark, sf):
+    """P03 from alignment records: primary blocks of their CIGARs, with a deletion in each."""
+    match, rest = F.lit(60) + F.col("record_no.partkey") % 200, F.lit(30) + F.col("record_no.suppkey") % 40
+    cigar = F.concat(F.lit("7S"), match.cast("string"), F.lit("M2D"), rest.cast("string"), F.lit("=3I10S"))
+    placed = P.primary_blocks(X0.alignments(spark, sf).withColumn("cigar", cigar), replace(PRM, min_mapq=5))
+    return P.best_rotation(P.spanning_reads(placed, _positions(spark, sf), PRM))
+
+
 @query("p_depth")
 def _(spark, sf):
     """P04."""

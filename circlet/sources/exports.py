@@ -136,3 +136,22 @@ def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
         parts = json.loads(source.read())["parts"]
     listed = [f"{folder.rstrip('/')}/{p}" for p in parts]
     return spark.read.schema(MANIFEST).json(listed) if listed else spark.createDataFrame([], MANIFEST)
+
+
+def write_documents(rows: DataFrame, folder: str) -> int:
+    """Writes one file for each row (name, text), under just that name; returns their number.
+
+    A repeated attempt writes the same bytes again.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                files, path = open_path(f"{folder.rstrip('/')}/{name}")
+                files.create_dir(path.rsplit("/", 1)[0], recursive=True)
+                with files.open_output_stream(path, compression=None) as out:
+                    out.write(text.encode())
+            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["name"])
+
+    named = rows.toDF("name", "text").mapInArrow(run, "name string")
+    return named.count()
