@@ -733,6 +733,41 @@ ORACLES["a_compare"] = f"""WITH {COMPARE} SELECT c.kind AS label_kind, c.label,
     WHEN rm > lm THEN 'higher_in_right_group' WHEN rm < lm THEN 'higher_in_left_group' ELSE 'same_group_mean' END AS abundance_change, round(log2((rm + 0.5) / (lm + 0.5)), 6) AS log2_fold_change_right_over_left,
   CASE WHEN lm > 0 AND rm > 0 THEN round(rm / lm, 6) END AS fold_change_right_over_left, lr AS left_total_supporting_reads, rr AS right_total_supporting_reads, sg AS samples_with_signal,
   CAST(u AS DOUBLE) AS mann_whitney_u, CAST(tie AS DOUBLE) AS tie_term FROM cmp c JOIN us ON us.kind = c.kind AND us.label = c.label AND us.lg = c.lg AND us.rg = c.rg JOIN ts ON ts.kind = c.kind AND ts.label = c.label AND ts.lg = c.lg AND ts.rg = c.rg"""
+
+def fisher(name: str, table: str, a: str, b: str, c: str, d: str) -> str:
+    """CTEs of the exact two-sided p of distinct 2 x 2 tables: likelihood ratios to the observed one by running sums of logarithms."""
+    return f"""{name}0 AS (SELECT DISTINCT {a} AS a, {b} AS b, {c} AS c, {d} AS d FROM {table}),
+{name}1 AS (SELECT *, unnest(range(greatest(0, a - d), least(a + b, a + c) + 1)) AS x FROM {name}0 WHERE a + b > 0 AND c + d > 0 AND a + c > 0 AND b + d > 0),
+{name}2 AS (SELECT *, coalesce(sum(ln((a + b - x) * (a + c - x)::DOUBLE / ((x + 1.0) * (d - a + x + 1.0)))) OVER (PARTITION BY a, b, c, d ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS w
+  FROM {name}1 WHERE TRUE),
+{name}3 AS (SELECT *, w - max(CASE WHEN x = a THEN w END) OVER (PARTITION BY a, b, c, d) AS r FROM {name}2),
+{name}4 AS (SELECT a, b, c, d, sum(exp(r - top)) FILTER (r <= 1e-7) / sum(exp(r - top)) AS p FROM (SELECT *, max(r) OVER (PARTITION BY a, b, c, d) AS top FROM {name}3) GROUP BY a, b, c, d),
+{name} AS (SELECT z.*, coalesce(y.p, 1.0) AS p FROM {name}0 z LEFT JOIN {name}4 y USING (a, b, c, d))"""
+
+
+def adjusted(p: str) -> str:
+    """Benjamini-Hochberg inside each kind, after ``rk``: equal p share the largest rank."""
+    return f"least(1.0, min({p} * m / r_{p}) OVER (PARTITION BY kind ORDER BY {p} DESC))"
+
+
+# ranks of n1 of n1 + n2 values, all ways counted; erf by its series
+RANK_P = f"""{COMPARE}, gn AS (SELECT cond, count(*) AS n, CAST(floor(sum(tot)) AS BIGINT) AS dp FROM smp GROUP BY cond),
+cs AS (SELECT c.*, u, tie, g1.n AS n1, g2.n AS n2, g1.dp AS ld, g2.dp AS rd, x.sg AS ls, y.sg AS rs, greatest(u, g1.n * g2.n - u) AS top
+  FROM cmp c JOIN us ON us.kind = c.kind AND us.label = c.label AND us.lg = c.lg AND us.rg = c.rg JOIN ts ON ts.kind = c.kind AND ts.label = c.label AND ts.lg = c.lg AND ts.rg = c.rg
+  JOIN gn g1 ON g1.cond = c.lg JOIN gn g2 ON g2.cond = c.rg JOIN gs x ON x.kind = c.kind AND x.label = c.label AND x.cond = c.lg JOIN gs y ON y.kind = c.kind AND y.label = c.label AND y.cond = c.rg),
+ways AS (SELECT n1, n2, list_sum(list_transform(range(0, n1 + n2), lambda k: CASE WHEN (m >> k) % 2 = 1 THEN k + 1 ELSE 0 END)) - n1 * (n1 + 1) // 2 AS v FROM (SELECT DISTINCT n1, n2 FROM cs) t, LATERAL (SELECT unnest(range(0, 1 << (n1 + n2)::INT)) AS m) k WHERE bit_count(m) = n1),
+exu AS (SELECT n1, n2, top, avg(CASE WHEN v >= top THEN 1.0 ELSE 0.0 END) AS tail FROM (SELECT DISTINCT n1, n2, top FROM cs WHERE tie = 0) t JOIN ways USING (n1, n2) GROUP BY ALL),
+nm AS (SELECT *, n1 * n2 / 12.0 * (n1 + n2 + 1 - tie / ((n1 + n2) * (n1 + n2 - 1.0))) AS var FROM cs),
+zs AS (SELECT *, CASE WHEN var > 0 THEN (top - n1 * n2 / 2.0 - 0.5) / sqrt(2 * var) END AS z FROM nm),
+mw AS (SELECT zs.*, CASE WHEN tie = 0 THEN least(1.0, 2.0 * exu.tail) WHEN coalesce(z, 0) <= 0 THEN 1.0
+  ELSE 1.0 - 2.0 / sqrt(pi()) * list_sum(list_transform(range(0, 80), lambda k: (1 - 2 * (k % 2)) * exp((2 * k + 1) * ln(z) - lgamma(k + 1.0)) / (2 * k + 1))) END AS p1
+  FROM zs LEFT JOIN exu USING (n1, n2, top)),
+{fisher("fp", "mw", "lr", "rr", "n1 - ls", "n2 - rs")},
+{fisher("fd", "mw", "lr", "greatest(ld - lr, 0)", "rr", "greatest(rd - rr, 0)")},
+pvs AS (SELECT mw.*, fp.p AS p2, fd.p AS p3 FROM mw JOIN fp ON fp.a = lr AND fp.b = rr AND fp.c = n1 - ls AND fp.d = n2 - rs JOIN fd ON fd.a = lr AND fd.b = greatest(ld - lr, 0) AND fd.c = rr AND fd.d = greatest(rd - rr, 0)),
+rkq AS (SELECT *, count(*) OVER (PARTITION BY kind) AS m, count(*) OVER (PARTITION BY kind ORDER BY p1) AS r_p1, count(*) OVER (PARTITION BY kind ORDER BY p3) AS r_p3 FROM pvs)"""
+ORACLES["a_compare_p"] = f"""WITH {RANK_P} SELECT kind AS label_kind, label, lg AS left_group, rg AS right_group, round(p1, 6) AS p_value, round(p2, 6) AS fisher_presence_p, round(p3, 6) AS read_depth_fisher_p,
+  round({adjusted("p1")}, 6) AS q_value_bh, round({adjusted("p3")}, 6) AS read_depth_fisher_q_value_bh FROM rkq"""
 ORACLES["a_adjust"] = """WITH r AS (SELECT l_returnflag, CASE WHEN l_suppkey % 10 > 0 THEN (1 + l_partkey * 37 % 1000) / 1000.0::DOUBLE END AS p FROM lineitem),
 k AS (SELECT *, row_number() OVER (ORDER BY p) AS a, count(*) OVER () AS na, row_number() OVER (PARTITION BY l_returnflag ORDER BY p) AS b, count(*) OVER (PARTITION BY l_returnflag) AS nb FROM r WHERE p IS NOT NULL),
 q AS (SELECT *, least(1.0, min(p * na / a) OVER (ORDER BY a DESC)) AS q1, least(1.0, min(p * nb / b) OVER (PARTITION BY l_returnflag ORDER BY b DESC)) AS q2 FROM k)
