@@ -72,12 +72,12 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
 
 def drop_exact_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", bits: int = FILTER_BITS) -> DataFrame:
-    """Whole rows of the documents that stay: rows that cannot repeat are not shuffled."""
+    """Whole rows of the documents that stay: rows that cannot repeat are not shuffled, nor are those of a very common text."""
     rows = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"), F.struct("*").alias("row"))
     probed = _probe(rows, "text", repeated_bits(rows, "text", bits), bits)
     alone = probed.where(~F.col("candidate")).select("row.*")
     maybe = probed.where("candidate").select("doc_id", F.sha2("text", 256).alias("sha"), "row")
-    winners = maybe.groupBy("sha").agg(F.max("doc_id").alias("keep_id"))
-    same = maybe.join(winners.withColumnRenamed("sha", "keep_sha"), (F.col("sha") == F.col("keep_sha")) & F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    winners = maybe.groupBy("sha").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("size"))
+    same = attach_group(maybe, winners, "sha", "size", docs.count()).where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
     kept = same.dropDuplicates(["sha"]).select("row.*")
     return alone.unionByName(kept)

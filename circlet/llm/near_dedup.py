@@ -29,11 +29,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from circlet.llm.common import lean_worker, materialize, small_batches
+from circlet.llm.common import HEAVY_SHARE, lean_worker, materialize, small_batches
 from circlet.llm.components import components
 from circlet.llm.shingles import band_keys, circulant_signature, set_digest, shingle_set
 
 ROWS, BANDS = 5, 28
+LEADER_PAIRS = 2048  # pairs of one leader that stay together
 SIMILAR = 85  # percent, of op3_near_dedup
 PLACES = 256  # of the counts that bound intersections
 BLOCK = 256
@@ -82,10 +83,17 @@ def full_sets(docs: DataFrame, company: DataFrame, id_column: str, text_column:
 def check_pairs(pairs: DataFrame, sets: DataFrame, similar: int = SIMILAR) -> DataFrame:
     """a, b, both (size of the intersection), na, nb, linked for pairs (a, b), on full sets; company and counts of b.
 
-    A leader of very many is a skewed key of the second join, which adaptive execution splits.
+    Leaders of a thousandth of the pairs or more are at most a thousand. Their pairs spread over salts, and
+    their one set row is repeated for each.
     """
-    right = pairs.select("a", "b").join(sets.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("set_b"), "company", "counts"), "b")
-    met = right.join(sets.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("set_a")), "a")
+    pairs = materialize(pairs.select("a", "b"), "near-pairs")
+    share = max(LEADER_PAIRS, pairs.count() // HEAVY_SHARE)
+    large = F.broadcast(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > share).select("a", F.ceil(F.col("n") / share).alias("salts")))
+    salt = F.coalesce(F.pmod(F.xxhash64("b"), F.col("salts")), F.lit(0).cast("bigint"))
+    right = pairs.join(large, "a", "left").select("a", "b", salt.alias("salt")).join(sets.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("set_b"), "company", "counts"), "b")
+    leaders = sets.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("set_a")).join(large, "a", "left")
+    every = F.sequence(F.lit(0).cast("bigint"), F.coalesce("salts", F.lit(1).cast("bigint")) - 1)
+    met = right.join(leaders.select("a", "na", "set_a", F.explode(every).alias("salt")), ["a", "salt"])
     checked = met.select("a", "b", "na", "nb", "company", "counts", F.size(F.array_intersect("set_a", "set_b")).cast("bigint").alias("both"))
     return checked.withColumn("linked", 100 * F.col("both") >= similar * (F.col("na") + F.col("nb") - F.col("both")))
 

@@ -299,3 +299,20 @@ def test_samples_collide_like_weighted_sets(spark):
     x, y = (r["fingerprint"] for r in fingerprint.fingerprints(rows, ["k"], "t", samples=400).orderBy("k").collect())
     true = (3 + 2) / (6 + 5 + 4 + 2)
     assert abs(sum(p == q for p, q in zip(x, y)) / 400 - true) < 0.08
+
+
+def test_pairs_of_a_leader_over_salts(spark, monkeypatch):
+    """A leader with more pairs than stay together gives the same groups."""
+    rng = random.Random(11)
+    base = words(rng, 100).split()
+    texts = [" ".join([*base[:50], f"new{i}", *base[51:]]) for i in range(60)] + [words(rng, 80) for _ in range(20)]
+    docs = docs_of(spark, texts)
+    monkeypatch.setattr(near_dedup, "LEADER_PAIRS", 7)
+    got = sorted((r["doc_id"], r["component_id"]) for r in near_dedup.near_groups(docs).collect())
+    assert got == [(i, 0) if i < 60 else (i, i) for i in range(80)]
+
+
+def test_dropping_a_very_common_text(spark):
+    texts = ["same"] * 3000 + ["other", "other", "one"]
+    kept = exact_dedup.drop_exact_copies(docs_of(spark, texts), bits=2**17).collect()
+    assert sorted(r["doc_id"] for r in kept) == [2999, 3001, 3002]
