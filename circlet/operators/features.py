@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from circlet.durable import bounded_broadcast
 from circlet.functions import coords as C
+from circlet.operators.ranking import last_known, running_max
 
 COLUMNS = "contig string, start int, end int, strand string, feature_type string, gene_id string, gene_name string, transcript_id string, product string"
 
@@ -145,6 +145,7 @@ class Features:
                 "rna": lower.contains("trn") | lower.contains("rrn") | _starts(lower, "mt-t", "mt-r"),
             })
         )
+        self._entries = entries
         head = entries.limit(limit + 1).collect()
         self.small = len(head) <= limit
         if self.small:
@@ -210,27 +211,43 @@ class Features:
     # -- nearest --------------------------------------------------------------------------
 
     def nearest(self, df: DataFrame, pos: str, out: str) -> DataFrame:
-        """closest feature by linear distance (0 inside); ties take (start, end, name) order."""
-
-        def distance(at, f):
-            inside = (f["start"] <= at) & (at <= f["end"])
-            return F.when(inside, 0).otherwise(F.least(F.abs(at - f["start"]), F.abs(at - f["end"])))
-
-        def scored(at, f):
-            return F.struct(distance(at, f).alias("d"), f["start"].alias("start"), f["end"].alias("end"),
-                            f["name"].alias("name"), f["type"].alias("type"))
-
-        if self.small:
-            best = F.array_min(F.transform(self._constant, lambda f: scored(F.col(pos), f)))
-            placed = df.withColumn(out, best)
-        else:
-            positions, _ = bounded_broadcast(df.select(F.col(pos).alias("_at")).distinct(), self.length)
-            row = {c: F.col(c) for c in ("start", "end", "name", "type")}
-            near = self._table.join(positions, F.lit(True)).groupBy("_at").agg(F.min(scored(F.col("_at"), row)).alias(out))
-            placed = df.join(near, F.col(pos) == F.col("_at"), "left").drop("_at")
+        """closest feature by linear distance (0 inside); ties take (start, end, name, type) order.
+
+        The positions are sorted among the ends of the features, whatever the number of either. What a position needs is the
+        last feature that ended before it, the first that starts after it, and the first start whose
+        features, with all before them, reach it: the running maximum of ends first gets there with a feature that contains it.
+        """
+        features = self._entries.select("start", "end", "name", "type")
+        at = df.select(F.col(pos).cast("int").alias("x")).filter("x is not null").distinct()
+        whole = F.struct("start", "end", "name", "type")
+        by_end = features.groupBy(F.col("end").alias("x")).agg(F.min(whole).alias("f"))
+        by_start = features.groupBy(F.col("start").alias("x")).agg(F.min(whole).alias("f"))
+        behind = self._swept(at, by_end, positions_first=True, backwards=False, out="before")
+        ahead = self._swept(at, by_start, positions_first=True, backwards=True, out="after")
+        # starts at which the running maximum of ends grows, at the end that it grows to
+        reach = features.groupBy("start").agg(F.max("end").alias("end")).withColumn("f", F.struct("end", "start"))
+        records = running_max(reach, ["start"], "end", "_top").filter(F.col("end") > F.coalesce("_top", F.lit(-(1 << 30)))).select(F.col("end").alias("x"), F.struct("start").alias("f"))
+        around = self._swept(at, records, positions_first=False, backwards=True, out="first").filter("first.start <= x")
+        held = around.select("x", F.col("first.start").alias("start")).join(features, "start").filter("end >= x")
+        inside = held.groupBy("x").agg(F.min(whole).alias("inside"))
+
+        def scored(f, distance):
+            return F.when(F.col(f).isNotNull(), F.struct(distance.alias("d"), F.col(f"{f}.start").alias("start"), F.col(f"{f}.end").alias("end"), F.col(f"{f}.name").alias("name"), F.col(f"{f}.type").alias("type")))
+
+        best = F.array_min(F.array_compact(F.array(scored("inside", F.lit(0)), scored("before", F.col("x") - F.col("before.end")), scored("after", F.col("after.start") - F.col("x")))))
+        found = at.join(inside, "x", "left").join(behind, "x", "left").join(ahead, "x", "left").select(F.col("x").alias("_x"), best.alias(out))
+        placed = df.join(found, F.col(pos).cast("int") == F.col("_x"), "left").drop("_x")
         text = F.concat(_label(F.col(out)), F.lit(";distance="), F.col(out)["d"].cast("string"))
         return placed.withColumn(out, F.coalesce(text, F.lit("")))
 
+    def _swept(self, at: DataFrame, marks: DataFrame, positions_first: bool, backwards: bool, out: str) -> DataFrame:
+        """x and the feature of the last mark that stands before it, in either direction."""
+        kind = marks.schema["f"].dataType
+        position, mark = (0, 1) if positions_first else (1, 0)
+        rows = at.select("x", F.lit(position).alias("k"), F.lit(None).cast(kind).alias("f")).unionByName(marks.select("x", F.lit(mark).alias("k"), "f"))
+        swept = last_known(rows, [F.desc("x") if backwards else F.asc("x"), "k"], "f", out)
+        return swept.filter(F.col("k") == position).select("x", out)
+
     # -- impact ---------------------------------------------------------------------------
 
     def impact(self, df: DataFrame, left: str, right: str) -> DataFrame:

@@ -39,3 +39,32 @@ def numbered_in_groups(table: DataFrame, groups: list[str], order: list[Column |
     for other in same[1:]:
         condition = condition & other
     return whole.join(firsts, condition).withColumn(name, (F.col(name) - F.col("_first")).cast("int")).select(*table.columns, name)
+
+
+def last_known(table: DataFrame, order: list[Column | str], value: str, out: str) -> DataFrame:
+    """Adds the last value that is not null at or before each row, in the order of the whole table.
+
+    Ranges of the order go to tasks. What a range begins with comes from the ones before it, through one row for each range.
+    """
+    placed = materialize(table.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), "carried")
+    placed = placed.withColumn("_part", F.shiftright("_at", 33))
+    inside = W.partitionBy("_part").orderBy("_at").rowsBetween(W.unboundedPreceding, W.currentRow)
+    known = F.col(value).isNotNull()
+    ends = placed.groupBy("_part").agg(F.max_by(F.when(known, F.col(value)), F.when(known, F.col("_at"))).alias("_end"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    carried = ends.select(F.col("_part").alias("_p"), F.last("_end", ignorenulls=True).over(before).alias("_carry"))
+    local = F.last(value, ignorenulls=True).over(inside)
+    both = placed.withColumn("_local", local).join(F.broadcast(carried), F.col("_part") == F.col("_p"))
+    return both.withColumn(out, F.coalesce("_local", "_carry")).drop("_at", "_part", "_p", "_local", "_carry")
+
+
+def running_max(table: DataFrame, order: list[Column | str], value: str, out: str) -> DataFrame:
+    """Adds the largest value before each row in the order of the whole table (null at the first), by ranges as ``last_known``."""
+    placed = materialize(table.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), "carried")
+    placed = placed.withColumn("_part", F.shiftright("_at", 33))
+    inside = W.partitionBy("_part").orderBy("_at").rowsBetween(W.unboundedPreceding, -1)
+    tops = placed.groupBy("_part").agg(F.max(value).alias("_top"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    carried = tops.select(F.col("_part").alias("_p"), F.max("_top").over(before).alias("_carry"))
+    both = placed.withColumn("_local", F.max(value).over(inside)).join(F.broadcast(carried), F.col("_part") == F.col("_p"))
+    return both.withColumn(out, F.greatest("_local", "_carry")).drop("_at", "_part", "_p", "_local", "_carry")

@@ -335,3 +335,21 @@ def test_reads_close_after_a_pause(spark, tmp_path):
     again.coalesce(1).write.mode("append").parquet(str(arriving))
     more = decisions(stream, Params(), "1 minute", str(tmp_path / "out"), str(tmp_path / "cp")).filter("sample is not null")
     assert more.count() == S.competitive_groups(table, Params()).count() + 1
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_nearest_feature_against_plain_search(spark, seed):
+    """Nested, equal and touching features, and positions at, between and beyond them."""
+    rng = random.Random(seed)
+    rows = [(f"f{rng.randrange(9)}", rng.choice(["gene", "exon"]), s, s + rng.choice([0, 3, 40])) for s in [rng.randrange(20, 300) for _ in range(25)]]
+    rows.append((*rows[0][:2], rows[0][2], rows[0][3] + 7))
+    found = features(spark, rows, 400, 0)
+    kept = [tuple(r) for r in found._entries.select("start", "end", "name", "type").collect()]
+    df = spark.createDataFrame([(x,) for x in range(1, 401)] + [(None,)], "p int")
+    got = {r.p: r.near for r in found.nearest(df, "p", "near").collect()}
+
+    def plain(x):
+        d, s, e, n, t = min((0 if s <= x <= e else min(abs(x - s), abs(x - e)), s, e, n, t) for s, e, n, t in kept)
+        return f"{n}:{t}:{s}-{e};distance={d}"
+
+    assert got == {None: "", **{x: plain(x) for x in range(1, 401)}}
