@@ -22,6 +22,38 @@ def share(test: Column) -> Column:
     return F.avg(test.cast("double"))
 
 
+def _counted_values(own: DataFrame, key: list[str]) -> DataFrame:
+    """What clusters tell about distinct samples, coordinate pairs, alignment patterns and gene pairs: counted together, in one pass.
+
+    Every observation becomes a row for each of these values; values are counted, then a cluster's counts meet in one
+    aggregate. A cluster of any size is so reduced to its distinct values in the map tasks.
+    """
+    gene = _column(own, "gene_pair_label") if "gene_pair_label" in own.columns else F.lit(None)
+    none, text = F.lit(None).cast("int"), lambda c: c.cast("string")
+
+    def item(kind, value, left=none, right=none):
+        return F.struct(F.lit(kind).alias("kind"), text(value).alias("text"), left.cast("int").alias("l"), right.cast("int").alias("r"))
+
+    one = F.array(item("sample", F.col("sample")), item("pair", F.lit(None), F.col("read_left_breakpoint"), F.col("read_right_breakpoint")), item("gene", gene))
+    patterns = F.transform(F.coalesce("alignment_pattern_id", F.array().cast("array<string>")), lambda x: item("pattern", x))
+    rows = own.select(*key, F.inline(F.concat(one, patterns))).filter("kind in ('sample', 'pair') or text is not null")
+    counts = rows.groupBy(*key, "kind", "text", "l", "r").agg(F.count(F.lit(1)).alias("n"))
+    of = {k: F.col("kind") == k for k in ("sample", "pair", "pattern", "gene")}
+    n, minus = F.col("n"), -F.col("n")
+    return counts.groupBy(*key).agg(
+        F.array_sort(F.collect_list(F.when(of["sample"], F.struct(F.col("text").alias("sample"), "n")))).alias("_per_sample"),
+        F.max(F.when(of["sample"], n)).alias("maximum_support_within_sample"),
+        F.count_if(of["sample"] & (n >= 2)).alias("samples_with_replicated_support"),
+        F.count_if(of["sample"]).alias("samples_with_signal"),
+        F.count_if(of["pair"]).alias("distinct_exact_breakpoint_pair_count"),
+        # ties: smallest pair in coordinate order
+        F.min_by(F.struct(F.col("l").alias("read_left_breakpoint"), F.col("r").alias("read_right_breakpoint"), "n"), F.when(of["pair"], F.struct(minus, "l", "r"))).alias("_modal"),
+        F.nullif(F.count_if(of["pattern"]), F.lit(0)).alias("distinct_alignment_pattern_count"),
+        F.min_by("text", F.when(of["gene"], F.struct(minus, "text"))).alias("caller_gene_pair_label"),
+        F.array_sort(F.collect_set(F.when(of["gene"], F.col("text")))).alias("caller_gene_pair_labels"),
+    )
+
+
 def observation_summary(obs: DataFrame, clusters: DataFrame, p: Params) -> DataFrame:
     """One row per cluster from its observations.
 
@@ -71,35 +103,7 @@ def observation_summary(obs: DataFrame, clusters: DataFrame, p: Params) -> DataF
         F.flatten(F.collect_set("observation_quality_flags")).alias("_flags"),
         F.count_if(F.col("direction_status") != "directed").alias("_undirected"),
     )
-    samples = own.groupBy(*key, "sample").agg(F.count(F.lit(1)).alias("n")).groupBy(*key).agg(
-        F.array_sort(F.collect_list(F.struct("sample", "n"))).alias("_per_sample"),
-        F.max("n").alias("maximum_support_within_sample"),
-        F.count_if(F.col("n") >= 2).alias("samples_with_replicated_support"),
-        F.count(F.lit(1)).alias("samples_with_signal"),
-    )
-    pair = own.groupBy(*key, "read_left_breakpoint", "read_right_breakpoint").agg(F.count(F.lit(1)).alias("n"))
-    # ties: smallest pair in coordinate order
-    modal = F.min_by(
-        F.struct("read_left_breakpoint", "read_right_breakpoint", "n"),
-        F.struct(-F.col("n"), F.col("read_left_breakpoint"), F.col("read_right_breakpoint")),
-    )
-    pairs = pair.groupBy(*key).agg(F.count(F.lit(1)).alias("distinct_exact_breakpoint_pair_count"), modal.alias("_modal"))
-    patterns = own.select(*key, F.explode("alignment_pattern_id").alias("pattern")).groupBy(*key).agg(
-        F.count_distinct("pattern").alias("distinct_alignment_pattern_count")
-    )
-    genes = own.filter(_column(own, "gene_pair_label").isNotNull()) if "gene_pair_label" in own.columns else None
-    out = flat.join(samples, key).join(pairs, key).join(patterns, key, "left")
-    if genes is not None:
-        counted = genes.groupBy(*key, "gene_pair_label").agg(F.count(F.lit(1)).alias("n"))
-        out = out.join(
-            counted.groupBy(*key).agg(
-                F.min_by("gene_pair_label", F.struct(-F.col("n"), F.col("gene_pair_label"))).alias("caller_gene_pair_label"),
-                F.array_sort(F.collect_set("gene_pair_label")).alias("caller_gene_pair_labels"),
-            ), key, "left",
-        )
-    else:
-        out = out.withColumns({"caller_gene_pair_label": F.lit(None).cast("string"),
-                               "caller_gene_pair_labels": F.array().cast("array<string>")})
+    out = flat.join(_counted_values(own, key), key)
     both = F.col("both_caller_supporting_observations") / F.col("distinct_observation_count")
     star, remap = F.col("star_supporting_observations") > 0, F.col("minimap2_supporting_observations") > 0
     return out.withColumns(
