@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from circlet.llm.common import materialize
+from circlet.operators.ranking import numbered
 
 SAMPLES = 32
 BUCKET_IDS = 256
@@ -78,16 +79,14 @@ def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
 def _bucket_edges(rows: DataFrame) -> DataFrame:
     """For each bucket the one after it in descending order (after the last the first), with that bucket's greatest id.
 
-    One narrow row a bucket; the order is made inside ranges of 4096 buckets, then from range to range.
+    One narrow row a bucket, numbered by ranges, so ids may lie as far apart as they like.
     """
-    tops = rows.groupBy("bucket").agg(F.max("doc_id").alias("top_id")).select("bucket", F.struct("bucket", "top_id").alias("top"))
-    ranged = tops.withColumn("range", F.floor(F.col("bucket") / 4096))
-    inside = F.lead("top").over(Window.partitionBy("range").orderBy(F.desc("bucket")))
-    firsts = ranged.groupBy("range").agg(F.max("top").alias("first"))
-    start = firsts.agg(F.max("first").alias("start"))
-    later = firsts.select("range", F.lead("first").over(Window.orderBy(F.desc("range"))).alias("later"))
-    chained = ranged.withColumn("inside", inside).join(later, "range").crossJoin(F.broadcast(start))  # start is one row
-    head = F.coalesce("inside", "later", "start")
+    tops = rows.groupBy("bucket").agg(F.max("doc_id").alias("top_id"))
+    ranked = numbered(tops, ["bucket"], "n").select("bucket", "n", F.struct("bucket", "top_id").alias("top"))
+    lower = ranked.select((F.col("n") + 1).alias("n"), F.col("top").alias("below"))
+    start = ranked.agg(F.max("top").alias("start"))
+    chained = ranked.join(lower, "n", "left").crossJoin(F.broadcast(start))  # start is one row
+    head = F.coalesce("below", "start")
     return chained.select(F.col("bucket").alias("edge_bucket"), head["bucket"].alias("head_bucket"), head["top_id"].alias("head_id"))
 
 
