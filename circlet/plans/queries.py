@@ -611,7 +611,7 @@ def _(spark, sf):
 @query("q_conflicts")
 def _(spark, sf):
     """Q09 at slop 60."""
-    out = X.flag_conflicts(X0.events(spark, sf), 60, L)
+    out = X.flag_conflicts(X0.event_ends(spark, sf), 60, L)
     return out.select("sample", "read_id", "rotation_name", "left_breakpoint", "right_breakpoint", "in_conflict")
 
 
@@ -685,7 +685,7 @@ def _(spark, sf):
 @query("k_clusters_by_read")
 def _(spark, sf):
     """K01-K03 in (sample, read) order."""
-    assigned = K.assign_clusters(X0.events(spark, sf), PRM.slop, L, READ_ORDER)
+    assigned = K.assign_clusters(X0.event_ends(spark, sf), PRM.slop, L, READ_ORDER)
     return rounded(K.cluster_table(assigned, PRM.slop, L, 1, READ_ORDER).select(*CLUSTER))
 
 
@@ -771,7 +771,7 @@ def _(spark, sf):
 
 
 def _coordinates(spark, sf) -> DataFrame:
-    return X0.events(spark, sf).select("left_breakpoint", "right_breakpoint", "deleted_size").distinct()
+    return X0.event_ends(spark, sf).select("left_breakpoint", "right_breakpoint", "deleted_size").distinct()
 
 
 @query("f_positions")

@@ -3,6 +3,7 @@
 import gzip
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -10,8 +11,11 @@ from pyspark.sql import functions as F
 
 from circlet.functions import pvalues as PV
 from circlet.operators import annotate as FA
+from circlet.operators import audit as Z
 from circlet.operators import conflicts as X
+from circlet.operators import coverage as P
 from circlet.operators import features as FT
+from circlet.operators import matrix as M
 from circlet.operators import motif as MO
 from circlet.operators import selection as S
 from circlet.operators import stats as A
@@ -353,3 +357,64 @@ def test_nearest_feature_against_plain_search(spark, seed):
         return f"{n}:{t}:{s}-{e};distance={d}"
 
     assert got == {None: "", **{x: plain(x) for x in range(1, 401)}}
+
+
+def test_blocks_of_cigars(spark):
+    rng = random.Random(3)
+    rows = [("s", "r0", 10, "5S10M2I5M3D7M"), ("s", "r1", None, "5M"), ("s", "r2", 7, ""), ("s", "r3", 7, "4S3H"), ("s", "r4", 1, "1M" + "1D1M" * 2000)]
+    rows += [("t", f"q{i}", rng.randrange(1, 50), "".join(f"{rng.randrange(1, 9)}{rng.choice('MIDNSHP=X')}" for _ in range(rng.randrange(12)))) for i in range(60)]
+    got = {}
+    for r in P.aligned_blocks(spark.createDataFrame(rows, "sample string, name string, pos int, cigar string")).collect():
+        got.setdefault(r["name"], []).append((r.start, r.end))
+    for _, name, pos, cigar in rows:
+        want, at = [], pos
+        for n, op in re.findall("([0-9]+)(.)", cigar) if pos is not None else []:
+            if op in "M=X":
+                want.append((at, at + int(n) - 1))
+            at += int(n) if op in "MDN=X" else 0
+        assert got.get(name, []) == want
+
+
+def test_audit_counts_what_is_missing(spark):
+    rows = [(10, 20, 9), (10, 20, 8), (10, 20, None), (None, 20, 9), (20, 10, 89)]
+    table = spark.createDataFrame(rows, "left_breakpoint int, right_breakpoint int, deleted_size int")
+    checks = Z.table_checks({"t": table}, 100).first()
+    assert (checks["rows"], checks.size_mismatches, checks.origin_spanning_rows) == (5, 3, 1)
+
+
+def test_stated_numbers_must_parse(spark):
+    with pytest.raises(ValueError, match="left_breakpoint"):
+        FA.deletion_targets(spark, [{"name": "x", "left_breakpoint": "84a69"}], [], 16569)
+    assert FA.deletion_targets(spark, [{"name": "x", "left_breakpoint": " 8469 ", "right_breakpoint": ""}], [], 16569).count() == 1
+
+
+def test_hotspots_keep_their_distance(spark):
+    rows = [(i, i * 10 + 5.5, float(y)) for i, y in enumerate([5, 9, 5, 8, 1, 0, 7, 0, 2, 9])]
+    density = spark.createDataFrame(rows, "bin_index int, bin_midpoint double, smoothed_summed_support double")
+    got = [(r.coord, r.height) for r in V.hotspots(density, Params(length=100, density_bin=10), top=3, min_spacing=25).collect()]
+    assert got == [(15.5, 9.0), (65.5, 7.0)]  # 95.5 is as high as 15.5 and 20 away, 35.5 likewise
+    assert V.hotspots(density.limit(2), Params(length=20, density_bin=10)).count() == 0
+
+
+def test_dictionary_and_settings(spark):
+    table = spark.createDataFrame([("s", 1, 2)], "sample string, left_breakpoint int, odd int")
+    rows = {(r["table"], r["column"]): (r.category, r.definition) for r in ST.data_dictionary(spark, {"t": table}, {"odd": "An odd one."}).collect()}
+    assert rows["t", "sample"][0] == "biological_metadata" and rows["t", "left_breakpoint"][0] == "coordinates"
+    assert rows["t", "odd"] == ("workflow_or_analysis_field", "An odd one.")
+    settings = {r.setting: r.value for r in ST.flatten_settings(spark, {"a": {"b": 1, "c": [1, 2]}, "d": True, "e": "x"}).collect()}
+    assert settings == {"a.b": "1", "a.c": "[1, 2]", "d": "true", "e": "x"}
+
+
+def test_documents_under_their_names(spark, tmp_path):
+    rows = spark.createDataFrame([("a.mt_read_summary.json", '{"mt_evidence_reads_selected": 3}'), ("b.mt_read_summary.json", "{}")], "name string, text string")
+    assert SE.write_documents(rows, str(tmp_path)) == 2
+    assert {(r.sample, r.mt_evidence_reads) for r in ST.read_summaries(spark, str(tmp_path)).collect()} == {("a", 3.0), ("b", 0.0)}
+
+
+def test_wide_rows_and_back(spark):
+    counts = spark.createDataFrame([("k", "s", "x", 2), ("k", "t", "y", 1), ("m", "s", "x", 5)], "label_kind string, sample string, label string, reads long")
+    wide = M.wide_rows(counts, spark.createDataFrame([("s",), ("t",), ("u",)], "sample string"))
+    assert {(r.label_kind, r["sample"]): (r.labels, r["values"]) for r in wide.collect()} == {
+        ("k", "s"): (["x", "y"], [2, 0]), ("k", "t"): (["x", "y"], [0, 1]), ("k", "u"): (["x", "y"], [0, 0]),
+        ("m", "s"): (["x"], [5]), ("m", "t"): (["x"], [0]), ("m", "u"): (["x"], [0])}
+    assert V.melt_rows(wide, ["label_kind", "sample"]).filter("reads > 0").count() == 3
