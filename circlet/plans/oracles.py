@@ -864,6 +864,11 @@ rkd AS (SELECT *, row_number() OVER (PARTITION BY lg, rg ORDER BY abs(df) DESC,
 ORACLES["v_comparison"] = f"""WITH {RANKED} SELECT label AS exact_deletion_id, lg AS left_group, rg AS right_group, df AS difference_per_million_mt_reads, obs AS total_supporting_observations, pos AS comparison_rank, z AS deleted_size,
   arc AS replication_arc_context, minor AS minor_arc_deleted_bp FROM rkd"""
 ORACLES["v_preset"] = f"WITH {RANKED} SELECT label AS exact_deletion_id, lg AS left_group, rg AS right_group, df AS difference_per_million_mt_reads FROM rkd WHERE obs >= 2 AND abs(df) >= 0.05 AND df > 0"
+ORACLES["v_presets"] = f"""WITH {RANK_P}, rk AS{RANKED.split("rk AS", 1)[1].split("rkd AS")[0].rstrip().rstrip(",")},
+qv AS (SELECT kind, label, lg, rg, p1, {adjusted("p1")} AS q1, {adjusted("p3")} AS q3 FROM rkq),
+al AS (SELECT rk.label, rk.lg, rk.rg, p1, q1, q3 FROM rk JOIN qv ON qv.kind = 'exact' AND qv.label = rk.label AND qv.lg = rk.lg AND qv.rg = rk.rg)
+SELECT preset, label AS exact_deletion_id, lg AS left_group, rg AS right_group FROM (
+  SELECT *, unnest([CASE WHEN TRUE THEN 'all' END, CASE WHEN q1 <= 0.05 THEN 'replicate-significant' END, CASE WHEN p1 <= 0.05 THEN 'replicate-suggestive' END, CASE WHEN q3 <= 0.05 THEN 'depth-significant' END]) AS preset FROM al) WHERE preset IS NOT NULL"""
 ORACLES["v_chords"] = f"WITH {LOC} SELECT cond AS plot_group, eid AS exact_deletion_id, round((l - 1) / {L}.0 * 360, 6) AS left_angle_degrees_clockwise_from_coordinate_1, round((r - 1) / {L}.0 * 360, 6) AS right_angle_degrees_clockwise_from_coordinate_1 FROM loc"
 ORACLES["v_chord_summary"] = f"""WITH {LOC} SELECT cond AS plot_group, count(*) AS loaded_deletions, round(min(sup), 6) AS support_min, round(max(sup), 6) AS support_max, round(coalesce(min(sup) FILTER (n >= 2 AND z >= 1000), max(sup)), 6) AS support_threshold,
   coalesce(min(n) FILTER (sup >= 0.3 AND z >= 1000), 0) AS observation_threshold FROM loc GROUP BY cond"""

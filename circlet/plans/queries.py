@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from circlet.durable import shared_dir
+from circlet.durable import materialize, shared_dir
 from circlet.functions import coords as C
 from circlet.functions import reads as R
 from circlet.operators import annotate as FA
@@ -1138,6 +1138,19 @@ def _(spark, sf):
     return rounded(V.comparison_preset(_ranked(spark, sf), "all", 2, 0.05, "right").select("exact_deletion_id", "left_group", "right_group", "difference_per_million_mt_reads"))
 
 
+@query("v_presets")
+def _(spark, sf):
+    """The rows that each preset lets through, significance presets too."""
+    tested = A.with_q_values(_compared(spark, sf), ["label_kind"]).filter("label_kind = 'exact'").withColumnRenamed("label", "exact_deletion_id")
+    placed = A.with_event_columns(tested, X0.annotated(spark, sf), "exact_deletion_id").withColumn("difference_per_million_mt_reads", F.round("difference_per_million_mt_reads", 6))
+    ranked = materialize(V.comparison_ranking(placed, X0.ARCS, L), "ranked-tests")
+    out = None
+    for name in V.PRESETS:
+        part = V.comparison_preset(ranked, name).select(F.lit(name).alias("preset"), "exact_deletion_id", "left_group", "right_group")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("v_chords")
 def _(spark, sf):
     """V15."""
