@@ -17,6 +17,7 @@ SEGMENT = (
     "alignment_score", "edit_distance", "sa_tag", "alignment_type",
 )
 ORDER = ("query_start", "query_end", "ref_start_raw", "ref_end_raw", "flag", "cigar", "mapq")
+BLOCK_WIDTHS = 64  # widths of the near range in a block of query positions
 
 
 def split_evidence(alignments: DataFrame) -> DataFrame:
@@ -73,9 +74,10 @@ def pair_segments(segments: DataFrame, p: Params) -> DataFrame:
     """Compatible ordered pairs of segments of one chain, as ``a_*`` and ``b_*``.
 
     A pair is compatible only when the second segment starts inside
-    ``[a.query_end - max_overlap, a.query_end + max_gap]``. Both sides are hashed on the
-    chain *and* a bucket of that width, so a very long chain spreads over many tasks and
-    incompatible pairs are never formed.
+    ``[a.query_end - max_overlap, a.query_end + max_gap]``. A segment is shuffled once, by its chain, strand and block of
+    query positions; only one whose range reaches over the end of a block goes to the next block too, so a very long
+    chain spreads over many tasks. Inside a block a window over that range of positions offers a segment only those
+    that start there.
     """
     segments = segments.filter(F.col("anchor_length") >= p.min_anchor_length)
     extra = [c for c in segments.columns if c not in CHAIN and c not in SEGMENT]
@@ -85,6 +87,42 @@ def pair_segments(segments: DataFrame, p: Params) -> DataFrame:
         return _adjacent_pairs(segments, fields, order, p)
     overlap, gap = p.max_query_overlap, p.max_query_gap
     width = overlap + gap + 1
+    pairs = _near_pairs(segments, fields, order, overlap, gap, BLOCK_WIDTHS * width)
+    if p.min_anchor_length <= overlap:
+        # second segments no longer than the allowed overlap may lie anywhere inside the first
+        pairs = pairs.unionByName(_inner_pairs(segments, fields, order, overlap, width))
+    return pairs
+
+
+def _near_pairs(segments: DataFrame, fields, order, overlap: int, gap: int, size: int) -> DataFrame:
+    """Pairs whose second segment starts near the end of the first, from one shuffle of the segments.
+
+    A row stands at its own start as a second segment, in the block of that start, and at its end as a first one, in the
+    blocks that its range of starts touches.
+    """
+    place = ["sample", "rotation_name", "chain_id", "strand", "_block"]
+
+    def block(col):
+        return F.floor(col / F.lit(size)).cast("int")
+
+    own = block(F.col("query_start"))
+    reached = F.array_distinct(F.array(block(F.col("query_end") - overlap), block(F.col("query_end") + gap)))
+    known = segments.dropna(subset=place[:-1])
+    placed = known.withColumn("_block", F.explode(F.array_distinct(F.concat(F.array(own), reached)))).filter("_block is not null").repartition(*place)
+    second = F.when(own == F.col("_block"), F.struct(F.lit(False).alias("_first"), F.col("query_start").alias("_at")))
+    first = F.when(F.array_contains(reached, F.col("_block")), F.struct(F.lit(True).alias("_first"), F.col("query_end").alias("_at")))
+    stands = placed.select("*", F.inline(F.array_compact(F.array(second, first)))).filter("_at is not null")
+    near = W.partitionBy(*place).orderBy("_at").rangeBetween(-overlap, gap)
+    listed = stands.withColumn("_b", F.collect_list(F.when(~F.col("_first"), F.struct(*fields))).over(near))
+    pairs = listed.filter("_first").withColumn("_b", F.explode("_b"))
+    ahead = F.struct(*[F.col(c) for c in order]) < F.struct(*[F.col("_b")[c].alias(c) for c in order])
+    return pairs.filter(ahead).select(
+        *CHAIN, *[F.col(c).alias("a_" + c) for c in fields], *[F.col("_b")[c].alias("b_" + c) for c in fields]
+    )
+
+
+def _inner_pairs(segments: DataFrame, fields, order, overlap: int, width: int) -> DataFrame:
+    """Pairs whose second segment is no longer than the overlap and starts ahead of the near range."""
 
     def bucket(col):
         return F.floor(col / F.lit(width)).cast("int")
@@ -103,21 +141,15 @@ def pair_segments(segments: DataFrame, p: Params) -> DataFrame:
         & (F.col("bucket") == F.col("_bucket"))
         & (_order("a_", order) < _order("b_", order))
     )
-    low, high = F.col("a_query_end") - overlap, F.col("a_query_end") + gap
-    near = first.withColumn("bucket", F.explode(F.array_distinct(F.array(bucket(low), bucket(high)))))
-    pairs = near.join(second, same_chain & F.col("b_query_start").between(low, high), "inner")
-    if p.min_anchor_length <= overlap:
-        # second segments no longer than the allowed overlap may lie anywhere inside the first
-        inner_high = low - 1
-        span = F.sequence(bucket(F.col("a_query_start")), F.greatest(bucket(F.col("a_query_start")), bucket(inner_high)))
-        wide = first.withColumn("bucket", F.explode(span))
-        short = second.filter(F.col("b_query_end") - F.col("b_query_start") <= overlap)
-        inside = (
-            (F.col("b_query_start") <= inner_high)
-            & (F.least("a_query_end", "b_query_end") - F.col("b_query_start") <= overlap)
-        )
-        pairs = pairs.unionByName(wide.join(short, same_chain & inside, "inner"))
-    return pairs.drop("_sample", "_rotation_name", "_chain_id", "_bucket", "bucket")
+    inner_high = F.col("a_query_end") - overlap - 1
+    span = F.sequence(bucket(F.col("a_query_start")), F.greatest(bucket(F.col("a_query_start")), bucket(inner_high)))
+    wide = first.withColumn("bucket", F.explode(span))
+    short = second.filter(F.col("b_query_end") - F.col("b_query_start") <= overlap)
+    inside = (
+        (F.col("b_query_start") <= inner_high)
+        & (F.least("a_query_end", "b_query_end") - F.col("b_query_start") <= overlap)
+    )
+    return wide.join(short, same_chain & inside, "inner").drop("_sample", "_rotation_name", "_chain_id", "_bucket", "bucket")
 
 
 def _adjacent_pairs(segments: DataFrame, fields, order, p: Params) -> DataFrame:

@@ -186,3 +186,21 @@ def test_caller_medians_merge(spark):
     assert len(got) == 1
     assert (got[0].left_breakpoint, got[0].right_breakpoint, got[0].both_callers_support, got[0].source_record_count) == (8103, 12935, True, 2)
     assert got[0].observation_quality_flags == ["query_overlap"] and got[0].primary_chain_evidence is None
+
+
+def test_pairs_shuffle_a_segment_once(spark):
+    """One exchange of the segments, no join; pairs over the ends of blocks and rows with missing ends as by brute force."""
+    p = Params(length=1000, min_deletion_size=1, max_deletion_size=1000)
+    rng, size = random.Random(11), D.BLOCK_WIDTHS * 31
+    rows = [segment(q, q + n, r, r + n, "+-"[r % 2], "ab"[q % 2]) for q, n, r in ((size * rng.randrange(0, 3) + rng.randrange(-70, 70) + 100, rng.randrange(20, 60), rng.randrange(1, 900)) for _ in range(150))]
+    missing = [rows[0][:6] + (None,) + rows[0][7:], rows[0][:7] + (None,) + rows[0][8:], ("s", "x", "normal", 1, "r", None) + rows[0][6:]]
+    pairs = D.pair_segments(spark.createDataFrame(rows + missing, SCHEMA), p)
+    known = lambda x: tuple(-1 if v is None else v for v in x)
+    key = lambda s: known((s[6], s[7], s[9], s[10], s[15], s[16], s[14]))
+    ends = [(a, b) for a in rows + missing for b in rows + missing if a[7] is not None and b[6] is not None and None not in (a[5], b[5])]
+    expected = sorted((a[5], *key(a), *key(b)) for a, b in ends if a[5] == b[5] and a[13] == b[13] and key(a) < key(b) and -10 <= b[6] - a[7] <= 20)
+    names = [f"{s}_{c}" for s in "ab" for c in D.ORDER]
+    assert len(expected) > 50 and sorted(known(r) for r in pairs.select("chain_id", *names).collect()) == expected
+    plan = pairs._jdf.queryExecution().sparkPlan().toString()
+    prepared = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and prepared.count("Exchange ") == 1
