@@ -1,6 +1,6 @@
 """Records of text files by byte ranges, compressed ones too (S03-S06): a Spark data source.
 
-A range of a file is a partition. Plain files are cut anywhere; files of the blocked gzip form (BGZF, which alignment tools write)
+A file is cut into ranges; a partition holds consecutive ranges, so that small ones do not make a task each. Plain files are cut anywhere; files of the blocked gzip form (BGZF, which alignment tools write)
 are cut at their blocks, which name their own size; any other gzip file is one range. A line belongs to the range that
 holds the byte before it, so every range but the first drops the line it starts in and reads one line past its end.
 FASTQ records are found by their shape: a line with ``@`` two lines before one with ``+``, around texts of equal length;
@@ -14,7 +14,7 @@ from __future__ import annotations
 import zlib
 from collections import deque
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyarrow import fs
@@ -26,18 +26,34 @@ FORMAT = "circlet_records"
 LINES = "path string, place bigint, value string"
 FASTQ = "path string, place bigint, header string, seq string, qual string"
 CHUNK = 1 << 20
+BEYOND = 1 << 16  # bytes of the first read past the end of a range
+TASKS = 256  # partitions of a table at most, while none has more than TASK_BYTES
+TASK_BYTES = 64 << 20
 ROWS = 4096
 BGZF_HEAD = b"\x1f\x8b\x08\x04"
 
 
 @dataclass
-class Range(InputPartition):
+class Range:
     path: str
     start: int
     end: int
     size: int
     form: str  # plain, blocks, whole
 
+    def cut(self, step: int) -> Iterator[Range]:
+        """Ranges of ``step`` bytes, from the first byte on."""
+        for start in range(self.start, self.end, max(1, step)):
+            yield replace(self, start=start, end=min(start + step, self.end))
+
+
+@dataclass
+class Stretch(InputPartition):
+    """What one task reads: stretches of files, each cut into ranges of ``step`` bytes as it is read."""
+
+    parts: list[Range]
+    step: int
+
 
 def open_path(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
@@ -66,9 +82,10 @@ def _pieces(part: Range) -> Iterator[tuple[int, bytes]]:
     files, name = open_path(part.path)
     with files.open_input_file(name) as source:
         if part.form == "plain":
-            at = part.start
+            at, more = part.start, BEYOND
             source.seek(at)
-            while data := source.read(CHUNK):
+            while data := source.read(min(CHUNK, part.end - at) if at < part.end else more):
+                more = more if at < part.end else min(CHUNK, 2 * more)
                 yield at, data
                 at += len(data)
         elif part.form == "whole":
@@ -170,9 +187,9 @@ class RecordReader(DataSourceReader):
         self.bytes = int(options.get("rangebytes", 64 << 20))
         self.paths = [p for p in options["paths"].split("\n") if p]
 
-    def partitions(self) -> list[Range]:
-        """Ranges from the sizes of the files; a compressed file is looked at for its first bytes only."""
-        out = []
+    def partitions(self) -> list[Stretch]:
+        """Stretches of whole ranges from the sizes of the files; a compressed file is looked at for its first bytes only."""
+        listed = []
         for path in self.paths:
             files, name = open_path(path)
             info = files.get_file_info(name)
@@ -183,22 +200,34 @@ class RecordReader(DataSourceReader):
                 if file.base_name.endswith((".gz", ".bgz")):
                     with files.open_input_file(file.path) as source:
                         form = "blocks" if block_size(source.read(18)) else "whole"
-                step = file.size if form == "whole" else self.bytes
-                at = path if info.type == fs.FileType.File else scheme + file.path
-                out += [Range(at, start, min(start + step, file.size), file.size, form) for start in range(0, file.size, max(1, step))]
-        return out or [Range("", 0, 0, 0, "none")]
-
-    def read(self, part: Range) -> Iterator[pa.RecordBatch]:
-        if part.form == "none":
-            return
-        rows: list[tuple] = []
-        for row in self._records(part):
-            rows.append(row)
-            if len(rows) == ROWS:
+                listed.append(Range(path if info.type == fs.FileType.File else scheme + file.path, 0, file.size, file.size, form))
+        return self._stretches(listed) or [Stretch([], self.bytes)]
+
+    def _stretches(self, files: list[Range]) -> list[Stretch]:
+        """Whole ranges side by side: few bytes a task in a small table, TASK_BYTES in a large one."""
+        step = max(1, self.bytes)
+        wanted = min(TASK_BYTES, -(-sum(f.size for f in files) // TASKS))
+        out, parts, held = [], [], 0
+        for file in files:
+            for part in [file] if file.form == "whole" else file.cut(max(1, wanted // step) * step):
+                if parts and held + part.end - part.start > wanted:
+                    out.append(Stretch(parts, step))
+                    parts, held = [], 0
+                if part.end > part.start:
+                    parts, held = [*parts, part], held + part.end - part.start
+        return [*out, Stretch(parts, step)] if parts else out
+
+    def read(self, stretch: Stretch) -> Iterator[pa.RecordBatch]:
+        for part in stretch.parts:
+            rows: list[tuple] = []
+            for one in [part] if part.form == "whole" else part.cut(stretch.step):
+                for row in self._records(one):
+                    rows.append(row)
+                    if len(rows) == ROWS:
+                        yield self._batch(part.path, rows)
+                        rows = []
+            if rows:
                 yield self._batch(part.path, rows)
-                rows = []
-        if rows:
-            yield self._batch(part.path, rows)
 
     def _records(self, part: Range) -> Iterator[tuple]:
         if self.kind == "fastq":

@@ -8,6 +8,7 @@ import re
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from circlet.functions import pvalues as PV
 from circlet.operators import annotate as FA
@@ -418,3 +419,18 @@ def test_wide_rows_and_back(spark):
         ("k", "s"): (["x", "y"], [2, 0]), ("k", "t"): (["x", "y"], [0, 1]), ("k", "u"): (["x", "y"], [0, 0]),
         ("m", "s"): (["x"], [5]), ("m", "t"): (["x"], [0]), ("m", "u"): (["x"], [0])}
     assert V.melt_rows(wide, ["label_kind", "sample"]).filter("reads > 0").count() == 3
+
+
+def test_small_ranges_share_tasks_and_reads(tmp_path):
+    """Ranges of a few bytes do not make a task each, nor read far past their ends; together they cover every file once."""
+    for i in range(3):
+        (tmp_path / f"{i}.txt").write_bytes(b"0123456789abcde\n" * 20_000 + b"x" * i)
+    reader = SR.RecordReader(StructType().add("path", "string").add("place", "long").add("value", "string"), {"kind": "lines", "rangebytes": "64", "paths": str(tmp_path)})
+    tasks = reader.partitions()
+    assert 100 < len(tasks) <= 3 * SR.TASKS
+    for i in range(3):
+        cuts = [(r.start, r.end) for t in tasks for p in t.parts for r in p.cut(t.step) if p.path.endswith(f"{i}.txt")]
+        assert cuts == [(a, min(a + 64, 320_000 + i)) for a in range(0, 320_000 + i, 64)]
+    assert sum(b.num_rows for b in reader.read(tasks[0])) == tasks[0].parts[-1].end // 16 + 1
+    big = SR.Range(str(tmp_path / "0.txt"), 64, 128, 320_000, "plain")
+    assert [len(d) for _, d in zip(range(2), (d for _, d in SR._pieces(big)))] == [64, SR.BEYOND]
