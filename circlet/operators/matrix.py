@@ -25,14 +25,20 @@ def evidence_join(members: DataFrame, clusters: DataFrame) -> DataFrame:
     """Read rows with the columns of their cluster; the cluster's value wins on a name clash.
 
     One row per (sample, read, event): the one with the larger anchor sum. Ties take the first
-    rotation and source in name order.
+    rotation and source in name order. The row is chosen beside the few columns that this takes; the others of the
+    cluster come to the rows that stay.
     """
+    order = ("rotation_name", "source", "read_left_breakpoint", "read_right_breakpoint")
+    taken = clusters.drop("supporting_samples")
     own = [c for c in members.columns if c in KEY or c not in clusters.columns]
-    joined = members.select(*own).join(clusters.drop("supporting_samples"), list(KEY))
+    columns = [*KEY, *[c for c in own if c not in KEY], *[c for c in taken.columns if c not in KEY]]
+    few = [c for c in ("exact_deletion_id", "left_anchor_length", "right_anchor_length", *order) if c in taken.columns]
+    placed = members.select(*own).join(taken.select(*KEY, *few), list(KEY))
     anchors = F.coalesce("left_anchor_length", F.lit(0)) + F.coalesce("right_anchor_length", F.lit(0))
-    ties = [c for c in ("rotation_name", "source", "read_left_breakpoint", "read_right_breakpoint") if c in joined.columns]
+    ties = [c for c in order if c in placed.columns]
     w = W.partitionBy("sample", "read_id", "exact_deletion_id").orderBy(anchors.desc(), *ties, "leader_left", "leader_right")
-    return joined.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+    chosen = placed.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+    return chosen.join(taken.drop(*few[1:]), [*KEY, "exact_deletion_id"]).select(*columns)
 
 
 def is_expected(df: DataFrame) -> Column:

@@ -434,3 +434,20 @@ def test_small_ranges_share_tasks_and_reads(tmp_path):
     assert sum(b.num_rows for b in reader.read(tasks[0])) == tasks[0].parts[-1].end // 16 + 1
     big = SR.Range(str(tmp_path / "0.txt"), 64, 128, 320_000, "plain")
     assert [len(d) for _, d in zip(range(2), (d for _, d in SR._pieces(big)))] == [64, SR.BEYOND]
+
+
+def test_evidence_row_is_chosen_before_wide_columns_come(spark):
+    members = spark.createDataFrame(
+        [("s", "a", "x", 1, 2, 20, 30, "n"), ("s", "a", "x", 3, 4, 25, 30, "n"), ("s", "b", "x", 1, 2, 20, 20, "n"), ("t", "a", "x", 5, 6, None, 9, "h"), ("t", "a", "x", 9, 9, 1, 1, "h")],
+        "sample string, read_id string, species string, leader_left int, leader_right int, left_anchor_length int, right_anchor_length int, rotation_name string",
+    )
+    clusters = spark.createDataFrame(
+        [("x", 1, 2, "e", "first", ["s"]), ("x", 3, 4, "e", "second", ["s"]), ("x", 5, 6, "f", None, ["t"])],
+        "species string, leader_left int, leader_right int, exact_deletion_id string, affected_features string, supporting_samples array<string>",
+    )
+    out = M.evidence_join(members, clusters)
+    assert out.columns == ["species", "leader_left", "leader_right", "sample", "read_id", "left_anchor_length", "right_anchor_length", "rotation_name", "exact_deletion_id", "affected_features"]
+    got = {(r.sample, r.read_id, r.exact_deletion_id): (r.leader_left, r.affected_features) for r in out.collect()}
+    assert got == {("s", "a", "e"): (3, "second"), ("s", "b", "e"): (1, "first"), ("t", "a", "f"): (5, None)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Window")
