@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from circlet.durable import spread
 from circlet.functions import coords as C
 from circlet.functions import reads as R
 from circlet.params import Params
@@ -70,14 +71,15 @@ def _order(prefix: str, columns) -> F.Column:
     return F.struct(*[F.col(prefix + c) for c in columns])
 
 
-def pair_segments(segments: DataFrame, p: Params) -> DataFrame:
+def pair_segments(segments: DataFrame, p: Params, rows: int | None = None) -> DataFrame:
     """Compatible ordered pairs of segments of one chain, as ``a_*`` and ``b_*``.
 
     A pair is compatible only when the second segment starts inside
     ``[a.query_end - max_overlap, a.query_end + max_gap]``. A segment is shuffled once, by its chain, strand and block of
     query positions; only one whose range reaches over the end of a block goes to the next block too, so a very long
     chain spreads over many tasks. Inside a block a window over that range of positions offers a segment only those
-    that start there.
+    that start there. Segments alone in their block leave before that window. ``rows`` is the number of segments, which
+    is counted when not given.
     """
     segments = segments.filter(F.col("anchor_length") >= p.min_anchor_length)
     extra = [c for c in segments.columns if c not in CHAIN and c not in SEGMENT]
@@ -87,14 +89,15 @@ def pair_segments(segments: DataFrame, p: Params) -> DataFrame:
         return _adjacent_pairs(segments, fields, order, p)
     overlap, gap = p.max_query_overlap, p.max_query_gap
     width = overlap + gap + 1
-    pairs = _near_pairs(segments, fields, order, overlap, gap, BLOCK_WIDTHS * width)
+    rows = segments.count() if rows is None else rows
+    pairs = _near_pairs(segments, fields, order, overlap, gap, BLOCK_WIDTHS * width, rows)
     if p.min_anchor_length <= overlap:
         # second segments no longer than the allowed overlap may lie anywhere inside the first
         pairs = pairs.unionByName(_inner_pairs(segments, fields, order, overlap, width))
     return pairs
 
 
-def _near_pairs(segments: DataFrame, fields, order, overlap: int, gap: int, size: int) -> DataFrame:
+def _near_pairs(segments: DataFrame, fields, order, overlap: int, gap: int, size: int, rows: int) -> DataFrame:
     """Pairs whose second segment starts near the end of the first, from one shuffle of the segments.
 
     A row stands at its own start as a second segment, in the block of that start, and at its end as a first one, in the
@@ -108,11 +111,16 @@ def _near_pairs(segments: DataFrame, fields, order, overlap: int, gap: int, size
     own = block(F.col("query_start"))
     reached = F.array_distinct(F.array(block(F.col("query_end") - overlap), block(F.col("query_end") + gap)))
     known = segments.dropna(subset=place[:-1])
-    placed = known.withColumn("_block", F.explode(F.array_distinct(F.concat(F.array(own), reached)))).filter("_block is not null").repartition(*place)
+    placed = known.withColumn("_block", F.explode(F.array_distinct(F.concat(F.array(own), reached)))).filter("_block is not null")
+    placed = spread(placed, place, rows).withColumn("_hash", F.xxhash64(*place))  # rows sort by one number, not by texts that are mostly equal
+    together = W.partitionBy("_hash", *place)
+    start = F.when(own == F.col("_block"), F.col("query_start"))
+    placed = placed.withColumns({"_n": F.count(F.lit(1)).over(together), "_low": F.min(start).over(together), "_high": F.max(start).over(together)}).filter("_n > 1")
     second = F.when(own == F.col("_block"), F.struct(F.lit(False).alias("_first"), F.col("query_start").alias("_at")))
-    first = F.when(F.array_contains(reached, F.col("_block")), F.struct(F.lit(True).alias("_first"), F.col("query_end").alias("_at")))
-    stands = placed.select("*", F.inline(F.array_compact(F.array(second, first)))).filter("_at is not null")
-    near = W.partitionBy(*place).orderBy("_at").rangeBetween(-overlap, gap)
+    met = F.array_contains(reached, F.col("_block")) & (F.col("_high") >= F.col("query_end") - overlap) & (F.col("_low") <= F.col("query_end") + gap)
+    first = F.when(met, F.struct(F.lit(True).alias("_first"), F.col("query_end").alias("_at")))
+    stands = placed.select("*", F.inline(F.array_compact(F.array(second, first)))).filter("_at is not null").drop("_n", "_low", "_high")
+    near = W.partitionBy("_hash", *place).orderBy("_at").rangeBetween(-overlap, gap)
     listed = stands.withColumn("_b", F.collect_list(F.when(~F.col("_first"), F.struct(*fields))).over(near))
     pairs = listed.filter("_first").withColumn("_b", F.explode("_b"))
     ahead = F.struct(*[F.col(c) for c in order]) < F.struct(*[F.col("_b")[c].alias(c) for c in order])
@@ -250,9 +258,9 @@ def _plain_events(pairs: DataFrame, p: Params) -> DataFrame:
 
 
 def _ends(columns=()) -> list[F.Column]:
-    """The two breakpoints of an event whatever its direction."""
+    """The two breakpoints of an event whatever its direction, after the number that such rows sort by where there is one."""
     if "_low" in columns:
-        return [F.col("_low"), F.col("_high")]
+        return [F.col("_hash"), F.col("_low"), F.col("_high")]
     return [F.least("left_breakpoint", "right_breakpoint"), F.greatest("left_breakpoint", "right_breakpoint")]
 
 
@@ -263,7 +271,7 @@ def first_per_read(events: DataFrame) -> DataFrame:
         "raw_left_breakpoint", "raw_right_breakpoint", "left_mapq", "right_mapq",
         *[c for c in ("left_cigar", "right_cigar", "left_flag", "right_flag") if c in events.columns],
     ]
-    w = W.partitionBy("sample", "rotation_name", "read_id", *_ends(events.columns), "left_breakpoint", "right_breakpoint").orderBy(*order)
+    w = W.partitionBy(*_ends(events.columns), "sample", "rotation_name", "read_id", "left_breakpoint", "right_breakpoint").orderBy(*order)
     return events.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
@@ -272,7 +280,7 @@ def mark_reciprocal(events: DataFrame) -> DataFrame:
 
     After D08 a window here holds at most the two directions of the pair.
     """
-    w = W.partitionBy("sample", "rotation_name", "read_id", *_ends(events.columns))
+    w = W.partitionBy(*_ends(events.columns), "sample", "rotation_name", "read_id")
     left, right = F.col("directed_left_breakpoint"), F.col("directed_right_breakpoint")
     several = (F.min(left).over(w) != F.max(left).over(w)) | (F.min(right).over(w) != F.max(right).over(w))
     status = F.when(several, "ambiguous_reciprocal_alignments").otherwise(F.col("direction_status"))
@@ -290,10 +298,12 @@ def call_candidates(segments: DataFrame, p: Params) -> DataFrame:
     One shuffle, on the read and the two ends in either order, and one sort serve both D08 and D09; the text ids are made
     for what is left.
     """
-    events = _plain_events(pair_segments(segments, p), p)
+    rows = segments.count()
+    events = _plain_events(pair_segments(segments, p, rows), p)
     low, high = _ends()
-    placed = events.withColumns({"_low": low, "_high": high}).repartition("sample", "rotation_name", "read_id", "_low", "_high")
-    return _with_ids(mark_reciprocal(first_per_read(placed)).drop("_low", "_high"))
+    pair = ["sample", "rotation_name", "read_id", "_low", "_high"]
+    placed = spread(events.withColumns({"_low": low, "_high": high}), pair, rows).withColumn("_hash", F.xxhash64(*pair))
+    return _with_ids(mark_reciprocal(first_per_read(placed)).drop("_hash", "_low", "_high"))
 
 
 def call_events(segments: DataFrame, p: Params) -> DataFrame:

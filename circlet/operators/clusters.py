@@ -21,6 +21,10 @@ def assign_clusters(rows: DataFrame, slop: int, length: int, order=COORDINATE_OR
     uses (sample, read_id, hypothesis).
     """
     order = [c for c in order if c in rows.columns]
+    if slop <= 0:  # a coordinate leads itself; the join would only bring each row its own ends
+        place = ["species", "left_breakpoint", "right_breakpoint"]
+        own = rows.dropna(subset=place).withColumns({"leader_left": F.col("left_breakpoint"), "leader_right": F.col("right_breakpoint")})
+        return own.select(*place, *[c for c in own.columns if c not in place])
     leaders = assign_leaders(rows, ["species"], "left_breakpoint", "right_breakpoint", order, slop, length)
     return rows.join(leaders, ["species", "left_breakpoint", "right_breakpoint"], "inner")
 

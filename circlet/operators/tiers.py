@@ -23,7 +23,7 @@ def share(test: Column) -> Column:
 
 
 def _counted_values(own: DataFrame, key: list[str]) -> DataFrame:
-    """What clusters tell about distinct samples, coordinate pairs, alignment patterns and gene pairs: counted together, in one pass.
+    """What clusters tell about distinct samples, reads, coordinate pairs, alignment patterns and gene pairs: counted together, in one pass.
 
     Every observation becomes a row for each of these values; values are counted, then a cluster's counts meet in one
     aggregate. A cluster of any size is so reduced to its distinct values in the map tasks.
@@ -34,17 +34,18 @@ def _counted_values(own: DataFrame, key: list[str]) -> DataFrame:
     def item(kind, value, left=none, right=none):
         return F.struct(F.lit(kind).alias("kind"), text(value).alias("text"), left.cast("int").alias("l"), right.cast("int").alias("r"))
 
-    one = F.array(item("sample", F.col("sample")), item("pair", F.lit(None), F.col("read_left_breakpoint"), F.col("read_right_breakpoint")), item("gene", gene))
+    one = F.array(item("sample", F.col("sample")), item("read", F.col("read_id")), item("pair", F.lit(None), F.col("read_left_breakpoint"), F.col("read_right_breakpoint")), item("gene", gene))
     patterns = F.transform(F.coalesce("alignment_pattern_id", F.array().cast("array<string>")), lambda x: item("pattern", x))
     rows = own.select(*key, F.inline(F.concat(one, patterns))).filter("kind in ('sample', 'pair') or text is not null")
     counts = rows.groupBy(*key, "kind", "text", "l", "r").agg(F.count(F.lit(1)).alias("n"))
-    of = {k: F.col("kind") == k for k in ("sample", "pair", "pattern", "gene")}
+    of = {k: F.col("kind") == k for k in ("sample", "read", "pair", "pattern", "gene")}
     n, minus = F.col("n"), -F.col("n")
     return counts.groupBy(*key).agg(
         F.array_sort(F.collect_list(F.when(of["sample"], F.struct(F.col("text").alias("sample"), "n")))).alias("_per_sample"),
         F.max(F.when(of["sample"], n)).alias("maximum_support_within_sample"),
         F.count_if(of["sample"] & (n >= 2)).alias("samples_with_replicated_support"),
         F.count_if(of["sample"]).alias("samples_with_signal"),
+        F.count_if(of["read"]).alias("distinct_read_identifier_count"),
         F.count_if(of["pair"]).alias("distinct_exact_breakpoint_pair_count"),
         # ties: smallest pair in coordinate order
         F.min_by(F.struct(F.col("l").alias("read_left_breakpoint"), F.col("r").alias("read_right_breakpoint"), "n"), F.when(of["pair"], F.struct(minus, "l", "r"))).alias("_modal"),
@@ -76,7 +77,6 @@ def observation_summary(obs: DataFrame, clusters: DataFrame, p: Params) -> DataF
     flat = own.groupBy(*key).agg(
         F.count(F.lit(1)).alias("distinct_observation_count"),
         F.sum("source_record_count").alias("raw_source_record_count"),
-        F.count_distinct("read_id").alias("distinct_read_identifier_count"),
         F.count_if("star_support").alias("star_supporting_observations"),
         F.count_if("minimap2_support").alias("minimap2_supporting_observations"),
         F.count_if("both_callers_support").alias("both_caller_supporting_observations"),

@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from circlet.durable import TASK_ROWS
 from circlet.operators import calling as D
 from circlet.operators import clusters as K
 from circlet.operators import conflicts as X
@@ -204,3 +205,22 @@ def test_pairs_shuffle_a_segment_once(spark):
     plan = pairs._jdf.queryExecution().sparkPlan().toString()
     prepared = pairs._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and prepared.count("Exchange ") == 1
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_segments_of_a_large_table_spread_by_their_number(spark):
+    p = Params(length=16569, min_anchor_length=20, max_query_overlap=10)
+    rows = spark.createDataFrame([segment(0, 50, 100, 149), segment(50, 100, 3000, 3049), segment(0, 50, 5, 54, read="alone", chain="alone")], SCHEMA)
+    pairs = D.pair_segments(rows, p, rows=40 * TASK_ROWS)
+    assert pairs.rdd.getNumPartitions() == 40  # the session has 8
+    assert [(r.a_query_start, r.b_query_start, r.read_id) for r in pairs.collect()] == [(0, 50, "r")]
+
+
+def test_zero_slop_needs_no_join(spark):
+    rows = spark.createDataFrame([("x", 1, 5, "a"), ("x", 1, 5, "b"), ("x", None, 5, "c"), (None, 1, 5, "d")], "species string, left_breakpoint int, right_breakpoint int, read_id string")
+    out = K.assign_clusters(rows, 0, 1000)
+    assert "Join" not in plan_of(out)
+    assert sorted((r.read_id, r.leader_left, r.leader_right) for r in out.collect()) == [("a", 1, 5), ("b", 1, 5)]
