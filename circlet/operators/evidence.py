@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from circlet.durable import materialize
 from circlet.functions import coords as C
 from circlet.functions import reads as R
 from circlet.operators.conflicts import split_conflicts
@@ -17,6 +18,7 @@ from circlet.params import Params
 
 REMAP, CHIMERIC = "minimap2_remap", "star_chimeric"
 FOLD_LIMIT = 64  # reads with more distinct coordinates go through the tiled clustering instead
+ROW_LIMIT = 4096  # and so do reads with more rows
 
 
 def reason_list(*rules: tuple[Column, str]) -> Column:
@@ -215,55 +217,80 @@ def row_flags(rows: DataFrame) -> Column:
     )
 
 
-def hypotheses(rows: DataFrame, slop: int, length: int, fold_limit: int = FOLD_LIMIT) -> DataFrame:
-    """Q10: rows with the leader coordinate of their hypothesis and ``hypothesis_count`` of the read.
+def _read_points(rows: DataFrame, slop: int, length: int, conflicts: bool, fold_limit: int) -> DataFrame:
+    """Q09, Q10: one row per read: its distinct points with the leader of each (null in a conflict) and the number of leaders.
 
-    A read's distinct coordinates, ordered by (left, right), are grouped greedily against each
-    group's first member. Ordinary reads are folded in one expression over at most ``fold_limit``
-    coordinates. Reads with more are clustered by tiles, so no read is ever collected whole.
+    Points, ordered by (left, right), are grouped greedily against each group's first member. ``conflicts`` leaves those out
+    that another row of the read opposes. A ``crowded`` read, of more than ``fold_limit`` points or ``ROW_LIMIT`` rows, has none.
     """
     read = ["sample", "read_id"]
-    point = [*read, "left_breakpoint", "right_breakpoint"]
-    points = rows.select(*point).distinct()
-    w = W.partitionBy(*read).orderBy("left_breakpoint", "right_breakpoint")
+    known = rows.dropna(subset=[*read, "left_breakpoint", "right_breakpoint"])
+    points = known.groupBy(*read, F.col("left_breakpoint").cast("int").alias("l"), F.col("right_breakpoint").cast("int").alias("r")).agg(F.count(F.lit(1)).alias("n"))
+    w = W.partitionBy(*read).orderBy("l", "r")
     head = points.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= fold_limit + 1)
-    lists = head.groupBy(*read).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("left_breakpoint").alias("l"), F.col("right_breakpoint").alias("r")))).alias("points")
-    )
-    ordinary = lists.filter(F.size("points") <= fold_limit)
+    lists = head.groupBy(*read).agg(F.array_sort(F.collect_list(F.struct("l", "r", "n"))).alias("_all"), F.sum("n").alias("_rows"))
+    crowded = (F.size("_all") > fold_limit) | (F.col("_rows") > ROW_LIMIT)
+    none = F.array().cast("array<struct<l:int,r:int,n:bigint>>")
+
+    def near(a, b):
+        return C.circular_distance(a, b, length) <= slop
+
+    def opposed(x):
+        other = lambda y: (x["l"] != y["l"]) | (x["r"] != y["r"]) | (x["n"] > 1)
+        return F.exists("_all", lambda y: near(x["l"], y["r"]) & near(x["r"], y["l"]) & other(y))
 
     def close(a, b):
-        return (C.circular_distance(a["l"], b["l"], length) <= slop) & (C.circular_distance(a["r"], b["r"], length) <= slop)
+        return near(a["l"], b["l"]) & near(a["r"], b["r"])
 
     def add(leaders, x):
         return F.when(F.exists(leaders, lambda y: close(x, y)), leaders).otherwise(F.concat(leaders, F.array(x)))
 
-    none = F.array().cast("array<struct<l:int,r:int>>")
-    folded = ordinary.withColumn("_leaders", F.aggregate("points", none, add)).select(
-        *read,
-        F.explode(
-            F.transform(
-                "points",
-                lambda x: F.struct(x.alias("p"), F.element_at(F.filter("_leaders", lambda y: close(x, y)), 1).alias("h")),
-            )
-        ).alias("_m"),
-        F.size("_leaders").alias("hypothesis_count"),
-    )
-    assigned = folded.select(
-        *read,
-        F.col("_m.p.l").alias("left_breakpoint"), F.col("_m.p.r").alias("right_breakpoint"),
-        F.col("_m.h.l").alias("leader_left"), F.col("_m.h.r").alias("leader_right"), "hypothesis_count",
-    )
-    busy = lists.filter(F.size("points") > fold_limit).select(*read)
-    if not busy.isEmpty():
-        crowded = points.join(busy, read, "left_semi")
-        order = ["left_breakpoint", "right_breakpoint"]
-        tiled = assign_leaders(crowded, read, *order, order, slop, length)
-        counts = tiled.groupBy(*read).agg(
-            F.count_distinct("leader_left", "leader_right").cast("int").alias("hypothesis_count")
-        )
-        assigned = assigned.unionByName(tiled.join(counts, read).select(assigned.columns))
-    return rows.join(assigned, point)
+    kept = F.filter("_all", lambda x: ~opposed(x)) if conflicts else F.col("_all")
+    led = lists.withColumns({"crowded": crowded, "_kept": F.when(crowded, none).otherwise(kept)}).withColumn("_leaders", F.aggregate("_kept", none, add))
+
+    def placed(x):
+        leader = F.when(F.array_contains("_kept", x), F.get(F.filter("_leaders", lambda y: close(x, y)), F.lit(0)))
+        return F.struct(x["l"].alias("l"), x["r"].alias("r"), leader["l"].alias("leader_l"), leader["r"].alias("leader_r"))
+
+    found = F.when(~F.col("crowded"), F.transform("_all", placed))
+    return led.select(*read, "crowded", found.alias("_points"), F.size("_leaders").alias("hypothesis_count"))
+
+
+def _tiled_hypotheses(rows: DataFrame, slop: int, length: int) -> DataFrame:
+    """Q10 for crowded reads: clustered by tiles, so no read is ever collected whole."""
+    read, order = ["sample", "read_id"], ["left_breakpoint", "right_breakpoint"]
+    tiled = assign_leaders(rows.select(*read, *order).distinct(), read, *order, order, slop, length)
+    counts = tiled.groupBy(*read).agg(F.count_distinct("leader_left", "leader_right").cast("int").alias("hypothesis_count"))
+    return rows.join(tiled.join(counts, read), [*read, *order])
+
+
+def _led(rows: DataFrame, points: DataFrame) -> DataFrame:
+    """Rows of ordinary reads with ``leader_left``, ``leader_right`` and ``hypothesis_count``; a row in a conflict has no leader.
+
+    Rows meet the points of their read by the read alone, so all that is counted per read afterwards needs no other shuffle.
+    """
+    own = F.get(F.filter("_points", lambda x: (x["l"] == F.col("left_breakpoint")) & (x["r"] == F.col("right_breakpoint"))), F.lit(0))
+    met = rows.join(points.filter("not crowded").drop("crowded").hint("merge"), ["sample", "read_id"]).withColumn("_own", own).filter("_own is not null")
+    return met.withColumns({"leader_left": F.col("_own.leader_l"), "leader_right": F.col("_own.leader_r")}).drop("_own", "_points")
+
+
+def _divided(rows: DataFrame, slop: int, length: int, conflicts: bool, fold_limit: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of ordinary reads, as ``_led`` gives them, and those of crowded reads where there are any."""
+    points = materialize(_read_points(rows, slop, length, conflicts, fold_limit), "read-points")
+    busy = points.filter("crowded").select("sample", "read_id")
+    if busy.isEmpty():
+        return _led(rows, points), None
+    return _led(rows, points), rows.dropna(subset=["left_breakpoint", "right_breakpoint"]).join(busy, ["sample", "read_id"], "left_semi")
+
+
+def hypotheses(rows: DataFrame, slop: int, length: int, fold_limit: int = FOLD_LIMIT) -> DataFrame:
+    """Q10: rows with the leader coordinate of their hypothesis and ``hypothesis_count`` of the read.
+
+    Ordinary reads are folded in one expression over at most ``fold_limit`` coordinates. Reads with more, and those with more
+    than ``ROW_LIMIT`` rows, are clustered by tiles.
+    """
+    ordinary, crowded = _divided(rows, slop, length, False, fold_limit)
+    return ordinary if crowded is None else ordinary.unionByName(_tiled_hypotheses(crowded, slop, length))
 
 
 def observations(rows: DataFrame, p: Params) -> DataFrame:
@@ -272,13 +299,21 @@ def observations(rows: DataFrame, p: Params) -> DataFrame:
     Positions use a median per caller and then across callers. Aggregation runs per caller first,
     so the second step sees at most one row per caller.
     """
-    rows = hypotheses(rows, p.slop, p.length).withColumn("_flags", row_flags(rows))
+    return _observed(*_divided(rows, p.slop, p.length, False, FOLD_LIMIT), p)
+
+
+def _observed(ordinary: DataFrame, crowded: DataFrame | None, p: Params) -> DataFrame:
+    """Observations of ordinary reads' rows and, apart from them, of crowded reads'."""
+    out = _merged_callers(ordinary, p, True)
+    return out if crowded is None else out.unionByName(_merged_callers(_tiled_hypotheses(crowded, p.slop, p.length), p, False))
+
+
+def _merged_callers(rows: DataFrame, p: Params, listed: bool) -> DataFrame:
+    """Q11-Q13 over rows with their hypothesis. ``listed``: a read has few rows, so the gene pairs of an observation are counted in a list."""
+    rows = rows.withColumn("_flags", row_flags(rows))
     key = ["sample", "read_id", "leader_left", "leader_right"]
     length = p.length
 
-    def sets(name, alias=None):
-        return F.collect_set(F.col(name)).alias(alias or f"s_{name}")
-
     minimums = [c for c in ("left_anchor_length", "right_anchor_length", "min_anchor_length", "left_mapq", "right_mapq",
                             "min_mapq", "left_alignment_score", "right_alignment_score", "query_union_coverage",
                             "query_union_aligned_length", "total_aligned_query_length",
@@ -293,6 +328,10 @@ def observations(rows: DataFrame, p: Params) -> DataFrame:
                          "mate_context_status", "both_mates_support_same_cluster", "non_supporting_mate_near_breakpoint",
                          "mate_mapping_class", "mate_placement_discordant") if c in rows.columns]
     pair_text = F.concat_ws(":", "evidence_source", "raw_left_breakpoint", "raw_right_breakpoint")
+    have_genes = "gene_pair_label" in rows.columns
+    is_named = F.col("gene_pair_label").isNotNull() & (F.col("evidence_source") == CHIMERIC) if have_genes else None
+    point = F.struct("left_breakpoint", "right_breakpoint")
+    genes = [F.collect_list(F.when(is_named, F.struct("gene_pair_label", point.alias("first")))).alias("_genes")] if have_genes and listed else []
     per_caller = rows.withColumn("_pair", pair_text).groupBy(*key, "evidence_source").agg(
         F.percentile(C.unwrap("left_breakpoint", "leader_left", length), F.lit(0.5)).alias("_ml"),
         F.percentile(C.unwrap("right_breakpoint", "leader_right", length), F.lit(0.5)).alias("_mr"),
@@ -305,9 +344,8 @@ def observations(rows: DataFrame, p: Params) -> DataFrame:
         *[F.max(c).alias(c) for c in any_flags],
         F.min(F.coalesce("query_segments_adjacent", F.lit(False))).alias("query_segments_adjacent"),
         F.min(F.coalesce("secondary_only_evidence", F.lit(False))).alias("secondary_only_evidence"),
-        *[sets(c) for c in texts],
-        sets("_pair"),
-        F.flatten(F.collect_set("_flags")).alias("_flags"),
+        F.collect_set(F.struct(*texts, "_pair", "_flags")).alias("_texts"),  # one set of rows of texts, not a set for each text
+        *genes,
     )
     # the median is taken in the leader's frame, then moved to the frame of the caller's first row
     def caller_median(median, first, leader):
@@ -322,7 +360,7 @@ def observations(rows: DataFrame, p: Params) -> DataFrame:
     )
 
     def merged(name):
-        return F.array_sort(F.array_distinct(F.flatten(F.collect_list(f"s_{name}")))).alias(name)
+        return F.array_distinct(F.array_compact(F.transform("_texts", lambda x: x[name])))
 
     by_source = F.array_sort(F.collect_list(F.struct("evidence_source", "_l", "_r")))
     level = placed.groupBy(*key).agg(
@@ -334,10 +372,16 @@ def observations(rows: DataFrame, p: Params) -> DataFrame:
         F.coalesce(F.sum(F.when(F.col("evidence_source") == REMAP, F.col("records"))), F.lit(0)).alias("minimap2_source_record_count"),
         *[F.min(c).alias(c) for c in (*minimums, "query_segments_adjacent", "secondary_only_evidence")],
         *[F.max(c).alias(c) for c in (*maximums, *any_flags)],
-        *[merged(c) for c in texts],
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("s__pair")))).alias("source_coordinate_pairs"),
-        F.array_distinct(F.flatten(F.collect_list("_flags"))).alias("_flags"),
+        F.flatten(F.collect_list("_texts")).alias("_texts"),
+        *([F.flatten(F.collect_list("_genes")).alias("_genes")] if genes else []),
     )
+    level = level.withColumns(
+        {
+            **{c: F.array_sort(merged(c)) for c in texts},
+            "source_coordinate_pairs": F.array_sort(merged("_pair")),
+            "_flags": F.array_distinct(F.flatten(merged("_flags"))),
+        }
+    ).drop("_texts")
 
     def across(field):
         values = F.transform("_callers", lambda c: c[field])
@@ -370,12 +414,19 @@ def observations(rows: DataFrame, p: Params) -> DataFrame:
         }
     ).withColumnRenamed("leader_left", "hypothesis_left").withColumnRenamed("leader_right", "hypothesis_right")
     out = out.drop("_callers", "_flags", "rotation_name")
-    if "gene_pair_label" not in rows.columns:
+    if not have_genes:
         return out.withColumns(
             {"gene_pair_label": F.lit(None).cast("string"), "gene_pair_labels": F.array().cast("array<string>")}
         )
     out = out.withColumnRenamed("gene_pair_label", "gene_pair_labels")
-    named = rows.filter(F.col("gene_pair_label").isNotNull() & (F.col("evidence_source") == CHIMERIC))
+    if listed:
+        of = lambda x: F.filter("_genes", lambda g: g["gene_pair_label"] == x)
+        ranked = F.transform(
+            F.array_distinct(F.transform("_genes", lambda g: g["gene_pair_label"])),
+            lambda x: F.struct((-F.size(of(x))).alias("n"), F.array_min(F.transform(of(x), lambda g: g["first"])).alias("first"), x.alias("label")),
+        )
+        return out.withColumn("gene_pair_label", F.array_min(ranked)["label"]).drop("_genes")
+    named = rows.filter(is_named)
     counted = named.groupBy(*key, "gene_pair_label").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("left_breakpoint", "right_breakpoint")).alias("first")
     )
@@ -388,10 +439,17 @@ def observations(rows: DataFrame, p: Params) -> DataFrame:
 def consolidate(candidates: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
     """Q09-Q13: passing candidates -> (observations, ambiguous rows)."""
     passing = candidates.filter("filter_status = 'pass'")
-    accepted, ambiguous = split_conflicts(passing, p.slop, p.length)
     if p.ambiguous_direction_policy == "include":
-        accepted = accepted.unionByName(ambiguous)
-    return observations(accepted, p), ambiguous
+        return observations(passing, p), split_conflicts(passing, p.slop, p.length)[1]
+    ordinary, crowded = _divided(passing, p.slop, p.length, True, FOLD_LIMIT)
+    opposed = ordinary.filter("leader_left is null").drop("leader_left", "leader_right", "hypothesis_count")
+    ambiguous = opposed.withColumn("direction_status", F.lit("ambiguous_across_rotations"))
+    if "breakpoint_pair_id" not in ambiguous.columns:
+        ambiguous = ambiguous.withColumn("breakpoint_pair_id", C.breakpoint_pair_id("left_breakpoint", "right_breakpoint"))
+    if crowded is not None:
+        crowded, others = split_conflicts(crowded, p.slop, p.length)
+        ambiguous = ambiguous.unionByName(others)
+    return _observed(ordinary.filter("leader_left is not null"), crowded, p), ambiguous
 
 
 OBSERVATION_ORDER = ("sample", "read_id", "hypothesis_left", "hypothesis_right")

@@ -50,9 +50,9 @@ class EvidenceResult:
     enriched: DataFrame
 
 
-def evidence_path(candidates: DataFrame, p: Params, annotate: Callable[[DataFrame], DataFrame] = lambda c: c) -> EvidenceResult:
-    """Caller rows -> observations -> clusters (support 1) -> annotation -> tiers."""
-    candidates = materialize(candidates, "candidates")
+def evidence_path(candidates: DataFrame, p: Params, annotate: Callable[[DataFrame], DataFrame] = lambda c: c, stored: bool = False) -> EvidenceResult:
+    """Caller rows -> observations -> clusters (support 1) -> annotation -> tiers. ``stored``: the rows were written already."""
+    candidates = candidates if stored else materialize(candidates, "candidates")
     found, ambiguous = Q.consolidate(candidates, p)
     found = materialize(found, "observations")
     assigned = K.assign_clusters(found, p.slop, p.length, Q.OBSERVATION_ORDER)

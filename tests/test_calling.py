@@ -224,3 +224,36 @@ def test_zero_slop_needs_no_join(spark):
     out = K.assign_clusters(rows, 0, 1000)
     assert "Join" not in plan_of(out)
     assert sorted((r.read_id, r.leader_left, r.leader_right) for r in out.collect()) == [("a", 1, 5), ("b", 1, 5)]
+
+
+def caller_rows(spark, n=400):
+    """Rows of two callers: reads that run both ways, copies, several deletions, missing ends and names."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(n):
+        l, r = rng.choice([(100, 800), (104, 797), (800, 100), (300, 300), (500, 620)])
+        own = Q.CHIMERIC if i % 3 else Q.REMAP
+        rows.append(("s", "x", f"r{rng.randrange(90)}", l + rng.randrange(3), r + rng.randrange(3), own, rng.choice(["G1--H", "G2--H", None]), rng.randrange(4), f"p{rng.randrange(3)}"))
+    rows += [rows[0]] * 3 + [("s", "x", None, 5, 9, Q.REMAP, None, 1, "p"), ("s", "x", "r1", None, 9, Q.REMAP, None, 1, "p")]
+    columns = "sample string, species string, read_id string, left_breakpoint int, right_breakpoint int, evidence_source string, gene_pair_label string, min_mapq int, alignment_pattern_id string"
+    return spark.createDataFrame(rows, columns).withColumns(
+        {"raw_left_breakpoint": F.col("left_breakpoint"), "raw_right_breakpoint": F.col("right_breakpoint"), "secondary_only_evidence": F.lit(False),
+         "primary_chain_evidence": F.lit(True), "estimated_alignment_error_rate": F.lit(0.2), "query_gap_bp": F.lit(0), "query_overlap_bp": F.lit(1), "direction_status": F.lit("directed"),
+         "total_alignment_segments": F.lit(2), "query_segments_adjacent": F.lit(True), "nuclear_competition_status": F.lit("n"), "rotation_name": F.lit("normal"), "filter_status": F.lit("pass")}
+    )
+
+
+def test_caller_rows_of_a_read_meet_in_one_shuffle(spark, monkeypatch):
+    """Ordinary and crowded reads give the same observations and conflicts; rows of ordinary reads are shuffled once, by read."""
+    p = Params(length=1000, slop=5)
+    rows = caller_rows(spark)
+    found, ambiguous = Q.consolidate(rows, p)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.split("== Initial Plan ==")[-1].splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and all("hashpartitioning(sample" in line and "leader" not in line and "breakpoint" not in line for line in exchanges)
+    plain = lambda df: sorted(repr([r[c] for c in sorted(df.columns)]) for r in df.collect())
+    want, opposed = plain(found), plain(ambiguous)
+    monkeypatch.setattr(Q, "ROW_LIMIT", 0)  # every read is crowded
+    found, ambiguous = Q.consolidate(rows, p)
+    assert plain(found) == want and plain(ambiguous) == opposed and len(want) > 50
+    assert opposed == plain(X.split_conflicts(rows, p.slop, p.length)[1])
