@@ -124,7 +124,9 @@ def spanning_reads(blocks: DataFrame, positions: DataFrame, p: Params) -> DataFr
     marked = spans.withColumn("fresh", F.coalesce(F.col("low") > F.max("high").over(before), F.lit(True)))
     merged = marked.withColumn("island", F.sum(F.col("fresh").cast("long")).over(islands))
     plain = merged.groupBy(*key, "island").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    ends = longest.groupBy(*key).agg(
+    # only blocks at the origin matter here, so the others are not shuffled a second time
+    at_origin = blocks.filter((F.col("end") == length) | (F.col("start") == 1))
+    ends = at_origin.groupBy(*key).agg(
         F.min(F.when(F.col("end") == length, F.col("start"))).alias("tail"),
         F.max(F.when(F.col("start") == 1, F.col("end"))).alias("head"),
     ).filter("tail is not null and head is not null")
