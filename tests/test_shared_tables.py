@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 
 from circlet.plans import fixtures as X0
+from circlet.plans.queries import QUERIES
 
 DATA = Path("/root/testdata/sf0.001")
 
@@ -32,3 +33,23 @@ def test_narrow_events(spark, monkeypatch):
     assert narrow == results() and narrow[0] and narrow[1]
     assert "sa_tag" in taken[1] and len(taken) == 2
     X0.forget_stages()
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="test tables are not here")
+def test_narrow_evidence(spark, monkeypatch):
+    """Counts of labels start from the evidence rows without the wide columns of their cluster, and are the same."""
+    X0.forget_stages()
+    made = []
+
+    def seen(df, name):
+        made.append((name, len(df.columns)))
+        return materialize(df, name)
+
+    materialize = X0.materialize
+    monkeypatch.setattr(X0, "materialize", seen)
+    narrow = sorted(map(str, QUERIES["a_counts"](spark, str(DATA)).collect()))
+    assert ("labelled", 7) in made and "evidence" not in dict(made)
+    X0.forget_stages()
+    QUERIES["a_evidence"](spark, str(DATA))
+    assert narrow == sorted(map(str, QUERIES["a_counts"](spark, str(DATA)).collect())) and narrow
+    X0.forget_stages()
